@@ -160,12 +160,17 @@ def _members_and_leaders(
 
 
 def _compare(
-    members: DataFrame, leaders: DataFrame, sigs: DataFrame, buckets: _Buckets
+    members: DataFrame, leaders: DataFrame, sigs: DataFrame, buckets: _Buckets, every: bool = False
 ) -> DataFrame:
-    """``a``, ``b``, ``matches`` for every member b and earlier leader a.
+    """``a``, ``b``, ``matches`` for members b and earlier leaders a.
 
-    A pair is formed in the first band it shares, so each appears once.
+    A pair is formed in the first band it shares, so each appears once.  A
+    record that leads one bucket but not another is missed where the band of
+    the other comes first; ``every`` finds those pairs too.  Keep-first does
+    without: a record is only kept in a round in which it leads all of its
+    buckets.
     """
+    first_band = M.first_shared_band(F.col("a_keys"), F.col("keys")) == F.col("band")
     a_sigs = sigs.select(F.col("seq").alias("a"), F.col("sig").alias("a_sig"))
     b_sigs = sigs.select(F.col("seq").alias("b"), F.col("sig").alias("b_sig"))
     with_sig = buckets.all_salts(leaders.drop("n").join(a_sigs, "a"))
@@ -173,7 +178,7 @@ def _compare(
         members.withColumnRenamed("seq", "b")
         .join(with_sig, buckets.on)
         .filter(F.col("a") < F.col("b"))
-        .filter(M.first_shared_band(F.col("a_keys"), F.col("keys")) == F.col("band"))
+        .filter(F.lit(True) if every else first_band)
         .select("a", "b", "a_sig")
     )
     return pairs.join(b_sigs, "b").select(
@@ -186,7 +191,7 @@ def leader_pairs(sigs: DataFrame) -> DataFrame:
     nodes = sigs.select("seq", "keys")
     buckets = _Buckets(nodes)
     members, leaders = _members_and_leaders(nodes, buckets, 1, 1)
-    return _compare(members, leaders, sigs, buckets)
+    return _compare(members, leaders, sigs, buckets, every=True).distinct()
 
 
 def _settle(edges: DataFrame, waiting: DataFrame | None) -> tuple[list[DataFrame], DataFrame]:
