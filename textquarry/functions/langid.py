@@ -9,11 +9,12 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import char_ngrams, shingle_text
+from .text import shingle_text
 
 GRAM = 3
 MICRO = 1_000_000  # log-probabilities are stored in millionths, as integers
 MIN_CHARS = 3
+CHUNK_CODE_POINTS = 1_000_000
 
 RESULT = "language string, language_score double"
 
@@ -22,10 +23,6 @@ def profile_text(text: Column) -> Column:
     return shingle_text(text)
 
 
-def profile_grams(text: Column) -> Column:
-    return char_ngrams(profile_text(text), GRAM)
-
-
 def _pack(codes: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Three code points of 21 bits each in one integer."""
     return (codes[starts] << 42) | (codes[starts + 1] << 21) | codes[starts + 2]
@@ -35,6 +32,45 @@ def _codes(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le"), dtype="<u4").astype(np.int64)
 
 
+def _spell(packed: np.ndarray) -> list[str]:
+    codes = np.stack([packed >> 42, (packed >> 21) & 0x1FFFFF, packed & 0x1FFFFF], axis=1)
+    joined = codes.astype("<u4").tobytes().decode("utf-32-le")
+    return [joined[i : i + GRAM] for i in range(0, len(joined), GRAM)]
+
+
+def _chunks(texts: list[str]) -> Iterator[list[str]]:
+    part: list[str] = []
+    size = 0
+    for text in texts:
+        part.append(text)
+        size += len(text)
+        if size >= CHUNK_CODE_POINTS:
+            yield part
+            part, size = [], 0
+    if part:
+        yield part
+
+
+def count_grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Partial counts of the trigrams of (lang, t) rows, for Spark to add up."""
+    for batch in batches:
+        for lang, texts in batch.groupby("lang")["t"]:
+            for part in _chunks([t for t in texts if len(t) >= GRAM]):
+                starts, _, codes = _windows(part)
+                which, distinct = pd.factorize(_pack(codes, starts))
+                yield pd.DataFrame({"lang": lang, "gram": _spell(distinct), "n": np.bincount(which)})
+
+
+def _windows(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start of every gram, the first gram of every text, and all code points."""
+    lengths = np.array([len(t) for t in texts])
+    codes = _codes("".join(texts))
+    counts = lengths - GRAM + 1
+    offsets = np.concatenate(([0], np.cumsum(counts)[:-1]))
+    starts = np.arange(counts.sum()) + np.repeat(np.cumsum(lengths) - lengths - offsets, counts)
+    return starts, offsets, codes
+
+
 class Profile:
     """A trained profile laid out for look-up: sorted grams, one row of
     log-probabilities per gram, one column per language."""
@@ -49,11 +85,7 @@ class Profile:
     def score(self, texts: list[str]) -> np.ndarray:
         """Summed log-probabilities, one row per text of three or more characters;
         integers, so that no order of summation can change them."""
-        lengths = np.array([len(t) for t in texts])
-        codes = _codes("".join(texts))
-        counts = lengths - GRAM + 1
-        offsets = np.concatenate(([0], np.cumsum(counts)[:-1]))
-        starts = np.arange(counts.sum()) + np.repeat(np.cumsum(lengths) - lengths - offsets, counts)
+        starts, offsets, codes = _windows(texts)
         which, distinct = pd.factorize(_pack(codes, starts))
         at = np.minimum(np.searchsorted(self.grams, distinct), len(self.grams) - 1)
         known = self.grams[at] == distinct
@@ -87,7 +119,8 @@ def best_language(text: Column, profile) -> Column:
                 if t is not None and len(t) >= GRAM and len(t.strip()) >= MIN_CHARS
             ]
             if usable:
-                sums = model.score([batch.iat[i] for i in usable])
+                parts = _chunks([batch.iat[i] for i in usable])
+                sums = np.concatenate([model.score(part) for part in parts])
                 logp = sums[:, :-1]
                 best = logp.argmax(axis=1)
                 gap = (logp - logp.max(axis=1, keepdims=True)) / MICRO

@@ -21,7 +21,7 @@ PRIME = 2_147_483_647
 RADIX = 911_382_323
 MIXER = 739_982_445
 
-CHUNK_CODE_POINTS = 1_000_000
+CHUNK_CODE_POINTS = 250_000  # tables of a chunk stay in the processor's cache
 MEMO_SHINGLES = 131_072
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..config import CorpusConfig
 from ..functions import langid as L
 from ..functions.frames import compute_once
+from ..session import cut_lineage
 
 # A profile is a model of bounded size: this many of the most frequent grams.
 PROFILE_GRAMS = 100_000
@@ -18,12 +19,15 @@ MAX_LANGUAGES = 200
 
 
 def gram_counts(df: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
-    """Occurrences of every trigram per language, over whole texts."""
-    return (
-        df.select(F.col(lang).alias("lang"), F.explode(L.profile_grams(F.col(text))).alias("gram"))
-        .groupBy("lang", "gram")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    """Occurrences of every trigram per language, over whole texts.
+
+    Each task counts its texts first, so what is shuffled is the vocabulary
+    of its share and not its text.
+    """
+    labelled = df.filter(F.col(lang).isNotNull() & F.col(text).isNotNull())
+    lowered = labelled.select(F.col(lang).alias("lang"), L.profile_text(F.col(text)).alias("t"))
+    partial = lowered.mapInPandas(L.count_grams, "lang string, gram string, n bigint")
+    return partial.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
 def train_profile(
@@ -35,7 +39,7 @@ def train_profile(
     totals = counts.groupBy("gram").agg(
         F.sum("n").alias("total"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by_lang")
     )
-    grams = totals.orderBy(F.desc("total"), "gram").limit(size)
+    grams = cut_lineage(totals.orderBy(F.desc("total"), "gram").limit(size))
     cells = grams.select("gram", F.explode("by_lang").alias("lang", "n"))
     per_lang = cells.groupBy("lang").agg(F.sum("n").alias("seen"))
     # Few rows by definition: MAX_LANGUAGES at most.

@@ -19,7 +19,6 @@ from ..session import cut_lineage
 
 PAIR = r"(?=(\d+,,\d+))\d+"
 TOP_PAIRS = 64
-ROUNDS_PER_CUT = 8
 MAX_ALPHABET = 200_000
 
 
@@ -145,7 +144,6 @@ def train(
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     words = cut_lineage(spelled.repartition(parts, "symbols"))
     merges: list[tuple[int, str, str]] = []
-    rounds = 0
     while len(tokens) < vocab_size:
         top = pair_counts(words).orderBy(F.desc("n"), "left", "right").limit(TOP_PAIRS).collect()
         if not top:
@@ -164,10 +162,7 @@ def train(
                 symbols, F.lit(f",{pair['left']},,{pair['right']},"), F.lit(f",{known[token]},")
             )
         # A word of one symbol has no pairs left to count.
-        words = words.select("n", symbols.alias("symbols")).filter(F.contains("symbols", F.lit(",,")))
-        rounds += 1
-        if rounds % ROUNDS_PER_CUT == 0:
-            words = cut_lineage(words)
+        words = cut_lineage(words.select("n", symbols.alias("symbols")).filter(F.contains("symbols", F.lit(",,"))))
     vocab = spark.createDataFrame(list(enumerate(tokens)), "id int, token string")
     return vocab, spark.createDataFrame(merges, "rank int, left string, right string")
 

@@ -89,3 +89,8 @@ def dedup_job(spark: SparkSession, paths: Sequence[str], output: str, cfg: Corpu
     totals = dedup_stats(outcomes)
     sinks.export_object(totals, f"{output}/dedup_stats")
     return totals
+
+
+def read_dedup_stats(spark: SparkSession, output: str) -> DataFrame:
+    """The stats an earlier ``dedup_job`` left, for the report."""
+    return spark.read.json(f"{output}/dedup_stats")

@@ -20,6 +20,10 @@ def build_session(app: str = "textquarry", cores: int | None = None, **settings:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Texts are long: keep Arrow batches at a few megabytes.
+        .config("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+        # Checkpoints no plan refers to any more may go.
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for key, value in settings.items():
         builder = builder.config(key, value)

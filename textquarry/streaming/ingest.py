@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..config import CorpusConfig
 from ..functions.spans import DEFAULT_RULES, Rule
 from ..plans.corpus import PROCESSED, annotate_records, drop_duplicates
+from ..sources.tables import spread
 
 
 def write_chunks(
@@ -32,7 +33,7 @@ def write_chunks(
     """
 
     def save(batch: DataFrame, number: int) -> None:
-        rows = annotate_records(batch, cfg, profile, rules)
+        rows = annotate_records(spread(batch, "seq"), cfg, profile, rules)
         rows.select(*PROCESSED).write.mode("overwrite").parquet(f"{output}/rows/batch={number}")
 
     query = (
