@@ -40,7 +40,8 @@ def crowd(seed, n, num_perm=32):
 
 def nodes(spark, rows, num_perm=32):
     df = spark.createDataFrame(rows, "seq bigint, sig array<bigint>")
-    return df.withColumn("keys", M.band_keys(F.col("sig"), num_perm))
+    keyed = df.withColumn("keys", M.band_keys(F.col("sig"), num_perm))
+    return keyed.withColumn("print", M.fingerprint(F.col("sig"), num_perm))
 
 
 @pytest.mark.parametrize("seed,small,hot", [(1, 32, 500_000), (2, 2, 500_000), (3, 4, 20), (4, 1, 7)])
@@ -53,6 +54,23 @@ def test_rounds_equal_sequential_greedy(spark, monkeypatch, seed, small, hot):
         assert got == sequential(rows, 32, threshold)
 
 
+@pytest.mark.parametrize("num_perm", [8, 64, 100, 128])
+def test_fingerprints_bound_the_matches(spark, num_perm):
+    rows = crowd(9, 30, num_perm)
+    df = nodes(spark, rows, num_perm)
+    left, right = df.alias("l"), df.alias("r")
+    pairs = left.join(right, F.col("l.seq") < F.col("r.seq"))
+    got = pairs.select(
+        M.matching(F.col("l.sig"), F.col("r.sig")).alias("m"),
+        M.at_most_matching(F.col("l.print"), F.col("r.print"), num_perm).alias("most"),
+        F.col("l.sig").alias("a"),
+        F.col("r.sig").alias("b"),
+    ).collect()
+    for r in got:
+        assert r.m == sum(x == y for x, y in zip(r.a, r.b))
+        assert r.most == sum(x % 4 == y % 4 for x, y in zip(r.a, r.b))
+
+
 def test_similarity_is_not_transitive(spark):
     base = list(range(100, 132))
     a, b, c = list(base), list(base), list(base)

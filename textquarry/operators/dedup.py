@@ -77,7 +77,7 @@ def mark_exact(df: DataFrame, text: str = "text", seq: str = "seq") -> DataFrame
 
 
 def signatures(df: DataFrame, cfg: CorpusConfig, text: str = "text", seq: str = "seq") -> DataFrame:
-    """``seq``, ``sig``, ``keys`` of all texts that have at least one shingle."""
+    """``seq``, ``sig``, ``keys``, ``print`` of all texts that have at least one shingle."""
     grams = _shingled(df, cfg, text, seq)
     return _sign(grams, cfg, seq)
 
@@ -92,12 +92,16 @@ def _sign(grams: DataFrame, cfg: CorpusConfig, seq: str) -> DataFrame:
         F.col(seq).alias("seq"),
         M.signature(F.col("_s"), cfg.ngram_size, cfg.num_perm, cfg.hash_family).alias("sig"),
     )
-    return signed.withColumn("keys", M.band_keys(F.col("sig"), cfg.num_perm))
+    return compute_once(
+        signed,
+        keys=M.band_keys(F.col("sig"), cfg.num_perm),
+        print=M.fingerprint(F.col("sig"), cfg.num_perm),
+    )
 
 
 def bucket_rows(nodes: DataFrame) -> DataFrame:
     """One row per record and band."""
-    return nodes.select("seq", "keys", F.posexplode("keys").alias("band", "key"))
+    return nodes.select("seq", "keys", "print", F.posexplode("keys").alias("band", "key"))
 
 
 def bucket_sizes(nodes: DataFrame) -> DataFrame:
@@ -156,42 +160,50 @@ def _members_and_leaders(
     first = members.withColumn("place", place).filter(F.col("place") <= max(leaders, small))
     if leaders < small:
         first = first.filter((F.col("place") <= leaders) | (F.col("n") <= small))
-    return members, first.select("band", "key", "n", F.col("seq").alias("a"), F.col("keys").alias("a_keys"))
+    return members, first.select(
+        "band", "key", "n", F.col("seq").alias("a"), F.col("keys").alias("a_keys"), F.col("print").alias("a_print")
+    )
 
 
 def _compare(
-    members: DataFrame, leaders: DataFrame, sigs: DataFrame, buckets: _Buckets, every: bool = False
+    members: DataFrame,
+    leaders: DataFrame,
+    sigs: DataFrame,
+    buckets: _Buckets,
+    limit: tuple[int, float] | None = None,
 ) -> DataFrame:
     """``a``, ``b``, ``matches`` for members b and earlier leaders a.
 
-    A pair is formed in the first band it shares, so each appears once.  A
-    record that leads one bucket but not another is missed where the band of
-    the other comes first; ``every`` finds those pairs too.  Keep-first does
-    without: a record is only kept in a round in which it leads all of its
-    buckets.
+    ``limit`` is the number of permutations and the threshold.  Pairs whose
+    fingerprints rule the threshold out never leave the join.  A pair is
+    formed in the first band it shares, so each appears once; a record that
+    leads one bucket but not another is missed where the band of the other
+    comes first, which does no harm: a record is only kept in a round in which
+    it leads all of its buckets.  Without ``limit`` all pairs are found, some
+    of them more than once.
     """
-    first_band = M.first_shared_band(F.col("a_keys"), F.col("keys")) == F.col("band")
     a_sigs = sigs.select(F.col("seq").alias("a"), F.col("sig").alias("a_sig"))
     b_sigs = sigs.select(F.col("seq").alias("b"), F.col("sig").alias("b_sig"))
     with_sig = buckets.all_salts(leaders.drop("n").join(a_sigs, "a"))
     pairs = (
-        members.withColumnRenamed("seq", "b")
-        .join(with_sig, buckets.on)
-        .filter(F.col("a") < F.col("b"))
-        .filter(F.lit(True) if every else first_band)
-        .select("a", "b", "a_sig")
-    )
-    return pairs.join(b_sigs, "b").select(
-        "a", "b", M.matching(F.col("a_sig"), F.col("b_sig")).alias("matches")
+        members.withColumnRenamed("seq", "b").join(with_sig, buckets.on).filter(F.col("a") < F.col("b"))
     )
+    if limit is not None:
+        num_perm, threshold = limit
+        bound = M.at_most_matching(F.col("a_print"), F.col("print"), num_perm)
+        pairs = pairs.filter(bound / num_perm >= threshold).filter(
+            M.first_shared_band(F.col("a_keys"), F.col("keys")) == F.col("band")
+        )
+    compared = pairs.select("a", "b", "a_sig").join(b_sigs, "b")
+    return compared.select("a", "b", M.matching(F.col("a_sig"), F.col("b_sig")).alias("matches"))
 
 
 def leader_pairs(sigs: DataFrame) -> DataFrame:
     """Every record against the first record of each bucket it is in."""
-    nodes = sigs.select("seq", "keys")
+    nodes = sigs.select("seq", "keys", "print")
     buckets = _Buckets(nodes)
     members, leaders = _members_and_leaders(nodes, buckets, 1, 1)
-    return _compare(members, leaders, sigs, buckets, every=True).distinct()
+    return _compare(members, leaders, sigs, buckets).distinct()
 
 
 def _settle(edges: DataFrame, waiting: DataFrame | None) -> tuple[list[DataFrame], DataFrame]:
@@ -225,9 +237,9 @@ def _settle(edges: DataFrame, waiting: DataFrame | None) -> tuple[list[DataFrame
 
 
 def greedy_duplicates(sigs: DataFrame, num_perm: int, threshold: float) -> DataFrame:
-    """``seq`` of all duplicates among records given by ``seq``, ``sig``, ``keys``."""
+    """``seq`` of all duplicates among records as ``signatures`` gives them."""
     empty = sigs.select("seq").limit(0)
-    nodes = sigs.select("seq", "keys")
+    nodes = sigs.select("seq", "keys", "print")
     found: list[DataFrame] = []
     leaders = 1
     while True:
@@ -236,7 +248,7 @@ def greedy_duplicates(sigs: DataFrame, num_perm: int, threshold: float) -> DataF
             break
         members, first = _members_and_leaders(nodes, buckets, leaders, SMALL_BUCKET)
         edges = (
-            _compare(members, first, sigs, buckets)
+            _compare(members, first, sigs, buckets, (num_perm, threshold))
             .filter(F.col("matches") / num_perm >= threshold)
             .select("a", "b")
         )

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..config import CorpusConfig
 from ..functions.spans import DEFAULT_RULES, Rule
 from ..operators import cleaning, dedup, language, pii, tokens
-from ..session import cut_lineage
+from ..session import write_table
 from ..sources.records import head_sample
 from . import report
 
@@ -70,12 +70,12 @@ def process_records(
     ``'pre_pii'`` compares the cleaned texts and marks duplicates either way.
     """
     if cfg.dedup_stage == "post_redact":
-        rows = cut_lineage(annotate_records(df, cfg, profile, rules))
+        rows = write_table(annotate_records(df, cfg, profile, rules))
         if cfg.remove_duplicates:
             rows = drop_duplicates(rows, cfg, keep_text=True)
     else:
         cleaned = cleaning.clean(df, cfg)
-        known = cut_lineage(language.apply_allow_list(language.detect(cleaned, profile), cfg))
+        known = write_table(language.apply_allow_list(language.detect(cleaned, profile), cfg))
         rows = pii.annotate(drop_duplicates(known, cfg, keep_text=False), cfg, rules)
     return rows.select(*PROCESSED)
 
@@ -118,10 +118,10 @@ def prepare_corpus(
     The vocabulary is trained on what is retained after redaction and removal
     of duplicates; the report covers all rows.
     """
-    processed = cut_lineage(process_records(head_sample(df, cfg.sample_size), cfg, profile, rules))
+    processed = write_table(process_records(head_sample(df, cfg.sample_size), cfg, profile, rules))
     retained = processed.filter(~F.col("dropped"))
     tokenized = vocab = None
     if tokenize:
         tokenized, vocab = tokenize_records(retained, cfg)
-        tokenized = cut_lineage(tokenized)
+        tokenized = write_table(tokenized)
     return Corpus(processed, retained, tokenized, vocab, report.assemble(processed, tokenized))

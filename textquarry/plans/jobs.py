@@ -9,23 +9,23 @@ from pyspark.sql import functions as F
 
 from ..config import CorpusConfig
 from ..operators import cleaning, dedup, tokens
-from ..session import cut_lineage
+from ..session import write_table
 from ..sources import records, sinks
 
 
 def clean_job(spark: SparkSession, paths: Sequence[str], output: str, cfg: CorpusConfig) -> DataFrame:
     """Reads, cleans, writes the outcome; returns the totals."""
-    cleaned = cut_lineage(cleaning.clean(records.load_texts(spark, paths), cfg))
+    cleaned = write_table(cleaning.clean(records.load_texts(spark, paths), cfg))
     sinks.export_jsonl(cleaned.select("text", "dropped", "drop_reason"), f"{output}/cleaned")
     return cleaning.cleaning_totals(cleaned)
 
 
 def tokenize_job(spark: SparkSession, paths: Sequence[str], output: str, cfg: CorpusConfig) -> DataFrame:
     """Reads, trains, encodes, writes; returns the totals."""
-    texts = cut_lineage(records.nonempty(records.load_texts(spark, paths)))
+    texts = write_table(records.nonempty(records.load_texts(spark, paths)))
     vocab = tokens.train(tokens.word_counts(texts), cfg.tokenizer_type, cfg.vocab_size)
     ready = tokens.broadcast_vocabulary(*vocab, cfg.tokenizer_type)
-    encoded = cut_lineage(tokens.encode(texts, ready))
+    encoded = write_table(tokens.encode(texts, ready))
     rows = encoded.select("tokens", "token_ids", F.col("token_length").alias("length"))
     sinks.export_jsonl(rows, f"{output}/tokenized")
     return tokens.token_totals(encoded)
@@ -44,7 +44,7 @@ def dedup_outcomes(df: DataFrame, cfg: CorpusConfig) -> DataFrame:
     the columns of the input stay as they were.
     """
     empty = F.coalesce(F.length("text"), F.lit(0)) == 0
-    work = cut_lineage(cleaning.clean(df.select("seq", "text", "malformed"), cfg).withColumnRenamed("text", "_clean"))
+    work = write_table(cleaning.clean(df.select("seq", "text", "malformed"), cfg).withColumnRenamed("text", "_clean"))
     marked = dedup.mark_duplicates(work, cfg, text="_clean").drop("_clean", "malformed")
     joined = df.join(marked, "seq")
     outcome = (
@@ -82,8 +82,8 @@ def dedup_job(spark: SparkSession, paths: Sequence[str], output: str, cfg: Corpu
     lines = records.parse_lines(records._lines(spark, paths))
     order = F.struct("file", "block", "line").alias("_place")
     placed = lines.select(order, "value", "text", "malformed")
-    numbered = records.with_index(cut_lineage(placed), "_place").withColumnRenamed("index", "seq")
-    outcomes = cut_lineage(dedup_outcomes(numbered.select("seq", "value", "text", "malformed"), cfg))
+    numbered = records.with_index(write_table(placed), "_place").withColumnRenamed("index", "seq")
+    outcomes = write_table(dedup_outcomes(numbered.select("seq", "value", "text", "malformed"), cfg))
     unique = outcomes.filter("outcome = 'unique'").orderBy("seq").select("value")
     unique.write.mode("overwrite").text(f"{output}/unique")
     totals = dedup_stats(outcomes)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,8 +50,20 @@ def shared_dir(spark: SparkSession) -> str:
     return scratch
 
 
+def write_table(df: DataFrame) -> DataFrame:
+    """Write wide rows to the shared folder as a table and go on from there.
+
+    Unlike a checkpoint a table is read column by column, so whatever comes
+    after pays for the columns it uses and not for the texts beside them.
+    """
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/table-{uuid.uuid4()}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write the rows to the shared folder once and go on from there."""
+    """Write narrow rows to the shared folder once and go on from there."""
     spark = df.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import mixture
-from ..session import cut_lineage
+from ..session import write_table
 
 
 def export_jsonl(df: DataFrame, path: str) -> None:
@@ -45,7 +45,7 @@ def export_mixture(
     df: DataFrame, path: str, weights: Mapping[str, float] | None = None, seed: int = 0, key: str = "seq"
 ) -> None:
     """The mixture as JSON lines and its metadata as one JSON object."""
-    source = cut_lineage(df)
+    source = write_table(df)
     export_jsonl(mixture.mix(source, weights, seed, key), f"{path}/mixture")
     export_object(mixture.mixture_metadata(source, weights), f"{path}/mixture_metadata")
 
