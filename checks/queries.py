@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textquarry.config import CorpusConfig
-from textquarry.functions import minhash as M
 from textquarry.functions import text as T
 from textquarry.functions import words as W
 from textquarry.functions.frames import compute_once
@@ -259,13 +258,7 @@ def d5_bucket_sizes(spark, sf):
 
 def d6_candidates(spark, sf):
     """Whether a record shares a band with any earlier one."""
-    nodes = cut_lineage(dedup.signatures(kept(spark, sf), CFG).select("seq", "keys"))
-    rows = dedup.bucket_rows(nodes)
-    firsts = rows.groupBy("band", "key").agg(F.min("seq").alias("seq")).groupBy("seq").agg(F.count(F.lit(1)).alias("led"))
-    return (
-        nodes.join(firsts, "seq", "left")
-        .select("seq", (F.coalesce("led", F.lit(0)) < M.LSH_BANDS).alias("has_candidate"))
-    )
+    return dedup.with_candidate_flag(cut_lineage(dedup.signatures(kept(spark, sf), CFG).select("seq", "keys")))
 
 
 def d7_leader_similarity(spark, sf):

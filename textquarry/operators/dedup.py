@@ -104,6 +104,23 @@ def bucket_rows(nodes: DataFrame) -> DataFrame:
     return nodes.select("seq", "keys", "print", F.posexplode("keys").alias("band", "key"))
 
 
+def with_candidate_flag(sigs: DataFrame) -> DataFrame:
+    """``seq``, ``has_candidate``: does the record share a band with an earlier one?
+
+    It does unless it is the first of all its buckets, so no pairs are formed.
+    """
+    firsts = (
+        sigs.select("seq", F.posexplode("keys").alias("band", "key"))
+        .groupBy("band", "key")
+        .agg(F.min("seq").alias("seq"))
+        .groupBy("seq")
+        .agg(F.count(F.lit(1)).alias("led"))
+    )
+    return sigs.select("seq").join(firsts, "seq", "left").select(
+        "seq", (F.coalesce("led", F.lit(0)) < M.LSH_BANDS).alias("has_candidate")
+    )
+
+
 def bucket_sizes(nodes: DataFrame) -> DataFrame:
     """Buckets of two or more members."""
     return (

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import CorpusConfig
-from ..operators import cleaning, dedup, tokens
+from ..operators import cleaning, dedup, mixture, tokens
 from ..session import write_table
 from ..sources import records, sinks
 
@@ -79,10 +79,10 @@ def dedup_stats(outcomes: DataFrame) -> DataFrame:
 
 def dedup_job(spark: SparkSession, paths: Sequence[str], output: str, cfg: CorpusConfig) -> DataFrame:
     """Writes the original lines of unique records and the stats; returns the stats."""
-    lines = records.parse_lines(records._lines(spark, paths))
+    lines = records.parse_lines(records.read_lines(spark, paths))
     order = F.struct("file", "block", "line").alias("_place")
     placed = lines.select(order, "value", "text", "malformed")
-    numbered = records.with_index(write_table(placed), "_place").withColumnRenamed("index", "seq")
+    numbered = mixture.with_index(write_table(placed), "_place").withColumnRenamed("index", "seq")
     outcomes = write_table(dedup_outcomes(numbered.select("seq", "value", "text", "malformed"), cfg))
     unique = outcomes.filter("outcome = 'unique'").orderBy("seq").select("value")
     unique.write.mode("overwrite").text(f"{output}/unique")

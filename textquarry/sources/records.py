@@ -58,18 +58,19 @@ def _placed(df: DataFrame) -> DataFrame:
     )
 
 
-def _lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+def read_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """Raw lines and their places."""
     return _placed(spark.read.option("ignoreMissingFiles", "true").text(list(paths)))
 
 
 def read_jsonl(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    lines = parse_lines(_lines(spark, paths))
+    lines = parse_lines(read_lines(spark, paths))
     return lines.filter(~F.col("malformed")).select("text", *PLACE)
 
 
-def malformed_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+def malformedread_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """The lines ``read_jsonl`` leaves out because they are no JSON."""
-    return parse_lines(_lines(spark, paths)).filter("malformed").select("value", *PLACE)
+    return parse_lines(read_lines(spark, paths)).filter("malformed").select("value", *PLACE)
 
 
 def read_json(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
