@@ -425,6 +425,13 @@ SELECT id, type, start, start + length(match) AS "end", score, match FROM spans"
     "t2_pretokenize": f"WITH {WORDS} SELECT seq, array_to_string(w, ' ') AS words FROM words",
     "t3_word_counts": f"WITH {WORDS} SELECT word, count(*) AS n FROM (SELECT unnest(w) AS word FROM words) GROUP BY word",
     "t4_alphabet": f"WITH {ALPHABET} SELECT id, token FROM alphabet UNION ALL SELECT * FROM (VALUES {SPECIALS})",
+    "t4_pair_counts": f"""WITH {ALPHABET},
+cells AS (
+  SELECT k, i, id FROM (
+    SELECT k, unnest(string_split(word, '')) AS token, unnest(range(1, length(word) + 1)) AS i
+    FROM (SELECT word, row_number() OVER () AS k FROM (SELECT unnest(w) AS word FROM words))) JOIN alphabet USING (token)),
+pairs AS (SELECT id AS "left", lead(id) OVER (PARTITION BY k ORDER BY i) AS "right" FROM cells)
+SELECT "left", "right", count(*) AS n FROM pairs WHERE "right" IS NOT NULL GROUP BY ALL""",
     "t7_encode_characters": f"WITH {ALPHABET} SELECT seq, array_to_string(ids, ' ') AS token_ids, len(ids) AS token_length FROM spelled",
     "t9_decode_characters": f"WITH {ALPHABET} SELECT seq, array_to_string(tokens, ' ') AS decoded FROM spelled",
     "t10_token_totals": f"""WITH {WORDS}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from textquarry.functions.frames import compute_once
 from textquarry.functions.spans import DEFAULT_RULES, Rule, entities
 from textquarry.operators import cleaning, dedup, language, mixture, pii, stats, tokens
 from textquarry.plans import corpus, jobs, report
-from textquarry.session import cut_lineage, shared_dir
+from textquarry.session import cut_lineage, shared_dir, ship_package
 from textquarry.sources import ledger, records
 from textquarry.sources.tables import read_documents, read_table, spread
 from textquarry.streaming import ingest
@@ -383,6 +384,14 @@ def t4_alphabet(spark, sf):
     return tokens.train(tokens.word_counts(read_documents(spark, sf)), "bpe", 0)[0].select(big("id"), "token")
 
 
+def t4_pair_counts(spark, sf):
+    """Adjacent characters over all words, what the first merge is chosen from."""
+    counts = cut_lineage(tokens.word_counts(read_documents(spark, sf)))
+    table = tokens.start(counts, "bpe")
+    pairs = tokens.pair_counts(tokens.spell(counts, "bpe", {t: i for i, t in enumerate(table)}))
+    return pairs.select(big("left"), big("right"), "n")
+
+
 def _encoded(spark, sf, size):
     docs = read_documents(spark, sf).select("seq", "text")
     vocab = tokens.train(tokens.word_counts(docs), "bpe", size)
@@ -585,7 +594,7 @@ NAMES = [
     d12_dedup_totals, d13_dedup_job, d14_inline_marking,
     p1_email, p2_phone, p3_ssn, p4_spans, p7_redact, p9_has_pii, p10_score_threshold, p11_type_counts,
     p11_detection_totals, p12_annotation, p14_rule_table,
-    t1_normalize, t2_pretokenize, t3_word_counts, t4_alphabet, t4_bpe_train, t5_wordpiece_train, t7_encode,
+    t1_normalize, t2_pretokenize, t3_word_counts, t4_alphabet, t4_pair_counts, t4_bpe_train, t5_wordpiece_train, t7_encode,
     t7_encode_characters, t9_decode_characters, t10_token_totals,
     e2_shards, e4_sample_sizes, e6_mixture_sample, e7_mixture_order, e8_mixture_metadata,
     i1_length_stats, i2_histogram, i3_drop_reasons, i4_language_stats, i5_language_box, i6_duplicate_stats,
@@ -593,4 +602,17 @@ NAMES = [
     r1_process_exact, r2_full_run, r2_report, r2_with_tokens, r3_stream_chunks,
 ]
 
-QUERIES = {f.__name__: f for f in NAMES}
+
+
+def _shipped(query):
+    """The query with the package sent to the executors first."""
+
+    @wraps(query)
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        ship_package(spark)
+        return query(spark, sf)
+
+    return run
+
+
+QUERIES = {f.__name__: _shipped(f) for f in NAMES}

@@ -65,6 +65,23 @@ def _alphabet(counts: DataFrame, kind: str) -> list[str]:
     return bare + continuing
 
 
+def start(counts: DataFrame, kind: str) -> list[str]:
+    """The vocabulary before any merge: special tokens, then characters."""
+    return list(P.SPECIAL_TOKENS) + [c for c in _alphabet(counts, kind) if c not in P.SPECIAL_TOKENS]
+
+
+def spell(counts: DataFrame, kind: str, ids: dict[str, int]) -> DataFrame:
+    """``n``, ``symbols``: each word as the ids of its characters."""
+    alphabet = counts.sparkSession.createDataFrame(list(ids.items()), "c string, id int")
+    return (
+        counts.select("word", "n", F.posexplode(_characters(kind)).alias("at", "c"))
+        .join(F.broadcast(alphabet), "c")
+        .groupBy("word", "n")
+        .agg(F.sort_array(F.collect_list(F.struct("at", "id"))).alias("cells"))
+        .select("n", F.concat(F.lit(","), F.array_join("cells.id", ",,"), F.lit(",")).alias("symbols"))
+    )
+
+
 def pair_counts(words: DataFrame) -> DataFrame:
     """Adjacent symbol pairs over all words, weighted by word count."""
     pair = F.split("pair", ",,")
@@ -130,16 +147,9 @@ def train(
         raise ValueError(f"unsupported tokenizer type: {kind}")
     spark = counts.sparkSession
     counts = cut_lineage(counts)
-    tokens = list(P.SPECIAL_TOKENS) + [c for c in _alphabet(counts, kind) if c not in P.SPECIAL_TOKENS]
+    tokens = start(counts, kind)
     known = {t: i for i, t in enumerate(tokens)}
-    alphabet = spark.createDataFrame(list(known.items()), "c string, id int")
-    spelled = (
-        counts.select("word", "n", F.posexplode(_characters(kind)).alias("at", "c"))
-        .join(F.broadcast(alphabet), "c")
-        .groupBy("word", "n")
-        .agg(F.sort_array(F.collect_list(F.struct("at", "id"))).alias("cells"))
-        .select("n", F.concat(F.lit(","), F.array_join("cells.id", ",,"), F.lit(",")).alias("symbols"))
-    )
+    spelled = spell(counts, kind, known)
     # Small next to the work each round does on it: keep it on all cores.
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     words = cut_lineage(spelled.repartition(parts, "symbols"))

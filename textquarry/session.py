@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,6 +35,23 @@ def build_session(app: str = "textquarry", cores: int | None = None, **settings:
     return spark
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable on the executors, once per application.
+
+    Not needed where it is installed there or given by ``--py-files``.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    target = str(Path(tempfile.mkdtemp(prefix="textquarry-")) / "textquarry_package")
+    sc.addPyFile(shutil.make_archive(target, "zip", package.parent, package.name))
+    _shipped.add(sc.applicationId)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, as named by ``spark.checkpoint.dir``.
 

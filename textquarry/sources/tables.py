@@ -6,13 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Redistribute a scan that has fewer splits than the cluster has cores.
+    """Redistribute a scan that has too few splits to keep all cores of the cluster busy.
 
     A table of any size has many row groups and is left as it is; a file with
     a single row group would otherwise be worked on by a single core.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= 4 * cores:
+    if df.rdd.getNumPartitions() >= 2 * cores:
         return df
     return df.repartition(cores, key)
 
