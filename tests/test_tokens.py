@@ -1,7 +1,6 @@
 import random
 
 import pytest
-from pyspark.sql import functions as F
 from tokenizers import Tokenizer, models, normalizers, pre_tokenizers, trainers
 
 from textquarry.functions.patterns import SPECIAL_TOKENS
