@@ -66,25 +66,29 @@ def word_hashes(raws: Sequence[bytes], separators: frozenset[int]) -> tuple[np.n
     if not len(starts):
         return np.empty(0, dtype=np.uint64), counts
     spans = ends - starts
-    places = np.arange(int(spans.sum()), dtype=np.int64) - np.repeat(np.cumsum(spans) - spans, spans)
-    keys = (places << 8) | data[inside]
-    if int(spans.max()) <= _TABLE_PLACES:
-        values = _TABLE[keys]
-    else:
-        values = mix(keys)
-    sums = np.add.reduceat(values, np.cumsum(spans) - spans)
+    firsts = np.cumsum(spans) - spans
+    small = np.int32 if len(data) < 1 << 23 else np.int64
+    keys = np.arange(int(spans.sum()), dtype=small)
+    keys -= np.repeat(firsts.astype(small), spans)
+    keys <<= 8
+    keys |= data[inside]
+    values = _TABLE[keys] if int(spans.max()) <= _TABLE_PLACES else mix(keys)
+    sums = np.add.reduceat(values, firsts)
     return mix(sums ^ spans.astype(np.uint64)), counts
 
 
+def combine(columns: Sequence[np.ndarray]) -> np.ndarray:
+    """Hashes of runs of words, given the hashes of their first, second, ... words."""
+    total = np.full(len(columns[0]), len(columns), dtype=np.uint64)
+    for place, column in enumerate(columns):
+        total += mix(column ^ np.uint64((0xA0761D6478BD642F * (place + 1)) & 0xFFFFFFFFFFFFFFFF))
+    return mix(total)
+
+
 def rolling(words: np.ndarray, size: int) -> np.ndarray:
     """Hashes of the runs of ``size`` consecutive words, whichever texts they lie in."""
-    n = len(words) - size + 1
-    if n <= 0:
-        return np.empty(0, dtype=np.uint64)
-    total = np.full(n, size, dtype=np.uint64)
-    for place in range(size):
-        total += mix(words[place : place + n] ^ np.uint64((0xA0761D6478BD642F * (place + 1)) & 0xFFFFFFFFFFFFFFFF))
-    return mix(total)
+    n = max(0, len(words) - size + 1)
+    return combine([words[place : place + n] for place in range(size)])
 
 
 def whole_runs(counts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:

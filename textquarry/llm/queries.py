@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ship_package
+from ..session import shared_dir, ship_package
 from ..sources.tables import read_table
-from . import packing
+from . import decontaminate, packing, secrets, warc
 
 
 def public_tokenizer(name: str) -> str:
@@ -18,11 +19,60 @@ def public_tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_secrets(spark: SparkSession, sf: str) -> DataFrame:
+    found = secrets.scan(read_table(spark, sf, "documents").select("doc_id", "text"))
+    spans = F.col("secrets")
+    base = F.filter(spans, lambda s: s["kind"].isin(*secrets.BASE))
+    return found.select(
+        "doc_id",
+        *[secrets.count_kind(spans, kind).alias(f"n_{kind}") for kind in secrets.BASE],
+        F.sha2(secrets.span_list(base).cast("binary"), 256).alias("base_sha256"),
+        secrets.span_list(spans).alias("spans"),
+    )
+
+
 def op4_pack(spark: SparkSession, sf: str) -> DataFrame:
     docs = read_table(spark, sf, "documents")
     return packing.pack(docs, public_tokenizer("byte_bpe_50k.json"), end_id=2, capacity=1024)
 
 
+def op7_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
+    docs, benchmark = read_table(spark, sf, "documents"), read_table(spark, sf, "benchmark")
+    found = decontaminate.contamination(docs, benchmark)
+    lengths = F.zip_with("firsts", "afters", lambda a, b: (b - a).cast("long"))
+    n_hit = F.aggregate(lengths, F.lit(0).cast("long"), lambda a, b: a + b)
+    return found.select(
+        "doc_id",
+        "n_words",
+        n_hit.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.size("items") > 0).alias("contaminated"),
+    )
+
+
+def op9_warc(spark: SparkSession, sf: str) -> DataFrame:
+    pages = read_table(spark, sf, "pages")
+    records, _ = warc.archive(spark, pages, f"{shared_dir(spark)}/warc-{uuid.uuid4()}")
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+# Base32 of a SHA-1: eight groups of 20 bits with four letters each.
+OP9_SQL = """
+WITH digests AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages
+), firsts AS (
+  SELECT h, min(page_id) AS first FROM digests GROUP BY h
+)
+SELECT page_id, payload_bytes,
+  array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + ((CAST('0x' || substr(h, CAST(1 + 5 * (i // 4) AS INT), 5) AS BIGINT) >> CAST(15 - 5 * (i % 4) AS INT)) & 31), 1)), '') AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
+FROM digests JOIN firsts USING (h)
+"""
+
+
 def _shipping(query):
     @wraps(query)
     def run(spark: SparkSession, sf: str) -> DataFrame:
@@ -35,8 +85,13 @@ def _shipping(query):
 QUERIES = {
     f.__name__: _shipping(f)
     for f in (
+        op1_secrets,
         op4_pack,
+        op7_decontaminate,
+        op9_warc,
     )
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op9_warc": OP9_SQL,
+}
