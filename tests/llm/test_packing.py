@@ -23,14 +23,17 @@ def pieces_of(rows, capacity):
             yield doc_id, i, a, b - a, zlib.crc32(np.array(ids[a:b], dtype="<u4").tobytes())
 
 
-def test_memo_gives_the_ids_of_the_tokenizer():
+def test_both_ways_give_the_ids_of_the_tokenizer():
     rng = random.Random(3)
     alphabet = ["a", "B", "é", "猫", "7", " ", "  ", "\n", "\t", " ", "　", "'s", "'", "<|endoftext|>", "!", "\U0001f600", "\x1c", "\u0085"]
     tokenizer, encoder = Tokenizer.from_file(PATH), PieceEncoder(PATH)
     for _ in range(1500):
         text = "".join(rng.choices(alphabet, k=rng.randrange(25)))
         want = tokenizer.encode(text, add_special_tokens=False).ids
-        assert np.frombuffer(encoder.encode(text), dtype="<u4").tolist() == want, repr(text)
+        assert np.frombuffer(encoder.encode(text), dtype=np.uint32).tolist() == want, repr(text)
+    for text in ("x" * 50_000, " " * 50_000 + "a", "ab " * 20_000 + "y" * 3000 + " é 猫" * 9):
+        want = tokenizer.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(encoder.encode(text), dtype=np.uint32).tolist() == want
 
 
 def test_plan_uses_every_piece_once_and_two_for_one():

@@ -42,7 +42,7 @@ def token_pieces(
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder = piece_encoder(tokenizer)
-        end = np.uint32(end_id).astype("<u4").tobytes()
+        end = np.uint32(end_id).tobytes()
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch["key"], batch["text"]):
@@ -51,9 +51,9 @@ def token_pieces(
                 first = n % capacity or capacity
                 bounds = [0, *range(first, n + 1, capacity)]
                 for piece, (a, b) in enumerate(zip(bounds, bounds[1:])):
-                    ids = raw[4 * a : 4 * b]
-                    row = (doc_id, piece, a, b - a, zlib.crc32(ids))
-                    rows.append((*row, np.frombuffer(ids, dtype="<u4").astype(np.int32)) if with_ids else row)
+                    ids = np.frombuffer(raw, dtype=np.uint32, count=b - a, offset=4 * a)
+                    row = (doc_id, piece, a, b - a, zlib.crc32(ids.astype("<u4", copy=False)))
+                    rows.append((*row, ids.astype(np.int32)) if with_ids else row)
             names = ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids
             out = pd.DataFrame(rows, columns=names)
             yield out.astype({"doc_id": "Int64"})
