@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..session import shared_dir, ship_package
 from ..sources.tables import read_table
-from . import decontaminate, packing, secrets, warc
+from . import decontaminate, jaccard, langid, packing, secrets, warc
 
 
 def public_tokenizer(name: str) -> str:
@@ -31,6 +31,17 @@ def op1_secrets(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op2_jaccard(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard.classes(read_table(spark, sf, "documents"))
+
+
+def op3_language(spark: SparkSession, sf: str) -> DataFrame:
+    docs = read_table(spark, sf, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(langid.remainder(F.col("doc_id"), 3) == 1, F.lit(False))
+    found = langid.identify(docs.select("doc_id", "text", held_out.alias("held_out")), docs.filter(langid.remainder(F.col("doc_id"), 3) != 1))
+    return found.select("doc_id", "held_out", "language.lang_pred", "language.score", "language.margin", "language.ambiguous")
+
+
 def op4_pack(spark: SparkSession, sf: str) -> DataFrame:
     docs = read_table(spark, sf, "documents")
     return packing.pack(docs, public_tokenizer("byte_bpe_50k.json"), end_id=2, capacity=1024)
@@ -86,6 +97,8 @@ QUERIES = {
     f.__name__: _shipping(f)
     for f in (
         op1_secrets,
+        op2_jaccard,
+        op3_language,
         op4_pack,
         op7_decontaminate,
         op9_warc,
