@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..session import shared_dir, ship_package
 from ..sources.tables import read_table
-from . import decontaminate, jaccard, langid, packing, secrets, warc
+from . import decontaminate, jaccard, langid, lattice, packing, secrets, warc
 
 
 def public_tokenizer(name: str) -> str:
@@ -62,6 +62,10 @@ def op7_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op8_lattice(spark: SparkSession, sf: str) -> DataFrame:
+    return lattice.near_vectors(read_table(spark, sf, "embeddings"))
+
+
 def op9_warc(spark: SparkSession, sf: str) -> DataFrame:
     pages = read_table(spark, sf, "pages")
     records, _ = warc.archive(spark, pages, f"{shared_dir(spark)}/warc-{uuid.uuid4()}")
@@ -101,6 +105,7 @@ QUERIES = {
         op3_language,
         op4_pack,
         op7_decontaminate,
+        op8_lattice,
         op9_warc,
     )
 }
