@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..session import shared_dir, ship_package
 from ..sources.tables import read_table
-from . import decontaminate, jaccard, langid, lattice, packing, secrets, warc
+from . import decontaminate, jaccard, langid, lattice, packing, pitmanyor, secrets, warc
 
 
 def public_tokenizer(name: str) -> str:
@@ -47,6 +47,11 @@ def op4_pack(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(docs, public_tokenizer("byte_bpe_50k.json"), end_id=2, capacity=1024)
 
 
+def op5_score(spark: SparkSession, sf: str) -> DataFrame:
+    part = langid.remainder(F.col("doc_id"), 10)
+    return pitmanyor.scores(read_table(spark, sf, "documents"), train=part != 0, held_out=part == 0)
+
+
 def op7_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     docs, benchmark = read_table(spark, sf, "documents"), read_table(spark, sf, "benchmark")
     found = decontaminate.contamination(docs, benchmark)
@@ -104,6 +109,7 @@ QUERIES = {
         op2_jaccard,
         op3_language,
         op4_pack,
+        op5_score,
         op7_decontaminate,
         op8_lattice,
         op9_warc,
