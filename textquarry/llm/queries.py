@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..session import shared_dir, ship_package
 from ..sources.tables import read_table
-from . import decontaminate, jaccard, langid, lattice, packing, pitmanyor, secrets, warc
+from . import decontaminate, jaccard, langid, lattice, packing, pitmanyor, secrets, tokentree, warc
 
 
 def public_tokenizer(name: str) -> str:
@@ -52,6 +52,25 @@ def op5_score(spark: SparkSession, sf: str) -> DataFrame:
     return pitmanyor.scores(read_table(spark, sf, "documents"), train=part != 0, held_out=part == 0)
 
 
+def edits_of(docs: DataFrame) -> F.Column:
+    """Four edits of each text that follow from its id: an insertion, a removal, a replacement, an addition at the end."""
+    size = F.length("text").cast("long")
+
+    def place(k: int) -> F.Column:
+        return F.pmod(F.xxhash64("doc_id", F.lit(k)), size + 1)
+
+    def edit(start: F.Column, length: int, insert: F.Column) -> F.Column:
+        return F.struct(start.alias("start"), F.lit(length).cast("long").alias("length"), insert.alias("insert"))
+
+    piece = F.substring("text", 1, 30)
+    return F.array(edit(place(1), 0, piece), edit(place(2), 40, F.lit("")), edit(place(3), 7, F.lit("another ")), edit(size * 2, 0, piece))
+
+
+def op6_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    docs = read_table(spark, sf, "documents")
+    return tokentree.counts_after_edits(docs.select("doc_id", "text", edits_of(docs).alias("edits")), public_tokenizer("byte_bpe_50k.json"))
+
+
 def op7_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     docs, benchmark = read_table(spark, sf, "documents"), read_table(spark, sf, "benchmark")
     found = decontaminate.contamination(docs, benchmark)
@@ -110,6 +129,7 @@ QUERIES = {
         op3_language,
         op4_pack,
         op5_score,
+        op6_token_counts,
         op7_decontaminate,
         op8_lattice,
         op9_warc,
