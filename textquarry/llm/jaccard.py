@@ -7,12 +7,14 @@ order puts columns that many rows have last, then goes by hash, so that common p
 ever are in a prefix.  Only prefix columns are multiplied out, and a product that the sizes of
 two rows and the places of the shared column bound below the threshold is discarded at once.
 
-Columns are worked on in blocks of rows.  The first block of a column is one row: overlaps with
-it are accumulated over all prefix columns, and each row is compared in full with the one that
-it shares most of them with.  That joins most groups of near copies, whose members needn't be
-compared with each other any more.  The next blocks hold 8, 64, 512, ... rows of a column, and
-only rows of different components are multiplied, until the largest column that still has any
-is exhausted.  No column is capped and no link between components can be missed.
+Columns are worked on in blocks of rows, and overlaps are accumulated per pair of rows.  Similar
+rows share many columns of their prefixes, how many at least follows from their sizes, and pairs
+with less are discarded; the others are compared in full, from their texts.  The first block of
+a column is one row: each row is compared with the one that it shares most columns with.  That
+joins most groups of near copies, whose members needn't be compared with each other any more.
+The next blocks hold 8, 64, 512, ... rows of a column, and only rows of different components are
+multiplied, until the largest column that still has any is exhausted.  No column is capped and
+no link between components can be missed.
 """
 
 from __future__ import annotations
@@ -32,7 +34,8 @@ SHINGLE = 5
 PERCENT = 80
 LOCAL_COMMON = 4  # times that a shingle must occur in a task to be counted as perhaps common
 COMMON = 64  # documents in which a shingle counts as common
-FILTER_BITS = 1 << 22  # half a megabyte, whatever the size of the corpus
+COMMON_BITS = 1 << 22  # half a megabyte, whatever the size of the corpus
+SHARED_BITS = 1 << 23
 BLOCK_GROWTH = 8
 BROADCAST_ROWS = 1_000_000  # of ids, about 16 MB
 
@@ -98,23 +101,28 @@ def filter_places(shingles: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarr
     return (mixed % np.uint64(bits)).astype(np.int64), ((mixed >> np.uint64(32)) % np.uint64(bits)).astype(np.int64)
 
 
-def common_filter(rows: DataFrame, least: int, bits: int) -> np.ndarray:
-    """A Bloom filter, as booleans, of the shingles that at least ``least`` documents have.
+def shingle_filter(shingles: DataFrame, bits: int) -> np.ndarray:
+    """A Bloom filter, as booleans, of a table of shingles.
 
-    Its size is fixed.  It only decides on the order of columns: what it holds wrongly costs time, no link.
+    Its size is fixed, whatever the table's.  It only decides what is looked at first or at all
+    without need: what it holds wrongly costs time, no link.
     """
 
     def places(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             yield pd.DataFrame({"place": np.concatenate(filter_places(batch["shingle"].to_numpy().astype(np.uint64), bits))})
 
-    common = rows.filter(F.col("shingle").isNotNull()).groupBy("shingle").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
     filled = np.zeros(bits, dtype=bool)
-    for batch in common.select("shingle").mapInPandas(places, "place long").distinct().toArrow().to_batches():
+    for batch in shingles.select("shingle").mapInPandas(places, "place int").distinct().toArrow().to_batches():
         filled[batch.column(0).to_numpy()] = True
     return filled
 
 
+def common_shingles(rows: DataFrame, least: int) -> DataFrame:
+    """The shingles that tasks together have seen in at least ``least`` documents."""
+    return rows.filter(F.col("shingle").isNotNull()).groupBy("shingle").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
+
+
 def prefixes(docs: DataFrame, size: int, percent: int, common: np.ndarray) -> DataFrame:
     """``doc_id, node, n, prefix``: the prefix of each document's shingles in the common order."""
     packed = docs.sparkSession.sparkContext.broadcast(np.packbits(common))
@@ -138,15 +146,28 @@ def prefixes(docs: DataFrame, size: int, percent: int, common: np.ndarray) -> Da
     return docs.select("text").mapInPandas(cut, "node long, n long, prefix array<long>")
 
 
-def whole_sets(docs: DataFrame, size: int) -> DataFrame:
-    """``node, shingles``: the whole rows of the matrix, as sorted 64-bit numbers."""
+def in_filter(rows: DataFrame, filled: np.ndarray) -> DataFrame:
+    """``node, n, place, shingle`` of the prefixes, without the columns that aren't in a filter."""
+    packed = rows.sparkSession.sparkContext.broadcast(np.packbits(filled))
+    bits = len(filled)
 
-    def collect(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def explode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        filled = np.unpackbits(packed.value, count=bits).view(bool)
         for batch in batches:
-            rows = [(set_id(s), s.tobytes()) for _, s in shingle_sets(batch["text"].tolist(), size)]
-            yield pd.DataFrame(rows, columns=["node", "shingles"])
-
-    return docs.select("text").mapInPandas(collect, "node long, shingles binary")
+            if not len(batch):
+                continue
+            prefixes = batch["prefix"].tolist()
+            sizes = np.fromiter(map(len, prefixes), dtype=np.int64, count=len(prefixes))
+            shingles = np.concatenate(prefixes)
+            of = np.repeat(np.arange(len(sizes)), sizes)
+            place = np.arange(len(shingles)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            one, two = filter_places(shingles.astype(np.uint64), bits)
+            own = np.flatnonzero(filled[one] & filled[two])
+            yield pd.DataFrame(
+                {"node": batch["node"].to_numpy()[of[own]], "n": batch["n"].to_numpy()[of[own]], "place": place[own], "shingle": shingles[own]}
+            )
+
+    return rows.mapInPandas(explode, "node long, n long, place int, shingle long")
 
 
 # --------------------------------------------------------------------------
@@ -163,29 +184,56 @@ def linked(overlap: Column, n: Column, m: Column, percent: int) -> Column:
     return (100 + percent) * overlap >= percent * (n + m)
 
 
-def _overlaps(left: pd.Series, right: pd.Series) -> pd.Series:
-    def overlap(a: bytes, b: bytes) -> int:
-        x, y = np.frombuffer(a, dtype=np.uint64), np.frombuffer(b, dtype=np.uint64)
-        if len(x) > len(y):
-            x, y = y, x
-        return int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
+def least_shared(n: Column, m: Column, percent: int) -> Column:
+    """Columns that similar rows of these sizes share within their prefixes.
+
+    They share at least o columns.  A prefix leaves out at most ``n - o`` of its columns, and the
+    first columns that are shared lie in both prefixes.
+    """
+    up = lambda x, y: F.floor((x + (y - 1)) / y)
+    o = up(percent * (n + m), 100 + percent)
+    prefix = lambda k: k - up(percent * k, 100) + 1
+    return F.greatest(F.lit(1), F.least(prefix(n) - n + o, prefix(m) - m + o))
 
-    return pd.Series([overlap(a, b) for a, b in zip(left, right)], dtype="int64")
 
+def _links_of(size: int, percent: int):
+    """A function of nodes and their texts: whether the rows are similar.
 
-def _compare(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """``a, b, is_link`` of the pairs, from their whole rows; written."""
-    one = sets.select(F.col("node").alias("a"), F.col("shingles").alias("left"))
-    two = sets.select(F.col("node").alias("b"), F.col("shingles").alias("right"))
-    overlap = F.pandas_udf(_overlaps, "long")("left", "right")
-    rows = pairs.join(one, "a").join(two, "b")
-    sized = rows.select("a", "b", overlap.alias("overlap"), (F.octet_length("left") / 8).alias("n"), (F.octet_length("right") / 8).alias("m"))
-    return write_table(sized.select("a", "b", linked(F.col("overlap"), F.col("n"), F.col("m"), percent).alias("is_link")))
+    Texts are looked up by document; one that isn't the node's, as happens with repeated keys, has no links.
+    """
 
+    def similar(a: pd.Series, left: pd.Series, b: pd.Series, right: pd.Series) -> pd.Series:
+        def rows(nodes: pd.Series, texts: pd.Series) -> Iterator[np.ndarray | None]:
+            # Rows come by their right text, which is cut up once.
+            last, found = None, None
+            for node, text in zip(nodes, texts):
+                if found is None or text != last:
+                    ((_, found),) = shingle_sets([text], size)
+                    last, own = text, set_id(found)
+                yield found if own == node else None
 
-def _fits(n: Column, m: Column, percent: int) -> Column:
-    """Sizes that can be similar enough."""
-    return 100 * F.least(n, m) >= percent * F.greatest(n, m)
+        def is_link(x: np.ndarray | None, y: np.ndarray | None) -> bool:
+            if x is None or y is None:
+                return False
+            x, y = (x, y) if len(x) <= len(y) else (y, x)
+            overlap = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
+            return (100 + percent) * overlap >= percent * (len(x) + len(y))
+
+        return pd.Series([is_link(x, y) for x, y in zip(rows(a, left), rows(b, right))], dtype=bool)
+
+    return F.pandas_udf(similar, "boolean")
+
+
+def _compare(pairs: DataFrame, docs: DataFrame, ids: DataFrame, size: int, percent: int) -> DataFrame:
+    """``a, b, is_link`` of the pairs, from the whole texts of their documents; written."""
+    by_a, by_b = ids.select(F.col("node").alias("a"), F.col("doc_id").alias("doc_a")), ids.select(F.col("node").alias("b"), F.col("doc_id").alias("doc_b"))
+    pairs = write_table(pairs.join(by_a, "a").join(by_b, "b").select("a", "b", "doc_a", "doc_b"))
+    n = pairs.count()
+    left = docs.join(size_checked(pairs, n), F.col("doc_id") == F.col("doc_a")).select("a", "b", F.col("text").alias("left"))
+    right = docs.join(size_checked(pairs.select("b", "doc_b").distinct(), n), F.col("doc_id") == F.col("doc_b"))
+    rows = left.join(right.select("b", F.col("text").alias("right")), "b")
+    judged = rows.select("a", "b", _links_of(size, percent)("a", "left", "b", "right").alias("is_link"))
+    return write_table(judged.groupBy("a", "b").agg(F.max("is_link").alias("is_link")))
 
 
 def _can_link(n: Column, at: Column, m: Column, place: Column, percent: int) -> Column:
@@ -198,17 +246,23 @@ def _first_pairs(members: DataFrame, sizes: DataFrame, percent: int) -> DataFram
     """Each row with the head of its columns that it shares most of them with: ``a, b``."""
     shared = members.filter(F.col("node") != F.col("head")).groupBy("node", "n", "head").agg(F.count(F.lit(1)).alias("shared"))
     heads = sizes.select(F.col("node").alias("head"), F.col("n").alias("m"))
-    fitting = shared.join(heads, "head").filter(_fits(F.col("n"), F.col("m"), percent))
+    fitting = shared.join(heads, "head").filter(F.col("shared") >= least_shared(F.col("n"), F.col("m"), percent))
     return fitting.groupBy("node").agg(F.max(F.struct("shared", "head")).alias("best")).select(F.col("node").alias("a"), F.col("best.head").alias("b"))
 
 
 def _block_pairs(members: DataFrame, block: int, percent: int) -> DataFrame:
-    """Pairs ``a < b`` of different components, one of which is in the column's block of rows."""
-    left = members.filter(F.pmod(F.xxhash64("node"), F.col("columns")) < block).alias("l")
-    pairs = left.join(members.alias("r"), "shingle").filter(
-        (F.col("l.label") != F.col("r.label")) & _can_link(F.col("l.n"), F.col("l.place"), F.col("r.n"), F.col("r.place"), percent)
+    """Pairs ``a < b`` of different components that share enough columns in whose block of rows one of them is."""
+    rows = members.withColumn("in_block", F.pmod(F.xxhash64("node"), F.col("columns")) < block)
+    pairs = rows.filter("in_block").alias("l").join(rows.alias("r"), "shingle").filter(
+        (F.col("l.label") != F.col("r.label"))
+        # Each pair once for each column.
+        & (~F.col("r.in_block") | (F.col("l.node") < F.col("r.node")))
+        & _can_link(F.col("l.n"), F.col("l.place"), F.col("r.n"), F.col("r.place"), percent)
     )
-    return pairs.select(F.least("l.node", "r.node").alias("a"), F.greatest("l.node", "r.node").alias("b")).distinct()
+    ordered = F.col("l.node") < F.col("r.node")
+    sides = [F.when(ordered, F.col(f"{x}.{c}")).otherwise(F.col(f"{y}.{c}")).alias(name) for x, y, c, name in (("l", "r", "node", "a"), ("r", "l", "node", "b"), ("l", "r", "n", "n"), ("r", "l", "n", "m"))]
+    counted = pairs.select(*sides).groupBy("a", "b", "n", "m").agg(F.count(F.lit(1)).alias("shared"))
+    return counted.filter(F.col("shared") >= least_shared(F.col("n"), F.col("m"), percent)).select("a", "b")
 
 
 def links(docs: DataFrame, ids: DataFrame, size: int, percent: int, common: np.ndarray) -> DataFrame:
@@ -216,18 +270,19 @@ def links(docs: DataFrame, ids: DataFrame, size: int, percent: int, common: np.n
 
     ``docs`` has ``doc_id, text``; ``ids`` one ``doc_id`` for each ``node``.
     """
-    rows = write_table(prefixes(docs, size, percent, common).dropDuplicates(["node"]))
-    entries = rows.select("node", "n", F.posexplode("prefix").alias("place", "shingle"))
-    # Columns of one row are dropped; rows of a column are counted before the shuffle.
+    n = ids.count()
+    if n <= BROADCAST_ROWS:
+        rows = prefixes(docs.join(F.broadcast(ids.select("doc_id")), "doc_id", "left_semi"), size, percent, common)
+    else:
+        rows = prefixes(docs, size, percent, common).dropDuplicates(["node"])
+    rows = write_table(rows)
+    # Rows of a column are counted before the shuffle; columns of one row are dropped.
+    entries = rows.select("node", F.explode("prefix").alias("shingle"))
     heads = entries.groupBy("shingle").agg(F.count(F.lit(1)).alias("columns"), F.min("node").alias("head"))
-    members = write_table(entries.join(heads.filter(F.col("columns") > 1), "shingle"))
-
-    wanted = ids.join(members.select("node").distinct(), "node", "left_semi").select("doc_id")
-    wanted = write_table(wanted)
-    those = docs.join(size_checked(wanted, wanted.count()), "doc_id", "left_semi")
-    sets = write_table(whole_sets(those, size).dropDuplicates(["node"]))
+    heads = write_table(heads.filter(F.col("columns") > 1))
+    members = write_table(in_filter(rows, shingle_filter(heads, SHARED_BITS)).join(heads, "shingle"))
 
-    tried = _compare(_first_pairs(members, rows.select("node", "n"), percent), sets, percent)
+    tried = _compare(_first_pairs(members, rows.select("node", "n"), percent), docs, ids, size, percent)
     tried = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "is_link")
     members, block = members.drop("head"), BLOCK_GROWTH
     while True:
@@ -235,12 +290,12 @@ def links(docs: DataFrame, ids: DataFrame, size: int, percent: int, common: np.n
         labels = write_table(components(found).filter(F.col("node") != F.col("label")))
         own = members.drop("label").join(size_checked(labels, labels.count()), "node", "left").withColumn("label", F.coalesce("label", "node"))
         mixed = own.groupBy("shingle").agg(F.min("label").alias("one"), F.max("label").alias("other")).filter(F.col("one") != F.col("other"))
-        members = write_table(own.join(mixed.select("shingle"), "shingle"))
+        members = write_table(own.join(mixed.select("shingle"), "shingle", "left_semi"))
         largest = members.agg(F.max("columns")).first()[0]
         if largest is None:
             return found
         pairs = _block_pairs(members, block, percent).join(tried.select("a", "b"), ["a", "b"], "left_anti")
-        tried = tried.unionByName(_compare(write_table(pairs), sets, percent))
+        tried = tried.unionByName(_compare(pairs, docs, ids, size, percent))
         if block >= largest:
             return tried.filter("is_link").select("a", "b")
         block *= BLOCK_GROWTH
@@ -259,7 +314,7 @@ def classes(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, key: s
     rows = write_table(digests(docs, size))
     found = rows.filter(F.col("node").isNotNull()).select("doc_id", "node", "n")
     nodes = write_table(found.filter((F.col("n") > 0) & F.col("doc_id").isNotNull()).groupBy("node").agg(F.min("doc_id").alias("doc_id")))
-    common = common_filter(rows, COMMON, FILTER_BITS)
+    common = shingle_filter(common_shingles(rows, COMMON), COMMON_BITS)
     linked_nodes = components(links(docs.filter(F.col("doc_id").isNotNull()), nodes, size, percent, common))
     labelled = nodes.join(write_table(linked_nodes), "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = labelled.groupBy("label").agg(F.min("doc_id").alias("component_id"))
