@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..session import shared_dir, ship_package
 from ..sources.tables import read_table
-from . import decontaminate, jaccard, langid, lattice, packing, pitmanyor, secrets, tokentree, warc
+from . import cotraining, decontaminate, jaccard, langid, lattice, packing, pitmanyor, secrets, tokentree, warc
 
 
 def public_tokenizer(name: str) -> str:
@@ -96,6 +96,10 @@ def op9_warc(spark: SparkSession, sf: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op10_quality(spark: SparkSession, sf: str) -> DataFrame:
+    return cotraining.score(read_table(spark, sf, "documents"), read_table(spark, sf, "labels"))
+
+
 # Base32 of a SHA-1: eight groups of 20 bits with four letters each.
 OP9_SQL = """
 WITH digests AS (
@@ -133,6 +137,7 @@ QUERIES = {
         op7_decontaminate,
         op8_lattice,
         op9_warc,
+        op10_quality,
     )
 }
 
