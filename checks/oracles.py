@@ -343,7 +343,7 @@ FROM documents WHERE lang <> 'de'""",
 WITH named AS (SELECT page_id, url, string_split(url, '/')[-1] AS name FROM pages)
 SELECT page_id, url, name FROM named WHERE name NOT IN (SELECT name FROM named WHERE url LIKE 'https:%')""",
     "a8_head_sample": "SELECT doc_id AS seq, text FROM documents ORDER BY doc_id LIMIT 100",
-    "a10_nonempty": f"WITH {cleaned(high=5000)} SELECT seq, text FROM cleaned WHERE text <> ''",
+    "a10_nonempty": f"WITH {cleaned()} SELECT seq, text FROM cleaned WHERE text <> ''",
     "c5_control_intent": None,
     "c5_control_parity": None,
     "c7_clean_text": f"WITH {cleaned(high=5000)} SELECT seq, text, drop_reason IS NOT NULL AS dropped, drop_reason FROM cleaned",
@@ -396,7 +396,7 @@ FROM led JOIN sigs l ON l.seq = a JOIN sigs r ON r.seq = b WHERE a < b""",
     "d12_dedup_totals": f"""WITH {KEPT}, flags AS ({exact_flags('kept')})
 SELECT count(*) AS total_checked, count(*) FILTER (is_duplicate) AS duplicates_found,
        count(*) FILTER (NOT is_duplicate) AS unique_items FROM flags""",
-    "d13_dedup_job": f"""WITH {cleaned(high=5000)}, kept AS (SELECT seq, text FROM cleaned WHERE text IS NOT NULL),
+    "d13_dedup_job": f"""WITH {cleaned()}, kept AS (SELECT seq, text FROM cleaned WHERE text IS NOT NULL),
 flags AS ({exact_flags('kept')}),
 o AS (SELECT drop_reason, is_duplicate FROM cleaned LEFT JOIN flags USING (seq))
 SELECT count(*) AS total, count(*) FILTER (NOT is_duplicate) AS "unique", count(*) FILTER (is_duplicate) AS duplicates,

@@ -119,7 +119,7 @@ def a8_head_sample(spark, sf):
 
 
 def a10_nonempty(spark, sf):
-    return records.nonempty(cleaned(spark, sf, GATED)).select("seq", "text")
+    return records.nonempty(cleaned(spark, sf)).select("seq", "text")
 
 
 # ----------------------------------------------------------------- cleaning
@@ -285,7 +285,7 @@ def d12_dedup_totals(spark, sf):
 
 def d13_dedup_job(spark, sf):
     docs = read_documents(spark, sf).withColumn("malformed", F.lit(False))
-    return jobs.dedup_stats(jobs.dedup_outcomes(docs, GATED.with_(dup_method="exact")))
+    return jobs.dedup_stats(jobs.dedup_outcomes(docs, EXACT))
 
 
 def d14_inline_marking(spark, sf):

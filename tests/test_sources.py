@@ -46,3 +46,21 @@ def test_ledger(spark):
     urls = spark.createDataFrame([("http://a/x.jsonl",), ("http://b/y.jsonl",), ("http://c/z/",)], "url string")
     done = spark.createDataFrame([("x.jsonl",), ("x.jsonl",)], "name string")
     assert sorted(r.name for r in ledger.pending(urls, done).collect()) == ["", "y.jsonl"]
+
+
+def test_splits_may_change_between_call_and_action(spark, tmp_path):
+    path = tmp_path / "many.jsonl"
+    path.write_text("".join(f'{{"text": "record {i} {"x" * 90}"}}\n' for i in range(5000)))
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "128k")
+        loaded = records.load_texts(spark, [str(path)])
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+        rows = loaded.orderBy("seq").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    assert [r.seq for r in rows] == list(range(5000))
+    assert [int(r.text.split()[1]) for r in rows] == list(range(5000))
+    # The wide rows are joined with a table of one row per block, without a shuffle.
+    plan = loaded._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan

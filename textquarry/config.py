@@ -56,6 +56,8 @@ class CorpusConfig:
         for name, values in allowed.items():
             if getattr(self, name) not in values:
                 raise ValueError(f"{name} must be one of {values}, not {getattr(self, name)!r}")
+        if self.num_perm < 16:
+            raise ValueError("num_perm must be 16 or more: fewer leave bands without a row, which all records share")
         if not 0.0 < self.threshold <= 1.0:
             raise ValueError("threshold must lie in (0, 1]")
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 
 import pandas as pd
@@ -69,14 +70,33 @@ class Vocabulary:
         return self._merge(word) if self.kind == "bpe" else self._longest(word)
 
     def _merge(self, word: str) -> list[str]:
-        parts = [c for c in word if c in self.ids]
-        while len(parts) > 1:
-            ranked = [(self.ranks.get(pair, 1 << 60), i) for i, pair in enumerate(zip(parts, parts[1:]))]
-            best, i = min(ranked)
-            if best == 1 << 60:
-                break
-            parts[i : i + 2] = [parts[i] + parts[i + 1]]
-        return parts
+        """Merges by rank, equal ranks from the left; the pairs wait in a heap."""
+        parts: list[str | None] = [c for c in word if c in self.ids]
+        after = list(range(1, len(parts) + 1))
+        before = list(range(-1, len(parts) - 1))
+        waiting = []
+
+        def offer(i: int) -> None:
+            if i >= 0 and after[i] < len(parts):
+                rank = self.ranks.get((parts[i], parts[after[i]]))
+                if rank is not None:
+                    heapq.heappush(waiting, (rank, i, parts[i], parts[after[i]]))
+
+        for i in range(len(parts) - 1):
+            offer(i)
+        while waiting:
+            _, i, left, right = heapq.heappop(waiting)
+            # A pair that another merge has changed since is no longer there.
+            j = after[i]
+            if parts[i] != left or j >= len(parts) or parts[j] != right:
+                continue
+            parts[i], parts[j] = left + right, None
+            after[i] = after[j]
+            if after[j] < len(parts):
+                before[after[j]] = i
+            offer(before[i])
+            offer(i)
+        return [p for p in parts if p is not None]
 
     def _longest(self, word: str) -> list[str] | None:
         if len(word) > MAX_WORD_CHARS:
@@ -130,3 +150,15 @@ def encode_words(words: Column, vocabulary, unk_policy: str) -> Column:
             yield pd.DataFrame({"tokens": tokens, "token_ids": ids})
 
     return encode(words)
+
+
+def decode_ids(ids: Column, vocabulary, first: int) -> Column:
+    """Tokens of ids from ``first`` on, joined by one space, by a broadcast ``Vocabulary``; others are left out."""
+
+    @F.pandas_udf("string")
+    def decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        names = {i: token for token, i in vocabulary.value.ids.items() if i >= first}
+        for batch in batches:
+            yield batch.map(lambda row: None if row is None else " ".join([names[i] for i in row if i in names]))
+
+    return decode(ids)

@@ -30,6 +30,7 @@ SMALL_BUCKET = 32
 HOT_ROWS = 500_000
 MAX_HOT_BUCKETS = 10_000
 MAX_LEADERS = 512
+BROADCAST_ROWS = 1_000_000  # of record numbers, about 16 MB
 
 
 def content_hash(text) -> F.Column:
@@ -41,35 +42,34 @@ def content_hash(text) -> F.Column:
 # exact
 
 
-def first_of_copies(df: DataFrame, text: F.Column, seq: str = "seq") -> DataFrame:
-    """``seq`` of the first record of every distinct text.
+def _flag(df: DataFrame, seqs: DataFrame, column: str, seq: str) -> DataFrame:
+    """Adds a boolean: is the record's ``seq`` among ``seqs``?
 
-    Only hash and ``seq`` are shuffled, and copies are combined before the
-    shuffle, so the size of a group of copies does not matter.
+    The numbers are written and counted first.  Up to ``BROADCAST_ROWS`` of
+    them are broadcast, so that no text is shuffled for the sake of a flag;
+    more are joined by a shuffle, which ``seq``, being unique, cannot skew.
     """
-    return (
-        df.select(F.unhex(content_hash(text)).alias("_hash"), seq)
-        .filter(F.col("_hash").isNotNull())
-        .groupBy("_hash")
-        .agg(F.min(seq).alias(seq))
-        .select(seq)
-    )
-
-
-def _flag(df: DataFrame, seqs: DataFrame, column: str, seq: str) -> DataFrame:
-    """Adds a boolean: is the record's ``seq`` among ``seqs``?  ``seq`` is
-    unique, so the join cannot be skewed."""
-    marked = df.join(seqs.select(seq, F.lit(True).alias(column)), seq, "left")
+    hits = cut_lineage(seqs.select(seq)).withColumn(column, F.lit(True))
+    if hits.count() <= BROADCAST_ROWS:
+        hits = F.broadcast(hits)
+    marked = df.join(hits, seq, "left")
     return marked.withColumn(column, F.coalesce(F.col(column), F.lit(False)))
 
 
 def mark_exact(df: DataFrame, text: str = "text", seq: str = "seq") -> DataFrame:
     """Adds ``is_duplicate``: null for null texts, else true for all but the first copy."""
-    firsts = first_of_copies(df, F.col(text), seq)
-    flagged = _flag(df, firsts, "_first", seq)
+    flagged = _flag(df, _later_copies(df.select(seq, F.unhex(content_hash(F.col(text))).alias("_hash")), seq), "_later", seq)
     return flagged.withColumn(
-        "is_duplicate", F.when(F.col(text).isNotNull(), ~F.col("_first"))
-    ).drop("_first")
+        "is_duplicate", F.when(F.col(text).isNotNull(), F.col("_later"))
+    ).drop("_later")
+
+
+def _later_copies(hashes: DataFrame, seq: str) -> DataFrame:
+    """``seq`` of all rows but the first of each hash; null hashes have no copies."""
+    hashes = cut_lineage(hashes.filter(F.col("_hash").isNotNull()))
+    # Copies are combined before the shuffle, so a large group of them does no harm.
+    firsts = hashes.groupBy("_hash").agg(F.min(seq).alias(seq)).select(seq)
+    return hashes.select(seq).join(firsts, seq, "left_anti")
 
 
 # --------------------------------------------------------------------------
@@ -308,7 +308,7 @@ def near_duplicates(df: DataFrame, cfg: CorpusConfig, text: str = "text", seq: s
     # Slim, and read twice: written once rather than shingled once more.
     hashes = cut_lineage(grams.select(seq, F.unhex(content_hash(F.col("_s"))).alias("_hash")))
     firsts = hashes.groupBy("_hash").agg(F.min(seq).alias(seq)).select(seq)
-    copies = hashes.select(seq).join(firsts, seq, "left_anti")
+    copies = _later_copies(hashes, seq)
     signed = cut_lineage(_sign(grams.join(firsts, seq, "left_semi"), cfg, seq))
     similar = greedy_duplicates(signed, cfg.num_perm, cfg.threshold)
     return copies.unionByName(similar.withColumnRenamed("seq", seq))

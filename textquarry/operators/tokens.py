@@ -19,7 +19,6 @@ from ..session import cut_lineage
 
 PAIR = r"(?=(\d+,,\d+))\d+"
 TOP_PAIRS = 64
-MAX_ALPHABET = 200_000
 
 
 def words_of(df: DataFrame, text: str = "text") -> DataFrame:
@@ -48,13 +47,12 @@ def _characters(kind: str) -> Column:
 def _alphabet(counts: DataFrame, kind: str) -> list[str]:
     """Single characters in code point order, then continuing ones.
 
-    At most as many as Unicode has characters, so it fits anywhere.
+    At most as many as Unicode has characters, twice for WordPiece.
     """
     rows = (
         counts.select(F.explode(_characters(kind)).alias("c"))
         .groupBy("c")
         .agg(F.count(F.lit(1)).alias("n"))
-        .limit(MAX_ALPHABET)
         .collect()
     )
     seen = {r["c"] for r in rows}
@@ -75,7 +73,7 @@ def spell(counts: DataFrame, kind: str, ids: dict[str, int]) -> DataFrame:
     alphabet = counts.sparkSession.createDataFrame(list(ids.items()), "c string, id int")
     return (
         counts.select("word", "n", F.posexplode(_characters(kind)).alias("at", "c"))
-        .join(F.broadcast(alphabet), "c")
+        .join(alphabet, "c")
         .groupBy("word", "n")
         .agg(F.sort_array(F.collect_list(F.struct("at", "id"))).alias("cells"))
         .select("n", F.concat(F.lit(","), F.array_join("cells.id", ",,"), F.lit(",")).alias("symbols"))
@@ -211,13 +209,7 @@ def encode(df: DataFrame, vocabulary, text: str = "text", unk_policy: str = "unk
 
 def decode(df: DataFrame, vocabulary, ids: str = "token_ids", skip_special: bool = True) -> DataFrame:
     """Adds ``decoded``: tokens joined by one space, special tokens skipped."""
-    table = vocabulary.value.ids
-    names = [""] * (max(table.values()) + 1)
-    for token, i in table.items():
-        names[i] = token
-    lookup = F.lit(names)
-    known = F.filter(ids, lambda i: i.between(len(P.SPECIAL_TOKENS) if skip_special else 0, len(names) - 1))
-    return df.withColumn("decoded", F.array_join(F.transform(known, lambda i: lookup[i]), " "))
+    return df.withColumn("decoded", W.decode_ids(F.col(ids), vocabulary, len(P.SPECIAL_TOKENS) if skip_special else 0))
 
 
 def token_totals(df: DataFrame) -> DataFrame:

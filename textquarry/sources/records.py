@@ -12,10 +12,11 @@ from functools import reduce
 from pathlib import PurePosixPath
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators.mixture import with_index
+from ..operators.mixture import MAX_BROADCAST_ROWS
+from ..session import write_table
 
 log = logging.getLogger(__name__)
 
@@ -60,7 +61,7 @@ def _placed(df: DataFrame) -> DataFrame:
 
 def read_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """Raw lines and their places."""
-    return _placed(spark.read.option("ignoreMissingFiles", "true").text(list(paths)))
+    return _placed(spark.read.text(list(paths)))
 
 
 def read_jsonl(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
@@ -144,14 +145,28 @@ def load_texts(spark: SparkSession, paths: Sequence[str], sample_size: int | Non
             log.error("cannot read %s: %s", path, problem)
     if not frames:
         raise ValueError("no texts loaded from files")
-    return head_sample(numbered(reduce(DataFrame.unionByName, frames)), sample_size)
+    rows = numbered(reduce(DataFrame.unionByName, frames))
+    return rows.filter(F.col("seq") < sample_size).orderBy("seq") if sample_size else rows
 
 
 def numbered(records: DataFrame) -> DataFrame:
-    """``seq`` from the place of a record: source, file, block, line."""
-    order = F.struct(*[c for c in ("source_no", *PLACE) if c in records.columns]).alias("_place")
-    indexed = with_index(records.select(order, "text", "file"), "_place")
-    return indexed.select(F.col("index").alias("seq"), "text", "file")
+    """``seq`` from the place of a record: source, file, block, line.
+
+    The records are written once, with a running number of their task.  A file
+    block is read by one task from start to end, so a record's number is its
+    place in its block plus the records of all blocks before, a table of one
+    row per block; no text is shuffled and nothing depends on the splits of a
+    second reading.
+    """
+    block = [c for c in ("source_no", "file", "block") if c in records.columns]
+    placed = write_table(records.select(*block, "text", F.monotonically_increasing_id().alias("_id")))
+    sizes = placed.groupBy(*block).agg(F.count(F.lit(1)).alias("_n"), F.min("_id").alias("_first"))
+    before = Window.partitionBy(F.lit(1)).orderBy(*block).rowsBetween(Window.unboundedPreceding, -1)
+    starts = write_table(sizes.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))))
+    if starts.count() <= MAX_BROADCAST_ROWS:
+        starts = F.broadcast(starts)
+    rows = placed.join(starts, block)
+    return rows.select((F.col("_before") + F.col("_id") - F.col("_first")).alias("seq"), "text", "file")
 
 
 def head_sample(df: DataFrame, size: int | None, seq: str = "seq") -> DataFrame:
