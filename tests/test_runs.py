@@ -21,6 +21,13 @@ def profile(docs):
     return language.broadcast_profile(language.train_profile(docs))
 
 
+def test_a_joined_profile_gives_the_same(docs, profile):
+    table = language.train_profile(docs)
+    columns = ["seq", "language", "language_score"]
+    joined = language.detect(docs, table).select(columns).collect()
+    assert sorted(joined) == sorted(language.detect(docs, profile).select(columns).collect())
+
+
 def test_language_profile_finds_the_label(docs, profile):
     got = language.detect(docs, profile).filter(F.length("text") >= 50)
     wrong = got.filter(F.col("language") != F.col("lang")).count()

@@ -61,6 +61,16 @@ def count_grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 yield pd.DataFrame({"lang": lang, "gram": _spell(distinct), "n": np.bincount(which)})
 
 
+def count_row_grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Counts of the trigrams of each of (_row, t) rows that is long enough to be scored."""
+    for batch in batches:
+        for row, text in zip(batch["_row"], batch["t"]):
+            if len(text) >= GRAM and len(text.strip()) >= MIN_CHARS:
+                starts, _, codes = _windows([text])
+                which, distinct = pd.factorize(_pack(codes, starts))
+                yield pd.DataFrame({"_row": row, "gram": _spell(distinct), "n": np.bincount(which)})
+
+
 def _windows(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start of every gram, the first gram of every text, and all code points."""
     lengths = np.array([len(t) for t in texts])

@@ -11,11 +11,10 @@ from pyspark.sql import functions as F
 from ..config import CorpusConfig
 from ..functions import langid as L
 from ..functions.frames import compute_once
-from ..session import cut_lineage
+from ..session import cut_lineage, write_table
 
-# A profile is a model of bounded size: this many of the most frequent grams.
-PROFILE_GRAMS = 100_000
-MAX_LANGUAGES = 200
+# A profile of up to so many cells (grams times languages, 8 bytes each) is broadcast; a larger one is joined.
+BROADCAST_CELLS = 20_000_000
 
 
 def gram_counts(df: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
@@ -30,22 +29,16 @@ def gram_counts(df: DataFrame, text: str = "text", lang: str = "lang") -> DataFr
     return partial.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
-def train_profile(
-    df: DataFrame, text: str = "text", lang: str = "lang", size: int = PROFILE_GRAMS
-) -> DataFrame:
+def train_profile(df: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
     """The profile table: ``gram``, ``lang``, ``micro`` (add-one smoothed
-    log-probability in millionths), complete over grams and languages."""
+    log-probability in millionths), complete over all grams and languages."""
     counts = gram_counts(df, text, lang)
-    totals = counts.groupBy("gram").agg(
-        F.sum("n").alias("total"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by_lang")
-    )
-    grams = cut_lineage(totals.orderBy(F.desc("total"), "gram").limit(size))
+    totals = counts.groupBy("gram").agg(F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by_lang"))
+    grams = cut_lineage(totals)
     cells = grams.select("gram", F.explode("by_lang").alias("lang", "n"))
     per_lang = cells.groupBy("lang").agg(F.sum("n").alias("seen"))
-    # Few rows by definition: MAX_LANGUAGES at most.
-    langs = per_lang.orderBy("lang").limit(MAX_LANGUAGES + 1).collect()
-    if len(langs) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} language labels")
+    # One row for each label of a language.
+    langs = per_lang.orderBy("lang").collect()
     kinds = grams.count()
     table = F.array(
         *[
@@ -69,7 +62,13 @@ def train_profile(
 
 
 def broadcast_profile(profile: DataFrame):
-    """Hand a profile to the executors; its size is bounded by construction."""
+    """Hand a profile to the executors if its size allows; a larger one stays a table.
+
+    ``detect`` takes either.
+    """
+    profile = cut_lineage(profile)
+    if profile.count() > BROADCAST_CELLS:
+        return profile
     rows = (
         profile.groupBy("gram")
         .agg(F.sort_array(F.collect_list(F.struct("lang", "micro"))).alias("cells"))
@@ -82,11 +81,31 @@ def broadcast_profile(profile: DataFrame):
 
 
 def detect(df: DataFrame, profile, text: str = "text") -> DataFrame:
-    """Adds ``language`` and ``language_score``: no shuffle, one Arrow pass."""
+    """Adds ``language`` and ``language_score``.
+
+    With a broadcast profile that is one Arrow pass without a shuffle; with a
+    profile table the grams of the texts are joined with it.
+    """
+    if isinstance(profile, DataFrame):
+        return _detect_by_join(df, profile, text)
     found = compute_once(df, _lang=L.best_language(F.col(text), profile))
     return found.select(*df.columns, "_lang.language", "_lang.language_score")
 
 
+def _detect_by_join(df: DataFrame, profile: DataFrame, text: str) -> DataFrame:
+    """Sums up log-probabilities by row and language, in the integers of the other way."""
+    rows = write_table(df.withColumn("_row", F.monotonically_increasing_id()))
+    texts = rows.filter(F.col(text).isNotNull()).select("_row", L.profile_text(F.col(text)).alias("t"))
+    counts = texts.mapInPandas(L.count_row_grams, "_row bigint, gram string, n bigint")
+    sums = counts.join(profile, "gram").groupBy("_row", "lang").agg(F.sum(F.col("n") * F.col("micro")).alias("micro"))
+    # The largest sum, of equal ones the first language.
+    by_row = sums.groupBy("_row").agg(F.sort_array(F.collect_list(F.struct((-F.col("micro")).alias("less"), "lang"))).alias("cells"))
+    gaps = F.transform("cells", lambda c: F.exp((F.col("cells")[0]["less"] - c["less"]) / L.MICRO))
+    total = F.aggregate(gaps, F.lit(0.0), lambda a, b: a + b)
+    best = by_row.select("_row", F.col("cells")[0]["lang"].alias("language"), F.round(1.0 / total, 6).alias("language_score"))
+    return rows.join(best, "_row", "left").select(*df.columns, "language", "language_score")
+
+
 def detect_simple(df: DataFrame, profile, text: str = "text") -> DataFrame:
     """Adds ``language`` only."""
     return detect(df, profile, text).drop("language_score")
