@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..session import shared_dir, ship_package
 from ..sources.tables import read_table
 from . import cotraining, decontaminate, jaccard, langid, lattice, packing, pitmanyor, secrets, tokentree, warc
+from .oracles import ORACLES  # noqa: F401
 
 
 def public_tokenizer(name: str) -> str:
@@ -100,22 +101,6 @@ def op10_quality(spark: SparkSession, sf: str) -> DataFrame:
     return cotraining.score(read_table(spark, sf, "documents"), read_table(spark, sf, "labels"))
 
 
-# Base32 of a SHA-1: eight groups of 20 bits with four letters each.
-OP9_SQL = """
-WITH digests AS (
-  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages
-), firsts AS (
-  SELECT h, min(page_id) AS first FROM digests GROUP BY h
-)
-SELECT page_id, payload_bytes,
-  array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
-    1 + ((CAST('0x' || substr(h, CAST(1 + 5 * (i // 4) AS INT), 5) AS BIGINT) >> CAST(15 - 5 * (i % 4) AS INT)) & 31), 1)), '') AS payload_digest,
-  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
-  CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
-FROM digests JOIN firsts USING (h)
-"""
-
-
 def _shipping(query):
     @wraps(query)
     def run(spark: SparkSession, sf: str) -> DataFrame:
@@ -140,7 +125,3 @@ QUERIES = {
         op10_quality,
     )
 }
-
-ORACLES: dict[str, str] = {
-    "op9_warc": OP9_SQL,
-}
