@@ -489,6 +489,18 @@ SELECT count(*)::DOUBLE AS total_samples, count(*) FILTER (NOT dropped)::DOUBLE
     "r3_stream_chunks": EXACT_RUN + ROWS_OUT,
 }
 
+ORACLES |= {
+    "a1_read_jsonl": ORACLES["a4_load_files"],
+    "a2_read_json": "SELECT text FROM benchmark",
+    "a3_read_txt": "SELECT text FROM benchmark",
+    "a11_dedup_job_files": ORACLES["d13_dedup_job"],
+    "e1_jsonl_read_back": f"WITH {KEPT} SELECT seq, text FROM kept",
+    "e3_shards_read_back": f"SELECT lpad(shard::VARCHAR, 5, '0') AS shard, records, first, last, chars FROM ({ORACLES['e2_shards']})",
+    "e10_mixture_read_back": ORACLES["e6_mixture_sample"],
+    "r2_files_to_files": f"{NEAR_RUN} SELECT text, language, coalesce(pii_count, 0)::BIGINT AS pii_count, length::BIGINT AS length FROM final WHERE NOT dropped",
+    "r4_clean_job": f"WITH {cleaned()} SELECT text, drop_reason IS NOT NULL AS dropped, drop_reason FROM cleaned",
+}
+
 # The characters added to every document, in the order the query adds them.
 _ODD = "chr(1) || ' a[] ' || chr(2) || '] &] ^] b' || chr(127) || ' ' || chr(133) || ' c' || chr(3) || 'd'"
 for _mode in ("intent", "parity"):

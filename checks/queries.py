@@ -16,7 +16,7 @@ from textquarry.functions.spans import DEFAULT_RULES, Rule, entities
 from textquarry.operators import cleaning, dedup, language, mixture, pii, stats, tokens
 from textquarry.plans import corpus, jobs, report
 from textquarry.session import cut_lineage, shared_dir, ship_package
-from textquarry.sources import ledger, records
+from textquarry.sources import ledger, records, sinks
 from textquarry.sources.tables import read_documents, read_table, spread
 from textquarry.streaming import ingest
 
@@ -108,6 +108,52 @@ def a4_load_files(spark, sf):
     return records.load_texts(spark, [f"{sf}/documents.parquet"]).select("seq", "text")
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the folder that all executors share."""
+    return f"{shared_dir(spark)}/{uuid.uuid4()}-{name}"
+
+
+def documents_jsonl(spark: SparkSession, sf: str) -> str:
+    """The documents as JSON lines, in order, in as many files as the sort has partitions."""
+    path = scratch(spark, "documents.jsonl")
+    read_documents(spark, sf).orderBy("seq").select("text").write.json(path)
+    return path
+
+
+def a1_read_jsonl(spark, sf):
+    return records.load_texts(spark, [documents_jsonl(spark, sf)]).select("seq", "text")
+
+
+def a2_read_json(spark, sf):
+    """Benchmark items as files that hold an array of up to 16 each."""
+    items = read_table(spark, sf, "benchmark").withColumn("part", F.floor(F.col("item_id") / 16))
+    arrays = items.groupBy("part").agg(F.to_json(F.collect_list(F.struct("item_id", "text"))).alias("value"))
+    path = scratch(spark, "items.json")
+    arrays.write.partitionBy("part").text(path)
+    return records.load_texts(spark, [path]).select("text")
+
+
+def a3_read_txt(spark, sf):
+    """Benchmark items as one file each; the writer ends each with a line feed."""
+    path = scratch(spark, "items.txt")
+    read_table(spark, sf, "benchmark").select("item_id", F.col("text").alias("value")).write.partitionBy("item_id").text(path)
+    return records.load_texts(spark, [path]).select(F.regexp_replace("text", "\\n\\z", "").alias("text"))
+
+
+def a11_dedup_job_files(spark, sf):
+    """The job from files to files, and the statistics it left."""
+    out = scratch(spark, "dedup")
+    jobs.dedup_job(spark, [documents_jsonl(spark, sf)], out, EXACT)
+    counts = ("total", "unique", "duplicates", "too_short", "too_long", "empty")
+    return jobs.read_dedup_stats(spark, out).select(*[big(c) for c in counts], "duplicate_rate")
+
+
+def r4_clean_job(spark, sf):
+    out = scratch(spark, "clean")
+    jobs.clean_job(spark, [documents_jsonl(spark, sf)], out, CFG)
+    return spark.read.schema("text string, dropped boolean, drop_reason string").json(f"{out}/cleaned")
+
+
 def a7_ledger_antijoin(spark, sf):
     pages = read_table(spark, sf, "pages").select("page_id", "url")
     done = pages.filter(F.col("url").startswith("https:")).select(ledger.target_name(F.col("url")).alias("name"))
@@ -433,6 +479,27 @@ def e2_shards(spark, sf):
     )
 
 
+def e1_jsonl_read_back(spark, sf):
+    path = scratch(spark, "kept")
+    sinks.export_jsonl(kept(spark, sf), path)
+    return spark.read.schema("seq bigint, text string").json(path)
+
+
+def e3_shards_read_back(spark, sf):
+    path = scratch(spark, "shards")
+    sinks.export_shards(read_documents(spark, sf).select("seq", "n_chars"), path, 64)
+    rows = spark.read.schema("seq bigint, n_chars bigint, shard string").json(path)
+    return rows.groupBy("shard").agg(
+        F.count(F.lit(1)).alias("records"), F.min("seq").alias("first"), F.max("seq").alias("last"), F.sum("n_chars").alias("chars")
+    )
+
+
+def e10_mixture_read_back(spark, sf):
+    path = scratch(spark, "mixture")
+    sinks.export_mixture(datasets(spark, sf), path, WEIGHTS, SEED)
+    return spark.read.schema("dataset string, seq bigint, text string").json(f"{path}/mixture")
+
+
 def e4_sample_sizes(spark, sf):
     return mixture.sample_sizes(datasets(spark, sf), WEIGHTS).select(
         "dataset", F.round("weight", 9).alias("weight"), "available", "samples"
@@ -564,6 +631,14 @@ def r2_full_run(spark, sf):
     return _rows(_outcome(spark, sf, CFG))
 
 
+def r2_files_to_files(spark, sf):
+    """What a run over JSON lines retains, as its output files have it."""
+    out = scratch(spark, "run")
+    corpus.run_corpus(spark, [documents_jsonl(spark, sf)], out, CFG, profile(spark, sf), tokenize=False)
+    rows = spark.read.schema("text string, language string, pii_count bigint, length bigint").json(f"{out}/tokenized_data")
+    return rows.select("text", "language", "pii_count", "length")
+
+
 def r2_report(spark, sf):
     rows = corpus.prepare_corpus(read_documents(spark, sf), CFG, profile(spark, sf), tokenize=False).report
     return rows.select("metric", F.round("value", 6).alias("value"))
@@ -585,7 +660,7 @@ def r3_stream_chunks(spark, sf):
 
 
 NAMES = [
-    a1_jsonl_extract, a4_load_files, a7_ledger_antijoin, a8_head_sample, a10_nonempty,
+    a1_jsonl_extract, a1_read_jsonl, a2_read_json, a3_read_txt, a4_load_files, a7_ledger_antijoin, a8_head_sample, a10_nonempty, a11_dedup_job_files,
     c5_control_intent, c5_control_parity, c7_clean_text, c8_drop_counts, c9_normalize_ws, c10_remove_urls,
     c11_remove_emails, c12_cleaning_totals, c13_valid_rows, c14_project_ids, c15_size_report,
     l1_detect, l2_detect_simple, l3_filter_by_language, l4_allow_list, l6_language_counts, l7_profile_counts, l7_profile,
@@ -596,10 +671,10 @@ NAMES = [
     p11_detection_totals, p12_annotation, p14_rule_table,
     t1_normalize, t2_pretokenize, t3_word_counts, t4_alphabet, t4_pair_counts, t4_bpe_train, t5_wordpiece_train, t7_encode,
     t7_encode_characters, t9_decode_characters, t10_token_totals,
-    e2_shards, e4_sample_sizes, e6_mixture_sample, e7_mixture_order, e8_mixture_metadata,
+    e1_jsonl_read_back, e2_shards, e3_shards_read_back, e10_mixture_read_back, e4_sample_sizes, e6_mixture_sample, e7_mixture_order, e8_mixture_metadata,
     i1_length_stats, i2_histogram, i3_drop_reasons, i4_language_stats, i5_language_box, i6_duplicate_stats,
     i7_pii_hits, i8_summary, i9_upper_median, i11_ranked_languages, i12_headline,
-    r1_process_exact, r2_full_run, r2_report, r2_with_tokens, r3_stream_chunks,
+    r1_process_exact, r2_full_run, r2_files_to_files, r2_report, r2_with_tokens, r3_stream_chunks, r4_clean_job,
 ]
 
 

@@ -5,14 +5,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import CorpusConfig
 from ..functions.spans import DEFAULT_RULES, Rule
 from ..operators import cleaning, dedup, language, pii, tokens
 from ..session import write_table
-from ..sources.records import head_sample
+from ..sources import sinks
+from ..sources.records import head_sample, load_texts, resolve
 from . import report
 
 PROCESSED = (
@@ -125,3 +126,25 @@ def prepare_corpus(
         tokenized, vocab = tokenize_records(retained, cfg)
         tokenized = write_table(tokenized)
     return Corpus(processed, retained, tokenized, vocab, report.assemble(processed, tokenized))
+
+
+def run_corpus(
+    spark: SparkSession,
+    paths: Sequence[str],
+    output: str,
+    cfg: CorpusConfig,
+    profile,
+    rules: Sequence[Rule] = DEFAULT_RULES,
+    tokenize: bool = True,
+) -> Corpus:
+    """The whole way from files to files.
+
+    Sources that exist are read and numbered, go through all stages, and what
+    is retained is written as JSON lines, in shards of ``cfg.shard_size`` as
+    well if there are several, beside the report.
+    """
+    records = load_texts(spark, resolve(spark, local_files=paths)).select("seq", "text")
+    run = prepare_corpus(records, cfg, profile, rules, tokenize)
+    sinks.export_tokenized(run.tokenized if tokenize else run.retained, output, cfg.shard_size)
+    sinks.export_jsonl(run.report, f"{output}/report")
+    return run
