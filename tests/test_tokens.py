@@ -44,6 +44,27 @@ def test_bpe_equals_library(spark, texts, bpe):
         assert got[i] == (want.tokens, want.ids, len(want.ids))
 
 
+def test_bpe_equals_library_on_documents(spark, sf):
+    """Some hundred merges, among them many of equal counts."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("text")
+    tok = Tokenizer(models.BPE())
+    tok.normalizer = library(90).normalizer
+    tok.pre_tokenizer = pre_tokenizers.Whitespace()
+    trainer = trainers.BpeTrainer(vocab_size=700, special_tokens=list(SPECIAL_TOKENS), show_progress=False)
+    tok.train_from_iterator([r.text for r in docs.collect()], trainer)
+    vocab, _ = tokens.train(tokens.word_counts(docs), "bpe", 700)
+    assert {r.token: r.id for r in vocab.collect()} == tok.get_vocab()
+
+
+def test_long_words_encode_in_time(bpe):
+    import time
+
+    word = "lowerbanana" * 9000
+    start = time.perf_counter()
+    pieces = bpe[2].value.pieces(word)
+    assert "".join(pieces) == word and time.perf_counter() - start < 5
+
+
 def test_encode_corner_cases_equal_library(spark, bpe):
     tok = library(90)
     odd = ["<s> low </s>", "a<mask>b", "!<s>!", "zebra qqq", "", "   ", "İstanbul", "<pad", "low😀er"]

@@ -53,6 +53,23 @@ def split_words(normalized: Column) -> Column:
     return F.regexp_extract_all(normalized, F.lit(_WORD_OR_SPECIAL), F.lit(0))
 
 
+def replace_all(symbols: Column, replaced: list[tuple[str, str]]) -> Column:
+    """Several replacements, one after the other; as an expression each would be compiled anew."""
+
+    @F.pandas_udf("string")
+    def replace(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        def one(word: str) -> str:
+            for old, new in replaced:
+                if old in word:
+                    word = word.replace(old, new)
+            return word
+
+        for batch in batches:
+            yield batch.map(one)
+
+    return replace(symbols)
+
+
 class Vocabulary:
     """Token ids and, for BPE, the rank of each merge."""
 

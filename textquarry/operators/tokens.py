@@ -18,7 +18,7 @@ from ..functions.frames import compute_once
 from ..session import cut_lineage
 
 PAIR = r"(?=(\d+,,\d+))\d+"
-TOP_PAIRS = 64
+TOP_PAIRS = 1024  # far more than are ever certain at once
 
 
 def words_of(df: DataFrame, text: str = "text") -> DataFrame:
@@ -100,22 +100,21 @@ def _certain(top: list[Row], tokens: list[str], known: dict[str, int], kind: str
 
     Two pairs can only overlap in a text when the right symbol of one is the
     left symbol of the other; otherwise merging one leaves the count of the
-    other as it was.  A new pair that a merge gives rise to stems from a pair
-    overlapping the merged one and is no more frequent.  So every pair is
-    certain that is more frequent than the first one to overlap with a pair
-    before it, or than the last one listed.  Not ``exact`` passes over
-    overlapping pairs instead of stopping there.
+    other as it was, and no count ever grows.  A new pair stems from one that
+    overlaps a merged pair, has the same left symbol or a new one, a new right
+    symbol or the same, and is no more frequent; so it comes after that pair in
+    the order of count, left, right, in which new symbols come last.  Hence all
+    pairs are certain up to the first that overlaps with one before it, ties
+    included.  Not ``exact`` passes over overlapping pairs instead of stopping.
     """
     chosen, made = [], set()
     lefts, rights = set(), set()
-    bar = top[-1]["n"] if len(top) == TOP_PAIRS else 0
     for pair in top:
         left, right = pair["left"], pair["right"]
         token = _joined(tokens[left], tokens[right], kind)
         overlaps = left in rights or right in lefts or (left == right and (left in lefts or right in rights))
         if overlaps or token in known or token in made:
             if exact:
-                bar = max(bar, pair["n"])
                 break
             continue
         chosen.append(pair)
@@ -125,9 +124,7 @@ def _certain(top: list[Row], tokens: list[str], known: dict[str, int], kind: str
         if left == right:
             lefts.add(right)
             rights.add(left)
-    if not exact:
-        return chosen or top[:1]
-    return [p for p in chosen if p["n"] > bar] or top[:1]
+    return chosen or top[:1]
 
 
 def train(
@@ -156,7 +153,7 @@ def train(
         top = pair_counts(words).orderBy(F.desc("n"), "left", "right").limit(TOP_PAIRS).collect()
         if not top:
             break
-        symbols = F.col("symbols")
+        replaced = []
         for pair in _certain(top, tokens, known, kind, exact):
             if len(tokens) >= vocab_size:
                 break
@@ -166,11 +163,10 @@ def train(
                 known[token] = len(tokens)
                 tokens.append(token)
             merges.append((len(merges), left, right))
-            symbols = F.replace(
-                symbols, F.lit(f",{pair['left']},,{pair['right']},"), F.lit(f",{known[token]},")
-            )
+            replaced.append((f",{pair['left']},,{pair['right']},", f",{known[token]},"))
+        merged = W.replace_all(F.col("symbols"), replaced)
         # A word of one symbol has no pairs left to count.
-        words = cut_lineage(words.select("n", symbols.alias("symbols")).filter(F.contains("symbols", F.lit(",,"))))
+        words = cut_lineage(words.select("n", merged.alias("symbols")).filter(F.contains("symbols", F.lit(",,"))))
     vocab = spark.createDataFrame(list(enumerate(tokens)), "id int, token string")
     return vocab, spark.createDataFrame(merges, "rank int, left string, right string")
 
