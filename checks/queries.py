@@ -26,7 +26,7 @@ EXACT = CFG.with_(dup_method="exact")
 WEIGHTS = {"en": 3.0, "fr": 2.0, "de": 1.0}
 SEED = 7
 EXTRA_RULE = Rule("NUMBER", r"(?U)\b\d{5,}\b", 0.6)
-SMALL_VOCAB = 120
+SMALL_VOCAB = 200
 
 
 def big(column: str) -> F.Column:
