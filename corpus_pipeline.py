@@ -37,8 +37,9 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with marks in place of secrets."""
-    return secrets.redact(docs)
+    """All documents, with marks in place of secrets; ``n_chars`` follows."""
+    marked = secrets.redact(docs)
+    return marked.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), F.col("n_chars")))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
