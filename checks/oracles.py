@@ -490,6 +490,13 @@ SELECT count(*)::DOUBLE AS total_samples, count(*) FILTER (NOT dropped)::DOUBLE
 }
 
 ORACLES |= {
+    "l5_confidence": f"""WITH {LANG}, strict AS (
+  SELECT seq, CASE WHEN drop_reason IS NOT NULL THEN drop_reason
+              WHEN coalesce(language_score, 0) < 0.999999 THEN 'language_filtered_' || coalesce(language, 'None') END AS drop_reason
+  FROM outcome)
+SELECT seq, drop_reason IS NOT NULL AS dropped, drop_reason FROM strict""",
+    "i11_ranked_pii": f"""WITH {SPANS}
+SELECT type, count(*) AS hits, round(count(*) / (SELECT count(*) FROM spans)::DOUBLE, 9) AS hit_rate FROM spans GROUP BY type""",
     "a1_read_jsonl": ORACLES["a4_load_files"],
     "a2_read_json": "SELECT text FROM benchmark",
     "a3_read_txt": "SELECT text FROM benchmark",

@@ -265,6 +265,12 @@ def l4_allow_list(spark, sf):
     return language.apply_allow_list(detected(spark, sf), CFG).select("seq", "text", "dropped", "drop_reason")
 
 
+def l5_confidence(spark, sf):
+    """English texts detected with less than full confidence are dropped as well."""
+    rows = language.apply_allow_list(detected(spark, sf), CFG.with_(lang_confidence=0.999999))
+    return rows.select("seq", "dropped", "drop_reason")
+
+
 def l6_language_counts(spark, sf):
     return language.language_counts(detected(spark, sf))
 
@@ -579,6 +585,11 @@ def i11_ranked_languages(spark, sf):
     return s.select("language", "records", F.round("mean_score", 6).alias("mean_score"), F.round("median_score", 6).alias("median_score"))
 
 
+def i11_ranked_pii(spark, sf):
+    s = stats.ranked_pii(pii.detect(person_texts(spark, sf)).withColumn("dropped", F.lit(False)))
+    return s.select("type", "hits", F.round("hit_rate", 9).alias("hit_rate"))
+
+
 def i9_upper_median(spark, sf):
     return stats.upper_median(_n_chars(spark, sf))
 
@@ -663,7 +674,7 @@ NAMES = [
     a1_jsonl_extract, a1_read_jsonl, a2_read_json, a3_read_txt, a4_load_files, a7_ledger_antijoin, a8_head_sample, a10_nonempty, a11_dedup_job_files,
     c5_control_intent, c5_control_parity, c7_clean_text, c8_drop_counts, c9_normalize_ws, c10_remove_urls,
     c11_remove_emails, c12_cleaning_totals, c13_valid_rows, c14_project_ids, c15_size_report,
-    l1_detect, l2_detect_simple, l3_filter_by_language, l4_allow_list, l6_language_counts, l7_profile_counts, l7_profile,
+    l1_detect, l2_detect_simple, l3_filter_by_language, l4_allow_list, l5_confidence, l6_language_counts, l7_profile_counts, l7_profile,
     d1_content_hash, d2_exact_dedup, d3_shingle_counts, d4_signature_affine, d4_signature_sha1, d5_bucket_sizes,
     d6_candidates, d7_leader_similarity, d8_greedy_keep_first, d8_greedy_sha1, d11_filter_duplicates,
     d12_dedup_totals, d13_dedup_job, d14_inline_marking,
@@ -673,7 +684,7 @@ NAMES = [
     t7_encode_characters, t9_decode_characters, t10_token_totals,
     e1_jsonl_read_back, e2_shards, e3_shards_read_back, e10_mixture_read_back, e4_sample_sizes, e6_mixture_sample, e7_mixture_order, e8_mixture_metadata,
     i1_length_stats, i2_histogram, i3_drop_reasons, i4_language_stats, i5_language_box, i6_duplicate_stats,
-    i7_pii_hits, i8_summary, i9_upper_median, i11_ranked_languages, i12_headline,
+    i7_pii_hits, i8_summary, i9_upper_median, i11_ranked_languages, i11_ranked_pii, i12_headline,
     r1_process_exact, r2_full_run, r2_files_to_files, r2_report, r2_with_tokens, r3_stream_chunks, r4_clean_job,
 ]
 
