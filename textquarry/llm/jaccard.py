@@ -265,8 +265,26 @@ def _block_pairs(members: DataFrame, block: int, percent: int) -> DataFrame:
     return counted.filter(F.col("shared") >= least_shared(F.col("n"), F.col("m"), percent)).select("a", "b")
 
 
-def links(docs: DataFrame, ids: DataFrame, size: int, percent: int, common: np.ndarray) -> DataFrame:
-    """Links ``a, b`` between sets, enough of them to connect whatever all links connect.
+def _with_links(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """The components ``node, label`` after further links ``a, b``; written.
+
+    Only what the links connect is looked at: the components of their ends are the nodes of a graph.
+    """
+    ends = links
+    for side in ("a", "b"):
+        known = labels.select(F.col("node").alias(side), F.col("label").alias("of"))
+        ends = ends.join(known, side, "left").withColumn(side, F.coalesce("of", side)).drop("of")
+    moves = write_table(components(ends))
+    n = moves.count()
+    if not n:
+        return labels
+    moved = labels.join(size_checked(moves.select(F.col("node").alias("label"), F.col("label").alias("to")), n), "label", "left")
+    moved = moved.select("node", F.coalesce("to", "label").alias("label"))
+    return write_table(moved.unionByName(moves.join(labels, "node", "left_anti")))
+
+
+def linked_components(docs: DataFrame, ids: DataFrame, size: int, percent: int, common: np.ndarray) -> DataFrame:
+    """The components ``node, label`` of all sets that link with any.
 
     ``docs`` has ``doc_id, text``; ``ids`` one ``doc_id`` for each ``node``.
     """
@@ -284,20 +302,22 @@ def links(docs: DataFrame, ids: DataFrame, size: int, percent: int, common: np.n
 
     tried = _compare(_first_pairs(members, rows.select("node", "n"), percent), docs, ids, size, percent)
     tried = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "is_link")
+    labels = write_table(components(tried.filter("is_link").select("a", "b")))
     members, block = members.drop("head"), BLOCK_GROWTH
     while True:
-        found = tried.filter("is_link").select("a", "b")
-        labels = write_table(components(found).filter(F.col("node") != F.col("label")))
-        own = members.drop("label").join(size_checked(labels, labels.count()), "node", "left").withColumn("label", F.coalesce("label", "node"))
+        moved = labels.filter(F.col("node") != F.col("label"))
+        own = members.drop("label").join(size_checked(moved, moved.count()), "node", "left").withColumn("label", F.coalesce("label", "node"))
         mixed = own.groupBy("shingle").agg(F.min("label").alias("one"), F.max("label").alias("other")).filter(F.col("one") != F.col("other"))
         members = write_table(own.join(mixed.select("shingle"), "shingle", "left_semi"))
         largest = members.agg(F.max("columns")).first()[0]
         if largest is None:
-            return found
+            return labels
         pairs = _block_pairs(members, block, percent).join(tried.select("a", "b"), ["a", "b"], "left_anti")
-        tried = tried.unionByName(_compare(pairs, docs, ids, size, percent))
+        judged = _compare(pairs, docs, ids, size, percent)
+        labels = _with_links(labels, judged.filter("is_link").select("a", "b"))
         if block >= largest:
-            return tried.filter("is_link").select("a", "b")
+            return labels
+        tried = tried.unionByName(judged)
         block *= BLOCK_GROWTH
 
 
@@ -315,8 +335,8 @@ def classes(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, key: s
     found = rows.filter(F.col("node").isNotNull()).select("doc_id", "node", "n")
     nodes = write_table(found.filter((F.col("n") > 0) & F.col("doc_id").isNotNull()).groupBy("node").agg(F.min("doc_id").alias("doc_id")))
     common = shingle_filter(common_shingles(rows, COMMON), COMMON_BITS)
-    linked_nodes = components(links(docs.filter(F.col("doc_id").isNotNull()), nodes, size, percent, common))
-    labelled = nodes.join(write_table(linked_nodes), "node", "left").withColumn("label", F.coalesce("label", "node"))
+    linked_nodes = linked_components(docs.filter(F.col("doc_id").isNotNull()), nodes, size, percent, common)
+    labelled = nodes.join(linked_nodes, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = labelled.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     reached = write_table(labelled.join(least, "label").select("node", "component_id"))
     out = found.join(reached, "node", "left")
