@@ -23,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import write_table
@@ -255,6 +255,8 @@ def _block_pairs(members: DataFrame, block: int, percent: int) -> DataFrame:
     rows = members.withColumn("in_block", F.pmod(F.xxhash64("node"), F.col("columns")) < block)
     pairs = rows.filter("in_block").alias("l").join(rows.alias("r"), "shingle").filter(
         (F.col("l.label") != F.col("r.label"))
+        # Neither row shares more columns than it has left.
+        & (F.least("l.held", "r.held") >= least_shared(F.col("l.n"), F.col("r.n"), percent))
         # Each pair once for each column.
         & (~F.col("r.in_block") | (F.col("l.node") < F.col("r.node")))
         & _can_link(F.col("l.n"), F.col("l.place"), F.col("r.n"), F.col("r.place"), percent)
@@ -306,9 +308,11 @@ def linked_components(docs: DataFrame, ids: DataFrame, size: int, percent: int,
     members, block = members.drop("head"), BLOCK_GROWTH
     while True:
         moved = labels.filter(F.col("node") != F.col("label"))
-        own = members.drop("label").join(size_checked(moved, moved.count()), "node", "left").withColumn("label", F.coalesce("label", "node"))
+        own = members.drop("label", "held").join(size_checked(moved, moved.count()), "node", "left").withColumn("label", F.coalesce("label", "node"))
         mixed = own.groupBy("shingle").agg(F.min("label").alias("one"), F.max("label").alias("other")).filter(F.col("one") != F.col("other"))
-        members = write_table(own.join(mixed.select("shingle"), "shingle", "left_semi"))
+        left = own.join(mixed.select("shingle"), "shingle", "left_semi")
+        # As many rows as a prefix has columns at most.
+        members = write_table(left.withColumn("held", F.count(F.lit(1)).over(Window.partitionBy("node"))))
         largest = members.agg(F.max("columns")).first()[0]
         if largest is None:
             return labels
