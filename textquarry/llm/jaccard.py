@@ -33,10 +33,12 @@ from .graph import components
 SHINGLE = 5
 PERCENT = 80
 LOCAL_COMMON = 4  # times that a shingle must occur in a task to be counted as perhaps common
+LOCAL_SHINGLES = 4_000_000  # that a task counts at a time, 32 MB
 COMMON = 64  # documents in which a shingle counts as common
 COMMON_BITS = 1 << 22  # half a megabyte, whatever the size of the corpus
 SHARED_BITS = 1 << 23
 BLOCK_GROWTH = 8
+ARROW_BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
 BROADCAST_ROWS = 1_000_000  # of ids, about 16 MB
 
 
@@ -70,6 +72,19 @@ def prefix_size(n: int, percent: int) -> int:
 # passes over the texts
 
 
+def written(df: DataFrame) -> DataFrame:
+    """Written with small Arrow batches: rows hold one or two whole texts, and a worker holds a batch of them."""
+    conf = df.sparkSession.conf
+    before = {key: conf.get(key) for key in ARROW_BATCH}
+    try:
+        for key, value in ARROW_BATCH.items():
+            conf.set(key, value)
+        return write_table(df)
+    finally:
+        for key, value in before.items():
+            conf.set(key, value)
+
+
 def _texts(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
 
@@ -78,16 +93,25 @@ def digests(docs: DataFrame, size: int) -> DataFrame:
     """Per document ``doc_id, node, n``, and rows ``shingle, n`` of what a task has often."""
 
     def digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen, held = [], 0
         for batch in batches:
-            nodes, sizes, seen = [], [], []
+            nodes, sizes = [], []
             for _, shingles in shingle_sets(batch["text"].tolist(), size):
                 nodes.append(set_id(shingles))
                 sizes.append(len(shingles))
                 seen.append(shingles)
+                held += len(shingles)
+                if held >= LOCAL_SHINGLES:
+                    yield often(seen)
+                    seen, held = [], 0
             yield pd.DataFrame({"doc_id": batch["doc_id"], "node": nodes, "n": sizes, "shingle": None})
-            often, counts = np.unique(np.concatenate(seen), return_counts=True) if seen else (np.empty(0, np.uint64), np.empty(0, int))
-            often, counts = often[counts >= LOCAL_COMMON], counts[counts >= LOCAL_COMMON]
-            yield pd.DataFrame({"doc_id": None, "node": None, "n": counts, "shingle": often.astype(np.int64)})
+        if seen:
+            yield often(seen)
+
+    def often(seen: list[np.ndarray]) -> pd.DataFrame:
+        shingles, counts = np.unique(np.concatenate(seen), return_counts=True)
+        common = counts >= LOCAL_COMMON
+        return pd.DataFrame({"doc_id": None, "node": None, "n": counts[common], "shingle": shingles[common].astype(np.int64)})
 
     # Ids as text: a column of longs with nulls would come as floats.
     named = docs.withColumn("doc_id", F.col("doc_id").cast("string"))
@@ -233,7 +257,7 @@ def _compare(pairs: DataFrame, docs: DataFrame, ids: DataFrame, size: int, perce
     right = docs.join(size_checked(pairs.select("b", "doc_b").distinct(), n), F.col("doc_id") == F.col("doc_b"))
     rows = left.join(right.select("b", F.col("text").alias("right")), "b")
     judged = rows.select("a", "b", _links_of(size, percent)("a", "left", "b", "right").alias("is_link"))
-    return write_table(judged.groupBy("a", "b").agg(F.max("is_link").alias("is_link")))
+    return written(judged.groupBy("a", "b").agg(F.max("is_link").alias("is_link")))
 
 
 def _can_link(n: Column, at: Column, m: Column, place: Column, percent: int) -> Column:
@@ -295,7 +319,7 @@ def linked_components(docs: DataFrame, ids: DataFrame, size: int, percent: int,
         rows = prefixes(docs.join(F.broadcast(ids.select("doc_id")), "doc_id", "left_semi"), size, percent, common)
     else:
         rows = prefixes(docs, size, percent, common).dropDuplicates(["node"])
-    rows = write_table(rows)
+    rows = written(rows)
     # Rows of a column are counted before the shuffle; columns of one row are dropped.
     entries = rows.select("node", F.explode("prefix").alias("shingle"))
     heads = entries.groupBy("shingle").agg(F.count(F.lit(1)).alias("columns"), F.min("node").alias("head"))
@@ -335,7 +359,7 @@ def classes(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, key: s
     rows give a row each; other columns are ignored; an empty table gives no rows.
     """
     docs = _texts(docs, key, text)
-    rows = write_table(digests(docs, size))
+    rows = written(digests(docs, size))
     found = rows.filter(F.col("node").isNotNull()).select("doc_id", "node", "n")
     nodes = write_table(found.filter((F.col("n") > 0) & F.col("doc_id").isNotNull()).groupBy("node").agg(F.min("doc_id").alias("doc_id")))
     common = shingle_filter(common_shingles(rows, COMMON), COMMON_BITS)
