@@ -113,9 +113,9 @@ def fit_view(view: View, rows: list[np.ndarray], y: np.ndarray, n_features: int,
     many that hardly differ; features of the other view, which are few, are worth the same.  Those
     that fewer than ``LEAST_DOCUMENTS`` of the rows have keep the weight 0.
     """
-    places, of = np.concatenate(rows), np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    often = np.bincount(places, minlength=n_features)
-    ones = np.bincount(places, weights=y[of], minlength=n_features)
+    sizes = [len(r) for r in rows]
+    often = np.bincount(np.concatenate(rows), minlength=n_features)
+    ones = np.bincount(np.concatenate(rows), weights=np.repeat(y, sizes), minlength=n_features)
     total = max(1.0, y.sum())
     worth = np.abs(np.log((ones + 0.5) / (total + 1)) - np.log((often - ones + 0.5) / (len(y) - total + 1)))
     worth = np.where(often >= LEAST_DOCUMENTS, worth if view.edges is None else 1.0, 0.0)
@@ -255,7 +255,7 @@ def train(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS) -> dict[str,
     numbers = np.array(found["numbers"].tolist()).reshape(len(found), NUMBERS)
     edges = np.quantile(numbers, np.arange(1, BINS) / BINS, axis=0).T if len(found) else np.zeros((NUMBERS, BINS - 1))
     page = View(edges=edges)
-    words = [np.asarray(w, dtype=np.int64) for w in found["words"]]
+    words = [np.asarray(w, dtype=np.int32) for w in found.pop("words")]
     pages = [page.active(None, n, (s, g)) for n, s, g in zip(numbers, found["source"], found["lang"])]
     # A hash puts the labelled documents in an order that has nothing to do with their ids.
     order = np.argsort([zlib.crc32(str(i).encode()) for i in found["doc_id"]], kind="stable")
