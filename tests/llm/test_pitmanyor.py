@@ -3,6 +3,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from textquarry.llm import pitmanyor as P
 from textquarry.llm import queries
@@ -98,3 +99,59 @@ def test_words_sum_to_one_and_beat_the_base_score(spark, sf):
     known = {bytes(r["word"]): math.exp(r["log_p"]) for r in learned.collect()}
     assert (n, v) == (11, 4) and abs(sum(known.values()) + math.exp(others) - 1) < 1e-9
     assert known[b"a"] > known[b"ab"] > known[b"b"] > 0
+
+
+def test_word_order_counts(spark):
+    rows = [(i, "the cat sat on the mat and the dog sat on the rug", True) for i in range(40)]
+    rows += [(100, "the dog sat on the mat", False), (101, "mat the on sat dog the", False), (102, "dog", False), (103, "cat", False)]
+    df = spark.createDataFrame([(d, t, k, not k, "x", "y") for d, t, k in rows], SCHEMA).repartition(3)
+    got = {r["doc_id"]: r for r in P.scores(df, df["train"], df["held_out"]).collect()}
+    assert got[100]["base_score"] - got[101]["base_score"] < 1e-9 and got[100]["score"] > got[101]["score"] + 3
+
+
+def test_scores_follow_the_seating_of_pairs(spark):
+    """Seatings as collected: tables and customers of each context add up, and scores are those of plain Python."""
+    rows = [(i, text, True) for i, text in enumerate(["a b a b c", "b a d", "a b", "", "c a b d", "B É a"] * 5)]
+    rows += [(100, "a b d new b", False), (101, "c d a", False), (102, "new", False)]
+    df = spark.createDataFrame([(d, t, k, not k, "x", "y") for d, t, k in rows], SCHEMA).repartition(3)
+    docs = df.select(F.col("doc_id"), "train", "held_out", "text")
+    bags = P.bags_of_pairs(docs, 5)
+    words = bags.filter("n > 0").groupBy("word").agg(F.sum("n").alias("c"))
+    pairs = P.Pairs(bags, 7)
+    learned, others = P._sampled(words, 1, 2, 7, pairs)
+    known = {bytes(r["word"]): r for r in learned.collect()}
+    named = {(r["bucket"], r["place"]): bytes(r["word"]) for r in pairs.words.collect()}
+    seated = {}
+    for r in pairs.state.collect():
+        first, second, c, t, samples = P._unpack(r["packed"])
+        for i, (a, b) in enumerate(zip(first, second)):
+            seated[named[r["bucket"], a], named[r["bucket"], b]] = (int(c[i]), [int(x[i]) for x in (*samples, t)])
+    plain = Counter()
+    for _, text, train in rows:
+        own = tokens(text)
+        plain.update(zip([P.END, *own], own) if train else [])
+    assert {k: v[0] for k, v in seated.items()} == plain
+
+    def probability(u, w, k):
+        own, tables = seated.get((u, w), (0, [0, 0]))
+        size, held = (known[u]["c"], known[u][f"held{k}"]) if u in known else (0, 0)
+        parent = known[w][f"p{k}"] if w in known else others[k]
+        return (own - pairs.d * tables[k] + (P.STRENGTH + pairs.d * held) * parent) / (P.STRENGTH + size)
+
+    for k in range(2):
+        assert abs(sum(r[f"p{k}"] for r in known.values()) + others[k] - 1) < 1e-9
+        for u in (*known, b"new"):
+            assert abs(sum(probability(u, w, k) for w in (*known, b"new")) - 1) < 1e-9
+    n, v = sum(r["c"] for r in known.values()), len(known)
+    got = {r["doc_id"]: r["score"] for r in P._scored(bags, pairs, learned, others, n, v).collect()}
+    for doc_id, text, _ in rows:
+        own = tokens(text)
+        want = sum(math.log10((probability(u, w, 0) + probability(u, w, 1)) / 2) for u, w in zip([P.END, *own], own))
+        assert abs(got[str(doc_id)] - want) < 1e-9
+
+
+def test_whole_characters_in_spelling_contexts():
+    """Letters with equal low bits are different contexts, also two and three characters before."""
+    for one, other in ((b"abc", b"qbc"), (b"xab", b"xqb")):
+        a, q = P.spelled([one])[0], P.spelled([other])[0]
+        assert (a[3] != q[3]) and a.max() < P._BEFORE**3

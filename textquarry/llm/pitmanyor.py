@@ -1,28 +1,33 @@
 """Language-model scores by a hierarchical Pitman-Yor process.
 
-Words are drawn from a restaurant whose dishes are spelled by restaurants of characters: the
-one for a context of three characters shares its parent, that of two, with its siblings, and so
-on down to a uniform choice.  A word's customers are its training tokens, its tables are the
-customers that its spelling sends to the character restaurants, and their tables in turn are
-the customers of their parents.  Seatings are sampled by Gibbs: each sweep reseats the customers
-of every dish by the Chinese restaurant rule, given the predictive probability of its parent and
-the tables of its restaurant from the sweep before.  Predictive probabilities are averaged over
-the sweeps that follow the burn-in.  Words that training has not seen are one outcome: what the
-dishes seen leave over.
-
-The words are a distributed table, with one row for each distinct word of the corpus.  The
+Each word is drawn from the restaurant of the word before it.  Those restaurants share one parent,
+that of words without context, whose dishes are spelled by restaurants of characters: the one for
+a context of three characters shares its parent, that of two, with its siblings, and so on down to
+a uniform choice.  Customers of a word after another are the training tokens; the tables of all
+contexts are the customers of the words, and the customers that their spellings send to the
+character restaurants are the tables of the words.  A text starts after the token that ends texts.
+Seatings are sampled by Gibbs: each sweep reseats the customers of every dish by the Chinese
+restaurant rule, given the predictive probability of its parent and the tables of its restaurant
+from the sweep before.  Predictive probabilities are averaged over the sweeps that follow the
+burn-in.  Words that training has not seen are one outcome: what the dishes seen leave over.
+
+The words are a distributed table, with one row for each distinct word of the corpus.  Pairs of a
+word and the one before are dealt by both into buckets, which ask the table for the probabilities
+of their words and the tables of their contexts, and answer with the tables of their pairs.  The
 character restaurants have a size that the alphabet of bytes bounds, whatever the corpus, and
-are seated on the driver.  Texts are read once: chunks of documents are written as bags of words
-coded by a dictionary of their own, the dictionaries are joined with the words, and what comes
-back to a chunk are the counts and probabilities of its words.
+are seated on the driver.  Texts are read once: chunks of documents are written as bags of pairs
+coded by a dictionary of their own, and what comes back to a chunk are the seatings of its pairs
+and the counts and probabilities of its words.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections import Counter
+import zlib
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import count
 
 import numpy as np
 import pandas as pd
@@ -32,14 +37,15 @@ from pyspark.sql import functions as F
 from ..session import write_table
 
 CHUNK_BYTES = 1 << 24
+BUCKET_BYTES = 1 << 26  # of text for each bucket of pairs
+LEAST_BUCKETS = 12
 BURN_IN = 1
 SAMPLES = 3
 SMOOTHING = 0.1  # of the base score
 END = b""  # the token that ends a text; no word is empty
 SYMBOLS = 257  # bytes and the end of a word
 _START, _STOP = 257, 256
-# The character before is a context as it is, those before that by class: letters by their low bits.
-_CLASSES = (1, 258, 32, 16)
+_BEFORE = 258  # characters that can stand before another: bytes, the end and the start of a word
 STRENGTH = 1.0  # concentration of all restaurants
 EXACT_SEATS = 48  # customers of a dish that are seated one by one; further ones in growing groups
 LEVELS = 4
@@ -95,7 +101,7 @@ class Spelling:
             known, place = _look_up(self.contexts[level], context[missing])
             weight = np.ones(len(missing))
             weight[known] = self.back_off[level][place[known]]
-            out[missing] = weight * self.probability(level - 1, context[missing] // _CLASSES[level], symbol[missing])
+            out[missing] = weight * self.probability(level - 1, context[missing] // _BEFORE, symbol[missing])
         return out
 
 
@@ -116,13 +122,13 @@ def seat_spelling(keys: np.ndarray, customers: np.ndarray, before: Spelling | No
         if before is None:
             parent, held = np.full(len(keys), 1.0 / SYMBOLS), np.bincount(own, minlength=len(contexts)).astype(float)
         else:
-            parent = before.probability(level - 1, context // _CLASSES[level], symbol)
+            parent = before.probability(level - 1, context // _BEFORE, symbol)
             known, at = _look_up(before.contexts[level], contexts)
             held = np.where(known, tables_before[level][at] if len(tables_before[level]) else 0, 0)
         tables = seat(customers, (STRENGTH + d * held[own]) * parent, d, rng)
         levels.append((keys, customers, tables, contexts, own, d))
         # The tables of siblings are the customers of their parent.
-        up = (context // _CLASSES[level]) * SYMBOLS + symbol
+        up = (context // _BEFORE) * SYMBOLS + symbol
         keys, place = np.unique(up, return_inverse=True)
         customers = np.bincount(place, weights=tables, minlength=len(keys)).astype(np.int64)
     spelling, held = Spelling([], [], [], []), []
@@ -130,7 +136,7 @@ def seat_spelling(keys: np.ndarray, customers: np.ndarray, before: Spelling | No
         total = STRENGTH + np.bincount(own, weights=customers, minlength=len(contexts))
         all_tables = np.bincount(own, weights=tables, minlength=len(contexts))
         back_off = (STRENGTH + d * all_tables) / total
-        parent = spelling.probability(level - 1, (keys // SYMBOLS) // _CLASSES[level], keys % SYMBOLS)
+        parent = spelling.probability(level - 1, (keys // SYMBOLS) // _BEFORE, keys % SYMBOLS)
         spelling.keys.append(keys)
         spelling.probabilities.append((customers - d * tables) / total[own] + back_off[own] * parent)
         spelling.contexts.append(contexts)
@@ -155,8 +161,7 @@ def spelled(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
     context = before(1)
     for level in range(2, LEVELS):
-        far = before(level)
-        context = context * _CLASSES[level] + np.where(far == _START, 0, far % _CLASSES[level])
+        context = context * _BEFORE + before(level)
     return context, symbols, starts
 
 
@@ -169,11 +174,12 @@ def log_spelling(model: Spelling, words: list[bytes]) -> np.ndarray:
 # texts
 
 
-def bags_of_words(docs: DataFrame) -> DataFrame:
-    """Chunks of documents as bags of words, and the dictionary of each chunk; written.
+def bags_of_pairs(docs: DataFrame, buckets: int) -> DataFrame:
+    """Chunks of documents as bags of pairs of words, and the dictionary and pairs of each chunk; written.
 
     ``docs`` has ``doc_id, train, held_out, text``.  Rows with a ``word`` are entries of a dictionary
-    with their training tokens, rows with ``docs`` are chunks.
+    with their training tokens, rows with a ``bucket`` the pairs of a chunk that belong there, and the
+    others are chunks.
     """
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -182,44 +188,76 @@ def bags_of_words(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for doc_id, train, out, text in zip(batch["doc_id"], batch["train"], batch["held_out"], batch["text"]):
                 raw = (text or "").encode()
-                held.append((doc_id, bool(train), bool(out), Counter(raw.lower().split())))
+                held.append((doc_id, bool(train), bool(out), raw.lower().split()))
                 size += len(raw)
                 if size >= CHUNK_BYTES:
-                    yield from _chunk(held)
+                    yield from _chunk(held, buckets)
                     held, size = [], 0
         if held:
-            yield from _chunk(held)
+            yield from _chunk(held, buckets)
 
-    schema = "chunk long, place int, word binary, n long, docs binary"
+    schema = "chunk long, place int, word binary, n long, bucket int, packed binary"
     # Ids as text: a column of longs with nulls would come as floats.
     return write_table(docs.withColumn("doc_id", F.col("doc_id").cast("string")).mapInPandas(read, schema))
 
 
-def _chunk(held: list[tuple]) -> Iterator[pd.DataFrame]:
+def _bucket_of(words: list[bytes], before: np.ndarray, after: np.ndarray, buckets: int) -> np.ndarray:
+    """Pairs are dealt by both words, so that no context is in one bucket as a whole."""
+    first = np.fromiter((zlib.crc32(w) for w in words), dtype=np.uint64, count=len(words))
+    second = np.fromiter((zlib.crc32(w, 1) for w in words), dtype=np.uint64, count=len(words))
+    mixed = (first[before] * np.uint64(0x9E3779B97F4A7C15)) ^ (second[after] * np.uint64(0xC2B2AE3D27D4EB4F))
+    return ((mixed >> np.uint64(33)) % np.uint64(buckets)).astype(np.int64)
+
+
+def _chunk(held: list[tuple], buckets: int) -> Iterator[pd.DataFrame]:
+    chunk = uuid.uuid4().int >> 65
+    numbers: defaultdict[bytes, int] = defaultdict(count().__next__)
+    end = numbers[END]
+    tokens = [np.fromiter(map(numbers.__getitem__, row[3]), dtype=np.int64, count=len(row[3])) for row in held]
+    # Words in their order, so that pairs are in the same order everywhere.
+    words = sorted(numbers)
+    place = np.empty(len(words), dtype=np.int64)
+    place[np.fromiter((numbers[w] for w in words), dtype=np.int64, count=len(words))] = np.arange(len(words))
+    ends = np.cumsum([len(t) + 1 for t in tokens])
+    after = np.full(ends[-1], end)
+    inside = np.ones(len(after), dtype=bool)
+    inside[ends - 1] = False
+    after[inside] = np.concatenate(tokens)
+    after = place[after]
+    before = np.concatenate([[place[end]], after[:-1]])
+    of_doc = np.repeat(np.arange(len(held)), np.diff(ends, prepend=0))
+    trained = np.array([row[1] for row in held])[of_doc]
+    n = np.bincount(after[trained], minlength=len(words))
+    yield pd.DataFrame({"chunk": chunk, "place": np.arange(len(words), dtype=np.int32), "word": words, "n": n, "bucket": None, "packed": None})
+
+    codes, pair = np.unique(before * len(words) + after, return_inverse=True)
+    first, second = codes // len(words), codes % len(words)
+    times = np.bincount(pair[trained], minlength=len(codes))
+    bucket = _bucket_of(words, first, second, buckets)
+    for b in np.unique(bucket):
+        own = np.flatnonzero(bucket == b)
+        used, at = np.unique(np.concatenate([first[own], second[own]]), return_inverse=True)
+        at = at.astype(np.uint32)
+        content = ([words[w] for w in used], np.diff(at[: len(own)], prepend=np.uint32(0)), at[len(own) :], times[own].astype(np.uint32))
+        yield pd.DataFrame({"chunk": [chunk], "place": None, "word": None, "n": None, "bucket": [b], "packed": [_pack(content)]})
+
+    bags, repeats = np.unique(of_doc * len(codes) + pair, return_counts=True)
+    sizes = np.bincount(bags // len(codes), minlength=len(held)).astype(np.uint32)
+    # Differences are small numbers, which compress; a document's first place counts from the last one of that before.
+    steps = np.diff((bags % len(codes)).astype(np.int32), prepend=np.int32(0))
+    content = (
+        [row[0] for row in held], np.array([row[2] for row in held]), sizes, steps, repeats.astype(np.uint32),
+        np.diff(first.astype(np.uint32), prepend=np.uint32(0)), second.astype(np.uint32), int(place[end]), bucket.astype(np.uint16 if buckets < 1 << 16 else np.uint32),
+    )
+    yield pd.DataFrame({"chunk": [chunk], "place": None, "word": None, "n": None, "bucket": None, "packed": [_pack(content)]})
+
+
+def _pack(content: tuple) -> bytes:
     import pickle
 
     import zstandard
 
-    chunk = uuid.uuid4().int >> 65
-    places: dict[bytes, int] = {END: 0}
-    trained = Counter()
-    rows = []
-    for doc_id, train, out, bag in held:
-        own = np.fromiter((places.setdefault(w, len(places)) for w in bag), dtype=np.uint32, count=len(bag))
-        times = np.fromiter(bag.values(), dtype=np.uint32, count=len(bag))
-        order = np.argsort(own)
-        # Differences are small numbers, which compress.
-        rows.append((doc_id, out, np.diff(own[order], prepend=np.uint32(0)), times[order]))
-        if train:
-            trained.update(bag)
-            trained[END] += 1
-    words = list(places)
-    yield pd.DataFrame({"chunk": chunk, "place": np.arange(len(words), dtype=np.int32), "word": words, "n": [trained[w] for w in words], "docs": None})
-    ids, outs = [r[0] for r in rows], np.array([r[1] for r in rows])
-    sizes = np.array([len(r[2]) for r in rows], dtype=np.uint32)
-    columns = (ids, outs, sizes, np.concatenate([r[2] for r in rows]), np.concatenate([r[3] for r in rows]))
-    packed = zstandard.ZstdCompressor(level=1).compress(pickle.dumps(columns, protocol=5))
-    yield pd.DataFrame({"chunk": [chunk], "place": [None], "word": [None], "n": [None], "docs": [packed]})
+    return zstandard.ZstdCompressor(level=1).compress(pickle.dumps(content, protocol=5))
 
 
 def _unpack(packed: bytes) -> tuple:
@@ -230,6 +268,129 @@ def _unpack(packed: bytes) -> tuple:
     return pickle.loads(zstandard.ZstdDecompressor().decompress(packed))
 
 
+# --------------------------------------------------------------------------
+# pairs
+
+
+PAIRS = "bucket int, place int, word binary, as_word long, as_context long, chunk long, packed binary, one long, two long"
+
+
+def _merge(bags: pd.DataFrame) -> Iterator[pd.DataFrame]:
+    """The pairs of a bucket that training has, their dictionary with one table each, and where each chunk's pairs are."""
+    bucket = bags["bucket"].iat[0]
+    parts = [_unpack(p) for p in bags["packed"]]
+    words = sorted(set().union(*(p[0] for p in parts)))
+    at = {w: i for i, w in enumerate(words)}
+    coded = []
+    for own, first, second, _ in parts:
+        place = np.fromiter(map(at.__getitem__, own), dtype=np.int64, count=len(own))
+        coded.append(place[np.cumsum(first.astype(np.int64))] * len(words) + place[second])
+    codes, pair = np.unique(np.concatenate(coded), return_inverse=True)
+    c = np.bincount(pair, weights=np.concatenate([p[3] for p in parts]), minlength=len(codes)).astype(np.int64)
+    seen = c > 0
+    number = np.cumsum(seen) - 1
+    first, second, c = codes[seen] // len(words), codes[seen] % len(words), c[seen]
+    used, at = np.unique(np.concatenate([first, second]), return_inverse=True)
+    first, second = at[: len(c)], at[len(c) :]
+    start = 0
+    for chunk, part in zip(bags["chunk"], coded):
+        own = pair[start : start + len(part)]
+        start += len(part)
+        content = (seen[own], np.diff(number[own[seen[own]]].astype(np.uint32), prepend=np.uint32(0)))
+        yield _pair_rows(bucket, chunk=[chunk], packed=[_pack(content)])
+    yield _pair_rows(bucket, packed=[_pack_pairs(first, second, c, np.ones(len(c), dtype=np.int64), [])], one=[(c == 1).sum()], two=[(c == 2).sum()])
+    yield _pair_rows(
+        bucket,
+        place=np.arange(len(used), dtype=np.int32),
+        word=[words[w] for w in used],
+        as_word=np.bincount(second, minlength=len(used)),
+        as_context=np.bincount(first, minlength=len(used)),
+    )
+
+
+def _pair_rows(bucket: int, **columns) -> pd.DataFrame:
+    size = len(next(iter(columns.values())))
+    return pd.DataFrame({**{c.split()[0]: None for c in PAIRS.split(", ")}, "bucket": np.full(size, bucket), **columns})
+
+
+def _pack_pairs(first, second, c, t, samples) -> bytes:
+    return _pack((first.astype(np.uint32), second.astype(np.uint32), c.astype(np.uint32), t.astype(np.uint32), samples))
+
+
+class Pairs:
+    """Restaurants of words after another word, in buckets."""
+
+    def __init__(self, bags: DataFrame, seed: int):
+        merged = bags.filter(F.col("bucket").isNotNull()).select("chunk", "bucket", "packed")
+        table = write_table(merged.groupBy("bucket").applyInPandas(_stacked(_merge), PAIRS))
+        self.chunks = table.filter("chunk IS NOT NULL").select("bucket", "chunk", "packed")
+        self.words = table.filter("word IS NOT NULL").select("bucket", "place", "word")
+        self.state = table.filter("chunk IS NULL AND packed IS NOT NULL").select("bucket", "packed")
+        self.sums = table.filter("word IS NOT NULL").select("word", "as_word", "as_context")
+        one, two = table.agg(F.sum("one"), F.sum("two")).first()
+        self.d = float(np.clip(one / (one + 2 * two), 0.05, 0.95)) if one else 0.5
+        self.seed = seed
+
+    def customers(self) -> DataFrame:
+        """Tables of each word in all contexts, and of the context that it is."""
+        return self.sums.groupBy("word").agg(F.sum("as_word").alias("c"), F.sum("as_context").alias("held"))
+
+    def reseat(self, table: DataFrame, sweep: int, sample: bool) -> None:
+        """Given the probabilities ``p`` of all words and the tables ``held`` of all contexts; keeps the seating before as a sample."""
+        d, seed = self.d, self.seed
+
+        def seat_bucket(state: pd.DataFrame, words: pd.DataFrame) -> Iterator[pd.DataFrame]:
+            bucket = state["bucket"].iat[0]
+            first, second, c, t, samples = _unpack(state["packed"].iat[0])
+            p, held = np.empty(len(words)), np.empty(len(words))
+            at = words["place"].to_numpy()
+            p[at], held[at] = words["p"], words["held"]
+            if sample:
+                samples = [*samples, t]
+            rng = np.random.default_rng([seed, 1, sweep, bucket])
+            t = seat(c.astype(np.int64), (STRENGTH + d * held[first]) * p[second], d, rng)
+            yield _pair_rows(bucket, packed=[_pack_pairs(first, second, c, t, samples)])
+            as_word, as_context = (np.bincount(side, weights=t, minlength=len(p)).astype(np.int64)[at] for side in (second, first))
+            yield _pair_rows(bucket, word=words["word"], as_word=as_word, as_context=as_context)
+
+        values = self.words.withColumnRenamed("bucket", "of").join(table.select("word", "p", "held"), "word")
+        seated = self.state.groupBy("bucket").cogroup(values.groupBy("of")).applyInPandas(_stacked(seat_bucket), PAIRS)
+        swept = write_table(seated.select("bucket", "word", "as_word", "as_context", "packed"))
+        self.state = swept.filter("packed IS NOT NULL").select("bucket", "packed")
+        self.sums = swept.filter("word IS NOT NULL").select("word", "as_word", "as_context")
+
+    def back_to_chunks(self) -> DataFrame:
+        """For the pairs of each chunk and bucket in their order: the customers, and the tables in each sample."""
+
+        def answer(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
+            bucket = rows["bucket"].iat[0]
+            state = rows["chunk"].isna()
+            _, _, c, t, samples = _unpack(rows.loc[state, "packed"].iat[0])
+            for chunk, packed in rows.loc[~state, ["chunk", "packed"]].itertuples(index=False):
+                seen, steps = _unpack(packed)
+                own = np.cumsum(steps.astype(np.int64))
+                every = []
+                for values in (c, *samples, t):
+                    every.append(np.zeros(len(seen), dtype=np.uint32))
+                    every[-1][seen] = values[own]
+                yield pd.DataFrame({"chunk": [chunk], "bucket": [bucket], "packed": [_pack(tuple(every))]})
+
+        # Chunks as text: a column of longs with nulls would come as floats.
+        rows = self.chunks.withColumn("chunk", F.col("chunk").cast("string"))
+        rows = rows.unionByName(self.state.withColumn("chunk", F.lit(None).cast("string")))
+        back = rows.groupBy("bucket").applyInPandas(_stacked(answer), "chunk string, bucket int, packed binary")
+        return back.withColumn("chunk", F.col("chunk").cast("long"))
+
+
+def _stacked(parts):
+    """A function that returns in one frame what the given one yields."""
+    import inspect
+
+    if len(inspect.signature(parts).parameters) == 1:
+        return lambda rows: pd.concat(list(parts(rows)), ignore_index=True)
+    return lambda left, right: pd.concat(list(parts(left, right)), ignore_index=True)
+
+
 # --------------------------------------------------------------------------
 # sweeps
 
@@ -241,73 +402,151 @@ class WordRestaurant:
     d: float
 
 
-SWEPT = "word binary, c long, t long, log_sum double, key long, share double"
+def _word_restaurant(table: DataFrame) -> WordRestaurant:
+    n, t, one, two = table.agg(
+        F.coalesce(F.sum("c"), F.lit(0)), F.coalesce(F.sum("t"), F.lit(0)), F.count(F.when(F.col("c") == 1, 1)), F.count(F.when(F.col("c") == 2, 1))
+    ).first()
+    return WordRestaurant(n, t, float(np.clip(one / (one + 2 * two), 0.05, 0.95)) if one else 0.5)
 
 
-def _sweep(spark: SparkSession, words: DataFrame, model: Spelling | None, root: WordRestaurant, sweep: int, sample: bool, seed: int) -> DataFrame:
-    """Adds the current predictive probabilities to the average and reseats all words; written.
+def _predict(table: DataFrame, model: Spelling, root: WordRestaurant) -> DataFrame:
+    """Adds the ``base`` of each word, the log of its spelling, and its present probability ``p``; written."""
+    known = table.sparkSession.sparkContext.broadcast((model, root))
+    kept = table.drop("base", "p")
+
+    def predict(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        model, root = known.value
+        total = STRENGTH + root.customers
+        new_table = STRENGTH + root.d * root.tables
+        for batch in batches:
+            for start in range(0, len(batch), 20_000):
+                rows = batch.iloc[start : start + 20_000].copy()
+                rows["base"] = log_spelling(model, rows["word"].tolist())
+                rows["p"] = (rows["c"] - root.d * rows["t"] + new_table * np.exp(rows["base"])) / total
+                yield rows
+
+    schema = ", ".join(f"{name} {kind}" for name, kind in kept.dtypes) + ", base double, p double"
+    return write_table(kept.mapInPandas(predict, schema))
+
+
+def _reseat(table: DataFrame, root: WordRestaurant, sweep: int, seed: int) -> DataFrame:
+    """Reseats all words; written.
 
     Rows with a ``word`` are words.  The others sum up, by context and symbol, the tables of their
-    characters, and without a key the share of the base distribution that all words have.
-    Without a model, which is how it starts, each word gets one table.
+    characters.  Without ``base``, which is how it starts, each word gets one table.
     """
-    known = spark.sparkContext.broadcast((model, root))
+    first = "base" not in table.columns
+    names = table.columns
 
     def reseat(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
 
-        model, root = known.value
         rng = np.random.default_rng([seed, sweep, TaskContext.get().partitionId()])
-        keys, sums, share = np.empty(0, dtype=np.int64), np.empty(0), 0.0
-        total = STRENGTH + root.customers
+        keys, sums = np.empty(0, dtype=np.int64), np.empty(0)
         new_table = STRENGTH + root.d * root.tables
         for batch in batches:
             for start in range(0, len(batch), 20_000):
                 rows = batch.iloc[start : start + 20_000].copy()
-                words, c, t = rows["word"].tolist(), rows["c"].to_numpy(), rows["t"].to_numpy()
-                if model is None:
-                    t = np.ones(len(c), dtype=np.int64)
-                else:
-                    base = log_spelling(model, words)
-                    share += float(np.exp(base).sum())
-                    if sample:
-                        now = np.logaddexp(np.log((c - root.d * t) / total), np.log(new_table / total) + base)
-                        rows["log_sum"] = np.logaddexp(rows["log_sum"].to_numpy(), now)
-                    t = seat(c, new_table * np.exp(base), root.d, rng)
-                rows["t"], rows["key"], rows["share"] = t, None, None
+                words, c = rows["word"].tolist(), rows["c"].to_numpy()
+                t = np.ones(len(c), dtype=np.int64) if first else seat(c, new_table * np.exp(rows["base"].to_numpy()), root.d, rng)
+                rows["t"], rows["key"] = t, None
                 yield rows
                 context, symbols, starts = spelled(words)
                 sizes = np.diff(np.append(starts, len(symbols)))
                 keys, place = np.unique(np.concatenate([keys, context * SYMBOLS + symbols]), return_inverse=True)
                 sums = np.bincount(place, weights=np.concatenate([sums, np.repeat(t, sizes)]), minlength=len(keys))
-        yield pd.DataFrame({"word": None, "c": None, "t": sums.astype(np.int64), "log_sum": None, "key": keys, "share": None})
-        yield pd.DataFrame({"word": [None], "c": None, "t": None, "log_sum": None, "key": None, "share": share})
+        yield pd.DataFrame({**{name: None for name in names}, "t": sums.astype(np.int64), "key": keys})
 
-    return write_table(words.select("word", "c", "t", "log_sum").mapInPandas(reseat, SWEPT))
+    schema = ", ".join(f"{name} {kind}" for name, kind in table.dtypes if name != "t") + ", t long, key long"
+    return write_table(table.mapInPandas(reseat, schema))
 
 
-def learn(words: DataFrame, burn_in: int, samples: int, seed: int) -> tuple[DataFrame, int, int, float]:
-    """From ``word, c``, all ``c`` above 0: ``word, c, log_p``, the tokens, the words, and the log of what is left for others."""
-    spark = words.sparkSession
-    n, v, one, two = words.agg(
-        F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1)), F.count(F.when(F.col("c") == 1, 1)), F.count(F.when(F.col("c") == 2, 1))
-    ).first()
-    d = float(np.clip(one / (one + 2 * two), 0.05, 0.95)) if one else 0.5
+def _sampled(words: DataFrame, burn_in: int, samples: int, seed: int, pairs: Pairs | None = None) -> tuple[DataFrame, list[float]]:
+    """From ``word, c``, all ``c`` above 0: ``word, c``, and by sample ``p`` and ``held``; by sample, what is left for other words.
+
+    The customers of words are the tables of ``pairs``, and their tokens where there are none.
+    """
     rng = np.random.default_rng(seed)
-    table = words.withColumns({"t": F.lit(0).cast("long"), "log_sum": F.lit(float("-inf"))})
-    model, held, tables, others = None, [], 0, []
-    for sweep in range(1 + burn_in + samples):
-        swept = _sweep(spark, table, model, WordRestaurant(n, tables, d), sweep, sweep > burn_in, seed)
-        if sweep > burn_in:
-            share = swept.filter("share IS NOT NULL").agg(F.coalesce(F.sum("share"), F.lit(0.0))).first()[0]
-            others.append((STRENGTH + d * tables) / (STRENGTH + n) * max(1e-12, 1 - share))
+
+    def with_customers(table: DataFrame) -> DataFrame:
+        if pairs is None:
+            return table.withColumns({"c": F.col("tokens"), "held": F.lit(0).cast("long")})
+        return table.drop("c", "held").join(pairs.customers(), "word")
+
+    table = with_customers(words.select("word", F.col("c").alias("tokens"))).withColumn("t", F.lit(0).cast("long"))
+    root, model, tables, others = WordRestaurant(0, 0, 0.5), None, [], []
+    for sweep in range(burn_in + samples):
+        swept = _reseat(table, root, sweep, seed)
         # As many rows as there are contexts and symbols, not words.
         counts = swept.filter("key IS NOT NULL").groupBy("key").agg(F.sum("t").alias("t")).orderBy("key").toPandas()
-        table = swept.filter("word IS NOT NULL")
-        tables = table.agg(F.coalesce(F.sum("t"), F.lit(0))).first()[0]
-        model, held = seat_spelling(counts["key"].to_numpy(dtype=np.int64), counts["t"].to_numpy(dtype=np.int64), model, held, rng)
-    learned = table.select("word", "c", (F.col("log_sum") - F.log(F.lit(float(samples)))).alias("log_p"))
-    return learned, n, v, float(np.log(np.mean(others)))
+        table = swept.filter("word IS NOT NULL").drop("key")
+        model, tables = seat_spelling(counts["key"].to_numpy(dtype=np.int64), counts["t"].to_numpy(dtype=np.int64), model, tables, rng)
+        root = _word_restaurant(table)
+        table = _predict(table, model, root)
+        if sample := sweep >= burn_in:
+            share = table.agg(F.coalesce(F.sum(F.exp("base")), F.lit(0.0))).first()[0]
+            others.append((STRENGTH + root.d * root.tables) / (STRENGTH + root.customers) * max(1e-12, 1 - share))
+            at = sweep - burn_in
+            table = table.withColumns({f"p{at}": F.col("p"), f"held{at}": F.col("held")})
+        if sweep < burn_in + samples - 1:
+            if pairs is not None:
+                pairs.reseat(table, sweep, sample)
+            table = write_table(with_customers(table))
+            root = _word_restaurant(table)
+    return table.select("word", F.col("tokens").alias("c"), *[f"{x}{k}" for x in ("p", "held") for k in range(samples)]), others
+
+
+def learn(words: DataFrame, burn_in: int, samples: int, seed: int) -> tuple[DataFrame, int, int, float]:
+    """The words without context: ``word, c, log_p``, the tokens, the words, and the log of what is left for others."""
+    n, v = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
+    sampled, others = _sampled(words, burn_in, samples, seed)
+    mean = sum(F.col(f"p{k}") for k in range(samples)) / samples
+    return sampled.select("word", "c", F.log(mean).alias("log_p")), n, v, float(np.log(np.mean(others)))
+
+
+def _scored(bags: DataFrame, pairs: Pairs, learned: DataFrame, others: list[float], n: int, v: int) -> DataFrame:
+    """Each text of the chunks by the sampled seatings."""
+    samples = len(others)
+    entries = bags.filter(F.col("word").isNotNull()).select("chunk", "place", "word")
+    chunks = bags.filter("word IS NULL AND bucket IS NULL").select("chunk", "bucket", "packed").unionByName(pairs.back_to_chunks())
+    back = entries.select(F.col("chunk").alias("of"), "place", "word").join(learned, "word", "left").drop("word").fillna(0, ["c"])
+    back = back.fillna({f"p{k}": others[k] for k in range(samples)} | {f"held{k}": 0 for k in range(samples)})
+    least = np.log10(n + SMOOTHING * (v + 1))
+    d = pairs.d
+
+    def score(chunk: pd.DataFrame, entries: pd.DataFrame) -> pd.DataFrame:
+        entries = entries.sort_values("place")
+        tokens = entries["c"].to_numpy()
+        whole = chunk["bucket"].isna()
+        ids, outs, sizes, steps, times, first, second, end, bucket = _unpack(chunk.loc[whole, "packed"].iat[0])
+        first = np.cumsum(first.astype(np.int64))
+        seated = np.zeros((1 + samples, len(first)))
+        for b, packed in chunk.loc[~whole, ["bucket", "packed"]].itertuples(index=False):
+            seated[:, bucket == b] = _unpack(packed)
+        # Every token is the context of one other, the end that of the first in the next text.
+        total = STRENGTH + tokens[first]
+        p = np.zeros(len(first))
+        for k in range(samples):
+            p += seated[0] - d * seated[1 + k] + (STRENGTH + d * entries[f"held{k}"].to_numpy()[first]) * entries[f"p{k}"].to_numpy()[second]
+        log_p = np.log10(p / total / samples)
+        base = (np.log10(tokens + SMOOTHING) - least)[second]
+        known = (tokens > 0).astype(np.int64)[second]
+        of_doc = np.repeat(np.arange(len(sizes)), sizes)
+        places = np.cumsum(steps.astype(np.int64))
+        add = lambda x: np.bincount(of_doc, weights=times * x[places], minlength=len(sizes))
+        return pd.DataFrame(
+            {
+                "doc_id": ids,
+                "held_out": outs,
+                "n_tokens": np.rint(add(np.ones(len(first)))).astype(np.int64),
+                "n_known": np.rint(add(known)).astype(np.int64),
+                "base_score": add(base),
+                "score": add(log_p),
+            }
+        )
+
+    schema = "doc_id string, held_out boolean, n_tokens long, n_known long, base_score double, score double"
+    return chunks.groupBy("chunk").cogroup(back.groupBy("of")).applyInPandas(score, schema)
 
 
 def scores(
@@ -326,40 +565,13 @@ def scores(
         F.coalesce(held_out, F.lit(False)).alias("held_out"),
         F.col(text).cast("string").alias("text"),
     )
-    bags = bags_of_words(rows)
-    entries = bags.filter(F.col("word").isNotNull()).select("chunk", "place", "word", "n")
-    words = write_table(entries.groupBy("word").agg(F.sum("n").alias("c")).filter("c > 0"))
-    learned, n, v, others = learn(words, burn_in, samples, seed)
-    chunks = bags.filter(F.col("docs").isNotNull()).select("chunk", "docs")
-    back = entries.select(F.col("chunk").alias("of"), "place", "word").join(learned, "word", "left")
-    back = back.select("of", "place", F.coalesce("c", F.lit(0)).alias("c"), F.coalesce("log_p", F.lit(others)).alias("log_p"))
-    least = np.log10(n + SMOOTHING * (v + 1))
-
-    def score(chunk: pd.DataFrame, entries: pd.DataFrame) -> pd.DataFrame:
-        c, log_p = np.zeros(len(entries), dtype=np.int64), np.zeros(len(entries))
-        c[entries["place"]], log_p[entries["place"]] = entries["c"], entries["log_p"] / np.log(10)
-        base = np.log10(c + SMOOTHING) - least
-        ids, outs, sizes, steps, times = _unpack(chunk["docs"].iat[0])
-        of_doc = np.repeat(np.arange(len(sizes)), sizes)
-        # Each text's places count up from the sum of those before it.
-        up = np.cumsum(steps.astype(np.int64))
-        ends = np.cumsum(sizes.astype(np.int64))
-        offset = np.concatenate([[0], up])[ends - sizes]
-        places = up - np.repeat(offset, sizes)
-        add = lambda x, end: np.bincount(of_doc, weights=times * x[places], minlength=len(sizes)) + end
-        return pd.DataFrame(
-            {
-                "doc_id": ids,
-                "held_out": outs,
-                "n_tokens": np.rint(add(np.ones(len(c)), 1)).astype(np.int64),
-                "n_known": np.rint(add((c > 0).astype(float), float(c[0] > 0))).astype(np.int64),
-                "base_score": add(base, base[0]),
-                "score": add(log_p, log_p[0]),
-            }
-        )
-
-    schema = "doc_id string, held_out boolean, n_tokens long, n_known long, base_score double, score double"
-    scored = chunks.groupBy("chunk").cogroup(back.groupBy("of")).applyInPandas(score, schema)
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    bags = bags_of_pairs(rows, max(LEAST_BUCKETS, -(-size // BUCKET_BYTES)))
+    words = write_table(bags.filter(F.col("word").isNotNull()).groupBy("word").agg(F.sum("n").alias("c")).filter("c > 0"))
+    n, v = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
+    pairs = Pairs(bags, seed)
+    learned, others = _sampled(words, burn_in, samples, seed, pairs)
+    scored = _scored(bags, pairs, learned, others, n, v)
     return scored.select(
         F.col("doc_id").cast("long").alias(key), "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score"
     )
