@@ -508,6 +508,20 @@ SELECT type, count(*) AS hits, round(count(*) / (SELECT count(*) FROM spans)::DO
     "r4_clean_job": f"WITH {cleaned()} SELECT text, drop_reason IS NOT NULL AS dropped, drop_reason FROM cleaned",
 }
 
+
+
+def near_flags(sql: str) -> str:
+    """The same with flags by signatures in place of those of exact copies."""
+    flags = f"flags AS ({exact_flags('kept')})"
+    near = f"{affine_signatures('kept')}{BANDS}{PAIRS},\nflags AS (SELECT seq, seq IN (SELECT seq FROM later) AS is_duplicate FROM kept)"
+    return sql.replace("WITH ", "WITH RECURSIVE ", 1).replace(flags, near, 1)
+
+
+ORACLES |= {f"{name}_near": near_flags(ORACLES[name]) for name in ("a11_dedup_job_files", "d11_filter_duplicates", "d13_dedup_job", "d14_inline_marking")}
+ORACLES |= {
+    f"{name}_near": ORACLES[name].replace(EXACT_RUN, NEAR_RUN, 1) for name in ("i6_duplicate_stats", "i8_summary", "i12_headline", "r3_stream_chunks")
+}
+
 # The characters added to every document, in the order the query adds them.
 _ODD = "chr(1) || ' a[] ' || chr(2) || '] &] ^] b' || chr(127) || ' ' || chr(133) || ' c' || chr(3) || 'd'"
 for _mode in ("intent", "parity"):

@@ -142,8 +142,16 @@ def a3_read_txt(spark, sf):
 
 def a11_dedup_job_files(spark, sf):
     """The job from files to files, and the statistics it left."""
+    return _dedup_job_files(spark, sf, EXACT)
+
+
+def a11_dedup_job_files_near(spark, sf):
+    return _dedup_job_files(spark, sf, CFG)
+
+
+def _dedup_job_files(spark, sf, cfg):
     out = scratch(spark, "dedup")
-    jobs.dedup_job(spark, [documents_jsonl(spark, sf)], out, EXACT)
+    jobs.dedup_job(spark, [documents_jsonl(spark, sf)], out, cfg)
     counts = ("total", "unique", "duplicates", "too_short", "too_long", "empty")
     return jobs.read_dedup_stats(spark, out).select(*[big(c) for c in counts], "duplicate_rate")
 
@@ -331,18 +339,38 @@ def d11_filter_duplicates(spark, sf):
     return dedup.filter_duplicates(kept(spark, sf), EXACT).select("seq", "text")
 
 
+def d11_filter_duplicates_near(spark, sf):
+    return dedup.filter_duplicates(kept(spark, sf), CFG).select("seq", "text")
+
+
 def d12_dedup_totals(spark, sf):
     return dedup.dedup_totals(dedup.mark_exact(kept(spark, sf)))
 
 
 def d13_dedup_job(spark, sf):
+    return _dedup_job(spark, sf, EXACT)
+
+
+def d13_dedup_job_near(spark, sf):
+    return _dedup_job(spark, sf, CFG)
+
+
+def _dedup_job(spark, sf, cfg):
     docs = read_documents(spark, sf).withColumn("malformed", F.lit(False))
-    return jobs.dedup_stats(jobs.dedup_outcomes(docs, EXACT))
+    return jobs.dedup_stats(jobs.dedup_outcomes(docs, cfg))
 
 
 def d14_inline_marking(spark, sf):
     """Duplicates among cleaned texts, marked but not removed."""
-    cfg = EXACT.with_(dedup_stage="pre_pii", remove_duplicates=False, allowed_languages=None)
+    return _inline_marking(spark, sf, EXACT)
+
+
+def d14_inline_marking_near(spark, sf):
+    return _inline_marking(spark, sf, CFG)
+
+
+def _inline_marking(spark, sf, cfg):
+    cfg = cfg.with_(dedup_stage="pre_pii", remove_duplicates=False, allowed_languages=None)
     rows = corpus.process_records(read_documents(spark, sf), cfg, profile(spark, sf))
     return rows.select("seq", "dropped", "is_duplicate", F.coalesce("length", F.lit(0)).cast("long").alias("length"))
 
@@ -599,7 +627,15 @@ def _outcome(spark, sf, cfg=EXACT):
 
 
 def i6_duplicate_stats(spark, sf):
-    s = stats.duplicate_stats(_outcome(spark, sf))
+    return _duplicate_stats(spark, sf, EXACT)
+
+
+def i6_duplicate_stats_near(spark, sf):
+    return _duplicate_stats(spark, sf, CFG)
+
+
+def _duplicate_stats(spark, sf, cfg):
+    s = stats.duplicate_stats(_outcome(spark, sf, cfg))
     return s.withColumn("duplicate_rate", F.round("duplicate_rate", 9))
 
 
@@ -612,10 +648,18 @@ def i8_summary(spark, sf):
     return stats.summary(_outcome(spark, sf))
 
 
+def i8_summary_near(spark, sf):
+    return stats.summary(_outcome(spark, sf, CFG))
+
+
 def i12_headline(spark, sf):
     return report.headline(_outcome(spark, sf))
 
 
+def i12_headline_near(spark, sf):
+    return report.headline(_outcome(spark, sf, CFG))
+
+
 # ---------------------------------------------------------------- whole runs
 
 
@@ -663,11 +707,19 @@ def r2_with_tokens(spark, sf):
 
 def r3_stream_chunks(spark, sf):
     """The documents through the stream, then the search for duplicates."""
+    return _stream_chunks(spark, sf, EXACT)
+
+
+def r3_stream_chunks_near(spark, sf):
+    return _stream_chunks(spark, sf, CFG)
+
+
+def _stream_chunks(spark, sf, cfg):
     out = f"{shared_dir(spark)}/chunks-{uuid.uuid4()}"
     schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
     stream = ingest.file_stream(spark, sf, schema, pattern="documents.parquet").withColumnRenamed("doc_id", "seq")
-    ingest.write_chunks(stream, EXACT, profile(spark, sf), out)
-    return _rows(ingest.finish(spark, EXACT, out))
+    ingest.write_chunks(stream, cfg, profile(spark, sf), out)
+    return _rows(ingest.finish(spark, cfg, out))
 
 
 NAMES = [
@@ -686,6 +738,9 @@ NAMES = [
     i1_length_stats, i2_histogram, i3_drop_reasons, i4_language_stats, i5_language_box, i6_duplicate_stats,
     i7_pii_hits, i8_summary, i9_upper_median, i11_ranked_languages, i11_ranked_pii, i12_headline,
     r1_process_exact, r2_full_run, r2_files_to_files, r2_report, r2_with_tokens, r3_stream_chunks, r4_clean_job,
+    # With near duplicates, as the library is shipped; the ones without the ending look for exact copies.
+    a11_dedup_job_files_near, d11_filter_duplicates_near, d13_dedup_job_near, d14_inline_marking_near,
+    i6_duplicate_stats_near, i8_summary_near, i12_headline_near, r3_stream_chunks_near,
 ]
 
 
