@@ -68,3 +68,21 @@ def test_held_out_accuracy(spark, tmp_path):
     out = labels.filter("doc_id % 4 = 0").collect()
     assert np.mean([(got[r["doc_id"]]["quality"] > 0.5) == r["quality"] for r in out]) > 0.9
     assert np.mean([(got[r["doc_id"]]["toxic"] > 0.5) == r["toxic"] for r in out]) > 0.87
+
+
+def test_every_unlabelled_document_can_be_passed_on(spark):
+    """The surest of far more documents than are passed on are found, wherever they are, and none with a label or taken."""
+    n = 20_000
+    text = {4_999: "sure good", 13_777: "sure bad", 19_998: "sure good", 19_999: "sure bad"}
+    rows = [(i, text.get(i, "plain text"), None, None) for i in range(n)] + [(4_999, "sure good", None, None)]
+    table = C.features(spark.createDataFrame(rows, "doc_id long, text string, source string, lang string").repartition(7))
+    labelled = spark.createDataFrame([(13_777,), (3,)], "doc_id long")
+    views = [C.View(weights=np.zeros(1 << C.WORD_BITS)), C.View(edges=np.zeros((C.NUMBERS, C.BINS - 1)), weights=np.zeros(256 + C.NUMBERS * C.BINS))]
+    good, bad, sure = (C.word_features([w])[0] for w in ("good", "bad", "sure"))
+    views[0].weights[good], views[0].weights[bad] = 8, -8
+    pool = C.Unlabelled(table, labelled)
+    scales = [np.array([1.0, 0.0])] * 2
+    got = sorted(pool.choose(views, scales, [5, 5], []), key=lambda r: r[1])
+    assert [r[:3] for r in got] == [(0, 4_999, 1), (0, 19_998, 1), (0, 19_999, 0)]
+    assert all(sorted(r[3]) == sorted({*sure, *(good if r[2] else bad)}) and len(r[4]) == 2 + C.NUMBERS for r in got)
+    assert [r[1] for r in pool.choose(views, scales, [5, 1], [4_999, 19_999])] == [19_998]

@@ -5,9 +5,10 @@ round each gives the unlabelled documents that it is surest of to the other as f
 examples.  What the two say is calibrated on labelled documents that neither was fitted on, and
 the calibrated views are combined into one probability.  The same is done for toxicity.
 
-The classifiers are fitted on the driver, on samples whose sizes are parameters: at most about
-``LABELLED`` labelled and ``POOL`` unlabelled documents, chosen by a hash of their ids.  All
-documents are scored, where they lie, from their whole texts.
+The features of all documents are written once.  In every round both views score every unlabelled
+document where it lies, and the surest of the whole corpus are passed on.  The classifiers are
+fitted on the driver, on at most about ``LABELLED`` labelled documents, chosen by a hash of their
+ids, and those passed on, at most ``PER_ROUND`` per view and round.
 """
 
 from __future__ import annotations
@@ -26,7 +27,6 @@ from ..session import write_table
 from . import bytewords as B
 
 LABELLED = 8_000
-POOL = 6_000
 ROUNDS = 3
 PER_ROUND = 200  # documents of either class that a view passes on in a round
 SURE = 0.95
@@ -174,30 +174,41 @@ def _scaled(margin: np.ndarray, scale: np.ndarray) -> np.ndarray:
     return np.clip(margin * scale[0] + scale[1], -12, 12)
 
 
-def co_train(words: list, pages: list, y: np.ndarray, edges: np.ndarray, rounds: int, n_features: int, n_page: int) -> TwoViews:
-    """Trains both views; ``y`` is 0, 1, or -1 where there is no label."""
+def co_train(words: list, pages: list, y: np.ndarray, edges: np.ndarray, rounds: int, n_features: int, n_page: int, pool: Unlabelled | None = None) -> TwoViews:
+    """Trains both views; ``y`` is 0, 1, or -1 where there is no label.  Further documents without one are in ``pool``."""
     prior = float(y[y >= 0].mean()) if (y >= 0).any() else 0.5
     views = [View(), View(edges=edges)]
     known = np.flatnonzero(y >= 0)
     kept, fitted = known[::CALIBRATION], np.setdiff1d(known, known[::CALIBRATION])
     if len(np.unique(y[fitted])) < 2 or len(np.unique(y[kept])) < 2:
         return TwoViews(*views, [], None, prior)
-    data, sizes = (words, pages), (n_features, n_page)
+    data, sizes = (list(words), list(pages)), (n_features, n_page)
+    given: dict[int, int] = {}  # places of the documents from the pool
     examples = [dict(zip(fitted, y[fitted])) for _ in views]
     free = np.flatnonzero(y < 0)
     for turn in range(rounds + 1):
         for view, rows, size, own in zip(views, data, sizes, examples):
             places = np.array(list(own))
             fit_view(view, [rows[i] for i in places], np.array([own[i] for i in places], dtype=float), size, seed=turn)
-        if turn == rounds or not len(free):
+        if turn == rounds or not (len(free) or pool):
             break
+        # Both classes in the shares that labels have.
+        most = [max(1, round(PER_ROUND * s)) for s in (1 - prior, prior)]
+        if pool is not None:
+            scales = [calibrate(v.margin([rows[i] for i in kept])[:, None], y[kept]) for v, rows in zip(views, data)]
+            for k, doc_id, label, *row in pool.choose(views, scales, most, list(given)):
+                if doc_id not in given:
+                    given[doc_id] = len(data[0])
+                    for rows, own in zip(data, row):
+                        rows.append(own)
+                examples[1 - k].setdefault(given[doc_id], label)
+            continue
         margins = [v.margin([rows[i] for i in free]) for v, rows in zip(views, data)]
         for k, margin in enumerate(margins):
             scale = calibrate(views[k].margin([data[k][i] for i in kept])[:, None], y[kept])
             p = _sigmoid(_scaled(margin, scale))
             order = np.argsort(p, kind="stable")
-            # Both classes in the shares that labels have, none that the view isn't sure of.
-            most = [max(1, round(PER_ROUND * s)) for s in (1 - prior, prior)]
+            # None that the view isn't sure of.
             chosen = [(i, 0) for i in order[: most[0]] if p[i] <= 1 - SURE] + [(i, 1) for i in order[::-1][: most[1]] if p[i] >= SURE]
             for i, label in chosen:
                 examples[1 - k].setdefault(free[i], label)
@@ -224,44 +235,93 @@ def _columns(docs: DataFrame, key: str) -> DataFrame:
     return docs.select(*[c.alias(n) for n, c in named.items()])
 
 
-def examples(docs: DataFrame, labels: DataFrame) -> pd.DataFrame:
-    """The sampled documents with their features and labels, on the driver; bounded by ``LABELLED`` and ``POOL``."""
-    by_doc = labels.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(*[F.max(t).cast("int").alias(t) for t in TARGETS])
-    by_doc = write_table(by_doc)
-    labelled = _sampled(by_doc, by_doc.count(), LABELLED)
-    free = docs.select("doc_id").filter("doc_id IS NOT NULL").distinct().join(by_doc.select("doc_id"), "doc_id", "left_anti")
-    free = write_table(free)
-    free = _sampled(free, free.count(), POOL)
-    chosen = labelled.unionByName(free.select("doc_id", *[F.lit(None).cast("int").alias(t) for t in TARGETS]))
+FEATURES = "doc_id long, source string, lang string, words array<int>, numbers array<double>"
 
-    def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+
+def features(docs: DataFrame) -> DataFrame:
+    """The features of all documents that have an id; written."""
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             texts = batch["text"].tolist()
-            out = batch[["doc_id", "source", "lang", *TARGETS]].copy()
+            out = batch[["doc_id", "source", "lang"]].copy()
             out["words"] = word_features(texts)
             out["numbers"] = [layout(t) for t in texts]
-            for t in TARGETS:
-                out[t] = out[t].fillna(-1).astype(int)
             yield out
 
-    schema = "doc_id long, source string, lang string, quality int, toxic int, words array<int>, numbers array<double>"
-    # At most about LABELLED + POOL rows are broadcast and collected.
-    rows = docs.join(F.broadcast(chosen), "doc_id").mapInPandas(features, schema)
-    return rows.dropDuplicates(["doc_id"]).orderBy("doc_id").toPandas()
+    return write_table(docs.filter("doc_id IS NOT NULL").mapInPandas(read, FEATURES))
+
+
+@dataclass
+class Unlabelled:
+    """The documents without a label: all of ``features`` that ``labelled`` does not name."""
+
+    features: DataFrame
+    labelled: DataFrame
+
+    def choose(self, views: list[View], scales: list[np.ndarray], most: list[int], taken: list[int]) -> Iterator[tuple]:
+        """Per view and class at most ``most`` documents, those that the view is surest of among all that are not ``taken``.
+
+        Gives the view, the id, the class, and the document's features in both views.
+        """
+        known = self.features.sparkSession.sparkContext.broadcast((views, scales))
+
+        def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            views, scales = known.value
+            for batch in batches:
+                rows = _active(views[1], batch)
+                p = [_sigmoid(_scaled(v.margin(r), s)) for v, r, s in zip(views, rows, scales)]
+                sure = np.any([(x <= 1 - SURE) | (x >= SURE) for x in p], axis=0)
+                yield pd.DataFrame({"doc_id": batch["doc_id"], "p0": p[0], "p1": p[1]})[sure]
+
+        judged = self.features.mapInPandas(judge, "doc_id long, p0 double, p1 double")
+        # Of repeated ids one row counts.
+        judged = judged.groupBy("doc_id").agg(F.min(F.struct("p0", "p1")).alias("p")).select("doc_id", "p.*")
+        judged = write_table(judged.join(self.labelled.select("doc_id"), "doc_id", "left_anti").filter(~F.col("doc_id").isin(taken)))
+        chosen = []
+        for k in range(2):
+            p = F.col(f"p{k}")
+            for label, sure, order in ((0, p <= 1 - SURE, p.asc()), (1, p >= SURE, p.desc())):
+                surest = judged.filter(sure).orderBy(order, F.xxhash64("doc_id", F.lit(11))).limit(most[label])
+                chosen += [(k, r["doc_id"], label) for r in surest.select("doc_id").collect()]
+        if not chosen:
+            return
+        found = _of_ids(self.features, sorted({doc_id for _, doc_id, _ in chosen}))
+        rows = dict(zip(found["doc_id"], zip(*_active(views[1], found))))
+        for k, doc_id, label in chosen:
+            yield k, doc_id, label, *rows[doc_id]
+
+
+def _of_ids(table: DataFrame, ids: list[int]) -> pd.DataFrame:
+    """The rows of a few thousand documents, one for each id."""
+    wanted = table.sparkSession.createDataFrame([(int(i),) for i in ids], "doc_id long")
+    return table.join(F.broadcast(wanted), "doc_id").dropDuplicates(["doc_id"]).orderBy("doc_id").toPandas()
+
+
+def _active(page: View, rows: pd.DataFrame) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Places of the features of both views."""
+    words = [np.asarray(w, dtype=np.int32) for w in rows["words"]]
+    return words, [page.active(None, n, (s, g)) for n, s, g in zip(rows["numbers"], rows["source"], rows["lang"])]
 
 
 def train(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS) -> dict[str, TwoViews]:
-    found = examples(docs, labels)
-    numbers = np.array(found["numbers"].tolist()).reshape(len(found), NUMBERS)
-    edges = np.quantile(numbers, np.arange(1, BINS) / BINS, axis=0).T if len(found) else np.zeros((NUMBERS, BINS - 1))
+    by_doc = labels.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(*[F.max(t).cast("int").alias(t) for t in TARGETS])
+    by_doc = write_table(by_doc)
+    table = features(docs)
+    shares = [i / BINS for i in range(1, BINS)]
+    found = table.agg(*[F.percentile_approx(F.col("numbers")[i], shares).alias(f"n{i}") for i in range(NUMBERS)]).first()
+    edges = np.array([e or [0.0] * len(shares) for e in found])
     page = View(edges=edges)
-    words = [np.asarray(w, dtype=np.int32) for w in found.pop("words")]
-    pages = [page.active(None, n, (s, g)) for n, s, g in zip(numbers, found["source"], found["lang"])]
+    # At most about LABELLED rows are broadcast and collected.
+    labelled = _sampled(by_doc, by_doc.count(), LABELLED)
+    found = table.join(F.broadcast(labelled), "doc_id").dropDuplicates(["doc_id"]).orderBy("doc_id").toPandas()
+    words, pages = _active(page, found)
     # A hash puts the labelled documents in an order that has nothing to do with their ids.
     order = np.argsort([zlib.crc32(str(i).encode()) for i in found["doc_id"]], kind="stable")
     words, pages = [words[i] for i in order], [pages[i] for i in order]
-    targets = {t: found[t].to_numpy()[order] if len(found) else np.empty(0, dtype=int) for t in TARGETS}
-    return {t: co_train(words, pages, y, edges, rounds, 1 << WORD_BITS, 256 + NUMBERS * BINS) for t, y in targets.items()}
+    targets = {t: found[t].fillna(-1).astype(int).to_numpy()[order] if len(found) else np.empty(0, dtype=int) for t in TARGETS}
+    pools = {t: Unlabelled(table, by_doc.filter(F.col(t).isNotNull())) for t in TARGETS}
+    return {t: co_train(words, pages, y, edges, rounds, 1 << WORD_BITS, 256 + NUMBERS * BINS, pools[t]) for t, y in targets.items()}
 
 
 def score(docs: DataFrame, labels: DataFrame, key: str = "doc_id", rounds: int = ROUNDS) -> DataFrame:
