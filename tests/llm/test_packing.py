@@ -82,3 +82,10 @@ def test_pack_documents(spark, sf):
     total = sum(r["length"] for r in packed)
     assert n <= 1.02 * -(-total // 1024) + 1
     assert all(len(r["ids"]) == r["length"] for r in packed)
+
+
+def test_large_ids_beside_a_null_one(spark):
+    ids = [2**53 + 1, None, 2**62 + 3, -(2**53) - 1]
+    df = spark.createDataFrame([(i, "some text") for i in ids], "doc_id long, text string").coalesce(1)
+    found = packing.token_pieces(df, PATH, 2, 1024).collect()
+    assert {r["doc_id"] for r in found} == set(ids)

@@ -56,10 +56,12 @@ def token_pieces(
                     rows.append((*row, ids.astype(np.int32)) if with_ids else row)
             names = ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids
             out = pd.DataFrame(rows, columns=names)
-            yield out.astype({"doc_id": "Int64"})
+            out["doc_id"] = pd.array([None if pd.isna(x) else int(x) for x in out["doc_id"]], dtype="Int64")
+            yield out
 
     schema = PIECES + (", ids array<int>" if with_ids else "")
-    return docs.select(F.col(key).cast("long").alias("key"), F.col("text")).mapInPandas(cut, schema)
+    # Ids as text: a column of longs with nulls would come as floats.
+    return docs.select(F.col(key).cast("long").cast("string").alias("key"), F.col("text")).mapInPandas(cut, schema)
 
 
 # --------------------------------------------------------------------------
