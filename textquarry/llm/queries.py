@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..session import shared_dir, ship_package
 from ..sources.tables import read_table
-from . import cotraining, decontaminate, jaccard, langid, lattice, packing, pitmanyor, secrets, tokentree, warc
+from . import cotraining, decontaminate, jaccard, langid, lattice, mixing, packing, pitmanyor, secrets, tokentree, warc
 from .oracles import ORACLES  # noqa: F401
 
 
@@ -101,6 +101,11 @@ def op10_quality(spark: SparkSession, sf: str) -> DataFrame:
     return cotraining.score(read_table(spark, sf, "documents"), read_table(spark, sf, "labels"))
 
 
+def op11_mix(spark: SparkSession, sf: str) -> DataFrame:
+    mixed = mixing.mix(read_table(spark, sf, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "source")
+
+
 def _shipping(query):
     @wraps(query)
     def run(spark: SparkSession, sf: str) -> DataFrame:
@@ -123,5 +128,6 @@ QUERIES = {
         op8_lattice,
         op9_warc,
         op10_quality,
+        op11_mix,
     )
 }
