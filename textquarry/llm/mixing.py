@@ -35,7 +35,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 BLOCK_WORDS = 256
 LEAST_BLOCKS = 1024  # of a source with so many words: small ones are cut finer, to come near their targets
 SHARD_BLOCKS = 4096
-PART_WORDS = 1 << 24  # words of all sources that one part of the streams holds; parts are sorted one by one
+PART_WORDS = 1 << 19  # words of a part of a stream, about; parts are sorted one by one
 BROADCAST_SOURCES = 100_000
 SALTS = 32
 _PLAN = "taken long, firsts array<long>, words array<long>, copies array<int>, blocks array<long>"
@@ -128,13 +128,14 @@ def _join_sources(docs: DataFrame, sources: DataFrame, count: int) -> DataFrame:
 # streams, blocks and shards
 
 
-def _placed(docs: DataFrame, parts: int) -> DataFrame:
+def _placed(docs: DataFrame) -> DataFrame:
     """Adds ``start``: the words before the document in the stream of its source.
 
     The stream goes part by part, each in the order of the draws.  Only sums of parts are added
     up over a whole source.
     """
-    docs = docs.withColumn("part", F.pmod("draw", F.lit(parts)))
+    parts = F.greatest(F.ceil(F.col("source_size") / PART_WORDS), F.lit(1))
+    docs = docs.withColumn("part", F.pmod("draw", parts.cast("long")))
     sums = docs.groupBy("sid", "part").agg(F.sum("size").alias("part_size"))
     before = Window.partitionBy("sid").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select("sid", "part", F.coalesce(F.sum("part_size").over(before), F.lit(0)).alias("_offset"))
@@ -224,8 +225,7 @@ def mix(
     named = docs.select(F.col(key).alias("doc_id"), F.col(source).cast("string").alias("source"), n_words(F.col(text)).alias("size"))
     sized = write_table(named.withColumn("draw", F.xxhash64(F.lit(seed), F.col("doc_id").cast("string"), "size")))
     sources = cut_lineage(with_quotas(with_targets(weighed_sources(sized, weights), ratio, limit)))
-    count, words = sources.agg(F.count(F.lit(1)), F.coalesce(F.sum("source_size"), F.lit(0))).first()
-    placed = _placed(_join_sources(sized, sources, count), max(1, -(-words // PART_WORDS)))
+    placed = _placed(_join_sources(sized, sources, sources.count()))
 
     @F.pandas_udf(_PLAN)
     def taken(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series, pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
