@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..session import shared_dir, ship_package
 from ..sources.tables import read_table
-from . import cotraining, decontaminate, jaccard, langid, lattice, mixing, packing, pitmanyor, secrets, tokentree, warc
+from . import collocations, cotraining, decontaminate, jaccard, langid, lattice, mixing, packing, pitmanyor, secrets, tokentree, variants, warc
 from .oracles import ORACLES  # noqa: F401
 
 
@@ -106,6 +106,14 @@ def op11_mix(spark: SparkSession, sf: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
+def op12_variants(spark: SparkSession, sf: str) -> DataFrame:
+    return variants.variant_groups(variants.word_counts(read_table(spark, sf, "documents")))
+
+
+def op13_collocations(spark: SparkSession, sf: str) -> DataFrame:
+    return collocations.collocations(read_table(spark, sf, "documents"))
+
+
 def _shipping(query):
     @wraps(query)
     def run(spark: SparkSession, sf: str) -> DataFrame:
@@ -129,5 +137,7 @@ QUERIES = {
         op9_warc,
         op10_quality,
         op11_mix,
+        op12_variants,
+        op13_collocations,
     )
 }
