@@ -96,11 +96,18 @@ def test_cells_that_are_reached_hold_all_near_words(depth):
 
 def test_trie_finds_each_pair_once(monkeypatch):
     monkeypatch.setattr(V, "BLOCK", 37)
+    monkeypatch.setattr(V, "PAIRS", 50)
     monkeypatch.setattr(V, "PAIR_CELLS", 200)
     words = random_words(random.Random(3), 250) + ["x" * 3000, "x" * 3001, "x" * 2999 + "y"]
-    rows = [(0, 0, w) for w in words] + [(0, 2, w) for w in words]
-    rows = pd.DataFrame(rows, columns=["bucket", "role", "word"])
-    got = [(rows["word"][a], rows["word"][b]) for x, y in V.search(rows) for a, b in zip(x, y)]
+    for cells in (V.TABLE_CELLS, 0):
+        monkeypatch.setattr(V, "TABLE_CELLS", cells)
+        members = V.Members(pd.DataFrame([(0, w, 1) for w in words], columns=["bucket", "word", "n"]))
+        rows = pd.DataFrame([(0, 2, w) for w in words] + [(1, 2, w) for w in words], columns=["bucket", "role", "word"])
+        got = [(words[a], words[b]) for x, y in members.near(rows) for a, b in zip(x, y)]
+        check_pairs(words, got)
+
+
+def check_pairs(words, got):
     want = {(a, b) for a, others in plain_near(words).items() for b in others if (len(a), a) < (len(b), b)}
     assert len(got) == len(set(got)) and set(got) == want
 

@@ -37,14 +37,17 @@ from . import bytewords as B
 LEAST_LENGTH = 7
 NOISE = 31  # one in so many pairs of document and run loses a letter
 TASK_WORDS = 400_000  # distinct words that a task counts at a time
-GROUPS = 16
-SINGLE = 12  # letters with a group of their own; the others share the rest
+GROUPS = 24
+SINGLE = 20  # letters with a group of their own; the others share the rest
 FREQUENT = "eainrtsoludcmpgbfhvqyjkwxz"  # letters by their frequency, roughly
 DEPTHS = (2, 3, 4, 6)
-CELL_WORDS = 30_000
-TASK_ROWS = 250_000
+CELL_WORDS = 40_000
+TASK_ROWS = 500_000
 BLOCK = 100_000  # places of the trie that descend together
-PAIR_CELLS = 4_000_000  # letters compared together
+TABLE_CELLS = 4_000_000  # of a level of the trie that is laid out as a table
+PAIRS = 500_000  # words at the leaves that are verified together
+PAIR_CELLS = 2_000_000  # letters compared together
+PRINT_BITS = 4  # that one edit changes in the print of a word, at most: two neighbours go, two come
 
 _GROUP = np.array([SINGLE + c % (GROUPS - SINGLE) for c in range(256)], dtype=np.int64)
 for _i, _c in enumerate(FREQUENT):
@@ -102,8 +105,24 @@ class Letters:
         self.starts = np.cumsum(self.lengths) - self.lengths
         self.codes = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.int32)
         groups = np.where(self.codes < 256, _GROUP[self.codes & 255], SINGLE + self.codes % (GROUPS - SINGLE))
-        cells = np.repeat(np.arange(len(words)), self.lengths) * GROUPS + groups
-        self.vectors = np.bincount(cells, minlength=len(words) * GROUPS).reshape(len(words), GROUPS)
+        row = np.repeat(np.arange(len(words)), self.lengths)
+        self.vectors = np.bincount(row * GROUPS + groups, minlength=len(words) * GROUPS).reshape(len(words), GROUPS).astype(np.int32)
+        self.row = row
+
+    def prints(self) -> np.ndarray:
+        """64 bits for the neighbouring letters of each word: one is set if an odd number of pairs falls on it."""
+        before = np.where(np.diff(self.row, prepend=-1) == 0, np.roll(self.codes, 1), 0)
+        last = np.flatnonzero(np.diff(self.row, append=-1))
+        left = np.concatenate([before, self.codes[last]]).astype(np.uint64)
+        right = np.concatenate([self.codes, np.zeros(len(last), dtype=np.int32)]).astype(np.uint64)
+        row = np.concatenate([self.row, self.row[last]])
+        place = B.mix((left << np.uint64(32)) | right) >> np.uint64(58)
+        out = np.zeros(len(self.lengths), dtype=np.uint64)
+        order = np.argsort(row, kind="stable")
+        if len(order):
+            firsts = np.flatnonzero(np.diff(row[order], prepend=-1))
+            out[row[order][firsts]] = np.bitwise_xor.reduceat(np.uint64(1) << place[order], firsts)
+        return out
 
     def rows(self, words: np.ndarray, width: int) -> np.ndarray:
         """Code points in rows of equal width, 0 and more after the end of a word."""
@@ -194,25 +213,45 @@ def _bucket(cells: np.ndarray, salt: np.ndarray) -> np.ndarray:
 class VectorTrie:
     """Members below the root of their bucket, by the counts of one group after another.
 
-    Nodes of a level are numbered in order; a level is the sorted array of its nodes' keys, made
-    of the node above and the count.
+    Nodes of a level are numbered in order of the node above and the count.  A level is a table
+    of both, or, if that were large, the sorted array of the keys made of both.
     """
 
-    def __init__(self, buckets: np.ndarray, vectors: np.ndarray, most: int):
-        self.width = most + 3
+    def __init__(self, buckets: np.ndarray, vectors: np.ndarray):
         self.roots, node = np.unique(buckets, return_inverse=True)
         self.levels = []
+        nodes = len(self.roots)
         for group in range(GROUPS):
-            keys, node = np.unique(node * self.width + vectors[:, group], return_inverse=True)
-            self.levels.append(keys)
+            width = int(vectors[:, group].max()) + 1
+            keys, below = np.unique(node * width + vectors[:, group], return_inverse=True)
+            table = None
+            if nodes * width <= TABLE_CELLS:
+                table = np.full(nodes * width, -1, dtype=np.int32)
+                table[keys] = np.arange(len(keys))
+            self.levels.append((width, table, keys))
+            node, nodes = below, len(keys)
         self.members = np.argsort(node, kind="stable")
-        self.ends = np.cumsum(np.bincount(node, minlength=len(self.levels[-1])))
+        self.ends = np.cumsum(np.bincount(node, minlength=nodes))
+
+    def child(self, level: int, node: np.ndarray, count: np.ndarray) -> np.ndarray:
+        """The children of nodes by count, -1 where there is none."""
+        width, table, keys = self.levels[level]
+        fits = (count >= 0) & (count < width)
+        wanted = np.where(fits, node.astype(np.int64) * width + count, 0)
+        if table is not None:
+            found = table[wanted]
+        else:
+            found = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+            found[keys[found] != wanted] = -1
+        found[~fits] = -1
+        return found
 
     def leaves(self, buckets: np.ndarray, vectors: np.ndarray, deficit: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Askers and the leaves they reach: depth first, block by block."""
         root = np.searchsorted(self.roots, buckets)
         at = np.flatnonzero((root < len(self.roots)) & (self.roots[np.minimum(root, len(self.roots) - 1)] == buckets))
-        stack = [(0, at, root[at], np.ones(len(at), dtype=bool), deficit[at])]
+        at = at[np.argsort(root[at], kind="stable")]
+        stack = [(0, at, root[at].astype(np.int32), np.ones(len(at), dtype=bool), deficit[at])]
         while stack:
             level, asker, node, more, less = stack.pop()
             if len(asker) > BLOCK:
@@ -224,12 +263,15 @@ class VectorTrie:
                 continue
             count = vectors[asker, level]
             found = []
-            for step, may in ((0, None), (1, more), (-1, less & (count > 0))):
-                kept = np.arange(len(asker)) if may is None else np.flatnonzero(may)
-                keys = node[kept] * self.width + count[kept] + step
-                child = np.searchsorted(self.levels[level], keys)
-                there = self.levels[level][np.minimum(child, len(self.levels[level]) - 1)] == keys
-                kept, child = kept[there], child[there]
+            for step, may in ((0, None), (1, more), (-1, less)):
+                if may is None:
+                    child = self.child(level, node, count)
+                    kept = np.flatnonzero(child >= 0)
+                    child = child[kept]
+                else:
+                    kept = np.flatnonzero(may)
+                    child = self.child(level, node[kept], count[kept] + step)
+                    kept, child = kept[child >= 0], child[child >= 0]
                 found.append((asker[kept], child, more[kept] & (step != 1), less[kept] & (step != -1)))
             merged = [np.concatenate(x) for x in zip(*found)]
             if len(merged[0]):
@@ -251,40 +293,45 @@ def one_edit(a: np.ndarray, a_length: np.ndarray, b: np.ndarray, b_length: np.nd
     return np.where(a_length == b_length, unlike.sum(axis=1) == 1, (a_length + 1 == b_length) & inserted)
 
 
-def search(rows: pd.DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Places in ``rows`` (bucket, role, word) of askers and the members one edit away, each pair once."""
-    role = rows["role"].to_numpy()
-    member, asker = np.flatnonzero(role == 0), np.flatnonzero(role > 0)
-    if not len(member) or not len(asker):
-        return
-    words = rows["word"].to_numpy()
-    letters = Letters(words.tolist())
-    buckets = rows["bucket"].to_numpy()
-    trie = VectorTrie(buckets[member], letters.vectors[member], int(letters.vectors.max()))
-    for who, leaf in trie.leaves(buckets[asker], letters.vectors[asker], role[asker] == 2):
-        last = trie.ends[leaf]
-        size = last - np.where(leaf > 0, trie.ends[leaf - 1], 0)
-        total, done = np.cumsum(size), 0
-        while done < len(who):
-            # As many leaves as fit, at least one.
-            before = total[done - 1] if done else 0
-            width = int(letters.lengths[asker[who[done:]]].max()) + 1
-            upto = max(done + 1, int(np.searchsorted(total, before + max(1, PAIR_CELLS // width), side="right")))
-            part = slice(done, upto)
-            n = size[part]
-            a = np.repeat(asker[who[part]], n)
-            place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(last[part] - n, n)
-            b = member[trie.members[place]]
-            done = upto
-            for some in range(0, len(a), max(1, PAIR_CELLS // width)):
-                x, y = a[some : some + PAIR_CELLS // width + 1], b[some : some + PAIR_CELLS // width + 1]
-                if len(x) > PAIR_CELLS // width:
-                    x, y = x[: max(1, PAIR_CELLS // width)], y[: max(1, PAIR_CELLS // width)]
-                near = one_edit(letters.rows(x, width), letters.lengths[x], letters.rows(y, width + 1), letters.lengths[y])
-                x, y = x[near], y[near]
-                # Of two words of one length the smaller one finds the other.
-                right = (letters.lengths[x] < letters.lengths[y]) | (words[x] < words[y])
-                yield x[right], y[right]
+class Members:
+    """The members of some buckets, ready to be asked."""
+
+    def __init__(self, rows: pd.DataFrame):
+        self.words, self.n = rows["word"].to_numpy(), rows["n"].to_numpy()
+        self.letters = Letters(self.words.tolist())
+        self.prints = self.letters.prints()
+        self.trie = VectorTrie(rows["bucket"].to_numpy(), self.letters.vectors)
+
+    def near(self, rows: pd.DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Places of askers in ``rows`` (bucket, role, word) and of the members one edit away, each pair once."""
+        words = rows["word"].to_numpy()
+        letters = Letters(words.tolist())
+        prints = letters.prints()
+        trie = self.trie
+        for who, leaf in trie.leaves(rows["bucket"].to_numpy(), letters.vectors, rows["role"].to_numpy() == 2):
+            last = trie.ends[leaf]
+            size = last - np.where(leaf > 0, trie.ends[leaf - 1], 0)
+            upto = np.cumsum(size)
+            for begin in range(0, int(upto[-1]) if len(upto) else 0, PAIRS):
+                # Some of the words at the leaves, as a running number over all leaves.
+                number = np.arange(begin, min(begin + PAIRS, int(upto[-1])))
+                at = np.searchsorted(upto, number, side="right")
+                x, y = who[at], trie.members[last[at] - upto[at] + number]
+                alike = np.bitwise_count(prints[x] ^ self.prints[y]) <= PRINT_BITS
+                yield from self._verified(words, letters, x[alike], y[alike])
+
+    def _verified(self, words: np.ndarray, letters: Letters, x: np.ndarray, y: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        if not len(x):
+            return
+        width = int(letters.lengths[x].max()) + 1
+        step = max(1, PAIR_CELLS // width)
+        for some in range(0, len(x), step):
+            a, b = x[some : some + step], y[some : some + step]
+            near = one_edit(letters.rows(a, width), letters.lengths[a], self.letters.rows(b, width + 1), self.letters.lengths[b])
+            a, b = a[near], b[near]
+            # Of two words of one length the smaller one finds the other.
+            right = (letters.lengths[a] < self.letters.lengths[b]) | (words[a] < self.words[b])
+            yield a[right], b[right]
 
 
 def near_words(words: DataFrame) -> DataFrame:
@@ -302,15 +349,28 @@ def near_words(words: DataFrame) -> DataFrame:
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // TASK_ROWS))
 
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = list(batches)
-        if not held:
-            return
-        rows = pd.concat(held, ignore_index=True)
-        word, n = rows["word"].to_numpy(), rows["n"].to_numpy()
-        for a, b in search(rows):
-            yield pd.DataFrame({"word": np.concatenate([word[a], word[b]]), "near": np.concatenate([word[b], word[a]]), "near_n": np.concatenate([n[b], n[a]])})
-
-    routed = _routes(words, depth, salts).repartition(parts, "bucket")
+        held, members = [], None
+        for batch in batches:
+            asks = batch["role"].to_numpy() > 0
+            if not asks.all():
+                held.append(batch[~asks])
+            if not asks.any() or not held:
+                continue
+            if members is None:
+                # Members come first, so all of them are here.
+                members = Members(pd.concat(held, ignore_index=True))
+            rows = batch[asks]
+            word, n = rows["word"].to_numpy(), rows["n"].to_numpy()
+            for a, b in members.near(rows):
+                yield pd.DataFrame(
+                    {
+                        "word": np.concatenate([word[a], members.words[b]]),
+                        "near": np.concatenate([members.words[b], word[a]]),
+                        "near_n": np.concatenate([members.n[b], n[a]]),
+                    }
+                )
+
+    routed = _routes(words, depth, salts).repartition(parts, "bucket").sortWithinPartitions("role")
     return routed.mapInPandas(find, "word string, near string, near_n long")
 
 
