@@ -65,6 +65,8 @@ def test_against_plain_python(spark, monkeypatch, small):
         monkeypatch.setattr(C, "TRIE_ENTRIES", 50)
         monkeypatch.setattr(C, "TASK_WORDS", 9)
         monkeypatch.setattr(C, "SLICE_BYTES", 64)
+        monkeypatch.setattr(C, "TASK_PAIRS", 40)
+        monkeypatch.setattr(C, "RANGE_PAIRS", 700)
         monkeypatch.setattr(C, "HOT_SHARE", 10)
         monkeypatch.setattr(C, "FILTER_BITS", (64, 64))  # full: nothing is left out
     found = got(C.collocations(frame(spark, rows).repartition(5)))
@@ -110,6 +112,15 @@ def test_trie_counts_bursts_and_spills(monkeypatch):
     assert spilled == want and trie.entries == 0
 
 
+def test_packed_counts_come_back():
+    rng = np.random.default_rng(4)
+    for n in (1, 2, 1000):
+        keys = np.unique(rng.integers(0, 1 << C.PAIR_BITS, n, dtype=np.uint64))
+        counts = rng.integers(1, 400, len(keys))
+        found = C.unpack_counts(*C.pack_counts(keys, counts))
+        assert (found[0] == keys).all() and (found[1] == np.minimum(counts, 255)).all()
+
+
 def test_arithmetic_beyond_64_bits(spark):
     big = 3_000_000_000_000_000_000
     frequent = spark.createDataFrame([("en", "a", big + 1), ("en", "b", big + 7), ("en", "a b", big)], "lang string, phrase string, n long")

@@ -1,12 +1,13 @@
 """Phrase collocations: counts of word sequences in burst tries, scored where they hold together least.
 
 Texts are split into pieces and words; phrases lie within a piece, and everything is per language.
-Three passes count phrases of one word, of two, and of three and four.  A phrase is frequent only
-if all its parts are, so the later passes leave out what holds an infrequent word or pair of words.
-They learn that from a Bloom filter sized by the number of frequent phrases; what it holds wrongly
+A phrase is frequent only if all its parts are.  So a first pass counts words; a second one adds up
+the counts of pairs of frequent words by hash alone, which takes a few bytes a pair; the third pass
+counts the phrases of two to four words all pairs of which may be frequent.  The passes hand on
+Bloom filters sized by what they hold.  A hash or a filter can only let through too much, which
 costs time and is dropped by its count in the end.
 
-A task counts in a ``BurstTrie``: below the number of a phrase's first word lies a hash container
+In the third pass a task counts in a ``BurstTrie``: below the number of a phrase's first word lies a hash container
 of the phrases' rests, and a container of more than ``BURST`` entries bursts into one for each
 next word.  When the trie has ``TRIE_ENTRIES`` entries its heaviest subtrees are spilled whole, as
 sorted runs of phrases and counts.  Runs are exchanged by prefix, the first two words of a phrase,
@@ -44,6 +45,9 @@ TRIE_ENTRIES = 600_000
 TASK_WORDS = 400_000  # words that a task numbers at a time
 SLICE_BYTES = 1 << 21
 FILTER_BITS = (1 << 20, 1 << 27)  # least and most
+PAIR_BITS = 40  # of the hash of a pair of words
+TASK_PAIRS = 6_000_000  # that a task adds up at a time, some 50 MB
+RANGE_PAIRS = 2_000_000  # of all words to a range of hashes, about
 HOT_SHARE = 1000  # a part with more than one in so many occurrences of all words is salted
 SALTS = 32
 
@@ -109,36 +113,51 @@ def word_hash(lang: str, word: bytes) -> int:
     return xxhash.xxh3_64_intdigest(lang.encode() + b"\0" + word)
 
 
-def phrase_hashes(langs: list[str], phrases: list[str], size: int) -> np.ndarray:
-    """Hashes of phrases of ``size`` words as the passes compute them from the words' hashes."""
-    hashes = np.array([[word_hash(lang, w) for w in p.encode("utf-8", "surrogatepass").split(b" ")] for lang, p in zip(langs, phrases)], dtype=np.uint64)
-    columns = hashes.reshape(len(phrases), size).T
-    return columns[0] if size == 1 else B.combine(list(columns))
+def pair_keys(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Hashes of ``PAIR_BITS`` bits of pairs of words."""
+    return B.combine([left, right]) >> np.uint64(64 - PAIR_BITS)
+
+
+class Vocabulary:
+    """Words of one language as a task meets them, with their hashes."""
+
+    def __init__(self, lang: str):
+        self.lang, self.numbers, self.hashes = lang, Numbers(), np.empty(0, dtype=np.uint64)
+
+    def read(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers and hashes of words; a break is -1, with any hash."""
+        ids = self.numbers.of(words)
+        new = self.numbers.words[len(self.hashes) :]
+        if new:
+            self.hashes = np.concatenate([self.hashes, np.array([word_hash(self.lang, w) for w in new], dtype=np.uint64)])
+        if not len(self.hashes):
+            return ids, np.zeros(len(ids), dtype=np.uint64)
+        return ids, self.hashes[np.maximum(ids, 0)]
 
 
 # --------------------------------------------------------------------------
-# filter of frequent phrases
+# filters
 
 
-def bloom(phrases: DataFrame, size: int) -> np.ndarray:
-    """A Bloom filter of ``lang, phrase`` rows, as 64-bit words.
+def bloom(keys: DataFrame) -> np.ndarray:
+    """A Bloom filter of a table of 64-bit ``key``, as 64-bit words.
 
-    About 16 bits a phrase, 16 megabytes at most; built in Spark, so that only the filter itself
+    About 16 bits a key, 16 megabytes at most; built in Spark, so that only the filter itself
     reaches the driver.
     """
-    bits = FILTER_BITS[0]
-    count = phrases.count()
+    bits, count = FILTER_BITS[0], keys.count()
     while bits < min(16 * count, FILTER_BITS[1]):
         bits *= 2
 
-    def hashes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def places(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = phrase_hashes(batch["lang"].tolist(), batch["phrase"].tolist(), size)
-            yield pd.DataFrame({"place": np.concatenate(_places(found, bits)).astype(np.int64)})
+            found = _places(batch["key"].to_numpy().astype(np.uint64), bits)
+            yield pd.DataFrame({"place": np.concatenate(found).astype(np.int64)})
 
-    places = phrases.select("lang", "phrase").mapInPandas(hashes, "place long")
-    words = places.groupBy(F.shiftright("place", 6).alias("word")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(place & 63 as int))")).alias("bits")
+    words = (
+        keys.mapInPandas(places, "place long")
+        .groupBy(F.shiftright("place", 6).alias("word"))
+        .agg(F.bit_or(F.expr("shiftleft(1L, cast(place & 63 as int))")).alias("bits"))
     )
     filled = np.zeros(bits >> 6, dtype=np.uint64)
     for batch in words.toArrow().to_batches():
@@ -146,6 +165,17 @@ def bloom(phrases: DataFrame, size: int) -> np.ndarray:
     return filled
 
 
+def word_keys(words: DataFrame) -> DataFrame:
+    """``key`` of ``lang, phrase`` rows of one word."""
+
+    def keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = [word_hash(lang, w.encode("utf-8", "surrogatepass")) for lang, w in zip(batch["lang"], batch["phrase"])]
+            yield pd.DataFrame({"key": np.array(found, dtype=np.uint64).astype(np.int64)})
+
+    return words.select("lang", "phrase").mapInPandas(keys, "key long")
+
+
 def _places(hashes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     mixed = B.mix(hashes)
     return mixed & np.uint64(bits - 1), (mixed >> np.uint64(32)) & np.uint64(bits - 1)
@@ -158,6 +188,76 @@ def in_bloom(filled: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return there
 
 
+# --------------------------------------------------------------------------
+# pairs by hash
+
+
+def pack_counts(keys: np.ndarray, counts: np.ndarray) -> tuple[int, bytes, bytes]:
+    """Sorted distinct keys as the first one and the bytes of the steps, plane by plane, and counts up to 255."""
+    steps = np.diff(keys).astype("<u8").view(np.uint8).reshape(-1, 8)[:, : PAIR_BITS // 8]
+    return int(keys[0]), np.ascontiguousarray(steps.T).tobytes(), np.minimum(counts, 255).astype(np.uint8).tobytes()
+
+
+def unpack_counts(first: int, steps: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
+    planes = np.frombuffer(steps, dtype=np.uint8).reshape(PAIR_BITS // 8, -1).astype(np.uint64)
+    total = np.zeros(planes.shape[1] + 1, dtype=np.uint64)
+    total[0] = first
+    for k, plane in enumerate(planes):
+        total[1:] += plane << np.uint64(8 * k)
+    return np.cumsum(total), np.frombuffer(counts, dtype=np.uint8)
+
+
+def frequent_pairs(docs: DataFrame, filled: np.ndarray, least: int, total: int) -> DataFrame:
+    """``key`` of each pair of frequent words, and of what shares its hash, that may be frequent.
+
+    Tasks add up their pairs and exchange them by ranges of the hash, packed: a count of 255 stands
+    for more.
+    """
+    handed = docs.sparkSession.sparkContext.broadcast(filled)
+    ranges = 1
+    while (1 << ranges) * RANGE_PAIRS < total:
+        ranges += 1
+    shift = np.uint64(PAIR_BITS - ranges)
+
+    def packed(held: list[np.ndarray]) -> Iterator[pd.DataFrame]:
+        keys, counts = np.unique(np.concatenate(held), return_counts=True)
+        cuts = np.flatnonzero(np.diff(keys >> shift)) + 1
+        rows = [(int(k[0] >> shift), *pack_counts(k, n)) for k, n in zip(np.split(keys, cuts), np.split(counts, cuts)) if len(k)]
+        yield pd.DataFrame(rows, columns=["part", "first", "steps", "counts"])
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        filled = handed.value
+        known: dict[str, Vocabulary] = {}
+        held, size = [], 0
+        for batch in batches:
+            for lang, words in parts_by_language(batch):
+                vocabulary = known.setdefault(lang, Vocabulary(lang))
+                ids, hashes = vocabulary.read(words)
+                word = ids >= 0
+                word[word] = in_bloom(filled, hashes[word])
+                at = np.flatnonzero(word[:-1] & word[1:])
+                held.append(pair_keys(hashes[at], hashes[at + 1]))
+                size += len(at)
+                if size >= TASK_PAIRS:
+                    yield from packed(held)
+                    held, size = [], 0
+                if len(vocabulary.hashes) >= TASK_WORDS:
+                    del known[lang]
+        if size:
+            yield from packed(held)
+
+    def merge(rows: pd.DataFrame) -> pd.DataFrame:
+        blocks = [unpack_counts(*r) for r in zip(rows["first"], rows["steps"], rows["counts"])]
+        keys, place = np.unique(np.concatenate([k for k, _ in blocks]), return_inverse=True)
+        sums = np.bincount(place, weights=np.concatenate([n for _, n in blocks]))
+        return pd.DataFrame({"key": keys[sums >= least].astype(np.int64)})
+
+    if least > 255:
+        raise ValueError("counts of pairs are kept up to 255")
+    blocks = docs.mapInPandas(count, "part int, first long, steps binary, counts binary")
+    return blocks.groupBy("part").applyInPandas(merge, "key long")
+
+
 # --------------------------------------------------------------------------
 # counting
 
@@ -296,8 +396,8 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return counted.groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
 
 
-def phrase_counts(docs: DataFrame, filled: np.ndarray, known: int, sizes: tuple[int, ...], least: int) -> DataFrame:
-    """``lang, phrase, n`` of phrases that are frequent, among those whose runs of ``known`` words a filter holds."""
+def phrase_counts(docs: DataFrame, filled: np.ndarray, sizes: tuple[int, ...], least: int) -> DataFrame:
+    """``lang, phrase, n`` of phrases that are frequent; a filter holds all their pairs of words."""
     handed = docs.sparkSession.sparkContext.broadcast(filled)
 
     def rows(lang: str, words: list[bytes], trie: BurstTrie, share: float) -> Iterator[pd.DataFrame]:
@@ -320,36 +420,25 @@ def phrase_counts(docs: DataFrame, filled: np.ndarray, known: int, sizes: tuple[
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         filled = handed.value
-        held: dict[str, tuple[Numbers, BurstTrie, list[np.ndarray]]] = {}
+        held: dict[str, tuple[Vocabulary, BurstTrie]] = {}
         for batch in batches:
             for lang, words in parts_by_language(batch):
-                numbers, trie, hashes = held.setdefault(lang, (Numbers(), BurstTrie(), []))
-                ids = numbers.of(words)
-                done = sum(map(len, hashes))
-                hashes.append(np.array([word_hash(lang, w) for w in numbers.words[done:]], dtype=np.uint64))
-                hashes[:] = [np.concatenate(hashes)]
-                if not len(ids):
-                    continue
-                # A break has the hash of any word, but is in no pair.
-                of = hashes[0][np.maximum(ids, 0)] if len(hashes[0]) else np.zeros(len(ids), dtype=np.uint64)
-                word = ids >= 0
-                if known == 1:
-                    word &= in_bloom(filled, of)
-                pairs = word[:-1] & word[1:]
-                if known == 2:
-                    at = np.flatnonzero(pairs)
-                    pairs[at] = in_bloom(filled, B.combine([of[at], of[at + 1]]))
+                vocabulary, trie = held.setdefault(lang, (Vocabulary(lang), BurstTrie()))
+                ids, hashes = vocabulary.read(words)
+                pairs = (ids[:-1] >= 0) & (ids[1:] >= 0)
+                at = np.flatnonzero(pairs)
+                pairs[at] = in_bloom(filled, pair_keys(hashes[at], hashes[at + 1]))
                 for found in phrase_rows(ids, pairs, sizes):
                     trie.add(*found)
                     # The tries of all languages have TRIE_ENTRIES entries together at most.
-                    while sum(t.entries for _, t, _ in held.values()) > TRIE_ENTRIES:
+                    while sum(t.entries for _, t in held.values()) > TRIE_ENTRIES:
                         heaviest = max(held, key=lambda x: held[x][1].entries)
-                        yield from rows(heaviest, held[heaviest][0].words, held[heaviest][1], 0.5)
-                if len(numbers.words) >= TASK_WORDS:
-                    yield from rows(lang, numbers.words, trie, 1.0)
+                        yield from rows(heaviest, held[heaviest][0].numbers.words, held[heaviest][1], 0.5)
+                if len(vocabulary.hashes) >= TASK_WORDS:
+                    yield from rows(lang, vocabulary.numbers.words, trie, 1.0)
                     del held[lang]
-        for lang, (numbers, trie, _) in held.items():
-            yield from rows(lang, numbers.words, trie, 1.0)
+        for lang, (vocabulary, trie) in held.items():
+            yield from rows(lang, vocabulary.numbers.words, trie, 1.0)
 
     runs = docs.mapInPandas(count, "prefix long, lang string, phrase string, n long")
     merged = runs.repartition("prefix").groupBy("prefix", "lang", "phrase").agg(F.sum("n").alias("n"))
@@ -427,10 +516,9 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, scale: int
     words = write_table(word_counts(named))
     totals = words.groupBy("lang").agg(F.sum("n").alias("n"))
     singles = words.filter(F.col("n") >= least)
-    pairs = write_table(phrase_counts(named, bloom(singles, 1), 1, (2,), least))
-    longer = write_table(phrase_counts(named, bloom(pairs, 2), 2, tuple(range(3, LONGEST + 1)), least))
-    candidates = pairs.unionByName(longer)
     total = words.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    pairs = cut_lineage(frequent_pairs(named, bloom(word_keys(singles)), least, total))
+    candidates = write_table(phrase_counts(named, bloom(pairs), tuple(range(2, LONGEST + 1)), least))
     known = scored(candidates, singles.unionByName(candidates), total, scale, LONGEST)
     hidden = covered(candidates, LONGEST)
     big = "decimal(20,0)"
