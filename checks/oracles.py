@@ -5,7 +5,7 @@ from __future__ import annotations
 from textquarry.functions import minhash as M
 from textquarry.functions.patterns import LSH_BANDS, SPECIAL_TOKENS
 
-from .queries import SEED, WEIGHTS
+from .queries import MERGES, SEED, WEIGHTS
 
 WS = r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 EMAIL = r"\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Z|a-z]{2,}\b"
@@ -176,7 +176,7 @@ def sha1_signatures(source: str) -> str:
         + f""",
 kinds5 AS (SELECT DISTINCT gram FROM shingles WHERE gram IS NOT NULL),
 digests AS (
-  SELECT gram, p AS perm, ('0x' || substr(sha1(gram || '_' || p), 1, 16))::UBIGINT AS d
+  SELECT gram, p AS perm, sha1(gram || '_' || p) AS d
   FROM kinds5, (SELECT unnest(range(0, {PERMS})) AS p)),
 signature AS MATERIALIZED (
   SELECT seq, perm::BIGINT AS perm, min(d) AS value
@@ -321,19 +321,76 @@ chosen AS (SELECT dataset, seq, text FROM drawn WHERE place <= samples)"""
 # -------------------------------------------------------------------- words
 
 WORDS = f"words AS (SELECT doc_id AS seq, text, regexp_extract_all(strip_accents(lower(text)), '{WORD}') AS w FROM documents)"
-CODED = WORDS + """,
-coded AS (SELECT seq, text, list_transform(w, lambda x: ('0x' || substr(md5(x), 1, 6))::INTEGER) AS token_ids FROM words)"""
 FIRST_ID = len(SPECIAL_TOKENS)
-ALPHABET = WORDS + f""",
+SPELLED = f"""
 letters AS (SELECT DISTINCT unnest(string_split(array_to_string(w, ''), '')) AS c FROM words),
 alphabet AS (SELECT c AS token, {FIRST_ID - 1} + row_number() OVER (ORDER BY unicode(c)) AS id FROM letters WHERE c <> ''),
 spelled AS (
   SELECT seq, list(id ORDER BY i) AS ids, list(token ORDER BY i) AS tokens FROM (
     SELECT seq, unnest(string_split(array_to_string(w, ''), '')) AS token, unnest(range(1, length(array_to_string(w, '')) + 1)) AS i
     FROM words) JOIN alphabet USING (token) GROUP BY seq)"""
+ALPHABET = WORDS + "," + SPELLED
+RETAINED = f""",
+words AS (
+  SELECT seq, text, regexp_extract_all(strip_accents(lower(text)), '{WORD}') AS w FROM final WHERE NOT dropped),
+""" + SPELLED
+def merge_steps(kind: str, words: str, text: str) -> str:
+    """Clauses for the first ``MERGES`` merges over the words of a relation (seq, w, an array), each one step.
+
+    Symbols of a word are ids between commas.  ``v`` ends as the vocabulary (id, token), ``s`` as the
+    words with their symbols.
+    """
+    piece = "c" if kind == "bpe" else "CASE WHEN i > 1 THEN '##' || c ELSE c END"
+    order = "unicode(token)" if kind == "bpe" else "starts_with(token, '##') AND length(token) > 1, unicode(CASE WHEN length(token) > 1 THEN token[3:] ELSE token END)"
+    # Every character that occurs has a symbol that starts a word.
+    extra = "" if kind == "bpe" else " UNION SELECT c FROM letters"
+    out = f"""
+{text}
+w0 AS MATERIALIZED (SELECT word, count(*) AS n FROM (SELECT unnest(w) AS word FROM {words}) GROUP BY word),
+letters AS (SELECT word, unnest(string_split(word, '')) AS c, unnest(range(1, length(word) + 1)) AS i FROM w0),
+pieces AS (SELECT word, {piece} AS token, i FROM letters),
+v0 AS MATERIALIZED (
+  SELECT token, {FIRST_ID - 1} + row_number() OVER (ORDER BY {order}) AS id
+  FROM (SELECT token FROM pieces{extra}) GROUP BY token),
+s0 AS MATERIALIZED (
+  SELECT word, any_value(n) AS n, ',' || string_agg(id, ',,' ORDER BY i) || ',' AS s
+  FROM pieces JOIN v0 USING (token) JOIN w0 USING (word) GROUP BY word)"""
+    right = "r.token" if kind == "bpe" else "CASE WHEN starts_with(r.token, '##') AND length(r.token) > 2 THEN r.token[3:] ELSE r.token END"
+    for k in range(1, MERGES + 1):
+        out += f""",
+p{k} AS MATERIALIZED (
+  SELECT a, b FROM (
+    SELECT n, unnest(list_zip(ids[1 : len(ids) - 1], ids[2 : len(ids)])) AS z
+    FROM (SELECT n, string_split(s[2 : length(s) - 1], ',,') AS ids FROM s{k - 1}) WHERE len(ids) > 1),
+    (SELECT 1), LATERAL (SELECT z[1]::BIGINT AS a, z[2]::BIGINT AS b)
+  GROUP BY a, b ORDER BY sum(n) DESC, a, b LIMIT 1),
+v{k} AS MATERIALIZED (
+  SELECT token, id FROM v{k - 1}
+  UNION ALL SELECT l.token || {right}, (SELECT max(id) + 1 FROM v{k - 1}) FROM p{k} JOIN v{k - 1} l ON l.id = a JOIN v{k - 1} r ON r.id = b),
+s{k} AS MATERIALIZED (
+  SELECT word, n, replace(s, ',' || a || ',,' || b || ',', ',' || (SELECT max(id) FROM v{k}) || ',') AS s FROM s{k - 1}, p{k})"""
+    return out
+
+
 SPECIALS = ", ".join(f"({i}, '{t}')" for i, t in enumerate(SPECIAL_TOKENS))
 
 
+def first_vocabulary(kind: str) -> str:
+    return f"""WITH {merge_steps(kind, "words", WORDS + ",")}
+SELECT id, token FROM v{MERGES} UNION ALL SELECT * FROM (VALUES {SPECIALS})"""
+
+
+FIRST_ENCODED = f"""WITH {merge_steps("bpe", "words", WORDS + ",")},
+cells AS (SELECT seq, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS place FROM words),
+coded_words AS (
+  SELECT seq, string_agg(replace(s[2 : length(s) - 1], ',,', ' '), ' ' ORDER BY place) AS token_ids
+  FROM cells JOIN s{MERGES} USING (word) GROUP BY seq),
+encoded AS (
+  SELECT seq, coalesce(token_ids, '') AS token_ids,
+         CASE WHEN token_ids IS NULL THEN 0 ELSE len(string_split(token_ids, ' ')) END AS token_length
+  FROM words LEFT JOIN coded_words USING (seq))"""
+
+
 ORACLES = {
     "a1_jsonl_extract": """
 SELECT doc_id AS seq, CASE WHEN lang IN ('en', 'fr') THEN text END AS text, lang NOT IN ('en', 'fr') AS malformed
@@ -358,8 +415,11 @@ SELECT doc_id AS seq, regexp_replace(regexp_replace(regexp_replace(text, ' +', '
 SELECT count(*) AS total_processed, count(*) FILTER (drop_reason IS NOT NULL) AS total_dropped,
        sum(length_before)::BIGINT AS chars_before, sum(length(text))::BIGINT AS chars_after FROM cleaned""",
     "c13_valid_rows": f"WITH {cleaned(high=5000)} SELECT seq, length_before FROM cleaned WHERE drop_reason IS NULL",
-    "c14_project_ids": f"WITH {CODED} SELECT array_to_string(token_ids, ' ') AS token_ids FROM coded",
-    "c15_size_report": f"""WITH {CODED},
+    "c14_project_ids": f"{FIRST_ENCODED} SELECT token_ids FROM encoded",
+    "c15_size_report": f"""{FIRST_ENCODED},
+coded AS (
+  SELECT seq, text, CASE WHEN token_ids = '' THEN [] ELSE string_split(token_ids, ' ')::INTEGER[] END AS token_ids
+  FROM encoded JOIN words USING (seq)),
 sizes AS (
   SELECT sum(strlen(to_json({{'seq': seq, 'text': text, 'token_ids': token_ids}})::VARCHAR) + 1)::BIGINT AS input_bytes,
          sum(strlen(to_json({{'token_ids': token_ids}})::VARCHAR) + 1)::BIGINT AS output_bytes FROM coded)
@@ -379,7 +439,7 @@ SELECT seq, coalesce(language IN ('en', 'es'), false) AS is_allowed, language FR
     "d3_shingle_counts": f"""WITH docs AS (SELECT doc_id AS seq, text FROM documents), {shingle_sets('docs')}
 SELECT seq, count(DISTINCT gram) AS shingles FROM shingles GROUP BY seq""",
     "d4_signature_affine": f"WITH {KEPT},{affine_signatures('kept')} SELECT seq, perm, value FROM signature",
-    "d4_signature_sha1": f"WITH {KEPT},{sha1_signatures('kept')} SELECT seq, perm, printf('%016x', value) AS prefix FROM signature",
+    "d4_signature_sha1": f"WITH {KEPT},{sha1_signatures('kept')} SELECT seq, perm, value AS digest FROM signature",
     "d5_bucket_sizes": f"""WITH {KEPT},{affine_signatures('kept')}{BANDS}
 SELECT band, n, count(*) AS buckets FROM (SELECT band, key, count(*) AS n FROM bands GROUP BY band, key HAVING count(*) > 1)
 GROUP BY band, n""",
@@ -434,9 +494,9 @@ pairs AS (SELECT id AS "left", lead(id) OVER (PARTITION BY k ORDER BY i) AS "rig
 SELECT "left", "right", count(*) AS n FROM pairs WHERE "right" IS NOT NULL GROUP BY ALL""",
     "t7_encode_characters": f"WITH {ALPHABET} SELECT seq, array_to_string(ids, ' ') AS token_ids, len(ids) AS token_length FROM spelled",
     "t9_decode_characters": f"WITH {ALPHABET} SELECT seq, array_to_string(tokens, ' ') AS decoded FROM spelled",
-    "t10_token_totals": f"""WITH {WORDS}
-SELECT count(*) AS total_sequences, sum(len(w))::BIGINT AS total_tokens, round(sum(len(w)) / count(*)::DOUBLE, 6) AS avg_sequence_length
-FROM words""",
+    "t10_token_totals": f"""{FIRST_ENCODED}
+SELECT count(*) AS total_sequences, sum(token_length)::BIGINT AS total_tokens, round(sum(token_length) / count(*)::DOUBLE, 6) AS avg_sequence_length
+FROM encoded""",
     "e2_shards": """
 WITH placed AS (SELECT doc_id, n_chars, (row_number() OVER (ORDER BY doc_id) - 1) // 64 AS shard FROM documents)
 SELECT shard, count(*) AS records, min(doc_id) AS first, max(doc_id) AS last, sum(n_chars)::BIGINT AS chars FROM placed GROUP BY shard""",
@@ -510,6 +570,55 @@ SELECT type, count(*) AS hits, round(count(*) / (SELECT count(*) FROM spans)::DO
 
 
 
+I5_DETECTED = f"WITH {LANG}, o AS (SELECT seq, language, language_score AS s FROM outcome WHERE language IS NOT NULL AND language_score <> 0)," + """
+q AS (SELECT language, quantile_cont(s, 0.25) AS q1, quantile_cont(s, 0.5) AS med, quantile_cont(s, 0.75) AS q3 FROM o GROUP BY language),
+j AS (SELECT seq, o.language, s, q1, med, q3, s BETWEEN q1 - 1.5::DOUBLE * (q3 - q1) AND q3 + 1.5::DOUBLE * (q3 - q1) AS inside FROM o JOIN q USING (language))"""
+_NAMES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
+_BOX = ORACLES["i5_language_box"]
+
+ORACLES |= {
+    "a6_list_files": "SELECT name FROM (VALUES " + ", ".join(f"('{n}.parquet')" for n in _NAMES) + ") AS t(name)",
+    "a8_head_tenth": "SELECT doc_id AS seq, text FROM documents ORDER BY doc_id LIMIT (SELECT count(*) // 10 FROM documents)",
+    "l6_detection_totals": f"WITH {LANG} SELECT count(language) AS total_detected, count(*) FILTER (language IS NULL) AS detection_failures FROM outcome",
+    "d15_index_two_runs": ORACLES["d8_greedy_keep_first"],
+    "t4_bpe_first_merges": first_vocabulary("bpe"),
+    "t5_wordpiece_first_merges": first_vocabulary("wordpiece"),
+    "t6_saved_vocabulary": first_vocabulary("bpe"),
+    "t7_encode_first_merges": f"{FIRST_ENCODED} SELECT seq, token_ids, token_length FROM encoded",
+    "t9_round_trip": f"WITH {WORDS} SELECT seq, array_to_string(w, '') AS spelled FROM words",
+    "r5_tokenize_job": f"""WITH {ALPHABET}
+SELECT count(*) AS total_sequences, sum(len(ids))::BIGINT AS total_tokens, round(sum(len(ids)) / count(*)::DOUBLE, 6) AS avg_sequence_length
+FROM (SELECT seq, coalesce(ids, []) AS ids FROM words LEFT JOIN spelled USING (seq) WHERE text <> '')""",
+    "e5_proportional": f"""WITH {SIZES},
+shares AS (
+  SELECT dataset, weight, available, (SELECT count(*) // 3 FROM documents) * weight AS share FROM sizes),
+placed AS (
+  SELECT *, floor(share)::BIGINT AS base, row_number() OVER (ORDER BY floor(share) - share, dataset) AS place,
+         round(sum(share) OVER ())::BIGINT - sum(floor(share)::BIGINT) OVER () AS remaining FROM shares)
+SELECT dataset, round(weight, 9) AS weight, available, least(available, base + CASE WHEN place <= remaining THEN 1 ELSE 0 END)::BIGINT AS samples FROM placed""",
+    "e8_mixture_weights": f"WITH {SIZES} SELECT dataset, round(weight, 9) AS weight FROM sizes",
+    "e10_report_read_back": ORACLES["r2_report"],
+    "i5_language_outliers": _BOX[: _BOX.index("SELECT language, round(q1")].replace(
+        "SELECT o_orderpriority AS language,", "SELECT o_orderkey, o_orderpriority AS language,"
+    ).replace("SELECT o.language, s,", "SELECT o_orderkey, o.language, s,")
+    + "SELECT o_orderkey, language, s AS language_score FROM j WHERE NOT inside",
+    "i5_detected_box": I5_DETECTED + _BOX[_BOX.index("\nSELECT language, round(q1") :],
+    "i5_detected_outliers": I5_DETECTED + " SELECT seq, language, s AS language_score FROM j WHERE NOT inside",
+    "i11_detected_languages": f"""WITH {LANG}
+SELECT language, count(*) AS records, round(avg(language_score), 6) AS mean_score, round(quantile_cont(language_score, 0.5), 6) AS median_score
+FROM outcome WHERE language IS NOT NULL AND language_score <> 0 GROUP BY language""",
+    "i12_headline_tokens": f"""{NEAR_RUN}{RETAINED},
+figures AS (SELECT count(*) AS sequences, sum(len(coalesce(ids, [])))::BIGINT AS tokens FROM words LEFT JOIN spelled USING (seq))
+SELECT count(*)::DOUBLE AS total_samples, count(*) FILTER (NOT dropped)::DOUBLE AS cleaned_text_count, count(*) FILTER (dropped)::DOUBLE AS total_dropped,
+       any_value(sequences)::DOUBLE AS total_sequences, any_value(tokens)::DOUBLE AS total_tokens,
+       round(any_value(tokens / sequences::DOUBLE), 6) AS avg_sequence_length FROM final, figures""",
+    "r2_files_with_tokens": f"""{NEAR_RUN}{RETAINED}
+SELECT text, coalesce(array_to_string(ids, ' '), '') AS token_ids, len(coalesce(ids, []))::BIGINT AS token_length FROM words LEFT JOIN spelled USING (seq)""",
+    "r3_chunked_resume": NEAR_RUN + ROWS_OUT,
+    "r3_indexed_runs": NEAR_RUN + ROWS_OUT,
+}
+
+
 def near_flags(sql: str) -> str:
     """The same with flags by signatures in place of those of exact copies."""
     flags = f"flags AS ({exact_flags('kept')})"

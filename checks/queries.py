@@ -14,8 +14,9 @@ from textquarry.functions import words as W
 from textquarry.functions.frames import compute_once
 from textquarry.functions.spans import DEFAULT_RULES, Rule, entities
 from textquarry.operators import cleaning, dedup, language, mixture, pii, stats, tokens
+from textquarry.operators.dedup_index import DuplicateIndex
 from textquarry.plans import corpus, jobs, report
-from textquarry.session import cut_lineage, shared_dir, ship_package
+from textquarry.session import cut_lineage, shared_dir, ship_package, write_table
 from textquarry.sources import ledger, records, sinks
 from textquarry.sources.tables import read_documents, read_table, spread
 from textquarry.streaming import ingest
@@ -26,7 +27,8 @@ EXACT = CFG.with_(dup_method="exact")
 WEIGHTS = {"en": 3.0, "fr": 2.0, "de": 1.0}
 SEED = 7
 EXTRA_RULE = Rule("NUMBER", r"(?U)\b\d{5,}\b", 0.6)
-SMALL_VOCAB = 200
+MERGES = 24  # that SQL follows one by one, beside the queries with the whole vocabulary
+CHARACTERS = CFG.with_(vocab_size=0)  # no merges: every character is a token
 
 
 def big(column: str) -> F.Column:
@@ -162,6 +164,10 @@ def r4_clean_job(spark, sf):
     return spark.read.schema("text string, dropped boolean, drop_reason string").json(f"{out}/cleaned")
 
 
+def a6_list_files(spark, sf):
+    return records.list_files(spark, sf, "*.parquet").select(F.regexp_extract("path", "[^/]+$", 0).alias("name"))
+
+
 def a7_ledger_antijoin(spark, sf):
     pages = read_table(spark, sf, "pages").select("page_id", "url")
     done = pages.filter(F.col("url").startswith("https:")).select(ledger.target_name(F.col("url")).alias("name"))
@@ -172,6 +178,12 @@ def a8_head_sample(spark, sf):
     return records.head_sample(read_documents(spark, sf), 100).select("seq", "text")
 
 
+def a8_head_tenth(spark, sf):
+    """The first tenth of all records."""
+    docs = read_documents(spark, sf).select("seq", "text")
+    return records.head_sample(docs, docs.count() // 10)
+
+
 def a10_nonempty(spark, sf):
     return records.nonempty(cleaned(spark, sf)).select("seq", "text")
 
@@ -222,20 +234,15 @@ def c11_remove_emails(spark, sf):
     return person_texts(spark, sf).select("id", T.remove_emails(F.col("text")).alias("text"))
 
 
-def _coded(spark, sf):
-    """Words numbered by a hash, as a tokenized row."""
-    words = tokens.words_of(read_documents(spark, sf).select("seq", "text"))
-    ids = F.transform("words", lambda w: F.conv(F.substring(F.md5(w), 1, 6), 16, 10).cast("int"))
-    return words.select("seq", "text", ids.alias("token_ids"))
-
-
 def c14_project_ids(spark, sf):
-    coded = _coded(spark, sf)
-    return tokens.project_ids(coded).select(F.array_join(F.col("token_ids").cast("array<string>"), " ").alias("token_ids"))
+    rows, _ = _first_encoded(spark, sf)
+    return tokens.project_ids(rows).select(F.array_join(F.col("token_ids").cast("array<string>"), " ").alias("token_ids"))
 
 
 def c15_size_report(spark, sf):
-    sizes = tokens.size_report(_coded(spark, sf))
+    """The job that writes ids alone, and the sizes it reports."""
+    rows, _ = _first_encoded(spark, sf)
+    sizes = jobs.reduce_job(rows.select("seq", "text", "token_ids"), scratch(spark, "ids"))
     return sizes.select(
         "input_bytes",
         "output_bytes",
@@ -248,6 +255,10 @@ def c15_size_report(spark, sf):
 # ----------------------------------------------------------------- language
 
 
+def l6_detection_totals(spark, sf):
+    return language.detection_totals(detected(spark, sf))
+
+
 def l7_profile_counts(spark, sf):
     return language.gram_counts(read_documents(spark, sf))
 
@@ -309,7 +320,7 @@ def d4_signature_affine(spark, sf):
 
 def d4_signature_sha1(spark, sf):
     rows = _signature_rows(spark, sf, "sha1")
-    return rows.select("seq", big("perm"), F.lower(F.lpad(F.hex("value"), 16, "0")).alias("prefix"))
+    return rows.select("seq", big("perm"), F.lower(F.hex("value")).alias("digest"))
 
 
 def d5_bucket_sizes(spark, sf):
@@ -360,6 +371,16 @@ def _dedup_job(spark, sf, cfg):
     return jobs.dedup_stats(jobs.dedup_outcomes(docs, cfg))
 
 
+def d15_index_two_runs(spark, sf):
+    """The second half of the records against an index of the first."""
+    rows = write_table(kept(spark, sf))
+    middle = rows.agg(F.percentile_approx("seq", 0.5)).first()[0]
+    index = DuplicateIndex(spark, scratch(spark, "index"), CFG)
+    halves = [rows.filter(F.col("seq") <= middle), rows.filter(F.col("seq") > middle)]
+    later = [index.add(half, run) for run, half in enumerate(halves)]
+    return dedup.mark_known(rows, later[0].unionByName(later[1])).select("seq", "is_duplicate")
+
+
 def d14_inline_marking(spark, sf):
     """Duplicates among cleaned texts, marked but not removed."""
     return _inline_marking(spark, sf, EXACT)
@@ -452,11 +473,32 @@ def t3_word_counts(spark, sf):
 
 
 def t4_bpe_train(spark, sf):
-    return tokens.train(tokens.word_counts(read_documents(spark, sf)), "bpe", SMALL_VOCAB)[0].select(big("id"), "token")
+    return tokens.train(tokens.word_counts(read_documents(spark, sf)), "bpe", CFG.vocab_size)[0].select(big("id"), "token")
 
 
 def t5_wordpiece_train(spark, sf):
-    return tokens.train(tokens.word_counts(read_documents(spark, sf)), "wordpiece", SMALL_VOCAB)[0].select(big("id"), "token")
+    return tokens.train(tokens.word_counts(read_documents(spark, sf)), "wordpiece", CFG.vocab_size)[0].select(big("id"), "token")
+
+
+def _first_merges(spark, sf, kind="bpe"):
+    """The vocabulary after ``MERGES`` merges."""
+    counts = cut_lineage(tokens.word_counts(read_documents(spark, sf)))
+    return tokens.train(counts, kind, len(tokens.start(counts, kind)) + MERGES)
+
+
+def t4_bpe_first_merges(spark, sf):
+    return _first_merges(spark, sf)[0].select(big("id"), "token")
+
+
+def t5_wordpiece_first_merges(spark, sf):
+    return _first_merges(spark, sf, "wordpiece")[0].select(big("id"), "token")
+
+
+def t6_saved_vocabulary(spark, sf):
+    """The same after it was written and read back."""
+    path = scratch(spark, "vocabulary")
+    tokens.save(*_first_merges(spark, sf), path)
+    return tokens.load(spark, path)[0].select(big("id"), "token")
 
 
 def t4_alphabet(spark, sf):
@@ -479,9 +521,30 @@ def _encoded(spark, sf, size):
     return tokens.encode(docs, ready), ready
 
 
+def _first_encoded(spark, sf):
+    ready = tokens.broadcast_vocabulary(*_first_merges(spark, sf), "bpe")
+    return tokens.encode(read_documents(spark, sf).select("seq", "text"), ready), ready
+
+
+def _joined_ids():
+    return F.array_join(F.col("token_ids").cast("array<string>"), " ").alias("token_ids")
+
+
 def t7_encode(spark, sf):
-    rows, _ = _encoded(spark, sf, SMALL_VOCAB)
-    return rows.select("seq", F.array_join(F.col("token_ids").cast("array<string>"), " ").alias("token_ids"))
+    """With the whole vocabulary."""
+    rows, _ = _encoded(spark, sf, CFG.vocab_size)
+    return rows.select("seq", _joined_ids())
+
+
+def t7_encode_first_merges(spark, sf):
+    rows, _ = _first_encoded(spark, sf)
+    return rows.select("seq", _joined_ids(), big("token_length"))
+
+
+def t9_round_trip(spark, sf):
+    """Ids of the whole vocabulary decoded: the tokens, which spell the words of the text."""
+    rows, ready = _encoded(spark, sf, CFG.vocab_size)
+    return tokens.decode(rows, ready).select("seq", F.replace("decoded", F.lit(" "), F.lit("")).alias("spelled"))
 
 
 def t7_encode_characters(spark, sf):
@@ -498,8 +561,13 @@ def t9_decode_characters(spark, sf):
 
 
 def t10_token_totals(spark, sf):
-    words = tokens.words_of(read_documents(spark, sf).select("seq", "text"))
-    totals = tokens.token_totals(words.withColumn("token_length", F.size("words")))
+    rows, _ = _first_encoded(spark, sf)
+    return tokens.token_totals(rows).withColumn("avg_sequence_length", F.round("avg_sequence_length", 6))
+
+
+def r5_tokenize_job(spark, sf):
+    """From files to files, with characters as tokens."""
+    totals = jobs.tokenize_job(spark, [documents_jsonl(spark, sf)], scratch(spark, "tokenized"), CHARACTERS)
     return totals.withColumn("avg_sequence_length", F.round("avg_sequence_length", 6))
 
 
@@ -540,6 +608,11 @@ def e4_sample_sizes(spark, sf):
     )
 
 
+def e5_proportional(spark, sf):
+    sizes = mixture.sample_sizes(datasets(spark, sf), WEIGHTS, mode="proportional", total=read_documents(spark, sf).count() // 3)
+    return sizes.select("dataset", F.round("weight", 9).alias("weight"), "available", "samples")
+
+
 def e6_mixture_sample(spark, sf):
     return mixture.sample(datasets(spark, sf), WEIGHTS, SEED).select("dataset", "seq", "text")
 
@@ -563,6 +636,19 @@ def e8_mixture_metadata(spark, sf):
     )
 
 
+def e8_mixture_weights(spark, sf):
+    meta = mixture.mixture_metadata(datasets(spark, sf), WEIGHTS)
+    return meta.select(F.explode("mixture_weights").alias("dataset", "weight")).withColumn("weight", F.round("weight", 9))
+
+
+def e10_report_read_back(spark, sf):
+    """The report of a run from files to files, read from where it was written."""
+    out = scratch(spark, "run")
+    corpus.run_corpus(spark, [documents_jsonl(spark, sf)], out, CFG, profile(spark, sf), tokenize=False)
+    rows = spark.read.schema("metric string, value double").json(f"{out}/report")
+    return rows.select("metric", F.round("value", 6).alias("value"))
+
+
 # ---------------------------------------------------------------- statistics
 
 
@@ -608,6 +694,26 @@ def i5_language_box(spark, sf):
     return b.select("language", *[F.round(c, 6).alias(c) for c in b.columns[1:6]], "outliers")
 
 
+def i5_language_outliers(spark, sf):
+    """Orders in the place of records, with prices beyond the whiskers of their priority."""
+    orders = read_table(spark, sf, "orders").select("o_orderkey", F.col("o_orderpriority").alias("language"), F.round(F.col("o_totalprice") / 1000000, 4).alias("language_score"))
+    return stats.language_outliers(orders)
+
+
+def i5_detected_box(spark, sf):
+    b = stats.language_box(detected(spark, sf))
+    return b.select("language", *[F.round(c, 6).alias(c) for c in b.columns[1:6]], "outliers")
+
+
+def i5_detected_outliers(spark, sf):
+    return stats.language_outliers(detected(spark, sf)).select("seq", "language", "language_score")
+
+
+def i11_detected_languages(spark, sf):
+    s = stats.ranked_languages(detected(spark, sf))
+    return s.select("language", "records", F.round("mean_score", 6).alias("mean_score"), F.round("median_score", 6).alias("median_score"))
+
+
 def i11_ranked_languages(spark, sf):
     s = stats.ranked_languages(_price_scores(spark, sf))
     return s.select("language", "records", F.round("mean_score", 6).alias("mean_score"), F.round("median_score", 6).alias("median_score"))
@@ -660,6 +766,13 @@ def i12_headline_near(spark, sf):
     return report.headline(_outcome(spark, sf, CFG))
 
 
+def i12_headline_tokens(spark, sf):
+    """With the token figures of a run whose tokens are characters."""
+    run = corpus.prepare_corpus(read_documents(spark, sf), CHARACTERS, profile(spark, sf))
+    h = report.headline(run.processed, run.tokenized)
+    return h.withColumn("avg_sequence_length", F.round("avg_sequence_length", 6))
+
+
 # ---------------------------------------------------------------- whole runs
 
 
@@ -689,19 +802,26 @@ def r2_full_run(spark, sf):
 def r2_files_to_files(spark, sf):
     """What a run over JSON lines retains, as its output files have it."""
     out = scratch(spark, "run")
-    corpus.run_corpus(spark, [documents_jsonl(spark, sf)], out, CFG, profile(spark, sf), tokenize=False)
+    corpus.run_corpus(spark, [documents_jsonl(spark, sf)], out, CFG, profile(spark, sf))
     rows = spark.read.schema("text string, language string, pii_count bigint, length bigint").json(f"{out}/tokenized_data")
     return rows.select("text", "language", "pii_count", "length")
 
 
+def r2_files_with_tokens(spark, sf):
+    """The same with characters as tokens, and the ids in the files."""
+    out = scratch(spark, "run")
+    corpus.run_corpus(spark, [documents_jsonl(spark, sf)], out, CHARACTERS, profile(spark, sf))
+    rows = spark.read.schema("text string, token_ids array<int>, token_length bigint").json(f"{out}/tokenized_data")
+    return rows.select("text", _joined_ids(), "token_length")
+
+
 def r2_report(spark, sf):
     rows = corpus.prepare_corpus(read_documents(spark, sf), CFG, profile(spark, sf), tokenize=False).report
     return rows.select("metric", F.round("value", 6).alias("value"))
 
 
 def r2_with_tokens(spark, sf):
-    cfg = CFG.with_(vocab_size=SMALL_VOCAB)
-    run = corpus.prepare_corpus(read_documents(spark, sf), cfg, profile(spark, sf))
+    run = corpus.prepare_corpus(read_documents(spark, sf), CFG, profile(spark, sf))
     return run.tokenized.select("seq", "language", big("length"), big("token_length"))
 
 
@@ -722,6 +842,30 @@ def _stream_chunks(spark, sf, cfg):
     return _rows(ingest.finish(spark, cfg, out))
 
 
+def r3_chunked_resume(spark, sf):
+    """Twelve chunks of counted rows, stopped after five and taken up again."""
+    docs, out = read_documents(spark, sf), scratch(spark, "chunks")
+    cfg = CFG.with_(chunk_size=-(-docs.count() // 12))
+    for chunks in (5, None):
+        stream = ingest.stage_chunks(docs, cfg, f"{out}/staged")
+        ingest.write_chunks(stream, cfg, profile(spark, sf), out, chunks=chunks)
+    return _rows(ingest.finish(spark, cfg, out))
+
+
+def r3_indexed_runs(spark, sf):
+    """Two runs in chunks, the second with an index of the first one's records in place of their texts."""
+    docs, out = read_documents(spark, sf), scratch(spark, "runs")
+    cfg = CFG.with_(chunk_size=-(-docs.count() // 6))
+    middle = docs.agg(F.percentile_approx("seq", 0.5)).first()[0]
+    index = DuplicateIndex(spark, f"{out}/index", cfg)
+    rows = []
+    for run, part in enumerate((docs.filter(F.col("seq") <= middle), docs.filter(F.col("seq") > middle))):
+        stream = ingest.stage_chunks(part, cfg, f"{out}/staged-{run}")
+        ingest.write_chunks(stream, cfg, profile(spark, sf), f"{out}/run-{run}")
+        rows.append(ingest.finish(spark, cfg, f"{out}/run-{run}", index, run))
+    return _rows(rows[0].unionByName(rows[1]))
+
+
 NAMES = [
     a1_jsonl_extract, a1_read_jsonl, a2_read_json, a3_read_txt, a4_load_files, a7_ledger_antijoin, a8_head_sample, a10_nonempty, a11_dedup_job_files,
     c5_control_intent, c5_control_parity, c7_clean_text, c8_drop_counts, c9_normalize_ws, c10_remove_urls,
@@ -741,6 +885,10 @@ NAMES = [
     # With near duplicates, as the library is shipped; the ones without the ending look for exact copies.
     a11_dedup_job_files_near, d11_filter_duplicates_near, d13_dedup_job_near, d14_inline_marking_near,
     i6_duplicate_stats_near, i8_summary_near, i12_headline_near, r3_stream_chunks_near,
+    a6_list_files, a8_head_tenth, l6_detection_totals, d15_index_two_runs, t4_bpe_first_merges, t5_wordpiece_first_merges,
+    t6_saved_vocabulary, t7_encode_first_merges, t9_round_trip, r5_tokenize_job, e5_proportional, e8_mixture_weights,
+    e10_report_read_back, i5_language_outliers, i5_detected_box, i5_detected_outliers, i11_detected_languages,
+    i12_headline_tokens, r2_files_with_tokens, r3_chunked_resume, r3_indexed_runs,
 ]
 
 

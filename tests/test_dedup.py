@@ -71,6 +71,59 @@ def test_fingerprints_bound_the_matches(spark, num_perm):
         assert r.most == sum(x % 4 == y % 4 for x, y in zip(r.a, r.b))
 
 
+def revisions(n, num_perm=32):
+    """Each record shares 26 of 32 positions with the one before, and less with all others."""
+    sig, rows = [0] * num_perm, []
+    for seq in range(n):
+        for k in range(6):
+            sig[(6 * seq + k) % num_perm] = 1000 * seq + k
+        rows.append((seq, list(sig)))
+    return rows
+
+
+@pytest.mark.parametrize("local", [200_000, 100])
+def test_long_chains_settle_in_few_turns(spark, monkeypatch, local):
+    rows = revisions(1000)
+    turns = []
+    cut = dedup.cut_lineage
+    monkeypatch.setattr(dedup, "LOCAL_EDGES", local)
+    monkeypatch.setattr(dedup, "cut_lineage", lambda df: turns.append("kept" in df.columns) or cut(df))
+    edges = spark.createDataFrame([(i, i + 1) for i in range(999)], "a long, b long")
+    dropped, left = dedup._settle(edges, None)
+    got = {r.seq for df in dropped for r in df.collect()}
+    assert got == set(range(1, 1000, 2)) and left.isEmpty()
+    assert sum(turns) <= 40 if local == 100 else sum(turns) <= 20
+    if local > 100:
+        found = {r.seq for r in dedup.greedy_duplicates(nodes(spark, rows[:200]), 32, 0.8).collect()}
+        assert found == sequential(rows[:200], 32, 0.8) == set(range(1, 200, 2))
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_groups_settle_like_the_sequence(spark, monkeypatch, seed):
+    """Random graphs, some records waiting, shares of a few pairs: what is decided is what the sequence decides."""
+    rng = random.Random(seed)
+    monkeypatch.setattr(dedup, "LOCAL_EDGES", 25)
+    monkeypatch.setattr(dedup, "TASK_PAIRS", 5)
+    monkeypatch.setattr(dedup, "PARALLEL_TURNS", 1)
+    pairs = {tuple(sorted(rng.sample(range(300), 2))) for _ in range(400)}
+    edges = spark.createDataFrame(list(pairs), "a long, b long")
+    kept = set()
+    for seq in range(300):
+        if not any((a, seq) in pairs for a in kept):
+            kept.add(seq)
+    dropped, left = dedup._settle(edges, None)
+    assert {r.seq for df in dropped for r in df.collect()} == set(range(300)) - kept and left.isEmpty()
+    waiting = set(rng.sample(range(300), 30))
+    state = {}
+    for seq in range(300):
+        found = {state[a] for a in range(seq) if (a, seq) in pairs}
+        state[seq] = "gone" if "kept" in found else "open" if "open" in found or seq in waiting else "kept"
+    held = spark.createDataFrame([(s,) for s in waiting], "seq long")
+    dropped, left = dedup._settle(edges, held)
+    assert {r.seq for df in dropped for r in df.collect()} == {s for s, x in state.items() if x == "gone"}
+    assert {(r.a, r.b) for r in left.collect()} == {(a, b) for a, b in pairs if state[a] == state[b] == "open"}
+
+
 def test_similarity_is_not_transitive(spark):
     base = list(range(100, 132))
     a, b, c = list(base), list(base), list(base)
@@ -108,7 +161,18 @@ def test_sha1_signature_equals_brute_force(spark):
                 continue
             want = [min(hashlib.sha1(f"{g}_{k}".encode()).hexdigest() for g in grams) for k in range(20)]
             assert full[i] == want
-            assert [f"{v % 2**64:016x}" for v in got[i]] == [w[:16] for w in want]
+            assert [v.hex() for v in got[i]] == want
+
+
+def test_least_digests_compare_all_words():
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    for _ in range(200):
+        # Few values, so that leading words tie.
+        rows = [bytes([0] * 7 + [rng.integers(2)] + [0] * 7 + [rng.integers(2)] + [0] * 3 + [rng.integers(3)]) for _ in range(12)]
+        least = M._least_digests(np.frombuffer(b"".join(rows), dtype=M.DIGEST), np.array([0, 1, 5]))
+        assert [x.tobytes() for x in least] == [min(rows[:1]), min(rows[1:5]), min(rows[5:])]
 
 
 def test_affine_signature_equals_brute_force(spark):

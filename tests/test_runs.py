@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from textquarry.config import CorpusConfig
-from textquarry.operators import language, stats
+from textquarry.operators import dedup, language, stats, tokens
+from textquarry.operators.dedup_index import DuplicateIndex
 from textquarry.plans import corpus, jobs, report
 from textquarry.sources import sinks
 from textquarry.sources.tables import read_documents
@@ -122,3 +123,78 @@ def test_jobs(spark, docs, tmp_path):
         spark.createDataFrame([("a", 1.0)], "metric string, value double"), jobs.read_dedup_stats(spark, str(tmp_path / "dedup"))
     )
     assert {r.metric: r.value for r in merged.collect()}["dedup_total"] == len(lines)
+
+
+COLUMNS = ["seq", "text", "drop_reason", "is_duplicate", "length"]
+
+
+def test_chunks_of_counted_rows_stop_and_resume(spark, docs, profile, tmp_path, monkeypatch):
+    cfg = CorpusConfig(dup_method="exact", chunk_size=18)
+    out = str(tmp_path / "out")
+    done = []
+    annotate = ingest.annotate_records
+
+    def failing(batch, *args):
+        """The fifth chunk breaks off in the middle of its writing, once."""
+        done.append(batch.count())
+        rows = annotate(batch, *args)
+        if len(done) == 5:
+            broken = F.when(F.monotonically_increasing_id() >= 0, F.raise_error(F.lit("lost"))).otherwise(F.col("drop_reason"))
+            return rows.withColumn("drop_reason", F.when(F.col("seq") % 2 == 0, F.col("drop_reason")).otherwise(broken.cast("string")))
+        return rows
+
+    monkeypatch.setattr(ingest, "annotate_records", failing)
+
+    def go(chunks=None):
+        stream = ingest.stage_chunks(docs, cfg, f"{out}/staged")
+        return ingest.write_chunks(stream, cfg, profile, out, chunks=chunks)
+
+    assert go(chunks=3) is False
+    with pytest.raises(Exception, match="lost"):
+        go()
+    assert go(chunks=2) is False and go() is True and go() is True
+    sizes = {r.batch: r["count"] for r in ingest.read_chunks(spark, out).groupBy("batch").count().collect()}
+    assert len(sizes) == 12 and sorted(sizes.values()) == [2] + [18] * 11 and max(done) == 18
+    rows = ingest.finish(spark, cfg, out).select(COLUMNS)
+    whole = corpus.process_records(docs, cfg, profile).select(COLUMNS)
+    assert sorted(map(str, rows.collect())) == sorted(map(str, whole.collect()))
+
+
+@pytest.mark.parametrize("family", ["affine", "sha1"])
+def test_index_gives_the_flags_of_one_search(spark, docs, tmp_path, family):
+    import shutil
+
+    cfg = CorpusConfig(num_perm=64, hash_family=family)
+    texts = docs.select("seq", "text").filter("length(text) > 50").cache()
+    want = {r.seq for r in dedup.near_duplicates(texts, cfg).collect()}
+    index = DuplicateIndex(spark, str(tmp_path / "index"), cfg)
+    got = set()
+    for run, part in enumerate(("seq < 60", "seq >= 60 AND seq < 61", "seq >= 61 AND seq < 130", "seq >= 130", "seq < 0")):
+        own = str(tmp_path / f"run-{run}")
+        texts.filter(part).write.parquet(own)
+        rows = spark.read.parquet(own)
+        found = {r.seq for r in index.add(rows, run).collect()}
+        if run == 2:
+            # A run repeated after a failure replaces its part of the index.
+            assert {r.seq for r in index.add(rows, run).collect()} == found
+        got |= found
+        # Later runs can't read this one's texts any more.
+        shutil.rmtree(own)
+    assert got == want and len(want) > 3
+    # Other settings have an index of their own.
+    assert DuplicateIndex(spark, str(tmp_path / "index"), cfg.with_(threshold=0.9)).add(texts.filter("seq < 60"), 9).count() >= 0
+
+
+def test_tokens_of_a_run_spell_its_texts(spark, docs, profile, tmp_path):
+    """Files to files with the shipped size of the vocabulary: ids and tokens agree and spell the words."""
+    source, out = str(tmp_path / "raw.jsonl"), str(tmp_path / "out")
+    docs.orderBy("seq").select("text").write.json(source)
+    run = corpus.run_corpus(spark, [source], out, CorpusConfig(), profile)
+    table = {r.id: r.token for r in run.vocabulary[0].collect()}
+    assert len(table) > 1000
+    schema = "text string, tokens array<string>, token_ids array<int>, token_length int"
+    rows = tokens.words_of(spark.read.schema(schema).json(f"{out}/tokenized_data")).collect()
+    assert rows
+    for r in rows:
+        assert [table[i] for i in r.token_ids] == r.tokens and len(r.tokens) == r.token_length
+        assert "".join(r.tokens) == "".join(r.words)

@@ -1,4 +1,5 @@
 import random
+from collections import Counter, defaultdict
 
 import pytest
 from tokenizers import Tokenizer, models, normalizers, pre_tokenizers, trainers
@@ -108,9 +109,88 @@ def test_save_and_load(spark, bpe, tmp_path):
     assert sorted(map(tuple, merges.collect())) == sorted(map(tuple, bpe[1].collect()))
 
 
-def test_inexact_training_reaches_the_size(spark, texts):
-    vocab, _ = tokens.train(tokens.word_counts(texts), "bpe", 90, exact=False)
-    assert vocab.count() == 90
+def one_at_a_time(words, kind, size):
+    """Vocabulary by one merge after another; all words with a pair are recounted for it."""
+    spelled = {w: [f"##{c}" if i and kind == "wordpiece" else c for i, c in enumerate(w)] for w in words}
+    chars = {c for s in spelled.values() for c in s}
+    if kind == "wordpiece":
+        bare = sorted({c.removeprefix("##") if len(c) > 1 else c for c in chars})
+        alphabet = bare + sorted(c for c in chars if len(c) > 1)
+    else:
+        alphabet = sorted(chars)
+    table = [*SPECIAL_TOKENS, *(c for c in alphabet if c not in SPECIAL_TOKENS)]
+    ids = {t: i for i, t in enumerate(table)}
+    spelled = {w: [ids[c] for c in s] for w, s in spelled.items()}
+    counts, holders = Counter(), defaultdict(set)
+
+    def count(w, sign):
+        for pair in zip(spelled[w], spelled[w][1:]):
+            counts[pair] += sign * words[w]
+            holders[pair].add(w)
+
+    for w in words:
+        count(w, 1)
+    while len(table) < size:
+        n = max(counts.values(), default=0)
+        if n <= 0:
+            break
+        left, right = min(p for p, m in counts.items() if m == n)
+        token = table[left] + (table[right].removeprefix("##") if kind == "wordpiece" else table[right])
+        if token not in ids:
+            ids[token] = len(table)
+            table.append(token)
+        for w in list(holders[left, right]):
+            count(w, -1)
+            s, out = spelled[w], []
+            while s:
+                step = 2 if s[:2] == [left, right] else 1
+                out.append(ids[token] if step == 2 else s[0])
+                s = s[step:]
+            spelled[w] = out
+            count(w, 1)
+        counts += Counter()  # drops what is gone
+    return table
+
+
+@pytest.mark.parametrize("kind", ["bpe", "wordpiece"])
+def test_training_equals_one_merge_at_a_time(spark, sf, kind, monkeypatch):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("text")
+    counts = tokens.word_counts(docs).cache()
+    words = {r.word: r.n for r in counts.collect()}
+    words["ab" * 500] = 3  # one long word
+    table = spark.createDataFrame(list(words.items()), "word string, n bigint")
+    want = one_at_a_time(words, kind, 700)
+    vocab, _ = tokens.train(table, kind, 700)
+    assert [r.token for r in vocab.orderBy("id").collect()] == want
+    # However small the parts of the order are.
+    monkeypatch.setattr(tokens, "HEAVY_PAIRS", (60, 60))
+    monkeypatch.setattr(tokens, "SEGMENT_SYMBOLS", 3000)
+    vocab, _ = tokens.train(table, kind, 300)
+    assert [r.token for r in vocab.orderBy("id").collect()] == want[:300]
+
+
+def test_few_rounds(spark, sf):
+    """5000 tokens equal those of the library, in a few rounds."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet".replace("sf0.001", "sf0.01")).select("text")
+    tok = Tokenizer(models.BPE())
+    tok.normalizer = library(90).normalizer
+    tok.pre_tokenizer = pre_tokenizers.Whitespace()
+    trainer = trainers.BpeTrainer(vocab_size=5000, special_tokens=list(SPECIAL_TOKENS), show_progress=False)
+    tok.train_from_iterator([r.text for r in docs.collect()], trainer)
+    counts = tokens.word_counts(docs)
+    names = tokens._Naming(tokens.start(counts, "bpe"), "bpe")
+    rounds = list(tokens._rounds(tokens.spell(counts, "bpe", names.known), names, 5000))
+    assert names.known == tok.get_vocab()
+    assert len(rounds) <= 20 and sum(map(len, rounds)) == len(names.merges)
+
+
+def test_training_without_words_and_to_the_end(spark):
+    none = spark.createDataFrame([], "word string, n bigint")
+    assert tokens.train(none, "bpe", 50)[0].count() == len(SPECIAL_TOKENS)
+    few = spark.createDataFrame([("aaaa", 3), ("b", 9), ("abaab", 1)], "word string, n bigint")
+    for kind in ("bpe", "wordpiece"):
+        table = [r.token for r in tokens.train(few, kind, 30_000)[0].orderBy("id").collect()]
+        assert table == one_at_a_time({"aaaa": 3, "b": 9, "abaab": 1}, kind, 30_000)
 
 
 def test_totals_and_sizes(spark):

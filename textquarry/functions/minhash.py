@@ -22,7 +22,9 @@ RADIX = 911_382_323
 MIXER = 739_982_445
 
 CHUNK_CODE_POINTS = 250_000  # tables of a chunk stay in the processor's cache
-MEMO_SHINGLES = 131_072
+SHA1_CODE_POINTS = 60_000  # whose tables of digests are larger
+MEMO_SHINGLES = 32_768
+DIGEST = np.dtype([("high", ">u8"), ("middle", ">u8"), ("low", ">u4")])  # the 20 bytes of SHA-1
 
 
 def affine_coefficients(num_perm: int) -> tuple[list[int], list[int]]:
@@ -77,7 +79,7 @@ def _affine_table(h: np.ndarray, num_perm: int) -> np.ndarray:
 def _sha1_table(
     codes: np.ndarray, at: np.ndarray, n: int, suffixes: list[bytes], memo: dict[bytes, np.ndarray]
 ) -> np.ndarray:
-    """Leading 64 bits of SHA-1 over ``shingle_i``: they order like the digest."""
+    """SHA-1 over ``shingle_i``: a row for each permutation i, a column for each shingle."""
     grams = np.ascontiguousarray(codes[at[:, None] + np.arange(n)].astype("<u4"))
     rows = []
     for gram in grams:
@@ -85,17 +87,29 @@ def _sha1_table(
         row = memo.get(raw)
         if row is None:
             stem = raw.decode("utf-32-le").encode() + b"_"
-            digests = b"".join([hashlib.sha1(stem + s).digest() for s in suffixes])
-            row = np.frombuffer(digests, dtype=">u8,>u8,>u4")["f0"].astype(np.uint64)
+            row = np.frombuffer(b"".join([hashlib.sha1(stem + s).digest() for s in suffixes]), dtype=DIGEST)
             if len(memo) >= MEMO_SHINGLES:
                 memo.clear()
             memo[raw] = row
         rows.append(row)
-    return np.ascontiguousarray(np.array(rows).T)
+    return np.array(rows, dtype=DIGEST).T
 
 
-def _signatures(texts: list[str], n: int, num_perm: int, family: str, memo: dict) -> np.ndarray:
-    """One signature row per text; every text has at least one shingle."""
+def _least_digests(digests: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """The least digest of each run: by the first word, ties by the second, then by the third."""
+    runs = np.diff(np.append(offsets, len(digests)))
+    out = np.empty(len(offsets), dtype=DIGEST)
+    tied = np.ones(len(digests), dtype=bool)
+    for word in DIGEST.names:
+        values = digests[word].astype(np.uint64)
+        values[~tied] = np.iinfo(np.uint64).max
+        out[word] = least = np.minimum.reduceat(values, offsets)
+        tied &= values == np.repeat(least, runs)
+    return out
+
+
+def _signatures(texts: list[str], n: int, num_perm: int, family: str, memo: dict) -> list:
+    """One signature per text; every text has at least one shingle."""
     lengths = np.array([len(t) for t in texts])
     codes = np.frombuffer("".join(texts).encode("utf-32-le"), dtype="<u4").astype(np.int64)
     counts = lengths - n + 1
@@ -105,24 +119,27 @@ def _signatures(texts: list[str], n: int, num_perm: int, family: str, memo: dict
     if family == "affine":
         which, distinct = pd.factorize(_base_hashes(codes, starts, n))
         table = _affine_table(distinct, num_perm)
-    else:
-        which, distinct = pd.factorize(_shingle_keys(codes, starts, n))
-        at = np.empty(len(distinct), dtype=np.int64)
-        at[which] = starts
-        table = _sha1_table(codes, at, n, [str(i).encode() for i in range(num_perm)], memo)
-    out = np.empty((num_perm, len(texts)), dtype=table.dtype)
-    values = np.empty(len(which), dtype=table.dtype)
+        out = np.empty((num_perm, len(texts)), dtype=table.dtype)
+        values = np.empty(len(which), dtype=table.dtype)
+        for i in range(num_perm):
+            np.take(table[i], which, out=values, mode="clip")
+            np.minimum.reduceat(values, offsets, out=out[i])
+        return list(np.ascontiguousarray(out.T).astype(np.int64))
+    which, distinct = pd.factorize(_shingle_keys(codes, starts, n))
+    at = np.empty(len(distinct), dtype=np.int64)
+    at[which] = starts
+    table = _sha1_table(codes, at, n, [str(i).encode() for i in range(num_perm)], memo)
+    digests = np.empty((len(texts), num_perm), dtype=DIGEST)
     for i in range(num_perm):
-        np.take(table[i], which, out=values, mode="clip")
-        np.minimum.reduceat(values, offsets, out=out[i])
-    return np.ascontiguousarray(out.T).astype(np.uint64).view(np.int64)
+        digests[:, i] = _least_digests(table[i][which], offsets)
+    return [[digest.tobytes() for digest in row] for row in digests]
 
 
-def _chunks(texts: list[str]) -> Iterator[list[int]]:
+def _chunks(texts: list[str], limit: int) -> Iterator[list[int]]:
     part: list[int] = []
     size = 0
     for i, text in enumerate(texts):
-        if part and size + len(text) > CHUNK_CODE_POINTS:
+        if part and size + len(text) > limit:
             yield part
             part, size = [], 0
         part.append(i)
@@ -132,16 +149,21 @@ def _chunks(texts: list[str]) -> Iterator[list[int]]:
 
 
 def signature(text: Column, n: int, num_perm: int, family: str = "affine") -> Column:
-    """Signature of a text already lower-cased and collapsed; null if shorter than n."""
+    """Signature of a text already lower-cased and collapsed; null if shorter than n.
+
+    Numbers for the affine family, whole digests of 20 bytes, which order like
+    the numbers that they spell, for ``sha1``.
+    """
+    limit = CHUNK_CODE_POINTS if family == "affine" else SHA1_CODE_POINTS
 
-    @F.pandas_udf("array<bigint>")
+    @F.pandas_udf("array<bigint>" if family == "affine" else "array<binary>")
     def sign(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         memo: dict[bytes, np.ndarray] = {}
         for batch in batches:
             result: list = [None] * len(batch)
             usable = [(i, t) for i, t in enumerate(batch) if t is not None and len(t) >= n]
             texts = [t for _, t in usable]
-            for part in _chunks(texts):
+            for part in _chunks(texts, limit):
                 rows = _signatures([texts[k] for k in part], n, num_perm, family, memo)
                 for k, row in zip(part, rows):
                     result[usable[k][0]] = row
@@ -172,6 +194,11 @@ def band_keys(sig: Column, num_perm: int) -> Column:
     )
 
 
+def last_bytes(sig: Column) -> Column:
+    """The last byte of each digest, as a number."""
+    return F.transform(sig, lambda x: F.conv(F.hex(F.substring(x, 20, 1)), 16, 10).cast("bigint"))
+
+
 def fingerprint(sig: Column, num_perm: int) -> Column:
     """The two lowest bits of every position, packed 64 positions to a number:
     first the lowest bits of all positions, then the next ones."""

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import heapq
 from collections.abc import Iterator
 
 import pandas as pd
@@ -10,6 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import patterns as P
+from .merges import merge_ranked
 
 MEMO_WORDS = 500_000
 MAX_WORD_CHARS = 100  # longer words are unknown to WordPiece
@@ -53,30 +53,13 @@ def split_words(normalized: Column) -> Column:
     return F.regexp_extract_all(normalized, F.lit(_WORD_OR_SPECIAL), F.lit(0))
 
 
-def replace_all(symbols: Column, replaced: list[tuple[str, str]]) -> Column:
-    """Several replacements, one after the other; as an expression each would be compiled anew."""
-
-    @F.pandas_udf("string")
-    def replace(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        def one(word: str) -> str:
-            for old, new in replaced:
-                if old in word:
-                    word = word.replace(old, new)
-            return word
-
-        for batch in batches:
-            yield batch.map(one)
-
-    return replace(symbols)
-
-
 class Vocabulary:
     """Token ids and, for BPE, the rank of each merge."""
 
     def __init__(self, kind: str, ids: dict[str, int], ranks: dict[tuple[str, str], int]):
         self.kind = kind
         self.ids = ids
-        self.ranks = ranks
+        self.merged = {pair: (rank, pair[0] + pair[1]) for pair, rank in ranks.items()}
         self.unknown = ids[P.SPECIAL_TOKENS[3]]
         self.special = {mark: token for token, mark in _STAND_INS.items()}
 
@@ -87,33 +70,7 @@ class Vocabulary:
         return self._merge(word) if self.kind == "bpe" else self._longest(word)
 
     def _merge(self, word: str) -> list[str]:
-        """Merges by rank, equal ranks from the left; the pairs wait in a heap."""
-        parts: list[str | None] = [c for c in word if c in self.ids]
-        after = list(range(1, len(parts) + 1))
-        before = list(range(-1, len(parts) - 1))
-        waiting = []
-
-        def offer(i: int) -> None:
-            if i >= 0 and after[i] < len(parts):
-                rank = self.ranks.get((parts[i], parts[after[i]]))
-                if rank is not None:
-                    heapq.heappush(waiting, (rank, i, parts[i], parts[after[i]]))
-
-        for i in range(len(parts) - 1):
-            offer(i)
-        while waiting:
-            _, i, left, right = heapq.heappop(waiting)
-            # A pair that another merge has changed since is no longer there.
-            j = after[i]
-            if parts[i] != left or j >= len(parts) or parts[j] != right:
-                continue
-            parts[i], parts[j] = left + right, None
-            after[i] = after[j]
-            if after[j] < len(parts):
-                before[after[j]] = i
-            offer(before[i])
-            offer(i)
-        return [p for p in parts if p is not None]
+        return merge_ranked([c for c in word if c in self.ids], self.merged)
 
     def _longest(self, word: str) -> list[str] | None:
         if len(word) > MAX_WORD_CHARS:

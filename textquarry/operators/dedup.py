@@ -15,8 +15,11 @@ in the next.  Buckets beyond ``HOT_ROWS`` are spread over salted partitions.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,11 +28,15 @@ from ..functions import minhash as M
 from ..functions.frames import compute_once
 from ..functions.text import shingle_text
 from ..session import cut_lineage
+from .components import components
 
 SMALL_BUCKET = 32
 HOT_ROWS = 500_000
 MAX_HOT_BUCKETS = 10_000
 MAX_LEADERS = 512
+PARALLEL_TURNS = 3  # before what is still undecided is settled group by group
+LOCAL_EDGES = 200_000  # pairs of a group that are settled at a time, a few megabytes
+TASK_PAIRS = 50_000  # of small groups that a task settles together
 BROADCAST_ROWS = 1_000_000  # of record numbers, about 16 MB
 
 
@@ -92,10 +99,11 @@ def _sign(grams: DataFrame, cfg: CorpusConfig, seq: str) -> DataFrame:
         F.col(seq).alias("seq"),
         M.signature(F.col("_s"), cfg.ngram_size, cfg.num_perm, cfg.hash_family).alias("sig"),
     )
+    numbers = F.col("sig") if cfg.hash_family == "affine" else M.last_bytes(F.col("sig"))
     return compute_once(
         signed,
         keys=M.band_keys(F.col("sig"), cfg.num_perm),
-        print=M.fingerprint(F.col("sig"), cfg.num_perm),
+        print=M.fingerprint(numbers, cfg.num_perm),
     )
 
 
@@ -224,14 +232,17 @@ def leader_pairs(sigs: DataFrame) -> DataFrame:
 
 
 def _settle(edges: DataFrame, waiting: DataFrame | None) -> tuple[list[DataFrame], DataFrame]:
-    """Keep-first over verified pairs (a earlier than b), in parallel rounds.
-
-    A record with no earlier undecided match is kept and drops all later
-    records it matches.  Records in ``waiting`` have not met all their leaders
-    yet and cannot be kept.  Returns the dropped records, round by round, and
-    the pairs still undecided.
+    """Keep-first over verified pairs (a earlier than b).
+
+    In a turn every record with no earlier undecided match is kept and drops
+    all later records it matches.  Chains of revisions, each similar to the
+    one before, would take a turn for each link; so after a few turns the
+    undecided records are settled by ``_settle_groups`` as well.  Records in
+    ``waiting`` have not met all their leaders yet and cannot be kept.
+    Returns the dropped records and the pairs still undecided.
     """
     dropped: list[DataFrame] = []
+    turn = 0
     while True:
         blocked = edges.select(F.col("b").alias("a")).distinct()
         if waiting is not None:
@@ -245,12 +256,98 @@ def _settle(edges: DataFrame, waiting: DataFrame | None) -> tuple[list[DataFrame
             return dropped, tagged.drop("kept")
         gone = tagged.filter("kept").select(F.col("b").alias("seq")).distinct()
         dropped.append(gone)
-        edges = (
-            tagged.filter("not kept")
-            .join(gone.withColumnRenamed("seq", "a"), "a", "left_anti")
-            .join(gone.withColumnRenamed("seq", "b"), "b", "left_anti")
-            .select("a", "b")
-        )
+        edges = _without(tagged.filter("not kept").select("a", "b"), gone)
+        turn += 1
+        if turn >= PARALLEL_TURNS:
+            edges = cut_lineage(edges)
+            left = edges.count()
+            if not left:
+                return dropped, edges
+            settled = _settle_groups(edges, waiting, left)
+            kept, gone = settled.filter("kept"), settled.filter("not kept").select("seq")
+            # A kept record also drops those that its group's share did not hold.
+            hit = edges.join(kept.select(F.col("seq").alias("a")), "a", "left_semi").select(F.col("b").alias("seq"))
+            gone = cut_lineage(gone.unionByName(hit).distinct())
+            dropped.append(gone)
+            edges = _without(_without(edges, gone), kept.select("seq"))
+
+
+def _without(edges: DataFrame, seqs: DataFrame) -> DataFrame:
+    """The pairs neither end of which is among ``seqs``."""
+    return edges.join(seqs.withColumnRenamed("seq", "a"), "a", "left_anti").join(
+        seqs.withColumnRenamed("seq", "b"), "b", "left_anti"
+    ).select("a", "b")
+
+
+def _settle_groups(edges: DataFrame, waiting: DataFrame | None, count: int) -> DataFrame:
+    """``seq``, ``kept``: what can be decided of undecided records, connected group by connected group.
+
+    A group's pairs are taken in the order of the later record, ``LOCAL_EDGES``
+    at a time, and worked off in that order by one task; all earlier pairs of
+    a record are among them but for the last record, which can only be
+    dropped.  Groups differ in nothing the result depends on, so if all pairs
+    fit into one share they are not told apart.  The number of turns grows
+    with the largest group divided by that share, not with its longest chain.
+    """
+    if count <= LOCAL_EDGES:
+        grouped = edges.withColumn("group", F.lit(0).cast("long"))
+    else:
+        labels = components(edges).select(F.col("node").alias("a"), F.col("label").alias("group"))
+        place = F.row_number().over(Window.partitionBy("group").orderBy("b", "a"))
+        grouped = edges.join(labels, "a").withColumn("place", place).filter(F.col("place") <= LOCAL_EDGES).drop("place")
+    for end in ("a", "b"):
+        if waiting is None:
+            grouped = grouped.withColumn(f"{end}_held", F.lit(False))
+        else:
+            flags = waiting.select(F.col("seq").alias(end), F.lit(True).alias("_held")).distinct()
+            grouped = grouped.join(flags, end, "left").withColumn(f"{end}_held", F.coalesce("_held", F.lit(False))).drop("_held")
+    # Small groups share a task: one call for each partition, not for each group.
+    parts = max(1, min(count // LOCAL_EDGES + 1, int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    dealt = grouped.repartition(parts, "group").sortWithinPartitions("group", "b", "a")
+
+    def settle(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[pd.DataFrame] = []
+        for batch in batches:
+            if held and sum(map(len, held)) >= TASK_PAIRS:
+                # What has been held is settled up to its last group, which may go on.
+                rows = pd.concat(held)
+                last = rows["group"] == rows["group"].iat[-1]
+                if not last.all():
+                    yield settle_in_order(rows[~last])
+                held = [rows[last]]
+            held.append(batch)
+        if held:
+            yield settle_in_order(pd.concat(held))
+
+    return cut_lineage(dealt.mapInPandas(settle, "seq long, kept boolean"))
+
+
+def settle_in_order(rows: pd.DataFrame) -> pd.DataFrame:
+    """``seq``, ``kept`` of the records that pairs sorted by ``group, b`` decide.
+
+    In a group with ``LOCAL_EDGES`` pairs the last record may have more of
+    them, and is not kept.
+    """
+    KEPT, GONE, OPEN = 1, 2, 3
+    state: dict[int, int] = {}
+    ends, groups = rows["b"].to_numpy(), rows["group"].to_numpy()
+    if not len(ends):
+        return pd.DataFrame({"seq": [], "kept": []}).astype({"seq": "int64", "kept": "bool"})
+    starts = np.flatnonzero(np.concatenate([[True], np.diff(ends) != 0]))
+    borders = np.flatnonzero(np.concatenate([[True], np.diff(groups) != 0, [True]]))
+    cuts = {int(end) for start, end in zip(borders, borders[1:]) if end - start >= LOCAL_EDGES}
+    earlier, a_held, b_held = rows["a"].tolist(), rows["a_held"].tolist(), rows["b_held"].tolist()
+    for first, last in zip(starts.tolist(), [*starts[1:].tolist(), len(ends)]):
+        # A record that is the later one of no pair has no earlier match.
+        found = {state.setdefault(earlier[k], OPEN if a_held[k] else KEPT) for k in range(first, last)}
+        if KEPT in found:
+            state[int(ends[first])] = GONE
+        elif OPEN in found or b_held[first] or last in cuts:
+            state[int(ends[first])] = OPEN
+        else:
+            state[int(ends[first])] = KEPT
+    decided = [(seq, s == KEPT) for seq, s in state.items() if s != OPEN]
+    return pd.DataFrame(decided, columns=["seq", "kept"]).astype({"seq": "int64", "kept": "bool"})
 
 
 def greedy_duplicates(sigs: DataFrame, num_perm: int, threshold: float) -> DataFrame:
@@ -318,7 +415,11 @@ def mark_duplicates(df: DataFrame, cfg: CorpusConfig, text: str = "text", seq: s
     """Adds ``is_duplicate`` by the configured method; null where the text is null."""
     if cfg.dup_method != "minhash":
         return mark_exact(df, text, seq)
-    later = near_duplicates(df, cfg, text, seq)
+    return mark_known(df, near_duplicates(df, cfg, text, seq), text, seq)
+
+
+def mark_known(df: DataFrame, later: DataFrame, text: str = "text", seq: str = "seq") -> DataFrame:
+    """Adds ``is_duplicate`` from the numbers of the duplicates; null where the text is null."""
     flagged = _flag(df, later, "_later", seq)
     return flagged.withColumn(
         "is_duplicate", F.when(F.col(text).isNotNull(), F.col("_later"))

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 PERCENTILES = (25, 75, 90, 95, 99)
 BINS = 50
 
@@ -116,16 +118,38 @@ def language_stats(df: DataFrame) -> DataFrame:
     )
 
 
-def language_box(df: DataFrame) -> DataFrame:
-    """Box-plot figures per language: quartiles, whiskers, number of outliers."""
-    counts = score_counts(df)
-    quartiles = (
+def _quartiles(counts: DataFrame) -> DataFrame:
+    """``language``, ``q1``, ``med``, ``q3``: one row per language."""
+    return (
         counts.groupBy("language")
         .agg(F.percentile("score", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.col("n")).alias("q"))
         .select("language", F.col("q")[0].alias("q1"), F.col("q")[1].alias("med"), F.col("q")[2].alias("q3"))
     )
+
+
+def _within_whiskers() -> F.Column:
     reach = 1.5 * (F.col("q3") - F.col("q1"))
-    inside = F.col("score").between(F.col("q1") - reach, F.col("q3") + reach)
+    return F.col("score").between(F.col("q1") - reach, F.col("q3") + reach)
+
+
+def language_outliers(df: DataFrame) -> DataFrame:
+    """The records whose score lies beyond the whiskers of their language, with all their columns.
+
+    Quartiles come from value counts; the distinct scores beyond them are
+    joined back, so that no language's records meet in one task unless its
+    outliers are many and alike.
+    """
+    counts = cut_lineage(score_counts(df))
+    beyond = counts.join(_quartiles(counts), "language").filter(~_within_whiskers())
+    keys = beyond.select("language", F.col("score").alias("language_score"))
+    return df.join(keys, ["language", "language_score"], "left_semi").select(df.columns)
+
+
+def language_box(df: DataFrame) -> DataFrame:
+    """Box-plot figures per language: quartiles, whiskers, number of outliers."""
+    counts = score_counts(df)
+    quartiles = _quartiles(counts)
+    inside = _within_whiskers()
     return (
         counts.join(quartiles, "language")
         .groupBy("language", "q1", "med", "q3")

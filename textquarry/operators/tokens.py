@@ -1,24 +1,38 @@
 """Training of BPE and WordPiece vocabularies, encoding, decoding.
 
-Training works on the table of distinct words and their counts.  A word is a
-string of symbol ids, each between commas (``,7,,42,,9,``), so that replacing
-``,7,,42,`` by ``,108,`` merges a pair from left to right without touching its
-neighbours.  Each round counts the pairs of all words in one aggregation and
-applies every merge that is certain to come next.
+Training works on the table of distinct words and their counts, each word an
+array of symbol ids.  The pairs of neighbours are put in the order in which
+they would be merged: by count, then by ids.  Merging never makes a pair more
+frequent, and a new pair has a place after the one that it stems from, so all
+merges before the first pair outside of a leading part of that order concern
+that part and its descendants alone.  A round takes such a part, the heavy
+pairs, and cuts all words at other pairs.  What remains are segments, few of
+them distinct, as a frequent pair comes in few surroundings of frequent pairs.
+Spark counts them; which merges follow is worked out on the segments, whose
+number is bounded; then one pass applies the merges to the words that hold any.
+The size of the part changes with the number of segments and has no influence
+on the result.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from collections import Counter
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import patterns as P
 from ..functions import words as W
 from ..functions.frames import compute_once
+from ..functions.merges import Contest, Rows, merge_ranked, pair_keys
 from ..session import cut_lineage
 
-PAIR = r"(?=(\d+,,\d+))\d+"
-TOP_PAIRS = 1024  # far more than are ever certain at once
+HEAVY_PAIRS = (4096, 65_536)  # to start with, and at most
+SEGMENT_SYMBOLS = 300_000  # of the distinct segments that a round works on, some tens of megabytes
+TASK_SEGMENTS = 200_000  # that a task counts at a time
 
 
 def words_of(df: DataFrame, text: str = "text") -> DataFrame:
@@ -69,106 +83,148 @@ def start(counts: DataFrame, kind: str) -> list[str]:
 
 
 def spell(counts: DataFrame, kind: str, ids: dict[str, int]) -> DataFrame:
-    """``n``, ``symbols``: each word as the ids of its characters."""
+    """``n``, ``symbols``: each word as the array of its characters' ids."""
     alphabet = counts.sparkSession.createDataFrame(list(ids.items()), "c string, id int")
     return (
         counts.select("word", "n", F.posexplode(_characters(kind)).alias("at", "c"))
         .join(alphabet, "c")
         .groupBy("word", "n")
         .agg(F.sort_array(F.collect_list(F.struct("at", "id"))).alias("cells"))
-        .select("n", F.concat(F.lit(","), F.array_join("cells.id", ",,"), F.lit(",")).alias("symbols"))
+        .select("n", F.col("cells.id").alias("symbols"))
     )
 
 
 def pair_counts(words: DataFrame) -> DataFrame:
     """Adjacent symbol pairs over all words, weighted by word count."""
-    pair = F.split("pair", ",,")
-    return (
-        words.select("n", F.explode(F.regexp_extract_all("symbols", F.lit(PAIR), F.lit(1))).alias("pair"))
-        .groupBy("pair")
-        .agg(F.sum("n").alias("n"))
-        .select(pair[0].cast("int").alias("left"), pair[1].cast("int").alias("right"), "n")
-    )
+    rest = F.greatest(F.size("symbols") - 1, F.lit(0))
+    pairs = F.zip_with(F.slice("symbols", F.lit(1), rest), F.slice("symbols", F.lit(2), rest), lambda a, b: F.struct(a.alias("left"), b.alias("right")))
+    return words.select("n", F.inline(pairs)).groupBy("left", "right").agg(F.sum("n").alias("n"))
 
 
 def _joined(left: str, right: str, kind: str) -> str:
     return left + (right if kind == "bpe" else right.removeprefix(P.CONTINUATION))
 
 
-def _certain(top: list[Row], tokens: list[str], known: dict[str, int], kind: str, exact: bool) -> list[Row]:
-    """The leading pairs that one-at-a-time training would merge next.
-
-    Two pairs can only overlap in a text when the right symbol of one is the
-    left symbol of the other; otherwise merging one leaves the count of the
-    other as it was, and no count ever grows.  A new pair stems from one that
-    overlaps a merged pair, has the same left symbol or a new one, a new right
-    symbol or the same, and is no more frequent; so it comes after that pair in
-    the order of count, left, right, in which new symbols come last.  Hence all
-    pairs are certain up to the first that overlaps with one before it, ties
-    included.  Not ``exact`` passes over overlapping pairs instead of stopping.
+def _segments(words: DataFrame, heavy: np.ndarray) -> DataFrame:
+    """``segment``, ``n``: the distinct runs of heavy pairs in all words; ``heavy`` has their keys in order."""
+    handed = words.sparkSession.sparkContext.broadcast(heavy)
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: Counter[bytes] = Counter()
+        for batch in batches:
+            segments, at = Rows(batch["symbols"].tolist()).segments(handed.value)
+            for segment, n in zip(segments, batch["n"].to_numpy()[at].tolist()):
+                seen[segment] += n
+            if len(seen) >= TASK_SEGMENTS:
+                yield pd.DataFrame(seen.items(), columns=["segment", "n"])
+                seen.clear()
+        if seen:
+            yield pd.DataFrame(seen.items(), columns=["segment", "n"])
+
+    return words.mapInPandas(cut, "segment binary, n long").groupBy("segment").agg(F.sum("n").alias("n"))
+
+
+def _apply(words: DataFrame, merges: list[tuple[int, int, int]]) -> DataFrame:
+    """The words after the merges (left, right, new), in order; a word of one symbol has no pairs left and goes."""
+    ranked = {(left, right): (rank, new) for rank, (left, right, new) in enumerate(merges)}
+    keys = np.sort(pair_keys(np.array([m[0] for m in merges]), np.array([m[1] for m in merges])))
+    handed = words.sparkSession.sparkContext.broadcast((ranked, keys))
+
+    def merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        ranked, keys = handed.value
+        for batch in batches:
+            symbols = batch["symbols"].tolist()
+            rows = Rows(symbols)
+            for i in np.unique(rows.row[:-1][rows.holding(keys)]).tolist():
+                symbols[i] = np.array(merge_ranked(symbols[i].tolist(), ranked), dtype=np.int32)
+            kept = [i for i, s in enumerate(symbols) if len(s) > 1]
+            yield pd.DataFrame({"n": batch["n"].to_numpy()[kept], "symbols": pd.Series([symbols[i] for i in kept], dtype=object)})
+
+    return words.mapInPandas(merge, "n long, symbols array<int>")
+
+
+class _Naming:
+    """Tokens by id, and the merges as made."""
+
+    def __init__(self, tokens: list[str], kind: str):
+        self.tokens, self.kind = tokens, kind
+        self.known = {t: i for i, t in enumerate(tokens)}
+        self.merges: list[tuple[int, str, str]] = []
+
+    def name(self, left: int, right: int) -> tuple[int, bool]:
+        """The symbol of a merged pair, and whether it is new."""
+        one, two = self.tokens[left], self.tokens[right]
+        token = _joined(one, two, self.kind)
+        self.merges.append((len(self.merges), one, two))
+        new = token not in self.known
+        if new:
+            self.known[token] = len(self.tokens)
+            self.tokens.append(token)
+        return self.known[token], new
+
+
+def _next_merges(contest: Contest, border: tuple[int, int, int] | None, names: _Naming, vocab_size: int) -> list[tuple[int, int, int]]:
+    """The merges that come before ``border``, the place of the first pair that isn't heavy.
+
+    A merge that spells a known token makes pairs of that token more frequent, also where the
+    segments don't show it; it is the last of its round.
     """
-    chosen, made = [], set()
-    lefts, rights = set(), set()
-    for pair in top:
-        left, right = pair["left"], pair["right"]
-        token = _joined(tokens[left], tokens[right], kind)
-        overlaps = left in rights or right in lefts or (left == right and (left in lefts or right in rights))
-        if overlaps or token in known or token in made:
-            if exact:
+    made = []
+    while len(names.tokens) < vocab_size:
+        best = contest.best()
+        if best is None or (border is not None and best >= border):
+            break
+        _, left, right = best
+        symbol, new = names.name(left, right)
+        made.append((left, right, symbol))
+        if not new:
+            break
+        contest.merge(left, right, symbol)
+    return made
+
+
+def _rounds(words: DataFrame, names: _Naming, vocab_size: int) -> Iterator[list[tuple[int, int, int]]]:
+    """The merges of one round after the other."""
+    size = HEAVY_PAIRS[0]
+    while len(names.tokens) < vocab_size:
+        top = pair_counts(words).orderBy(F.desc("n"), "left", "right").limit(size + 1).collect()
+        if not top:
+            return
+        while True:
+            heavy = np.sort(pair_keys(*(np.array([r[side] for r in top[:size]]) for side in ("left", "right"))))
+            segments = cut_lineage(_segments(words, heavy))
+            symbols = segments.agg(F.sum(F.length("segment") / 4)).first()[0]
+            if symbols <= SEGMENT_SYMBOLS or size == 1:
                 break
-            continue
-        chosen.append(pair)
-        lefts.add(left)
-        rights.add(right)
-        made.add(token)
-        if left == right:
-            lefts.add(right)
-            rights.add(left)
-    return chosen or top[:1]
-
-
-def train(
-    counts: DataFrame, kind: str = "bpe", vocab_size: int = 30_000, exact: bool = True
-) -> tuple[DataFrame, DataFrame]:
+            size = max(1, min(size, len(top)) // 4)
+        border = (-top[size]["n"], top[size]["left"], top[size]["right"]) if size < len(top) else None
+        made = _next_merges(Contest(map(tuple, segments.collect())), border, names, vocab_size)
+        yield made
+        if symbols < SEGMENT_SYMBOLS / 4:
+            size = min(4 * size, HEAVY_PAIRS[1])
+        words = cut_lineage(_apply(words, made))
+
+
+def train(counts: DataFrame, kind: str = "bpe", vocab_size: int = 30_000) -> tuple[DataFrame, DataFrame]:
     """Vocabulary (``id``, ``token``) and merges (``rank``, ``left``, ``right``).
 
     Ids: special tokens, characters in code point order, merges as made.  The
     most frequent pair is merged first, of equally frequent ones that with the
-    lower ids.  ``exact=False`` merges up to TOP_PAIRS disjoint pairs a round:
-    far fewer rounds for large vocabularies, in an order that only
-    approximates the exact one.
+    lower ids.
     """
     if kind not in ("bpe", "wordpiece"):
         raise ValueError(f"unsupported tokenizer type: {kind}")
     spark = counts.sparkSession
     counts = cut_lineage(counts)
-    tokens = start(counts, kind)
-    known = {t: i for i, t in enumerate(tokens)}
-    spelled = spell(counts, kind, known)
-    # Small next to the work each round does on it: keep it on all cores.
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    words = cut_lineage(spelled.repartition(parts, "symbols"))
-    merges: list[tuple[int, str, str]] = []
-    while len(tokens) < vocab_size:
-        top = pair_counts(words).orderBy(F.desc("n"), "left", "right").limit(TOP_PAIRS).collect()
-        if not top:
-            break
-        replaced = []
-        for pair in _certain(top, tokens, known, kind, exact):
-            if len(tokens) >= vocab_size:
-                break
-            left, right = tokens[pair["left"]], tokens[pair["right"]]
-            token = _joined(left, right, kind)
-            if token not in known:
-                known[token] = len(tokens)
-                tokens.append(token)
-            merges.append((len(merges), left, right))
-            replaced.append((f",{pair['left']},,{pair['right']},", f",{known[token]},"))
-        merged = W.replace_all(F.col("symbols"), replaced)
-        # A word of one symbol has no pairs left to count.
-        words = cut_lineage(words.select("n", merged.alias("symbols")).filter(F.contains("symbols", F.lit(",,"))))
-    vocab = spark.createDataFrame(list(enumerate(tokens)), "id int, token string")
-    return vocab, spark.createDataFrame(merges, "rank int, left string, right string")
+    names = _Naming(start(counts, kind), kind)
+    if len(names.tokens) < vocab_size:
+        # Small next to the work each round does on it: keep it on all cores.
+        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        words = cut_lineage(spell(counts, kind, names.known).repartition(parts, "symbols"))
+        for _ in _rounds(words, names, vocab_size):
+            pass
+    vocab = spark.createDataFrame(list(enumerate(names.tokens)), "id int, token string")
+    return vocab, spark.createDataFrame(names.merges, "rank int, left string, right string")
 
 
 def save(vocab: DataFrame, merges: DataFrame, path: str) -> None:

@@ -45,13 +45,15 @@ def annotate_records(
     return pii.annotate(known, cfg, rules).withColumn("is_duplicate", F.lit(None).cast("boolean"))
 
 
-def drop_duplicates(df: DataFrame, cfg: CorpusConfig, keep_text: bool) -> DataFrame:
+def drop_duplicates(df: DataFrame, cfg: CorpusConfig, keep_text: bool, later: DataFrame | None = None) -> DataFrame:
     """Marks duplicates among the rows not dropped and drops them if wanted.
 
     Only ``seq`` and the text take part in the search.  ``keep_text`` tells
-    whether a dropped duplicate keeps its text.
+    whether a dropped duplicate keeps its text; ``later`` are the numbers of
+    the duplicates where they are known.
     """
-    marked = dedup.mark_duplicates(df.drop("is_duplicate"), cfg)
+    rows = df.drop("is_duplicate")
+    marked = dedup.mark_duplicates(rows, cfg) if later is None else dedup.mark_known(rows, later)
     if not cfg.remove_duplicates:
         return marked
     hit = F.coalesce(F.col("is_duplicate"), F.lit(False))
@@ -93,12 +95,12 @@ class Corpus:
 
 
 def tokenize_records(
-    retained: DataFrame, cfg: CorpusConfig, exact: bool = True, unk_policy: str = "unk"
+    retained: DataFrame, cfg: CorpusConfig, unk_policy: str = "unk"
 ) -> tuple[DataFrame, tuple[DataFrame, DataFrame]]:
     """Trains or loads a vocabulary and encodes the retained rows with it."""
     if cfg.train_tokenizer:
         counts = tokens.word_counts(retained)
-        vocab = tokens.train(counts, cfg.tokenizer_type, cfg.vocab_size, exact)
+        vocab = tokens.train(counts, cfg.tokenizer_type, cfg.vocab_size)
     elif cfg.tokenizer_path:
         vocab = tokens.load(retained.sparkSession, cfg.tokenizer_path)
     else:

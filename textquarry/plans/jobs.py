@@ -41,12 +41,14 @@ def dedup_outcomes(df: DataFrame, cfg: CorpusConfig) -> DataFrame:
     """Raw records with the outcome of cleaning and the duplicate check.
 
     ``outcome`` is malformed, empty, too_short, too_long, duplicate or unique;
-    the columns of the input stay as they were.
+    the columns of the input stay as they were.  Raw and cleaned texts are
+    written side by side, so nothing is joined for the outcome but the numbers
+    of the duplicates.
     """
     empty = F.coalesce(F.length("text"), F.lit(0)) == 0
-    work = write_table(cleaning.clean(df.select("seq", "text", "malformed"), cfg).withColumnRenamed("text", "_clean"))
-    marked = dedup.mark_duplicates(work, cfg, text="_clean").drop("_clean", "malformed")
-    joined = df.join(marked, "seq")
+    cleaned = cleaning.clean(df.withColumn("_raw", F.col("text")), cfg).withColumnRenamed("text", "_clean")
+    work = write_table(cleaned.withColumnRenamed("_raw", "text"))
+    marked = dedup.mark_duplicates(work, cfg, text="_clean")
     outcome = (
         F.when(F.col("malformed"), F.lit("malformed"))
         .when(empty, F.lit("empty"))
@@ -56,7 +58,7 @@ def dedup_outcomes(df: DataFrame, cfg: CorpusConfig) -> DataFrame:
         .when(F.col("is_duplicate"), F.lit("duplicate"))
         .otherwise(F.lit("unique"))
     )
-    return joined.select(*df.columns, outcome.alias("outcome"))
+    return marked.select(*df.columns, outcome.alias("outcome"))
 
 
 def dedup_stats(outcomes: DataFrame) -> DataFrame:

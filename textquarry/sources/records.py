@@ -15,7 +15,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators.mixture import MAX_BROADCAST_ROWS
+from ..operators.mixture import MAX_BROADCAST_ROWS, head
 from ..session import write_table
 
 log = logging.getLogger(__name__)
@@ -171,7 +171,7 @@ def numbered(records: DataFrame) -> DataFrame:
 
 def head_sample(df: DataFrame, size: int | None, seq: str = "seq") -> DataFrame:
     """The first ``size`` records; all of them for 0 or None."""
-    return df.orderBy(seq).limit(size) if size else df
+    return head(df, size, seq) if size else df
 
 
 def nonempty(df: DataFrame) -> DataFrame:

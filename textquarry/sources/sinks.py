@@ -21,11 +21,14 @@ def export_parquet(df: DataFrame, path: str) -> None:
 
 
 def export_shards(df: DataFrame, path: str, shard_size: int = 10_000, seq: str = "seq") -> None:
-    """Folders ``shard=00000`` onwards with ``shard_size`` consecutive rows each."""
+    """Folders ``shard=00000`` onwards with ``shard_size`` consecutive rows each.
+
+    The numbered rows lie in order, so each task writes its own run of shards;
+    a shard on the border of two tasks has a file from each.
+    """
     named = mixture.with_shard(df, shard_size, seq).withColumn("shard", F.lpad(F.col("shard").cast("string"), 5, "0"))
     (
-        named.repartition("shard")
-        .sortWithinPartitions("shard", seq)
+        named.sortWithinPartitions("shard", seq)
         .write.mode("overwrite")
         .partitionBy("shard")
         .json(path)
