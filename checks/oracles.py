@@ -94,29 +94,37 @@ PROFILE = (
 lowered AS (SELECT doc_id, lang, regexp_replace(lower(text), '{WS}+', ' ', 'g') AS t FROM documents),
 p_chars AS (
   SELECT doc_id, lang, unnest(string_split(t, '')) AS c, unnest(range(1, length(t) + 1)) AS i FROM lowered),
-p_grams AS (
-  SELECT lang, c || lead(c, 1) OVER w || lead(c, 2) OVER w AS gram
+p_runs AS (
+  SELECT lang, c AS g1, lead(c, 1) OVER w AS c1, lead(c, 2) OVER w AS c2
   FROM p_chars WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+p_grams AS (
+  SELECT lang, unnest([g1, g1 || c1, g1 || c1 || c2]) AS gram FROM p_runs),
 gram_counts AS (SELECT lang, gram, count(*) AS n FROM p_grams WHERE gram IS NOT NULL GROUP BY lang, gram),
-kinds AS (SELECT count(DISTINCT gram) AS k FROM gram_counts),
-mass AS (SELECT lang, sum(n) + (SELECT k FROM kinds) AS mass FROM gram_counts GROUP BY lang),
+kinds AS (SELECT length(gram) AS size, count(DISTINCT gram) AS k FROM gram_counts GROUP BY 1),
+mass AS (
+  SELECT l.lang, k.size, coalesce(sum(n), 0) + any_value(k.k) AS mass
+  FROM (SELECT DISTINCT lang FROM gram_counts) l CROSS JOIN kinds k
+  LEFT JOIN gram_counts c ON c.lang = l.lang AND length(c.gram) = k.size GROUP BY l.lang, k.size),
 all_grams AS (SELECT DISTINCT gram FROM gram_counts),
 profile AS MATERIALIZED (
   SELECT g.gram, m.lang, round(ln((coalesce(c.n, 0) + 1) / m.mass::DOUBLE) * 1000000)::BIGINT AS micro
-  FROM all_grams g CROSS JOIN mass m LEFT JOIN gram_counts c ON c.gram = g.gram AND c.lang = m.lang)"""
+  FROM all_grams g JOIN mass m ON m.size = length(g.gram) LEFT JOIN gram_counts c ON c.gram = g.gram AND c.lang = m.lang)"""
 )
 
 
-def detection(source: str) -> str:
+def detection(source: str, min_chars: int = 3) -> str:
     """language and language_score of the texts in source (seq, text)."""
     return f"""
 d_chars AS (
   SELECT seq, unnest(string_split(t, '')) AS c, unnest(range(1, length(t) + 1)) AS i
-  FROM (SELECT seq, regexp_replace(lower(text), '{WS}+', ' ', 'g') AS t FROM {source} WHERE text IS NOT NULL)),
+  FROM (SELECT seq, regexp_replace(lower(text), '{WS}+', ' ', 'g') AS t FROM {source} WHERE text IS NOT NULL)
+  WHERE length(trim(t, ' ')) >= {min_chars}),
+d_runs AS (
+  SELECT seq, c AS g1, lead(c, 1) OVER w AS c1, lead(c, 2) OVER w AS c2
+  FROM d_chars WINDOW w AS (PARTITION BY seq ORDER BY i)),
 d_grams AS (
-  SELECT seq, gram, count(*) AS n FROM (
-    SELECT seq, c || lead(c, 1) OVER w || lead(c, 2) OVER w AS gram
-    FROM d_chars WINDOW w AS (PARTITION BY seq ORDER BY i)) WHERE gram IS NOT NULL GROUP BY seq, gram),
+  SELECT seq, gram, count(*) AS n
+  FROM (SELECT seq, unnest([g1, g1 || c1, g1 || c1 || c2]) AS gram FROM d_runs) WHERE gram IS NOT NULL GROUP BY seq, gram),
 d_scores AS (
   SELECT seq, lang, sum(n * micro) AS score FROM d_grams JOIN profile USING (gram) GROUP BY seq, lang),
 d_best AS (SELECT seq, max(score) AS top FROM d_scores GROUP BY seq),
@@ -580,6 +588,9 @@ ORACLES |= {
     "a6_list_files": "SELECT name FROM (VALUES " + ", ".join(f"('{n}.parquet')" for n in _NAMES) + ") AS t(name)",
     "a8_head_tenth": "SELECT doc_id AS seq, text FROM documents ORDER BY doc_id LIMIT (SELECT count(*) // 10 FROM documents)",
     "l6_detection_totals": f"WITH {LANG} SELECT count(language) AS total_detected, count(*) FILTER (language IS NULL) AS detection_failures FROM outcome",
+    "l8_words": f"""WITH {PROFILE}, {WORDS},
+kinds_of_words AS (SELECT DISTINCT unnest(w) AS text FROM words), spoken AS (SELECT text AS seq, text FROM kinds_of_words), {detection('spoken', 1)}
+SELECT text AS word, language, language_score FROM spoken LEFT JOIN detected USING (seq)""",
     "d15_index_two_runs": ORACLES["d8_greedy_keep_first"],
     "t4_bpe_first_merges": first_vocabulary("bpe"),
     "t5_wordpiece_first_merges": first_vocabulary("wordpiece"),

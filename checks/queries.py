@@ -259,6 +259,12 @@ def l6_detection_totals(spark, sf):
     return language.detection_totals(detected(spark, sf))
 
 
+def l8_words(spark, sf):
+    """The language of each distinct word, of single characters too."""
+    words = tokens.word_counts(read_documents(spark, sf)).select("word")
+    return language.detect(words, profile(spark, sf), text="word", min_chars=1).select("word", "language", "language_score")
+
+
 def l7_profile_counts(spark, sf):
     return language.gram_counts(read_documents(spark, sf))
 
@@ -885,7 +891,7 @@ NAMES = [
     # With near duplicates, as the library is shipped; the ones without the ending look for exact copies.
     a11_dedup_job_files_near, d11_filter_duplicates_near, d13_dedup_job_near, d14_inline_marking_near,
     i6_duplicate_stats_near, i8_summary_near, i12_headline_near, r3_stream_chunks_near,
-    a6_list_files, a8_head_tenth, l6_detection_totals, d15_index_two_runs, t4_bpe_first_merges, t5_wordpiece_first_merges,
+    a6_list_files, a8_head_tenth, l6_detection_totals, l8_words, d15_index_two_runs, t4_bpe_first_merges, t5_wordpiece_first_merges,
     t6_saved_vocabulary, t7_encode_first_merges, t9_round_trip, r5_tokenize_job, e5_proportional, e8_mixture_weights,
     e10_report_read_back, i5_language_outliers, i5_detected_box, i5_detected_outliers, i11_detected_languages,
     i12_headline_tokens, r2_files_with_tokens, r3_chunked_resume, r3_indexed_runs,

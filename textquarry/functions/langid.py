@@ -1,4 +1,4 @@
-"""Scoring of texts against character-trigram language profiles."""
+"""Scoring of texts against language profiles of runs of one to three characters."""
 
 from __future__ import annotations
 
@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 
 from .text import shingle_text
 
-GRAM = 3
+ORDERS = (1, 2, 3)  # characters of a gram
+LONGEST = max(ORDERS)
 MICRO = 1_000_000  # log-probabilities are stored in millionths, as integers
-MIN_CHARS = 3
+MIN_CHARS = 3  # of a text that is detected; less is enough for the scores
 CHUNK_CODE_POINTS = 1_000_000
 
 RESULT = "language string, language_score double"
@@ -23,19 +24,22 @@ def profile_text(text: Column) -> Column:
     return shingle_text(text)
 
 
-def _pack(codes: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Three code points of 21 bits each in one integer."""
-    return (codes[starts] << 42) | (codes[starts + 1] << 21) | codes[starts + 2]
+def _pack(codes: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
+    """Up to three code points of 21 bits each in one integer; 0 stands for none, so each is one more."""
+    packed = np.zeros(len(starts), dtype=np.int64)
+    for k in range(size):
+        packed |= (codes[starts + k] + 1) << (21 * (LONGEST - 1 - k))
+    return packed
 
 
 def _codes(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le"), dtype="<u4").astype(np.int64)
 
 
-def _spell(packed: np.ndarray) -> list[str]:
-    codes = np.stack([packed >> 42, (packed >> 21) & 0x1FFFFF, packed & 0x1FFFFF], axis=1)
+def _spell(packed: np.ndarray, size: int) -> list[str]:
+    codes = np.stack([((packed >> (21 * (LONGEST - 1 - k))) & 0x1FFFFF) - 1 for k in range(size)], axis=1)
     joined = codes.astype("<u4").tobytes().decode("utf-32-le")
-    return [joined[i : i + GRAM] for i in range(0, len(joined), GRAM)]
+    return [joined[i : i + size] for i in range(0, len(joined), size)]
 
 
 def _chunks(texts: list[str]) -> Iterator[list[str]]:
@@ -51,31 +55,39 @@ def _chunks(texts: list[str]) -> Iterator[list[str]]:
         yield part
 
 
+def _counted(texts: list[str]) -> Iterator[tuple[list[str], np.ndarray]]:
+    """Distinct grams of each order in some texts, and how often they occur."""
+    for size in ORDERS:
+        long = [t for t in texts if len(t) >= size]
+        if long:
+            starts, _, codes = _windows(long, size)
+            which, distinct = pd.factorize(_pack(codes, starts, size))
+            yield _spell(distinct, size), np.bincount(which)
+
+
 def count_grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Partial counts of the trigrams of (lang, t) rows, for Spark to add up."""
+    """Partial counts of the grams of (lang, t) rows, for Spark to add up."""
     for batch in batches:
         for lang, texts in batch.groupby("lang")["t"]:
-            for part in _chunks([t for t in texts if len(t) >= GRAM]):
-                starts, _, codes = _windows(part)
-                which, distinct = pd.factorize(_pack(codes, starts))
-                yield pd.DataFrame({"lang": lang, "gram": _spell(distinct), "n": np.bincount(which)})
+            for part in _chunks(texts.tolist()):
+                for grams, n in _counted(part):
+                    yield pd.DataFrame({"lang": lang, "gram": grams, "n": n})
 
 
-def count_row_grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Counts of the trigrams of each of (_row, t) rows that is long enough to be scored."""
+def count_row_grams(batches: Iterator[pd.DataFrame], min_chars: int = MIN_CHARS) -> Iterator[pd.DataFrame]:
+    """Counts of the grams of each of (_row, t) rows that is long enough to be scored."""
     for batch in batches:
         for row, text in zip(batch["_row"], batch["t"]):
-            if len(text) >= GRAM and len(text.strip()) >= MIN_CHARS:
-                starts, _, codes = _windows([text])
-                which, distinct = pd.factorize(_pack(codes, starts))
-                yield pd.DataFrame({"_row": row, "gram": _spell(distinct), "n": np.bincount(which)})
+            if len(text.strip()) >= min_chars:
+                for grams, n in _counted([text]):
+                    yield pd.DataFrame({"_row": row, "gram": grams, "n": n})
 
 
-def _windows(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _windows(texts: list[str], size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start of every gram, the first gram of every text, and all code points."""
     lengths = np.array([len(t) for t in texts])
     codes = _codes("".join(texts))
-    counts = lengths - GRAM + 1
+    counts = lengths - size + 1
     offsets = np.concatenate(([0], np.cumsum(counts)[:-1]))
     starts = np.arange(counts.sum()) + np.repeat(np.cumsum(lengths) - lengths - offsets, counts)
     return starts, offsets, codes
@@ -86,32 +98,40 @@ class Profile:
     log-probabilities per gram, one column per language."""
 
     def __init__(self, languages: list[str], grams: list[str], micro: np.ndarray):
-        packed = _pack(_codes("".join(grams)), np.arange(len(grams)) * GRAM)
+        sizes = np.array([len(g) for g in grams], dtype=np.int64)
+        starts, codes = np.cumsum(sizes) - sizes, _codes("".join(grams))
+        packed = np.empty(len(grams), dtype=np.int64)
+        for size in ORDERS:
+            own = np.flatnonzero(sizes == size)
+            packed[own] = _pack(codes, starts[own], size)
         order = np.argsort(packed)
         self.languages = languages
         self.grams = packed[order]
         self.micro = np.ascontiguousarray(micro[order])
 
     def score(self, texts: list[str]) -> np.ndarray:
-        """Summed log-probabilities, one row per text of three or more characters;
+        """Summed log-probabilities, one row per text, and how many grams are known;
         integers, so that no order of summation can change them."""
-        starts, offsets, codes = _windows(texts)
-        which, distinct = pd.factorize(_pack(codes, starts))
-        at = np.minimum(np.searchsorted(self.grams, distinct), len(self.grams) - 1)
-        known = self.grams[at] == distinct
-        rows = np.where(known[:, None], self.micro[at], 0)
-        hits = np.add.reduceat(known[which].astype(np.int64), offsets)
-        sums = np.empty((len(texts), len(self.languages) + 1), dtype=np.int64)
-        for j in range(len(self.languages)):
-            sums[:, j] = np.add.reduceat(rows[:, j][which], offsets)
-        sums[:, -1] = hits
+        sums = np.zeros((len(texts), len(self.languages) + 1), dtype=np.int64)
+        for size in ORDERS:
+            long = np.array([i for i, t in enumerate(texts) if len(t) >= size], dtype=np.int64)
+            if not len(long) or not len(self.grams):
+                continue
+            starts, offsets, codes = _windows([texts[i] for i in long], size)
+            which, distinct = pd.factorize(_pack(codes, starts, size))
+            at = np.minimum(np.searchsorted(self.grams, distinct), len(self.grams) - 1)
+            known = self.grams[at] == distinct
+            rows = np.where(known[:, None], self.micro[at], 0)
+            for j in range(len(self.languages)):
+                sums[long, j] += np.add.reduceat(rows[:, j][which], offsets)
+            sums[long, -1] += np.add.reduceat(known[which].astype(np.int64), offsets)
         return sums
 
 
-def best_language(text: Column, profile) -> Column:
+def best_language(text: Column, profile, min_chars: int = MIN_CHARS) -> Column:
     """Most likely language and its confidence, by a broadcast ``Profile``.
 
-    Null for texts of fewer than three characters once stripped, and for
+    Null for texts of fewer than ``min_chars`` characters once stripped, and for
     texts none of whose grams the profile knows.  Of equally likely languages
     the alphabetically first is taken.
     """
@@ -126,7 +146,7 @@ def best_language(text: Column, profile) -> Column:
             usable = [
                 i
                 for i, t in enumerate(batch)
-                if t is not None and len(t) >= GRAM and len(t.strip()) >= MIN_CHARS
+                if t is not None and len(t.strip()) >= min_chars
             ]
             if usable:
                 parts = _chunks([batch.iat[i] for i in usable])

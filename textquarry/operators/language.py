@@ -14,11 +14,11 @@ from ..functions.frames import compute_once
 from ..session import cut_lineage, write_table
 
 # A profile of up to so many cells (grams times languages, 8 bytes each) is broadcast; a larger one is joined.
-BROADCAST_CELLS = 20_000_000
+BROADCAST_CELLS = 4_000_000
 
 
 def gram_counts(df: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
-    """Occurrences of every trigram per language, over whole texts.
+    """Occurrences of every run of one to three characters per language, over whole texts.
 
     Each task counts its texts first, so what is shuffled is the vocabulary
     of its share and not its text.
@@ -30,29 +30,35 @@ def gram_counts(df: DataFrame, text: str = "text", lang: str = "lang") -> DataFr
 
 
 def train_profile(df: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
-    """The profile table: ``gram``, ``lang``, ``micro`` (add-one smoothed
-    log-probability in millionths), complete over all grams and languages."""
+    """The profile table: ``gram``, ``lang``, ``micro`` (log-probability in
+    millionths, smoothed by adding one among the grams of the same length),
+    complete over all grams and languages."""
     counts = gram_counts(df, text, lang)
     totals = counts.groupBy("gram").agg(F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by_lang"))
     grams = cut_lineage(totals)
     cells = grams.select("gram", F.explode("by_lang").alias("lang", "n"))
-    per_lang = cells.groupBy("lang").agg(F.sum("n").alias("seen"))
-    # One row for each label of a language.
-    langs = per_lang.orderBy("lang").collect()
-    kinds = grams.count()
+    size = F.length("gram")
+    # A row for each label of a language and length of grams.
+    seen = {(r["lang"], r["size"]): r["seen"] for r in cells.groupBy("lang", size.alias("size")).agg(F.sum("n").alias("seen")).collect()}
+    kinds = {r["size"]: r["kinds"] for r in grams.groupBy(size.alias("size")).agg(F.count(F.lit(1)).alias("kinds")).collect()}
     table = F.array(
         *[
-            F.struct(F.lit(r["lang"]).alias("lang"), F.lit(r["seen"] + kinds).cast("double").alias("mass"))
-            for r in langs
+            F.struct(
+                F.lit(lang).alias("lang"),
+                F.array(*[F.lit(float(seen.get((lang, n), 0) + kinds.get(n, 0))) for n in L.ORDERS]).alias("mass"),
+            )
+            for lang in sorted({lang for lang, _ in seen})
         ]
     )
+    if not seen:
+        return grams.select("gram", F.lit("").alias("lang"), F.lit(0).cast("long").alias("micro")).limit(0)
     return (
         grams.select("gram", "by_lang", F.explode(table).alias("l"))
         .select(
             "gram",
             F.col("l.lang").alias("lang"),
             F.round(
-                F.log((F.coalesce(F.try_element_at("by_lang", F.col("l.lang")), F.lit(0)) + 1) / F.col("l.mass"))
+                F.log((F.coalesce(F.try_element_at("by_lang", F.col("l.lang")), F.lit(0)) + 1) / F.element_at("l.mass", size))
                 * L.MICRO
             )
             .cast("long")
@@ -80,23 +86,23 @@ def broadcast_profile(profile: DataFrame):
     return profile.sparkSession.sparkContext.broadcast(model)
 
 
-def detect(df: DataFrame, profile, text: str = "text") -> DataFrame:
-    """Adds ``language`` and ``language_score``.
+def detect(df: DataFrame, profile, text: str = "text", min_chars: int = L.MIN_CHARS) -> DataFrame:
+    """Adds ``language`` and ``language_score``, null for texts of fewer than ``min_chars`` characters.
 
     With a broadcast profile that is one Arrow pass without a shuffle; with a
     profile table the grams of the texts are joined with it.
     """
     if isinstance(profile, DataFrame):
-        return _detect_by_join(df, profile, text)
-    found = compute_once(df, _lang=L.best_language(F.col(text), profile))
+        return _detect_by_join(df, profile, text, min_chars)
+    found = compute_once(df, _lang=L.best_language(F.col(text), profile, min_chars))
     return found.select(*df.columns, "_lang.language", "_lang.language_score")
 
 
-def _detect_by_join(df: DataFrame, profile: DataFrame, text: str) -> DataFrame:
+def _detect_by_join(df: DataFrame, profile: DataFrame, text: str, min_chars: int) -> DataFrame:
     """Sums up log-probabilities by row and language, in the integers of the other way."""
     rows = write_table(df.withColumn("_row", F.monotonically_increasing_id()))
     texts = rows.filter(F.col(text).isNotNull()).select("_row", L.profile_text(F.col(text)).alias("t"))
-    counts = texts.mapInPandas(L.count_row_grams, "_row bigint, gram string, n bigint")
+    counts = texts.mapInPandas(lambda batches: L.count_row_grams(batches, min_chars), "_row bigint, gram string, n bigint")
     sums = counts.join(profile, "gram").groupBy("_row", "lang").agg(F.sum(F.col("n") * F.col("micro")).alias("micro"))
     # The largest sum, of equal ones the first language.
     by_row = sums.groupBy("_row").agg(F.sort_array(F.collect_list(F.struct((-F.col("micro")).alias("less"), "lang"))).alias("cells"))

@@ -5,14 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
+SPLIT_BYTES = 1 << 25  # of files, for each core, from which a scan is left as it is
+
+
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Redistribute a scan that has too few splits to keep all cores of the cluster busy.
+    """Redistribute a small scan whose few splits would keep only some cores busy.
 
-    A table of any size has many row groups and is left as it is; a file with
-    a single row group would otherwise be worked on by a single core.
+    A file with a single row group is worked on by a single core.  Decided by
+    the size of the files, which the plan knows without running anything:
+    beyond a few splits for each core a scan is left as it is, and nothing of
+    it is shuffled.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= 2 * cores:
+    if int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) >= SPLIT_BYTES * cores:
         return df
     return df.repartition(cores, key)
 

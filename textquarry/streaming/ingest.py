@@ -21,7 +21,6 @@ from ..functions.spans import DEFAULT_RULES, Rule
 from ..operators import mixture
 from ..operators.dedup_index import DuplicateIndex
 from ..plans.corpus import PROCESSED, annotate_records, drop_duplicates
-from ..sources.tables import spread
 
 CHUNK = "seq long, text string"
 
@@ -65,7 +64,10 @@ def write_chunks(
         if chunks is not None and len(done) >= chunks:
             raise RuntimeError("as many chunks as were asked for are done")
         done.append(number)
-        rows = annotate_records(spread(batch, "seq"), cfg, profile, rules)
+        # A batch of few files, each read by one task, is dealt to all cores.
+        cores = batch.sparkSession.sparkContext.defaultParallelism
+        even = batch if batch.rdd.getNumPartitions() >= cores else batch.repartition(cores, "seq")
+        rows = annotate_records(even, cfg, profile, rules)
         rows.select(*PROCESSED).write.mode("overwrite").parquet(f"{output}/rows/batch={number}")
 
     query = (
