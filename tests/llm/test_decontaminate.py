@@ -20,13 +20,13 @@ def brute(rows, items, window=10):
         for item, passage in items:
             those = words(passage)
             n = min(window, len(those))
-            if item is None or not n:
+            if not n:
                 continue
             runs = {tuple(those[i : i + n]) for i in range(len(those) - n + 1)}
             for i in range(len(own) - n + 1):
                 if tuple(own[i : i + n]) in runs:
                     hit.update(range(i, i + n))
-                    found.add(str(item))
+                    found.update([] if item is None else [str(item)])
         yield doc_id, len(own), len(hit), sorted(found)
 
 
@@ -65,6 +65,14 @@ def test_against_brute_force(spark, monkeypatch):
     assert as_set((r[0], len(words(r[1]))) for r in decontaminate.decontaminated(docs, bench).collect()) == clean
 
 
+def test_an_item_without_an_id_hits_all_the_same(spark):
+    passage = "one two three four five six seven eight nine ten"
+    docs = spark.createDataFrame([(1, f"before {passage} after", "x", "y"), (2, "other", "x", "y")], SCHEMA)
+    bench = spark.createDataFrame([(None, passage, "x")], ITEMS)
+    assert sorted(result(decontaminate.contamination(docs, bench))) == [(1, 12, 10, []), (2, 1, 0, [])]
+    assert [r["doc_id"] for r in decontaminate.decontaminated(docs, bench).collect()] == [2]
+
+
 def test_empty_tables(spark):
     rows, items = cases()
     docs, bench = spark.createDataFrame([(1, "a b", "x", "y")], SCHEMA), spark.createDataFrame([(1, "a b", "x")], ITEMS)

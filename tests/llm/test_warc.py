@@ -70,3 +70,14 @@ def test_empty_and_damaged(spark, tmp_path):
         f.write(b"\0")
     with pytest.raises(Exception, match="seek table"):
         warc.read_bundles(index).collect()
+
+
+def test_as_many_tasks_read_as_there_are_parts(spark, tmp_path):
+    pages = spark.createDataFrame([(i, "u", f"page {i} " * 50, "x") for i in range(200)], SCHEMA).repartition(3)
+    index = warc.write_bundles(warc.with_roles(pages), str(tmp_path), frame_bytes=300, bundle_bytes=2000)
+    records = warc.read_bundles(index, part_bytes=500)
+    parts = index.selectExpr("bundle", "floor(frame_start / 500) AS part").distinct().count()
+    tasks = records.selectExpr("spark_partition_id() AS task").distinct().count()
+    assert records.count() == 200 and parts > 20
+    # Partitions are given by hash: not one for each part, but far more than one.
+    assert records.rdd.getNumPartitions() == parts and tasks > parts / 2

@@ -193,7 +193,7 @@ def _prober(spark: SparkSession, index: WindowIndex | None):
                 for k in np.unique(text):
                     own = np.flatnonzero(text == k)
                     places = first[own] - starts[k]
-                    found[k] = (*_merged(places, places + size[own]), sorted({index.items[i] for i in item[own]}))
+                    found[k] = (*_merged(places, places + size[own]), sorted({index.items[i] for i in item[own]} - {None}))
             rows += [(n, *f) for n, f in zip(counts.tolist(), found)]
         return pd.DataFrame(rows, columns=["n_words", "firsts", "afters", "items"])
 
@@ -207,7 +207,7 @@ def _merge_spans(firsts: pd.Series, afters: pd.Series) -> pd.DataFrame:
 def _blocks(docs: DataFrame, benchmark: DataFrame, window: int, text: str, item: str) -> Iterator[WindowIndex | None]:
     """The index of each block of the benchmark, built when it is asked for."""
     items = benchmark.select(F.col(item).cast("string").alias("item"), F.col(text).cast("string").alias("text"))
-    items = items.filter(F.col("item").isNotNull() & F.col("text").isNotNull())
+    items = items.filter(F.col("text").isNotNull())
     # No item has more windows than half its bytes, rounded up.
     bound = items.agg(F.sum(F.floor(F.octet_length("text") / 2) + 1)).first()[0] or 0
     blocks = max(1, -(-bound // BLOCK_WINDOWS))
@@ -222,8 +222,9 @@ def contamination(
     """``key, n_words, firsts, afters, items`` of every document: words inside an item's windows, and those items.
 
     ``firsts`` and ``afters`` bound disjoint spans of words; ``items`` are sorted as strings.  Null and
-    empty texts have no words, items without an id or words no windows.  Items that share an id count
-    as one; repeated documents give a row each; empty tables and columns of other names are fine.
+    empty texts have no words, items without words no windows.  The windows of an item without an id
+    hit like others, but the item isn't listed.  Items that share an id count as one; repeated
+    documents give a row each; empty tables and columns of other names are fine.
     """
     spark = docs.sparkSession
     whole = F.coalesce(F.col(text).cast("string"), F.lit(""))
@@ -256,7 +257,7 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     index = next(blocks)
     while True:
         hits = _prober(docs.sparkSession, index)(F.coalesce(F.col(text).cast("string"), F.lit("")))
-        docs = docs.filter(F.size(hits["items"]) == 0)
+        docs = docs.filter(F.size(hits["firsts"]) == 0)
         index = next(blocks, False)
         if index is False:
             return docs

@@ -55,7 +55,7 @@ WITH doc_words AS (
 ), hit_words AS (
   SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hits) GROUP BY doc_id
 ), hit_items AS (
-  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  SELECT doc_id, count(item) AS n_items, string_agg(item, ',' ORDER BY item) AS items
   FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id
 )
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,

@@ -83,7 +83,7 @@ def op7_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
         n_hit.alias("n_hit"),
         F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
-        (F.size("items") > 0).alias("contaminated"),
+        (n_hit > 0).alias("contaminated"),
     )
 
 

@@ -211,7 +211,8 @@ def write_bundles(
 def read_bundles(index: DataFrame, with_payload: bool = False, part_bytes: int = 1 << 23) -> DataFrame:
     """All records of the bundles that an index names, read from the archives by their seek tables.
 
-    A bundle is read in parts of about ``part_bytes``, by as many tasks as there are parts.  Checksums
+    A bundle is read in parts of about ``part_bytes``, dealt to as many tasks as there are parts: their
+    number is given, so that adaptive execution leaves the tiny rows that name them apart.  Checksums
     of frames and digests of payloads are verified; what doesn't agree raises an error.
     """
     import zstandard
@@ -244,7 +245,7 @@ def read_bundles(index: DataFrame, with_payload: bool = False, part_bytes: int =
         return (_page_of(head["WARC-Record-ID"]), head.get("WARC-Target-URI"), size, digest, kind, refers_to, kept, bundle, frame, offset)
 
     parts = index.select("bundle", F.floor(F.col("frame_start") / part_bytes).cast("long").alias("part")).distinct()
-    return parts.mapInPandas(read, RECORDS)
+    return parts.repartition(max(1, parts.count()), "bundle", "part").mapInPandas(read, RECORDS)
 
 
 def read_record(bundle: str, frame_start: int, frame_bytes: int, offset: int, length: int) -> bytes:
