@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
+from textquarry.llm import blooms
 from textquarry.llm import collocations as C
 from textquarry.llm import queries
 
@@ -68,7 +69,7 @@ def test_against_plain_python(spark, monkeypatch, small):
         monkeypatch.setattr(C, "TASK_PAIRS", 40)
         monkeypatch.setattr(C, "RANGE_PAIRS", 700)
         monkeypatch.setattr(C, "HOT_SHARE", 10)
-        monkeypatch.setattr(C, "FILTER_BITS", (64, 64))  # full: nothing is left out
+        monkeypatch.setattr(blooms, "FILTER_BITS", (64, 64))  # full: nothing is left out
     found = got(C.collocations(frame(spark, rows).repartition(5)))
     assert found == sorted(plain(rows)) and len(found) > 50
     assert got(C.collocations(frame(spark, rows), least=5, top=7)) == sorted(plain(rows, 5, 7))

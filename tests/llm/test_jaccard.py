@@ -108,6 +108,29 @@ def test_prefix_bounds():
             assert 1 <= p <= n and 100 * (n - p) < percent * n <= 100 * (n - p + 1)
 
 
+def test_sketches_bound_the_difference(spark):
+    rng = random.Random(6)
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    rows = []
+    for _ in range(300):
+        base = rng.sample(range(1 << 60), rng.randrange(1, 400))
+        other = base[: rng.randrange(len(base) + 1)] + rng.sample(range(1 << 60), rng.randrange(0, 60))
+        if other and 0.5 <= len(other) / len(base) <= 2:
+            a, b = (np.unique(np.array(x, dtype=np.uint64)) for x in (base, other))
+            rows.append((jaccard.sketch_of(a).tolist(), jaccard.sketch_of(b).tolist(), len(a), len(b), len(set(base) & set(other))))
+    df = spark.createDataFrame(rows, "a array<long>, b array<long>, n long, m long, k long")
+    may = jaccard.may_link(F.col("a"), F.col("b"), F.col("n"), F.col("m"), 80)
+    got = df.select("*", jaccard.unlike(F.col("a"), F.col("b")).alias("unlike"), may.alias("may")).collect()
+    assert len({(len(r["a"]), len(r["b"])) for r in got}) > 5
+    for r in got:
+        assert r["unlike"] <= r["n"] + r["m"] - 2 * r["k"]
+        assert r["may"] or 180 * r["k"] < 80 * (r["n"] + r["m"])
+    far = [r for r in got if r["n"] > 50 and r["k"] < 0.5 * min(r["n"], r["m"])]
+    assert far and sum(r["may"] for r in far) < 0.1 * len(far)
+
+
 def test_query(spark, sf):
     rows = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
     got = [tuple(r) for r in queries.QUERIES["op2_jaccard"](spark, sf).collect()]

@@ -9,7 +9,8 @@ two rows and the places of the shared column bound below the threshold is discar
 
 Columns are worked on in blocks of rows, and overlaps are accumulated per pair of rows.  Similar
 rows share many columns of their prefixes, how many at least follows from their sizes, and pairs
-with less are discarded; the others are compared in full, from their texts.  The first block of
+with less are discarded, as are those whose sketches, a bit or two for each column, differ in too
+many bits; the others are compared in full, from their texts.  The first block of
 a column is one row: each row is compared with the one that it shares most columns with.  That
 joins most groups of near copies, whose members needn't be compared with each other any more.
 The next blocks hold 8, 64, 512, ... rows of a column, and only rows of different components are
@@ -28,6 +29,7 @@ from pyspark.sql import functions as F
 
 from ..session import write_table
 from . import bytewords as B
+from .blooms import bloom, in_bloom
 from .graph import components
 
 SHINGLE = 5
@@ -36,7 +38,7 @@ LOCAL_COMMON = 4  # times that a shingle must occur in a task to be counted as p
 LOCAL_SHINGLES = 4_000_000  # that a task counts at a time, 32 MB
 COMMON = 64  # documents in which a shingle counts as common
 COMMON_BITS = 1 << 22  # half a megabyte, whatever the size of the corpus
-SHARED_BITS = 1 << 23
+SALTS = 16  # over which the rows that are compared with one row are spread
 BLOCK_GROWTH = 8
 ARROW_BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
 BROADCAST_ROWS = 1_000_000  # of ids, about 16 MB
@@ -58,6 +60,17 @@ def shingle_sets(texts, size: int) -> Iterator[tuple[int, np.ndarray]]:
                 yield first + k, rolled[:0]
 
 
+def sketch_of(shingles: np.ndarray) -> np.ndarray:
+    """A bit for each place, about as many as shingles: set if an odd number of them falls on it.
+
+    Two sets differ in at least as many shingles as their sketches in bits.  The number of bits is
+    a power of two; a sketch of half as many is the exclusive or of both halves.
+    """
+    bits = max(64, 1 << (len(shingles) - 1).bit_length())
+    places = (B.mix(shingles) & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits(np.bincount(places, minlength=bits).astype(np.uint8) & 1, bitorder="little").view(np.int64)
+
+
 def set_id(shingles: np.ndarray) -> int:
     import xxhash
 
@@ -148,7 +161,7 @@ def common_shingles(rows: DataFrame, least: int) -> DataFrame:
 
 
 def prefixes(docs: DataFrame, size: int, percent: int, common: np.ndarray) -> DataFrame:
-    """``doc_id, node, n, prefix``: the prefix of each document's shingles in the common order."""
+    """``node, n, prefix, sketch``: the prefix of each document's shingles in the common order, and their sketch."""
     packed = docs.sparkSession.sparkContext.broadcast(np.packbits(common))
     bits = len(common)
 
@@ -164,19 +177,18 @@ def prefixes(docs: DataFrame, size: int, percent: int, common: np.ndarray) -> Da
                     first = shingles[~often][:p]
                     if len(first) < p:
                         first = np.concatenate([first, shingles[often][: p - len(first)]])
-                    rows.append((set_id(shingles), n, first.astype(np.int64)))
-            yield pd.DataFrame(rows, columns=["node", "n", "prefix"])
+                    rows.append((set_id(shingles), n, first.astype(np.int64), sketch_of(shingles)))
+            yield pd.DataFrame(rows, columns=["node", "n", "prefix", "sketch"])
 
-    return docs.select("text").mapInPandas(cut, "node long, n long, prefix array<long>")
+    return docs.select("text").mapInPandas(cut, "node long, n long, prefix array<long>, sketch array<long>")
 
 
 def in_filter(rows: DataFrame, filled: np.ndarray) -> DataFrame:
     """``node, n, place, shingle`` of the prefixes, without the columns that aren't in a filter."""
-    packed = rows.sparkSession.sparkContext.broadcast(np.packbits(filled))
-    bits = len(filled)
+    handed = rows.sparkSession.sparkContext.broadcast(filled)
 
     def explode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        filled = np.unpackbits(packed.value, count=bits).view(bool)
+        filled = handed.value
         for batch in batches:
             if not len(batch):
                 continue
@@ -185,13 +197,12 @@ def in_filter(rows: DataFrame, filled: np.ndarray) -> DataFrame:
             shingles = np.concatenate(prefixes)
             of = np.repeat(np.arange(len(sizes)), sizes)
             place = np.arange(len(shingles)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            one, two = filter_places(shingles.astype(np.uint64), bits)
-            own = np.flatnonzero(filled[one] & filled[two])
+            own = np.flatnonzero(in_bloom(filled, shingles.astype(np.uint64)))
             yield pd.DataFrame(
                 {"node": batch["node"].to_numpy()[of[own]], "n": batch["n"].to_numpy()[of[own]], "place": place[own], "shingle": shingles[own]}
             )
 
-    return rows.mapInPandas(explode, "node long, n long, place int, shingle long")
+    return rows.select("node", "n", "prefix").mapInPandas(explode, "node long, n long, place int, shingle long")
 
 
 # --------------------------------------------------------------------------
@@ -253,9 +264,11 @@ def _compare(pairs: DataFrame, docs: DataFrame, ids: DataFrame, size: int, perce
     by_a, by_b = ids.select(F.col("node").alias("a"), F.col("doc_id").alias("doc_a")), ids.select(F.col("node").alias("b"), F.col("doc_id").alias("doc_b"))
     pairs = write_table(pairs.join(by_a, "a").join(by_b, "b").select("a", "b", "doc_a", "doc_b"))
     n = pairs.count()
-    left = docs.join(size_checked(pairs, n), F.col("doc_id") == F.col("doc_a")).select("a", "b", F.col("text").alias("left"))
-    right = docs.join(size_checked(pairs.select("b", "doc_b").distinct(), n), F.col("doc_id") == F.col("doc_b"))
-    rows = left.join(right.select("b", F.col("text").alias("right")), "b")
+    # One row may be compared with a third of all: its text is repeated for the salts of those.
+    pairs = pairs.withColumn("salt", F.pmod(F.xxhash64("a"), F.lit(SALTS)).cast("int"))
+    left = docs.join(size_checked(pairs, n), F.col("doc_id") == F.col("doc_a")).select("a", "b", "salt", F.col("text").alias("left"))
+    right = docs.join(size_checked(pairs.select("b", "doc_b", "salt").distinct(), n), F.col("doc_id") == F.col("doc_b"))
+    rows = left.join(right.select("b", "salt", F.col("text").alias("right")), ["b", "salt"])
     judged = rows.select("a", "b", _links_of(size, percent)("a", "left", "b", "right").alias("is_link"))
     return written(judged.groupBy("a", "b").agg(F.max("is_link").alias("is_link")))
 
@@ -266,12 +279,31 @@ def _can_link(n: Column, at: Column, m: Column, place: Column, percent: int) ->
     return linked(most, n, m, percent)
 
 
-def _first_pairs(members: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
-    """Each row with the head of its columns that it shares most of them with: ``a, b``."""
+def unlike(left: Column, right: Column) -> Column:
+    """Bits in which two sketches differ; null if one has over twice as many, which no link allows."""
+
+    def folded(x: Column, other: Column) -> Column:
+        half = F.floor(F.size(x) / 2).cast("int")
+        halves = F.zip_with(F.slice(x, F.lit(1), half), F.slice(x, half + 1, half), lambda p, q: p.bitwiseXOR(q))
+        return F.when(F.size(x) > F.size(other), halves).otherwise(x)
+
+    bits = F.zip_with(folded(left, right), folded(right, left), lambda p, q: F.bit_count(p.bitwiseXOR(q)))
+    return F.aggregate(bits, F.lit(0), lambda total, n: total + n)
+
+
+def may_link(left: Column, right: Column, n: Column, m: Column, percent: int) -> Column:
+    """Rows that differ in d columns share ``(n + m - d) / 2``, and d is at least the bits in which their sketches differ."""
+    return (100 + percent) * (n + m - unlike(left, right)) >= 2 * percent * (n + m)
+
+
+def _first_pairs(members: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
+    """Each row with the head of its columns that it shares most of them with, of those it may link with: ``a, b``."""
     shared = members.filter(F.col("node") != F.col("head")).groupBy("node", "n", "head").agg(F.count(F.lit(1)).alias("shared"))
-    heads = sizes.select(F.col("node").alias("head"), F.col("n").alias("m"))
+    heads = rows.select(F.col("node").alias("head"), F.col("n").alias("m"), F.col("sketch").alias("head_sketch"))
     fitting = shared.join(heads, "head").filter(F.col("shared") >= least_shared(F.col("n"), F.col("m"), percent))
-    return fitting.groupBy("node").agg(F.max(F.struct("shared", "head")).alias("best")).select(F.col("node").alias("a"), F.col("best.head").alias("b"))
+    sketched = fitting.join(rows.select("node", "sketch"), "node")
+    alike = sketched.filter(may_link(F.col("sketch"), F.col("head_sketch"), F.col("n"), F.col("m"), percent))
+    return alike.groupBy("node").agg(F.max(F.struct("shared", "head")).alias("best")).select(F.col("node").alias("a"), F.col("best.head").alias("b"))
 
 
 def _block_pairs(members: DataFrame, block: int, percent: int) -> DataFrame:
@@ -284,6 +316,8 @@ def _block_pairs(members: DataFrame, block: int, percent: int) -> DataFrame:
         # Each pair once for each column.
         & (~F.col("r.in_block") | (F.col("l.node") < F.col("r.node")))
         & _can_link(F.col("l.n"), F.col("l.place"), F.col("r.n"), F.col("r.place"), percent)
+        # Last, as it takes longest: hardly any pair but links is left.
+        & may_link(F.col("l.sketch"), F.col("r.sketch"), F.col("l.n"), F.col("r.n"), percent)
     )
     ordered = F.col("l.node") < F.col("r.node")
     sides = [F.when(ordered, F.col(f"{x}.{c}")).otherwise(F.col(f"{y}.{c}")).alias(name) for x, y, c, name in (("l", "r", "node", "a"), ("r", "l", "node", "b"), ("l", "r", "n", "n"), ("r", "l", "n", "m"))]
@@ -324,19 +358,20 @@ def linked_components(docs: DataFrame, ids: DataFrame, size: int, percent: int,
     entries = rows.select("node", F.explode("prefix").alias("shingle"))
     heads = entries.groupBy("shingle").agg(F.count(F.lit(1)).alias("columns"), F.min("node").alias("head"))
     heads = write_table(heads.filter(F.col("columns") > 1))
-    members = write_table(in_filter(rows, shingle_filter(heads, SHARED_BITS)).join(heads, "shingle"))
+    members = write_table(in_filter(rows, bloom(heads.select(F.col("shingle").alias("key")))).join(heads, "shingle"))
 
-    tried = _compare(_first_pairs(members, rows.select("node", "n"), percent), docs, ids, size, percent)
+    tried = _compare(_first_pairs(members, rows, percent), docs, ids, size, percent)
     tried = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "is_link")
     labels = write_table(components(tried.filter("is_link").select("a", "b")))
     members, block = members.drop("head"), BLOCK_GROWTH
     while True:
         moved = labels.filter(F.col("node") != F.col("label"))
-        own = members.drop("label", "held").join(size_checked(moved, moved.count()), "node", "left").withColumn("label", F.coalesce("label", "node"))
+        own = members.drop("label", "held", "sketch").join(size_checked(moved, moved.count()), "node", "left").withColumn("label", F.coalesce("label", "node"))
         mixed = own.groupBy("shingle").agg(F.min("label").alias("one"), F.max("label").alias("other")).filter(F.col("one") != F.col("other"))
         left = own.join(mixed.select("shingle"), "shingle", "left_semi")
         # As many rows as a prefix has columns at most.
-        members = write_table(left.withColumn("held", F.count(F.lit(1)).over(Window.partitionBy("node"))))
+        held = left.withColumn("held", F.count(F.lit(1)).over(Window.partitionBy("node")))
+        members = write_table(held.join(rows.select("node", "sketch"), "node"))
         largest = members.agg(F.max("columns")).first()[0]
         if largest is None:
             return labels
