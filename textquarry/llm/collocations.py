@@ -31,9 +31,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage, write_table
+from ..session import cut_lineage
 from . import bytewords as B
 from .blooms import bloom, in_bloom
+from .jaccard import written
 
 UNDETERMINED = "und"
 LONGEST = 4
@@ -42,7 +43,7 @@ SCALE = 2_000_000
 KEPT_PERCENT = 80
 TOP = 2000
 BURST = 2048
-TRIE_ENTRIES = 600_000
+TRIE_ENTRIES = 300_000
 TASK_WORDS = 400_000  # words that a task numbers at a time
 SLICE_BYTES = 1 << 21
 PAIR_BITS = 40  # of the hash of a pair of words
@@ -475,12 +476,13 @@ def covered(candidates: DataFrame, longest: int) -> DataFrame:
 def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, scale: int = SCALE, kept_percent: int = KEPT_PERCENT, text: str = "text", lang: str = "lang") -> DataFrame:
     """``lang, rank, phrase, a, l, r, n, score`` and ``cut``: the first phrases of each language."""
     named = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit(UNDETERMINED)).alias("lang"), F.col(text).cast("string").alias("text"))
-    words = write_table(word_counts(named))
+    # With small Arrow batches, as a task holds a batch of whole texts.
+    words = written(word_counts(named))
     totals = words.groupBy("lang").agg(F.sum("n").alias("n"))
     singles = words.filter(F.col("n") >= least)
     total = words.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    pairs = cut_lineage(frequent_pairs(named, bloom(word_keys(singles)), least, total))
-    candidates = write_table(phrase_counts(named, bloom(pairs), tuple(range(2, LONGEST + 1)), least))
+    pairs = written(frequent_pairs(named, bloom(word_keys(singles)), least, total))
+    candidates = written(phrase_counts(named, bloom(pairs), tuple(range(2, LONGEST + 1)), least))
     known = scored(candidates, singles.unionByName(candidates), total, scale, LONGEST)
     hidden = covered(candidates, LONGEST)
     big = "decimal(20,0)"
