@@ -64,3 +64,25 @@ def test_splits_may_change_between_call_and_action(spark, tmp_path):
     # The wide rows are joined with a table of one row per block, without a shuffle.
     plan = loaded._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" not in plan
+
+
+def test_written_tables_leave_no_shuffles_and_can_go(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from textquarry.session import discard, settings, write_table
+
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    table = write_table(spark.range(1000).groupBy((F.col("id") % 10).alias("k")).count())
+    assert table.count() == 10 and spark.conf.get(key) == before
+    (folder,) = {name.rsplit("/", 1)[0].removeprefix("file://") for name in table.inputFiles()}
+    other = tmp_path / "other"
+    table.write.parquet(str(other))
+    discard(spark.read.parquet(str(other)))
+    discard(table.filter("k > 3"))
+    import os
+
+    assert not os.path.exists(folder) and os.path.exists(other)
+    with settings(spark, spark__sql__shuffle__partitions="3"):
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "3"
+    assert spark.conf.get("spark.sql.shuffle.partitions") != "3"

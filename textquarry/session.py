@@ -6,6 +6,8 @@ import os
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,6 +37,8 @@ def build_session(app: str = "textquarry", cores: int | None = None, **settings:
     return spark
 
 
+TABLE = "table-"  # folders of written tables
+
 _shipped: set[str] = set()
 
 
@@ -69,18 +73,48 @@ def shared_dir(spark: SparkSession) -> str:
     return scratch
 
 
+@contextmanager
+def settings(spark: SparkSession, **values: str) -> Iterator[None]:
+    """Settings of the session that hold for a while; dots are spelled as double underscores."""
+    named = {key.replace("__", "."): value for key, value in values.items()}
+    before = {key: spark.conf.get(key, None) for key in named}
+    try:
+        for key, value in named.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 def write_table(df: DataFrame) -> DataFrame:
     """Write wide rows to the shared folder as a table and go on from there.
 
     Unlike a checkpoint a table is read column by column, so whatever comes
     after pays for the columns it uses and not for the texts beside them.
+    Once it is written nothing needs the shuffles that led to it, so Spark is
+    told to remove their files then and not when the driver collects garbage.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/table-{uuid.uuid4()}"
-    df.write.parquet(path)
+    path = f"{shared_dir(spark)}/{TABLE}{uuid.uuid4()}"
+    with settings(spark, spark__sql__classic__shuffleDependency__fileCleanup__enabled="true"):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(table: DataFrame) -> None:
+    """Removes a table of ``write_table``, or one that reads such tables alone, when others have replaced it."""
+    spark = table.sparkSession
+    folders = {str(Path(name).parent) if "://" not in name else name.rsplit("/", 1)[0] for name in table.inputFiles()}
+    for folder in folders:
+        if folder.rsplit("/", 1)[-1].startswith(TABLE):
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write narrow rows to the shared folder once and go on from there."""
     spark = df.sparkSession
