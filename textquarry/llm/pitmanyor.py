@@ -15,7 +15,7 @@ The words are a distributed table, with one row for each distinct word of the co
 word and the one before are dealt by both into buckets, which ask the table for the probabilities
 of their words and the tables of their contexts, and answer with the tables of their pairs.  The
 character restaurants have a size that the alphabet of bytes bounds, whatever the corpus, and
-are seated on the driver.  Texts are read once: chunks of documents are written as bags of pairs
+are seated on the driver.  Tables that a sweep has replaced are removed.  Texts are read once: chunks of documents are written as bags of pairs
 coded by a dictionary of their own, and what comes back to a chunk are the seatings of its pairs
 and the counts and probabilities of its words.
 """
@@ -34,7 +34,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import write_table
+from ..session import discard, write_table
 
 CHUNK_BYTES = 1 << 24
 BUCKET_BYTES = 1 << 26  # of text for each bucket of pairs
@@ -330,6 +330,7 @@ class Pairs:
         one, two = table.agg(F.sum("one"), F.sum("two")).first()
         self.d = float(np.clip(one / (one + 2 * two), 0.05, 0.95)) if one else 0.5
         self.seed = seed
+        self.swept: DataFrame | None = None
 
     def customers(self) -> DataFrame:
         """Tables of each word in all contexts, and of the context that it is."""
@@ -356,6 +357,9 @@ class Pairs:
         values = self.words.withColumnRenamed("bucket", "of").join(table.select("word", "p", "held"), "word")
         seated = self.state.groupBy("bucket").cogroup(values.groupBy("of")).applyInPandas(_stacked(seat_bucket), PAIRS)
         swept = write_table(seated.select("bucket", "word", "as_word", "as_context", "packed"))
+        if self.swept is not None:
+            discard(self.swept)
+        self.swept = swept
         self.state = swept.filter("packed IS NOT NULL").select("bucket", "packed")
         self.sums = swept.filter("word IS NOT NULL").select("word", "as_word", "as_context")
 
@@ -477,12 +481,15 @@ def _sampled(words: DataFrame, burn_in: int, samples: int, seed: int, pairs: Pai
     root, model, tables, others = WordRestaurant(0, 0, 0.5), None, [], []
     for sweep in range(burn_in + samples):
         swept = _reseat(table, root, sweep, seed)
+        if sweep:
+            discard(table)
         # As many rows as there are contexts and symbols, not words.
         counts = swept.filter("key IS NOT NULL").groupBy("key").agg(F.sum("t").alias("t")).orderBy("key").toPandas()
         table = swept.filter("word IS NOT NULL").drop("key")
         model, tables = seat_spelling(counts["key"].to_numpy(dtype=np.int64), counts["t"].to_numpy(dtype=np.int64), model, tables, rng)
         root = _word_restaurant(table)
         table = _predict(table, model, root)
+        discard(swept)
         if sample := sweep >= burn_in:
             share = table.agg(F.coalesce(F.sum(F.exp("base")), F.lit(0.0))).first()[0]
             others.append((STRENGTH + root.d * root.tables) / (STRENGTH + root.customers) * max(1e-12, 1 - share))
@@ -491,7 +498,8 @@ def _sampled(words: DataFrame, burn_in: int, samples: int, seed: int, pairs: Pai
         if sweep < burn_in + samples - 1:
             if pairs is not None:
                 pairs.reseat(table, sweep, sample)
-            table = write_table(with_customers(table))
+            predicted, table = table, write_table(with_customers(table))
+            discard(predicted)
             root = _word_restaurant(table)
     return table.select("word", F.col("tokens").alias("c"), *[f"{x}{k}" for x in ("p", "held") for k in range(samples)]), others
 
