@@ -122,6 +122,11 @@ def test_packed_counts_come_back():
         assert (found[0] == keys).all() and (found[1] == np.minimum(counts, 255)).all()
 
 
+def test_packed_runs_come_back():
+    run = [(b"b c", 3), (b"a", 1 << 40), (b"", 2), ("é ü".encode(), 9)]
+    assert list(C.unpack_run(*C.pack_run(list(run)))) == sorted(run)
+
+
 def test_arithmetic_beyond_64_bits(spark):
     big = 3_000_000_000_000_000_000
     frequent = spark.createDataFrame([("en", "a", big + 1), ("en", "b", big + 7), ("en", "a b", big)], "lang string, phrase string, n long")

@@ -10,8 +10,8 @@ costs time and is dropped by its count in the end.
 In the third pass a task counts in a ``BurstTrie``: below the number of a phrase's first word lies a hash container
 of the phrases' rests, and a container of more than ``BURST`` entries bursts into one for each
 next word.  When the trie has ``TRIE_ENTRIES`` entries its heaviest subtrees are spilled whole, as
-sorted runs of phrases and counts.  Runs are exchanged by prefix, the first two words of a phrase,
-and merged prefix by prefix.
+sorted runs of phrases and counts.  Runs are exchanged, packed, by prefix, the first two words of a
+phrase, and merged in each partition of prefixes.
 
 The score of a phrase is that of its worst cut in two: ``scale * a / (l + r)``, rounded down, with
 the counts of the phrase and of both parts.  All of it is computed in whole decimal numbers.
@@ -23,6 +23,7 @@ empty ones; other columns aren't looked at.
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -359,27 +360,44 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return counted.groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
 
 
-def phrase_counts(docs: DataFrame, filled: np.ndarray, sizes: tuple[int, ...], least: int) -> DataFrame:
-    """``lang, phrase, n`` of phrases that are frequent; a filter holds all their pairs of words."""
-    handed = docs.sparkSession.sparkContext.broadcast(filled)
+def pack_run(run: list[tuple[bytes, int]]) -> tuple[bytes, bytes]:
+    """Phrases in order, which have much in common with their neighbours, and their counts; no word holds a line feed."""
+    import zstandard
+
+    run.sort()
+    pack = zstandard.ZstdCompressor(level=1).compress
+    return pack(b"\n".join([phrase for phrase, _ in run])), pack(np.array([n for _, n in run], dtype=np.int64).tobytes())
+
+
+def unpack_run(phrases: bytes, counts: bytes) -> Iterator[tuple[bytes, int]]:
+    import zstandard
+
+    unpack = zstandard.ZstdDecompressor().decompress
+    return zip(unpack(phrases).split(b"\n"), np.frombuffer(unpack(counts), dtype=np.int64).tolist())
+
 
-    def rows(lang: str, words: list[bytes], trie: BurstTrie, share: float) -> Iterator[pd.DataFrame]:
-        import xxhash
+def phrase_counts(docs: DataFrame, filled: np.ndarray, sizes: tuple[int, ...], least: int, total: int) -> DataFrame:
+    """``lang, phrase, n`` of phrases that are frequent; a filter holds all their pairs of words.
 
-        phrases, prefixes, counts = [], [], []
+    Runs go to parts by the first two words of their phrases; the number of parts grows with the
+    words, so that a part has no more than a task can merge.
+    """
+    parts = max(1, -(-total // RANGE_PAIRS))
+    handed = docs.sparkSession.sparkContext.broadcast(filled)
+
+    def runs(lang: str, words: list[bytes], trie: BurstTrie, share: float) -> Iterator[pd.DataFrame]:
+        """What the trie spills, as a sorted run for each part."""
+        held: dict[int, list[tuple[bytes, int]]] = {}
         mask = (1 << _DIGIT) - 1
         for head, run in trie.spill(share):
+            first = words[head]
             for rest, n in run:
                 digits = -(-rest.bit_length() // _DIGIT)
-                own = [words[head], *[words[(rest >> k * _DIGIT & mask) - 1] for k in range(digits - 1, -1, -1)]]
-                phrases.append(b" ".join(own).decode("utf-8", "surrogatepass"))
-                prefixes.append(xxhash.xxh3_64_intdigest(b" ".join(own[:2])) >> 1)
-                counts.append(n)
-            if len(phrases) >= 50_000:
-                yield pd.DataFrame({"prefix": prefixes, "lang": lang, "phrase": phrases, "n": counts})
-                phrases, prefixes, counts = [], [], []
-        if phrases:
-            yield pd.DataFrame({"prefix": prefixes, "lang": lang, "phrase": phrases, "n": counts})
+                own = [words[(rest >> k * _DIGIT & mask) - 1] for k in range(digits - 1, -1, -1)]
+                part = zlib.crc32(own[0], zlib.crc32(first)) % parts
+                held.setdefault(part, []).append((b" ".join([first, *own]), n))
+        rows = [(part, lang, *pack_run(run)) for part, run in held.items()]
+        yield pd.DataFrame(rows, columns=["part", "lang", "phrases", "counts"])
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         filled = handed.value
@@ -396,16 +414,24 @@ def phrase_counts(docs: DataFrame, filled: np.ndarray, sizes: tuple[int, ...], l
                     # The tries of all languages have TRIE_ENTRIES entries together at most.
                     while sum(t.entries for _, t in held.values()) > TRIE_ENTRIES:
                         heaviest = max(held, key=lambda x: held[x][1].entries)
-                        yield from rows(heaviest, held[heaviest][0].numbers.words, held[heaviest][1], 0.5)
+                        yield from runs(heaviest, held[heaviest][0].numbers.words, held[heaviest][1], 0.5)
                 if len(vocabulary.hashes) >= TASK_WORDS:
-                    yield from rows(lang, vocabulary.numbers.words, trie, 1.0)
+                    yield from runs(lang, vocabulary.numbers.words, trie, 1.0)
                     del held[lang]
         for lang, (vocabulary, trie) in held.items():
-            yield from rows(lang, vocabulary.numbers.words, trie, 1.0)
+            yield from runs(lang, vocabulary.numbers.words, trie, 1.0)
+
+    def merge(rows: pd.DataFrame) -> pd.DataFrame:
+        sums: dict[tuple[str, bytes], int] = {}
+        for lang, phrases, counts in zip(rows["lang"], rows["phrases"], rows["counts"]):
+            for phrase, n in unpack_run(phrases, counts):
+                key = (lang, phrase)
+                sums[key] = sums.get(key, 0) + n
+        frequent = [(lang, phrase.decode("utf-8", "surrogatepass"), n) for (lang, phrase), n in sums.items() if n >= least]
+        return pd.DataFrame(frequent, columns=["lang", "phrase", "n"])
 
-    runs = docs.mapInPandas(count, "prefix long, lang string, phrase string, n long")
-    merged = runs.repartition("prefix").groupBy("prefix", "lang", "phrase").agg(F.sum("n").alias("n"))
-    return merged.filter(F.col("n") >= least).select("lang", "phrase", "n")
+    spilled = docs.mapInPandas(count, "part int, lang string, phrases binary, counts binary")
+    return spilled.groupBy("part").applyInPandas(merge, "lang string, phrase string, n long")
 
 
 # --------------------------------------------------------------------------
@@ -482,7 +508,7 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, scale: int
     singles = words.filter(F.col("n") >= least)
     total = words.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     pairs = written(frequent_pairs(named, bloom(word_keys(singles)), least, total))
-    candidates = written(phrase_counts(named, bloom(pairs), tuple(range(2, LONGEST + 1)), least))
+    candidates = written(phrase_counts(named, bloom(pairs), tuple(range(2, LONGEST + 1)), least, total))
     known = scored(candidates, singles.unionByName(candidates), total, scale, LONGEST)
     hidden = covered(candidates, LONGEST)
     big = "decimal(20,0)"
