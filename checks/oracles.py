@@ -615,6 +615,10 @@ SELECT dataset, round(weight, 9) AS weight, available, least(available, base + C
     + "SELECT o_orderkey, language, s AS language_score FROM j WHERE NOT inside",
     "i5_detected_box": I5_DETECTED + _BOX[_BOX.index("\nSELECT language, round(q1") :],
     "i5_detected_outliers": I5_DETECTED + " SELECT seq, language, s AS language_score FROM j WHERE NOT inside",
+    "i5_word_outliers": f"""WITH {PROFILE}, {WORDS},
+kinds_of_words AS (SELECT DISTINCT unnest(w) AS text FROM words), spoken AS (SELECT text AS seq, text FROM kinds_of_words), {detection('spoken', 1)},
+o AS (SELECT seq, language, language_score AS s FROM detected WHERE language_score <> 0),
+""" + I5_DETECTED[I5_DETECTED.index("\nq AS") + 1 :] + " SELECT seq AS word, language, s AS language_score FROM j WHERE NOT inside",
     "i11_detected_languages": f"""WITH {LANG}
 SELECT language, count(*) AS records, round(avg(language_score), 6) AS mean_score, round(quantile_cont(language_score, 0.5), 6) AS median_score
 FROM outcome WHERE language IS NOT NULL AND language_score <> 0 GROUP BY language""",

@@ -715,6 +715,11 @@ def i5_detected_outliers(spark, sf):
     return stats.language_outliers(detected(spark, sf)).select("seq", "language", "language_score")
 
 
+def i5_word_outliers(spark, sf):
+    """Words whose language is much less certain than that of others in it."""
+    return stats.language_outliers(l8_words(spark, sf)).select("word", "language", "language_score")
+
+
 def i11_detected_languages(spark, sf):
     s = stats.ranked_languages(detected(spark, sf))
     return s.select("language", "records", F.round("mean_score", 6).alias("mean_score"), F.round("median_score", 6).alias("median_score"))
@@ -893,7 +898,7 @@ NAMES = [
     i6_duplicate_stats_near, i8_summary_near, i12_headline_near, r3_stream_chunks_near,
     a6_list_files, a8_head_tenth, l6_detection_totals, l8_words, d15_index_two_runs, t4_bpe_first_merges, t5_wordpiece_first_merges,
     t6_saved_vocabulary, t7_encode_first_merges, t9_round_trip, r5_tokenize_job, e5_proportional, e8_mixture_weights,
-    e10_report_read_back, i5_language_outliers, i5_detected_box, i5_detected_outliers, i11_detected_languages,
+    e10_report_read_back, i5_language_outliers, i5_detected_box, i5_detected_outliers, i5_word_outliers, i11_detected_languages,
     i12_headline_tokens, r2_files_with_tokens, r3_chunked_resume, r3_indexed_runs,
 ]
 
