@@ -296,6 +296,19 @@ def may_link(left: Column, right: Column, n: Column, m: Column, percent: int) ->
     return (100 + percent) * (n + m - unlike(left, right)) >= 2 * percent * (n + m)
 
 
+def _alike(pairs: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
+    """The pairs ``a, b`` of a written table that their sketches leave.
+
+    One row may be in many pairs: its sketch is repeated for the salts that those have.
+    """
+    salted = pairs.withColumn("salt", F.pmod(F.xxhash64("a"), F.lit(SALTS)).cast("int"))
+    left = rows.select(F.col("node").alias("a"), "n", "sketch")
+    right = rows.select(F.col("node").alias("b"), F.col("n").alias("m"), F.col("sketch").alias("other"))
+    right = salted.select("b", "salt").distinct().join(right, "b")
+    fetched = salted.join(right, ["b", "salt"]).join(left, "a")
+    return fetched.filter(may_link(F.col("sketch"), F.col("other"), F.col("n"), F.col("m"), percent)).select("a", "b")
+
+
 def _first_pairs(members: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
     """Each row with the head of its columns that it shares most of them with, of those it may link with: ``a, b``."""
     shared = members.filter(F.col("node") != F.col("head")).groupBy("node", "n", "head").agg(F.count(F.lit(1)).alias("shared"))
@@ -316,8 +329,6 @@ def _block_pairs(members: DataFrame, block: int, percent: int) -> DataFrame:
         # Each pair once for each column.
         & (~F.col("r.in_block") | (F.col("l.node") < F.col("r.node")))
         & _can_link(F.col("l.n"), F.col("l.place"), F.col("r.n"), F.col("r.place"), percent)
-        # Last, as it takes longest: hardly any pair but links is left.
-        & may_link(F.col("l.sketch"), F.col("r.sketch"), F.col("l.n"), F.col("r.n"), percent)
     )
     ordered = F.col("l.node") < F.col("r.node")
     sides = [F.when(ordered, F.col(f"{x}.{c}")).otherwise(F.col(f"{y}.{c}")).alias(name) for x, y, c, name in (("l", "r", "node", "a"), ("r", "l", "node", "b"), ("l", "r", "n", "n"), ("r", "l", "n", "m"))]
@@ -363,24 +374,24 @@ def linked_components(docs: DataFrame, ids: DataFrame, size: int, percent: int,
     tried = _compare(_first_pairs(members, rows, percent), docs, ids, size, percent)
     tried = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "is_link")
     labels = write_table(components(tried.filter("is_link").select("a", "b")))
+    tried = tried.select("a", "b")
     members, block = members.drop("head"), BLOCK_GROWTH
     while True:
         moved = labels.filter(F.col("node") != F.col("label"))
-        own = members.drop("label", "held", "sketch").join(size_checked(moved, moved.count()), "node", "left").withColumn("label", F.coalesce("label", "node"))
+        own = members.drop("label", "held").join(size_checked(moved, moved.count()), "node", "left").withColumn("label", F.coalesce("label", "node"))
         mixed = own.groupBy("shingle").agg(F.min("label").alias("one"), F.max("label").alias("other")).filter(F.col("one") != F.col("other"))
         left = own.join(mixed.select("shingle"), "shingle", "left_semi")
         # As many rows as a prefix has columns at most.
-        held = left.withColumn("held", F.count(F.lit(1)).over(Window.partitionBy("node")))
-        members = write_table(held.join(rows.select("node", "sketch"), "node"))
+        members = write_table(left.withColumn("held", F.count(F.lit(1)).over(Window.partitionBy("node"))))
         largest = members.agg(F.max("columns")).first()[0]
         if largest is None:
             return labels
-        pairs = _block_pairs(members, block, percent).join(tried.select("a", "b"), ["a", "b"], "left_anti")
-        judged = _compare(pairs, docs, ids, size, percent)
+        pairs = write_table(_block_pairs(members, block, percent).join(tried, ["a", "b"], "left_anti"))
+        judged = _compare(_alike(pairs, rows, percent), docs, ids, size, percent)
         labels = _with_links(labels, judged.filter("is_link").select("a", "b"))
         if block >= largest:
             return labels
-        tried = tried.unionByName(judged)
+        tried = tried.unionByName(pairs)
         block *= BLOCK_GROWTH
 
 
