@@ -520,4 +520,4 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, scale: int
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
     first = cut_lineage(shown.withColumn("rank", F.row_number().over(order).cast("long")).filter(F.col("rank") <= top))
     # Languages are few, but nothing bounds them: joined by what is small, the totals or the first phrases.
-    return first.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score", "cut")
+    return first.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score", F.col("cut").cast("long"))
