@@ -1,5 +1,6 @@
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 
@@ -39,6 +40,39 @@ def test_decoding_against_plain_sums(spark):
     assert np.allclose(langid.losses(model, margins[None]), [want])
 
 
+def bucket_of(gram):
+    key = (gram[0] << 16 | gram[1] << 8 | gram[2]) * 0x9E3779B1 % 2**32
+    key ^= key >> 15
+    return key * 0x85EBCA77 % 2**32 >> 18
+
+
+def test_counts_weights_and_trust_against_plain_python(spark):
+    """All that training learns, counted gram by gram and text by text."""
+    rng = random.Random(9)
+    letters = {"aa": "abcdé", "bb": "dEfg h", "cc": "ghij1k", "dd": "abgh"}
+    rows = [(i, "".join(rng.choices(letters[k], k=rng.randrange(1, 25))), k, None, None) for i in range(60) for k in letters]
+    model = langid.train(spark.createDataFrame(rows + [(0, None, "aa", None, None), (1, "xyz", None, None, None), (2, "12", "aa", None, None)], SCHEMA).repartition(3))
+    rows = [r for r in rows if any(map(str.isalpha, r[1]))]
+
+    def grams(text):
+        low = bytes(c + 32 if 65 <= c <= 90 else c for c in text.encode())
+        data = b" " + bytes(c if c >= 128 or 97 <= c <= 122 else 32 for c in low) + b" "
+        return [bucket_of(data[i : i + 3]) for i in range(len(data) - 2)]
+
+    counts = {k: Counter(g for r in rows if r[2] == k for g in grams(r[1])) for k in letters}
+    assert model.languages == sorted(letters)
+    shares = {k: lambda g, k=k: (counts[k][g] + langid.SMOOTHING) / (sum(counts[k].values()) + langid.BUCKETS * langid.SMOOTHING) for k in letters}
+    for bit, side in enumerate(model.codes.T):
+        for g in rng.sample(sorted(set().union(*counts.values())), 40) + [5]:
+            mean = lambda sign: np.mean([shares[k](g) for k, c in zip(model.languages, side) if c == sign])
+            assert abs(model.weights[g, bit] - np.log(mean(1) / mean(-1))) < 1e-4
+    for at, k in enumerate(model.languages):
+        own = [grams(r[1]) for r in rows if r[2] == k]
+        right = [sum(sum(float(model.weights[g, bit]) for g in text) * c > 0 for text in own) for bit, c in enumerate(model.codes[at])]
+        trust = np.array([(n + 1) / (len(own) + 2) for n in right])
+        assert np.allclose(model.trust[at], trust / trust.sum())
+
+
 def test_edge_rows(spark):
     rows = [(i, t, k, "x", 1.0) for i in range(30) for k, t in (("en", "the thing with that"), ("fr", "êtes-vous là où"))]
     rows += [(90, None, "en", "x", 1.0), (91, "", "de", "x", 1.0), (92, "123 !?", "es", "x", 1.0), (93, "no label", None, "x", 1.0), (None, "the thing", "en", "x", 1.0)]
