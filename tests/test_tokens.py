@@ -199,3 +199,32 @@ def test_totals_and_sizes(spark):
     report = tokens.size_report(df).first()
     assert report.input_bytes > report.output_bytes == len('{"token_ids":[1,2,3]}\n{"token_ids":[4]}\n')
     assert tokens.token_totals(df.limit(0)).first().avg_sequence_length == 0.0
+
+
+def test_batches_are_worked_on_in_parts():
+    """Parts of bounded size whatever the rows, a larger row by itself; nothing is lost or reordered."""
+    import pyarrow as pa
+
+    from textquarry.functions import words as W
+
+    texts = pa.array(["a" * 1000, None, "", "b" * (W.SLICE_BYTES + 5)] * 3 + ["c" * 1000] * 5000)
+    parts = list(W.slices(texts))
+    assert pa.concat_arrays(parts).equals(texts)
+    assert all(len(p) == 1 or sum(len(t.as_py() or "") for t in p) <= W.SLICE_BYTES for p in parts)
+    rows = pa.array([[1] * (W.SLICE_ITEMS + 1), None, [], [2] * 90_000, [3] * 90_000, [4] * 90_000], pa.list_(pa.int32()))
+    parts = list(W.slices(rows))
+    assert pa.concat_arrays(parts).equals(rows)
+    assert [len(p) for p in parts] == [1, 4, 1]
+
+
+def test_tokens_are_named_only_when_selected(spark, bpe):
+    texts = ["low " * 60_000, None, "", "newest\n\twidest", "<s>"]
+    df = spark.createDataFrame(list(enumerate(texts)), "seq bigint, text string").coalesce(1)
+    coded = tokens.encode(df, bpe[2])
+    plan = coded.select("seq", "token_ids")._jdf.queryExecution().executedPlan().toString()
+    assert "name(" not in plan and "encode(" in plan
+    got = {r.seq: (r.tokens, r.token_ids) for r in coded.collect()}
+    tok = library(90)
+    assert got == {i: (e.tokens, e.ids) for i, t in enumerate(texts) if t is not None for e in [tok.encode(t)]}
+    spelled = {r.seq: r.decoded for r in tokens.decode(coded, bpe[2]).collect()}
+    assert spelled == {i: tok.decode(ids) for i, (_, ids) in got.items()}
