@@ -229,3 +229,19 @@ def test_plans_have_no_cartesian_product(spark):
     marked = dedup.mark_duplicates(df, CFG)
     plan = marked._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_sha1_signatures_by_small_digests(monkeypatch):
+    """Whole signatures of short and long texts, with a memo that overflows, hashing most shingles once."""
+    rng = random.Random(5)
+    texts = ["abcde", "aaaaaaa", "é😀漢字x y", *("".join(rng.choices("abcdef ", k=k)) for k in (30, 200, 3000))] * 2
+    want = [[min(hashlib.sha1(f"{t[j:j + 5]}_{i}".encode()).digest() for j in range(len(t) - 4)) for i in range(40)] for t in texts]
+    assert M._signatures(texts, 5, 40, "sha1", {}) == want
+    memo = {}
+    for text in texts:
+        M._signatures([text], 5, 40, "sha1", memo)
+    # Of 40 digests of a shingle one or two are small; all of them would take 800 bytes.
+    assert sum(map(len, memo.values())) / len(memo) < 80
+    monkeypatch.setattr(M, "MEMO_SHINGLES", 100)
+    memo = {}
+    assert [M._signatures([text], 5, 40, "sha1", memo)[0] for text in texts] == want
