@@ -198,3 +198,13 @@ def test_tokens_of_a_run_spell_its_texts(spark, docs, profile, tmp_path):
     for r in rows:
         assert [table[i] for i in r.token_ids] == r.tokens and len(r.tokens) == r.token_length
         assert "".join(r.tokens) == "".join(r.words)
+
+
+def test_stream_of_a_table_written_as_a_folder(spark, sf, tmp_path):
+    """The same rows from one file and from a folder of files."""
+    from checks.queries import QUERIES
+
+    folder = tmp_path / "tables"
+    spark.read.parquet(f"{sf}/documents.parquet").repartition(2).write.parquet(str(folder / "documents.parquet"))
+    one, several = (QUERIES["r3_stream_chunks"](spark, str(at)).collect() for at in (sf, folder))
+    assert len(one) == 200 and sorted(one, key=str) == sorted(several, key=str)
