@@ -86,3 +86,14 @@ def test_written_tables_leave_no_shuffles_and_can_go(spark, tmp_path):
     with settings(spark, spark__sql__shuffle__partitions="3"):
         assert spark.conf.get("spark.sql.shuffle.partitions") == "3"
     assert spark.conf.get("spark.sql.shuffle.partitions") != "3"
+
+
+def test_listing_takes_tables_written_as_folders(spark, tmp_path):
+    spark.range(100).repartition(3).write.parquet(str(tmp_path / "many.parquet"))
+    spark.range(4).selectExpr("id", "id % 2 as half").write.partitionBy("half").parquet(str(tmp_path / "parts.parquet"))
+    (tmp_path / "one.parquet").write_bytes(b"12345")
+    (tmp_path / "one.json").write_text("{}")
+    got = {r.path.rsplit("/", 1)[1]: r.length for r in records.list_files(spark, str(tmp_path), "*.parquet").collect()}
+    sizes = {d: sum(f.stat().st_size for f in (tmp_path / d).rglob("part-*")) for d in ("many.parquet", "parts.parquet")}
+    assert got == sizes | {"one.parquet": 5}
+    assert records.list_files(spark, str(tmp_path), "*.csv").collect() == []
