@@ -88,3 +88,15 @@ def test_query(spark, sf):
     digest = lambda items: hashlib.sha256(",".join(items).encode()).hexdigest()
     assert as_set(got) == as_set((d, n, h, len(i), digest(i), h > 0) for d, n, h, i in want)
     assert any(r["contaminated"] for r in rows)
+
+
+def test_shingles_are_counted_in_small_batches(spark, monkeypatch):
+    """Whatever the session's batches are, which then hold again."""
+    from textquarry.llm import decontaminate as D
+
+    key, seen = "spark.sql.execution.arrow.maxRecordsPerBatch", []
+    docs = spark.createDataFrame([("one two three four five six seven eight nine ten eleven",)], "text string")
+    collect, before = type(docs).collect, spark.conf.get(key)
+    monkeypatch.setattr(type(docs), "collect", lambda df: seen.append(spark.conf.get(key)) or collect(df))
+    index = D.build_index(docs, [("1", "two three four five six seven eight nine ten eleven")], 10)
+    assert len(index.size) == 1 and seen == [D.COUNTED_TEXTS] and spark.conf.get(key) == before

@@ -21,12 +21,14 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import write_table
+from ..session import settings, write_table
 from . import bytewords as B
 
 WINDOW = 10
 SHINGLE = 3
 BLOCK_WINDOWS = 500_000  # about 100 MB
+COUNTED_TEXTS = "500"  # that a task holds at a time while shingles are counted
+COUNTED_BYTES = "4m"
 HITS = "n_words long, firsts array<int>, afters array<int>, items array<string>"
 
 
@@ -104,8 +106,10 @@ def shingle_frequencies(docs: DataFrame, shingles: np.ndarray, sizes: list[int])
         yield pd.DataFrame({"shingle": keys[own].astype(np.int64), "n": totals[own]})
 
     counted = docs.select("text").mapInPandas(count, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
-    # At most as many rows as the block has shingles.
-    return {r["shingle"] & 0xFFFFFFFFFFFFFFFF: r["n"] for r in counted.collect()}
+    small = {"spark__sql__execution__arrow__maxRecordsPerBatch": COUNTED_TEXTS, "spark__sql__execution__arrow__maxBytesPerBatch": COUNTED_BYTES}
+    with settings(docs.sparkSession, **small):
+        # At most as many rows as the block has shingles.
+        return {r["shingle"] & 0xFFFFFFFFFFFFFFFF: r["n"] for r in counted.collect()}
 
 
 def build_index(docs: DataFrame, items: list[tuple[str, str | None]], window: int) -> WindowIndex | None:
