@@ -228,3 +228,14 @@ def test_tokens_are_named_only_when_selected(spark, bpe):
     assert got == {i: (e.tokens, e.ids) for i, t in enumerate(texts) if t is not None for e in [tok.encode(t)]}
     spelled = {r.seq: r.decoded for r in tokens.decode(coded, bpe[2]).collect()}
     assert spelled == {i: tok.decode(ids) for i, (_, ids) in got.items()}
+
+
+def test_reduce_job_encodes_once(spark, bpe, tmp_path):
+    from textquarry.plans import jobs
+
+    df = spark.createDataFrame([(0, "low <s> newest"), (1, None), (2, "naïve é")], "seq bigint, text string")
+    rows = tokens.encode(df, bpe[2]).select("seq", "text", "token_ids")
+    sizes = jobs.reduce_job(rows, str(tmp_path / "ids"))
+    assert "encode(" not in sizes._jdf.queryExecution().executedPlan().toString()
+    assert sizes.collect() == tokens.size_report(rows).collect()
+    assert spark.read.json(str(tmp_path / "ids")).count() == 2
