@@ -1,9 +1,13 @@
 import json
+from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from checks.queries import QUERIES
 from textquarry.config import CorpusConfig
+from textquarry.functions import langid as L
 from textquarry.operators import dedup, language, stats, tokens
 from textquarry.operators.dedup_index import DuplicateIndex
 from textquarry.plans import corpus, jobs, report
@@ -208,3 +212,30 @@ def test_stream_of_a_table_written_as_a_folder(spark, sf, tmp_path):
     spark.read.parquet(f"{sf}/documents.parquet").repartition(2).write.parquet(str(folder / "documents.parquet"))
     one, several = (QUERIES["r3_stream_chunks"](spark, str(at)).collect() for at in (sf, folder))
     assert len(one) == 200 and sorted(one, key=str) == sorted(several, key=str)
+
+
+def test_a_position_is_looked_up_once(monkeypatch):
+    """The grams of one to three characters that begin at a position are found together."""
+    texts = ["", "a", "ab", "\0\0b", "a\U0001f600c", "abc" * 50]
+    looked_up = []
+    factorize = L.pd.factorize
+    monkeypatch.setattr(L.pd, "factorize", lambda x: (looked_up.append(len(x)), factorize(x))[1])
+    counts = {g: n for grams, ns in L._counted(texts) for g, n in zip(grams, ns.tolist())}
+    plain = Counter(t[i : i + n] for t in texts for n in (1, 2, 3) for i in range(len(t) - n + 1))
+    assert counts == plain
+    grams = sorted(plain)[::2]
+    micro = np.arange(2 * len(grams)).reshape(-1, 2) * 7 - 50
+    by_gram = dict(zip(grams, micro.tolist()))
+    got = L.Profile(["x", "y"], grams, micro).score(texts)
+    for text, row in zip(texts, got.tolist()):
+        own = [by_gram[g] for n in (1, 2, 3) for i in range(len(text) - n + 1) if (g := text[i : i + n]) in by_gram]
+        assert row == [sum(m[0] for m in own), sum(m[1] for m in own), len(own)]
+    assert sum(n > sum(map(len, texts)) for n in looked_up) == 2
+
+
+def test_chunked_queries_train_one_profile(spark, sf, monkeypatch):
+    trained = []
+    train = language.train_profile
+    monkeypatch.setattr(language, "train_profile", lambda *a, **k: (trained.append(1), train(*a, **k))[1])
+    QUERIES["r3_indexed_runs"](spark, sf)
+    assert len(trained) == 1
