@@ -11,6 +11,7 @@ from textquarry.functions import langid as L
 from textquarry.operators import dedup, language, stats, tokens
 from textquarry.operators.dedup_index import DuplicateIndex
 from textquarry.plans import corpus, jobs, report
+from textquarry.session import settings
 from textquarry.sources import sinks
 from textquarry.sources.tables import read_documents
 from textquarry.streaming import ingest
@@ -239,3 +240,14 @@ def test_chunked_queries_train_one_profile(spark, sf, monkeypatch):
     monkeypatch.setattr(language, "train_profile", lambda *a, **k: (trained.append(1), train(*a, **k))[1])
     QUERIES["r3_indexed_runs"](spark, sf)
     assert len(trained) == 1
+
+
+def test_a_chunk_of_one_row_group_is_dealt_to_all_cores(spark, docs, profile, tmp_path):
+    """A large file is read in several splits, but its only row group belongs to one of them."""
+    source, out = str(tmp_path / "source"), str(tmp_path / "out")
+    docs.select("seq", "text").coalesce(1).write.parquet(source)
+    with settings(spark, spark__sql__files__maxPartitionBytes="16k", spark__sql__files__openCostInBytes="0"):
+        ingest.write_chunks(ingest.file_stream(spark, source, ingest.CHUNK), CorpusConfig(), profile, out)
+    rows = ingest.read_chunks(spark, out)
+    assert rows.count() == docs.count()
+    assert rows.select(F.col("_metadata.file_path")).distinct().count() >= spark.sparkContext.defaultParallelism
