@@ -135,3 +135,31 @@ def test_query(spark, sf):
     rows = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
     got = [tuple(r) for r in queries.QUERIES["op2_jaccard"](spark, sf).collect()]
     assert as_set(got) == as_set(brute(rows))
+
+
+def test_blocks_of_a_column_are_nested(spark):
+    """A row of the block of a column is in that of any smaller column, so a pair is counted in all it shares."""
+    from pyspark.sql import functions as F
+
+    nodes = spark.range(3000).withColumn("node", F.xxhash64("id"))
+    for block in (8, 64, 512):
+        own = [{r.node for r in nodes.filter(jaccard.in_block(F.col("node"), F.lit(c), block)).collect()} for c in (3000, 2999, 701, 512)]
+        assert own[0] <= own[1] <= own[2] <= own[3] and len(own[3]) > len(own[0])
+        assert block / 2 < len(own[0]) < 2 * block and (block < 512 or len(own[3]) == 3000)
+
+
+def test_group_of_near_copies_is_not_multiplied_out(spark, monkeypatch):
+    """All but a few of a group's pairs are spared, whose columns have many different sizes."""
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(60)]
+    rows = [(i, t) for i, t in enumerate(family(rng, base, 600, 4))]
+    multiplied, pairs_of = [], jaccard._block_pairs
+
+    def counted(members, block, percent):
+        pairs = pairs_of(members, block, percent)
+        multiplied.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(jaccard, "_block_pairs", counted)
+    check(spark, rows)
+    assert sum(multiplied) < 600 * 600 / 2 / 8
