@@ -43,3 +43,17 @@ def test_stages_keep_columns_and_take_odd_rows(spark, sf):
 
 def test_order_and_names():
     assert [name for name, _ in corpus_pipeline.STAGES] == ["language_id", "jaccard_join", "decontamination", "secret_scan", "best_fit_packing"]
+
+
+def test_stages_run_in_small_batches(spark, sf):
+    """Also where a stage is called by itself and its result read later."""
+    before = {key: spark.conf.get(key) for key in corpus_pipeline.BATCHES}
+    try:
+        for key in before:
+            spark.conf.unset(key)
+        dict(corpus_pipeline.STAGES)["secret_scan"](spark, spark.read.parquet(f"{sf}/documents.parquet"), sf)
+        assert {key: spark.conf.get(key) for key in before} == corpus_pipeline.BATCHES
+        assert all(stage.__wrapped__.__name__ == name for name, stage in corpus_pipeline.STAGES)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
