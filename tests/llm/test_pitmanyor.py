@@ -155,3 +155,19 @@ def test_whole_characters_in_spelling_contexts():
     for one, other in ((b"abc", b"qbc"), (b"xab", b"xqb")):
         a, q = P.spelled([one])[0], P.spelled([other])[0]
         assert (a[3] != q[3]) and a.max() < P._BEFORE**3
+
+
+def test_sweeps_seat_only_pairs_that_occur_again(spark):
+    """A sweep writes the tables of pairs with more than one customer, and tables that others replaced can go by kind."""
+    texts = ["a b a b c", "b a d", "a b", "", "c a b d", "x y z"]
+    df = spark.createDataFrame([(i, t, True, False, "x", "y") for i, t in enumerate(texts)], SCHEMA)
+    bags = P.bags_of_pairs(df.select("doc_id", "train", "held_out", "text"), 3)
+    words = bags.filter("n > 0").groupBy("word").agg(F.sum("n").alias("c")).cache()
+    known = words.count()
+    pairs = P.Pairs(bags, 7)
+    P.discard(bags, f"kind={P.PAIR_BAG}")
+    learned, others = P._sampled(words, 1, 2, 7, pairs)
+    plain = Counter(pair for t in texts for pair in zip([P.END, *tokens(t)], tokens(t)))
+    seated = [P._unpack(r["packed"]) for r in pairs.swept.filter("to IS NULL").collect()]
+    assert sum(len(t) for _, t in seated) == sum(n > 1 for n in plain.values())
+    assert P._scored(bags, pairs, learned, others, sum(plain.values()), known).count() == len(texts)
