@@ -1,5 +1,6 @@
 import json
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -11,7 +12,7 @@ from textquarry.functions import langid as L
 from textquarry.operators import dedup, language, stats, tokens
 from textquarry.operators.dedup_index import DuplicateIndex
 from textquarry.plans import corpus, jobs, report
-from textquarry.session import settings
+from textquarry.session import settings, shared_dir
 from textquarry.sources import sinks
 from textquarry.sources.tables import read_documents
 from textquarry.streaming import ingest
@@ -251,3 +252,27 @@ def test_a_chunk_of_one_row_group_is_dealt_to_all_cores(spark, docs, profile, tm
     rows = ingest.read_chunks(spark, out)
     assert rows.count() == docs.count()
     assert rows.select(F.col("_metadata.file_path")).distinct().count() >= spark.sparkContext.defaultParallelism
+
+
+def tables(spark):
+    return {str(p) for p in Path(shared_dir(spark)).glob("table-*") if any(p.glob("*.parquet"))}
+
+
+def test_a_run_keeps_no_table_that_others_have_replaced(spark, docs, profile, tmp_path):
+    """Files to files: rows in shards and in one piece are the same; what remains are outcomes and ids, one table each."""
+    source, out, before = str(tmp_path / "raw.jsonl"), tmp_path / "out", tables(spark)
+    docs.orderBy("seq").select("text").write.json(source)
+    run = corpus.run_corpus(spark, [source], str(out), CorpusConfig(vocab_size=0, shard_size=20), profile)
+    columns = [spark.read.parquet(t).columns for t in tables(spark) - before]
+    texts = [c for c in columns if {"text", "_s", "sig", "tokens"} & set(c)]
+    assert len(texts) == 2 and not any({"tokens", "sig"} & set(c) for c in texts)
+    schema = "seq bigint, text string, tokens array<string>, token_ids array<int>, token_length int"
+    whole = spark.read.schema(schema).json(str(out / "tokenized_data")).orderBy("seq").collect()
+    names = sorted(p.name for p in (out / "shards").glob("shard=*"))
+    assert names == [f"shard={i:05d}" for i in range(-(-len(whole) // 20))] and len(names) > 1
+    for i, name in enumerate(names):
+        assert spark.read.schema(schema).json(str(out / "shards" / name)).orderBy("seq").collect() == whole[20 * i : 20 * i + 20]
+    assert all(r.tokens == [c for w in tokens.words_of(spark.createDataFrame([(r.text,)], "text string")).first().words for c in w] for r in whole[:3])
+    assert run.tokenized.columns[-3:] == ["tokens", "token_ids", "token_length"] and run.tokenized.count() == run.retained.count() == len(whole)
+    lines = [p for p in out.rglob("part-*") if "report" not in str(p)]
+    assert lines and all(p.name.endswith(".json.gz") for p in lines)
