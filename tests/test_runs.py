@@ -276,3 +276,19 @@ def test_a_run_keeps_no_table_that_others_have_replaced(spark, docs, profile, tm
     assert run.tokenized.columns[-3:] == ["tokens", "token_ids", "token_length"] and run.tokenized.count() == run.retained.count() == len(whole)
     lines = [p for p in out.rglob("part-*") if "report" not in str(p)]
     assert lines and all(p.name.endswith(".json.gz") for p in lines)
+
+
+def test_jobs_keep_one_table_of_texts(spark, docs, tmp_path):
+    source = str(tmp_path / "raw.jsonl")
+    docs.orderBy("seq").select("text").write.json(source)
+    before = tables(spark)
+    totals = jobs.dedup_job(spark, [source], str(tmp_path / "unique"), CorpusConfig(num_perm=32)).first()
+    columns = [spark.read.parquet(t).columns for t in tables(spark) - before]
+    assert [c for c in columns if {"value", "text", "_clean", "_s", "sig"} & set(c)] == [["seq", "value", "outcome"]]
+    assert totals.total == docs.count()
+    before = tables(spark)
+    totals = jobs.tokenize_job(spark, [source], str(tmp_path / "ids"), CorpusConfig(vocab_size=0)).first()
+    columns = [spark.read.parquet(t).columns for t in tables(spark) - before]
+    assert columns == [["token_ids", "token_length"]]
+    rows = spark.read.schema("tokens array<string>, token_ids array<int>, length int").json(str(tmp_path / "ids/tokenized")).collect()
+    assert sum(r.length for r in rows) == totals.total_tokens and all(len(r.tokens) == len(r.token_ids) == r.length for r in rows)
