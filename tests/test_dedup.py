@@ -245,3 +245,28 @@ def test_sha1_signatures_by_small_digests(monkeypatch):
     monkeypatch.setattr(M, "MEMO_SHINGLES", 100)
     memo = {}
     assert [M._signatures([text], 5, 40, "sha1", memo)[0] for text in texts] == want
+
+
+def test_first_words_are_those_of_sha1():
+    """Of blocks filled to the last byte that fits, with numbers of one to three digits."""
+    rng = random.Random(3)
+    for length in (2, 6, 9, 52):
+        stems = [rng.randbytes(length) for _ in range(20)]
+        want = [[int(hashlib.sha1(s + str(i).encode()).hexdigest()[:8], 16) for s in stems] for i in range(120)]
+        assert M._first_words(stems, 120).tolist() == want
+
+
+def test_few_digests_are_computed_one_by_one(monkeypatch):
+    """Most are told to be large in arrays, and what one task has hashed the next one looks up."""
+    calls = []
+    real = hashlib.sha1
+    monkeypatch.setattr(M.hashlib, "sha1", lambda data: (calls.append(data), real(data))[1])
+    rng = random.Random(4)
+    texts = ["".join(rng.choices("abcdefgh ", k=5000)) for _ in range(3)]
+    memo = M._memo(5, 120)
+    memo.clear()
+    first = M._signatures(texts, 5, 120, "sha1", memo)
+    shingles = {t[i : i + 5] for t in texts for i in range(len(t) - 4)}
+    assert set(memo) == {s.encode("utf-32-le") for s in shingles} and len(calls) < 120 * len(shingles) / 20
+    calls.clear()
+    assert M._signatures(texts[::-1], 5, 120, "sha1", M._memo(5, 120)) == first[::-1] and not calls
