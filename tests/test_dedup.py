@@ -270,3 +270,17 @@ def test_few_digests_are_computed_one_by_one(monkeypatch):
     assert set(memo) == {s.encode("utf-32-le") for s in shingles} and len(calls) < 120 * len(shingles) / 20
     calls.clear()
     assert M._signatures(texts[::-1], 5, 120, "sha1", M._memo(5, 120)) == first[::-1] and not calls
+
+
+def test_members_of_shared_buckets_alone_get_keys(spark):
+    """Rows of buckets are exchanged without keys and fingerprints, and only those with company go on."""
+    sigs = nodes(spark, [(i, [100 * i + j for j in range(32)]) for i in range(30)] + [(40, list(range(32))), (41, [0, 1, 2, 3, *range(9000, 9028)])])
+    rows = sigs.select("seq", "keys", "print")
+    buckets = dedup._Buckets(rows)
+    members, leaders = dedup._members_and_leaders(rows, buckets, 1, 1)
+    assert "Exchange" not in members._jdf.queryExecution().executedPlan().toString()
+    assert {r.seq for r in members.collect()} == {0, 40, 41} and {r.a for r in leaders.collect()} == {0}
+    bands = {r.seq: r.keys for r in rows.collect()}
+    assert all(r["keys"] == bands[r.seq] and r["key"] == r["keys"][r.band] for r in members.collect())
+    found = {r.seq for r in dedup.greedy_duplicates(sigs, 32, 0.8).collect()}
+    assert found == {40}
