@@ -239,3 +239,42 @@ def test_reduce_job_encodes_once(spark, bpe, tmp_path):
     assert "encode(" not in sizes._jdf.queryExecution().executedPlan().toString()
     assert sizes.collect() == tokens.size_report(rows).collect()
     assert spark.read.json(str(tmp_path / "ids")).count() == 2
+
+
+def test_words_are_spelled_without_an_exchange(spark):
+    rows = [("été", 2), ("a", 1), (None, 5), ("", 4), ("xé😀", 3), ("x", 7)]
+    words = spark.createDataFrame(rows, "word string, n bigint")
+    for kind, ids, want in (
+        ("bpe", {"é": 3, "t": 4, "a": 0, "😀": 9, "<s>": 1}, {(2, (3, 4, 3)), (1, (0,)), (3, (3, 9))}),
+        ("wordpiece", {"é": 3, "##é": 5, "##t": 4, "a": 0, "##😀": 9}, {(2, (3, 4, 5)), (1, (0,)), (3, (5, 9))}),
+    ):
+        spelled = tokens.spell(words, kind, ids)
+        plan = spelled._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "Join" not in plan
+        assert {(r.n, tuple(r.symbols)) for r in spelled.collect()} == want
+
+
+def test_rows_merge_like_one_at_a_time():
+    """Also where a merge spells a known symbol, ranks are equal, and rows are empty or long."""
+    import numpy as np
+
+    from textquarry.functions.merges import LONG_ROW, Merges, Rows, merge_ranked, merge_rows
+
+    rng = random.Random(3)
+    for _ in range(500):
+        k = rng.randint(2, 5)
+        merged = {(rng.randrange(k + 6), rng.randrange(k + 6)): (rng.randrange(20), rng.randrange(k + 6)) for _ in range(rng.randint(0, 14))}
+        rows = [[rng.randrange(k) for _ in range(rng.choice([0, 1, 2, 5, 30, LONG_ROW, LONG_ROW + 9]))] for _ in range(rng.randint(0, 9))]
+        flat = np.array([s for row in rows for s in row], dtype=np.int32)
+        symbols, sizes = merge_rows(Rows(flat, np.array([len(row) for row in rows], dtype=np.int64)), Merges(merged))
+        want = [merge_ranked(row, merged) for row in rows]
+        assert sizes.tolist() == [len(row) for row in want]
+        assert symbols.tolist() == [s for row in want for s in row]
+
+
+def test_words_are_coded_together_like_alone(bpe):
+    vocab = bpe[2].value
+    words = ["lower", "", "Ω", "﷑", "newest" * 30, "été", "loweΩst", "﷔", "a"]
+    coded = vocab.coded(words)
+    assert coded == [vocab._ids(vocab.pieces(w)) for w in words] and coded[2] == b"" and len(coded[3]) == 4
+    assert vocab.coded([]) == []

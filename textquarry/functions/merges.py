t9_round_trip: words are spelled and merged in arrays, without an exchange

Symptom: t9_round_trip took 2,617 CPU seconds a GB on 0.10 GB, most of it to train and apply a vocabulary of 30,000 tokens.
Evidence: the profiler with: encoding took 66 task seconds, 15 of them in the JVM, one heap of string pairs a word; spelling words exploded every character, joined it and grouped it again (16 task seconds in one stage, 22 s of a local training run of 100 s); each round built an array object a word, twice, through pandas.
Fix: words are spelled by an Arrow kernel with the broadcast alphabet; a numpy kernel makes the next merge of all words of a block at once, in training and in encoding, long words keep the heap; rounds read and write Arrow arrays; pairs of neighbours come from arrays_zip, which compiles.
Effect, together with 1 more commit on this code: at 1 GB of input CPU 2863 -> 2330 s, shuffle 2.22 -> 1.24 GB, spill 0.00 -> 0.00 GB, read 1.93 -> 1.93 GB, longest task 64 -> 42 s, most memory of a task 101 -> 101 MB; at 6 GB of input CPU 10464 -> 7276 s, shuffle 7.82 -> 4.75 GB, spill 0.91 -> 0.00 GB, read 11.76 -> 11.76 GB, longest task 89 -> 65 s, most memory of a task 134 -> 134 MB; with hot keys, at 1 GB of input CPU 1728 -> 1530 s, shuffle 1.22 -> 0.88 GB, spill 0.00 -> 0.00 GB, read 0.36 -> 0.36 GB, longest task 14 -> 10 s, most memory of a task 42 -> 42 MB.

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import heapq
 from collections import defaultdict
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Iterable, Mapping
 
 import numpy as np
 
+LONG_ROW = 64  # symbols
+NEVER = np.iinfo(np.int64).max  # the rank of what is not merged
+
 
 def merge_ranked(symbols: Iterable, merged: Mapping) -> list:
     """Merges by rank, equal ranks from the left; the pairs wait in a heap.
@@ -49,11 +52,10 @@ def pair_keys(left: np.ndarray, right: np.ndarray) -> np.ndarray:
 class Rows:
     """Symbol rows as one array, with the key of each pair of neighbours."""
 
-    def __init__(self, rows: Sequence[np.ndarray]):
-        sizes = np.fromiter(map(len, rows), dtype=np.int64, count=len(rows))
-        self.flat = np.concatenate(rows).astype(np.int32) if len(rows) else np.empty(0, dtype=np.int32)
-        self.row = np.repeat(np.arange(len(rows)), sizes)
-        self.keys = pair_keys(self.flat[:-1], self.flat[1:])
+    def __init__(self, flat: np.ndarray, sizes: np.ndarray):
+        self.flat, self.sizes = flat, sizes
+        self.row = np.repeat(np.arange(len(sizes)), sizes)
+        self.keys = pair_keys(flat[:-1], flat[1:])
         self.keys[self.row[:-1] != self.row[1:]] = -1
 
     def holding(self, pairs: np.ndarray) -> np.ndarray:
@@ -63,11 +65,78 @@ class Rows:
         at = np.minimum(np.searchsorted(pairs, self.keys), len(pairs) - 1)
         return pairs[at] == self.keys
 
-    def segments(self, pairs: np.ndarray) -> tuple[list[bytes], np.ndarray]:
-        """Longest runs whose neighbours are all among ``pairs``, and their rows."""
-        edges = np.diff(self.holding(pairs).astype(np.int8), prepend=0, append=0)
+    def segments(self, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Longest runs whose neighbours are all among ``pairs``: their symbols one after the other, sizes and rows."""
+        held = self.holding(pairs)
+        edges = np.diff(held.astype(np.int8), prepend=0, append=0)
         starts, ends = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1) + 1
-        return [self.flat[a:b].tobytes() for a, b in zip(starts, ends)], self.row[starts]
+        inside = np.append(held, False) | np.append(False, held)
+        return self.flat[inside[: len(self.flat)]], ends - starts, self.row[starts]
+
+
+class Merges:
+    """Ranked merges, ``merged`` of ``merge_ranked``, as arrays in the order of their pairs' keys."""
+
+    def __init__(self, merged: Mapping[tuple[int, int], tuple[int, int]]):
+        self.merged = merged
+        pairs = np.array(list(merged), dtype=np.int64).reshape(-1, 2)
+        found = np.array(list(merged.values()), dtype=np.int64).reshape(-1, 2)
+        keys = pair_keys(pairs[:, 0], pairs[:, 1])
+        order = np.argsort(keys)
+        # One more stands for pairs that are not merged.
+        self.keys = np.append(keys[order], -1)
+        self.ranks = np.append(found[order, 0], NEVER)
+        self.new = np.append(found[order, 1], -1).astype(np.int32)
+
+    def places(self, keys: np.ndarray) -> np.ndarray:
+        at = np.searchsorted(self.keys[:-1], keys)
+        return np.where(self.keys[at] == keys, at, len(self.keys) - 1)
+
+
+def merge_rows(rows: Rows, merges: Merges) -> tuple[np.ndarray, np.ndarray]:
+    """``merge_ranked`` of many rows: their symbols one after the other, and their sizes.
+
+    Each pass makes the next merge of every row that has one left, in arrays; rows that have none go aside.
+    In long rows, which would take many passes, pairs wait in a heap.
+    """
+    flat, row = rows.flat.copy(), rows.row
+    done = []
+    long = rows.sizes > LONG_ROW
+    if long.any():
+        ends = np.cumsum(rows.sizes)
+        for i in np.flatnonzero(long).tolist():
+            merged = np.array(merge_ranked(flat[ends[i] - rows.sizes[i] : ends[i]].tolist(), merges.merged), dtype=np.int32)
+            done.append((merged, np.full(len(merged), i)))
+        flat, row = flat[~long[row]], row[~long[row]]
+    keys = pair_keys(flat[:-1], flat[1:])
+    never = len(merges.keys) - 1
+    # Of the pair that starts at each symbol.
+    place = np.append(np.where(row[:-1] == row[1:], merges.places(keys), never), never)[: len(flat)]
+    while True:
+        ranks = merges.ranks[place]
+        held = np.flatnonzero(ranks != NEVER)
+        if not len(held):
+            break
+        first = np.flatnonzero(np.diff(row[held], prepend=-1))
+        least = np.minimum.reduceat(ranks[held], first)
+        best = held[ranks[held] == np.repeat(least, np.diff(first, append=len(held)))]
+        at = best[np.diff(row[best], prepend=-1) != 0]
+        flat[at] = merges.new[place[at]]
+        left = np.zeros(len(rows.sizes), dtype=bool)
+        left[row[at]] = True
+        stay = left[row]
+        done.append((flat[~stay], row[~stay]))
+        # What follows a merged symbol goes, and so do the rows without a merge.
+        stay[at + 1] = False
+        at = (np.cumsum(stay) - 1)[at]
+        flat, row, place = flat[stay], row[stay], place[stay]
+        place[at] = never
+        changed = np.concatenate((at[at > 0] - 1, at[at + 1 < len(flat)]))
+        changed = changed[row[changed] == row[changed + 1]]
+        place[changed] = merges.places(pair_keys(flat[changed], flat[changed + 1]))
+    done.append((flat, row))
+    flat, row = (np.concatenate(part) for part in zip(*done))
+    return flat[np.argsort(row, kind="stable")], np.bincount(row, minlength=len(rows.sizes))
 
 
 class Contest:
@@ -77,13 +146,12 @@ class Contest:
     merge, so a merge touches its own segments only.
     """
 
-    def __init__(self, segments: Iterable[tuple[bytes, int]]):
+    def __init__(self, segments: Iterable[tuple[list[int], int]]):
         self.parts: list[list[int]] = []
         self.times: list[int] = []
         self.counts: dict[tuple[int, int], int] = defaultdict(int)
         self.places: dict[tuple[int, int], set[int]] = defaultdict(set)
-        for i, (raw, n) in enumerate(segments):
-            part = np.frombuffer(raw, dtype=np.int32).tolist()
+        for i, (part, n) in enumerate(segments):
             self.parts.append(part)
             self.times.append(n)
             for pair in zip(part, part[1:]):

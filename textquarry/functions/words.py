@@ -12,9 +12,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import patterns as P
-from .merges import merge_ranked
+from .merges import Merges, Rows, merge_ranked, merge_rows
 
 MEMO_WORDS = 250_000
+BULK_WORDS = 8_000  # that are spelled at a time
 SLICE_BYTES = 1 << 21  # of texts, and
 SLICE_ITEMS = 200_000  # words or ids of a batch that are worked on and handed back at a time
 MAX_WORD_CHARS = 100  # longer words are unknown to WordPiece
@@ -76,15 +77,49 @@ def split_words(normalized: Column) -> Column:
     return F.regexp_extract_all(normalized, F.lit(_WORD_OR_SPECIAL), F.lit(0))
 
 
+class Characters:
+    """Numbers of single characters, and words spelled by them."""
+
+    def __init__(self, numbers: dict[str, int]):
+        known = sorted((ord(c), n) for c, n in numbers.items())
+        self.codes = np.array([code for code, _ in known] + [-1], dtype=np.int64)
+        self.numbers = np.array([n for _, n in known] + [-1], dtype=np.int32)
+
+    def of(self, codes: np.ndarray) -> np.ndarray:
+        """Numbers of code points, -1 for others."""
+        at = np.searchsorted(self.codes[:-1], codes)
+        return np.where(self.codes[at] == codes, self.numbers[at], np.int32(-1))
+
+    def rows(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of all words one after the other, and how many each has; characters without one are left out."""
+        numbers, sizes = self.of(code_points(words)), word_sizes(words)
+        known = numbers >= 0
+        return numbers[known], np.diff(_counted(np.cumsum(sizes), known), prepend=0)
+
+
+def code_points(words: list[str]) -> np.ndarray:
+    return np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int64)
+
+
+def word_sizes(words: list[str]) -> np.ndarray:
+    return np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+
+
 class Vocabulary:
     """Token ids and, for BPE, the rank of each merge."""
 
     def __init__(self, kind: str, ids: dict[str, int], ranks: dict[tuple[str, str], int]):
         self.kind = kind
         self.ids = ids
-        self.merged = {pair: (rank, pair[0] + pair[1]) for pair, rank in ranks.items()}
         self.unknown = ids[P.SPECIAL_TOKENS[3]]
         self.special = {mark: token for token, mark in _STAND_INS.items()}
+        # Merging is done on the places of tokens in this list: those with ids, then others that merges name.
+        parts = (token for left, right in ranks for token in (left, right, left + right))
+        self.tokens = list(dict.fromkeys([*ids, *parts]))
+        place = {token: i for i, token in enumerate(self.tokens)}
+        self.token_ids = np.array(list(ids.values()), dtype=np.int32)
+        self.merges = Merges({(place[left], place[right]): (rank, place[left + right]) for (left, right), rank in ranks.items()})
+        self.characters = Characters({c: place[c] for c in ids if len(c) == 1})
 
     def pieces(self, word: str) -> list[str] | None:
         """Tokens of one word; None if WordPiece cannot spell it."""
@@ -93,7 +128,24 @@ class Vocabulary:
         return self._merge(word) if self.kind == "bpe" else self._longest(word)
 
     def _merge(self, word: str) -> list[str]:
-        return merge_ranked([c for c in word if c in self.ids], self.merged)
+        return [self.tokens[i] for i in merge_ranked(self.characters.rows([word])[0].tolist(), self.merges.merged)]
+
+    def coded(self, words: list[str]) -> list[bytes | None]:
+        """Ids of the tokens of each word; None if WordPiece cannot spell it."""
+        if self.kind != "bpe":
+            return [None if parts is None else self._ids(parts) for parts in map(self.pieces, words)]
+        symbols, sizes = merge_rows(Rows(*self.characters.rows(words)), self.merges)
+        if len(symbols) and symbols.max() >= len(self.token_ids):
+            raise KeyError(self.tokens[symbols.max()])
+        ids, ends = self.token_ids[symbols].tobytes(), np.cumsum(sizes) * 4
+        found = [ids[end - size : end] for size, end in zip((sizes * 4).tolist(), ends.tolist())]
+        for i, word in enumerate(words):
+            if word in self.special:
+                found[i] = self._ids([self.special[word]])
+        return found
+
+    def _ids(self, parts: list[str]) -> bytes:
+        return np.array([self.ids[p] for p in parts], dtype=np.int32).tobytes()
 
     def _longest(self, word: str) -> list[str] | None:
         if len(word) > MAX_WORD_CHARS:
@@ -109,10 +161,15 @@ class Vocabulary:
         return parts
 
 
-def _lists(ends: np.ndarray, values: pa.Array, null: np.ndarray) -> pa.Array:
+def lists(ends: np.ndarray, values: pa.Array, null: np.ndarray | None = None) -> pa.Array:
     """Rows that end at ``ends`` in the values."""
     offsets = np.concatenate(([0], ends)).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), values, mask=pa.array(null))
+    return pa.ListArray.from_arrays(pa.array(offsets), values, mask=None if null is None else pa.array(null))
+
+
+def rows_of(symbols: pa.Array) -> Rows:
+    """Rows of a column of symbol arrays."""
+    return Rows(symbols.flatten().to_numpy(), pc.list_value_length(symbols).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
 
 
 def _row_ends(rows: pa.Array) -> np.ndarray:
@@ -137,23 +194,26 @@ def encode_words(words: Column, vocabulary, unk_policy: str) -> Column:
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         vocab: Vocabulary = vocabulary.value
         memo: dict[str, bytes | None] = {}
-
-        def look_up(word: str) -> bytes | None:
-            if word not in memo:
-                if len(memo) >= MEMO_WORDS:
-                    memo.clear()
-                parts = vocab.pieces(word)
-                if parts is None and unk_policy == "unk":
-                    parts = [P.SPECIAL_TOKENS[3]]
-                if parts is None and unk_policy == "error":
-                    raise ValueError(f"word not in the vocabulary: {word!r}")
-                memo[word] = None if parts is None else np.array([vocab.ids[p] for p in parts], dtype=np.int32).tobytes()
-            return memo[word]
+        unknown = np.array([vocab.unknown], dtype=np.int32).tobytes()
+
+        def look_up(words: list[str]) -> list[bytes | None]:
+            fresh = [w for w in words if w not in memo]
+            if len(memo) + len(fresh) > MEMO_WORDS:
+                memo.clear()
+                fresh = words
+            found = vocab.coded(fresh)
+            if unk_policy == "unk":
+                found = [unknown if c is None else c for c in found]
+            if unk_policy == "error" and None in found:
+                raise ValueError(f"word not in the vocabulary: {fresh[found.index(None)]!r}")
+            memo.update(zip(fresh, found))
+            return [memo[w] for w in words]
 
         for batch in batches:
             for rows in slices(batch):
                 distinct = rows.flatten().dictionary_encode()
-                coded = [look_up(w) for w in distinct.dictionary.to_pylist()]
+                words = distinct.dictionary.to_pylist()
+                coded = [c for i in range(0, len(words), BULK_WORDS) for c in look_up(words[i : i + BULK_WORDS])]
                 sizes = np.array([len(c or b"") // 4 for c in coded], dtype=np.int64)
                 table = np.frombuffer(b"".join(c or b"" for c in coded), dtype=np.int32)
                 at = distinct.indices.to_numpy()
@@ -163,11 +223,30 @@ def encode_words(words: Column, vocabulary, unk_policy: str) -> Column:
                 ids = table[np.repeat(shift, counts) + np.arange(int(counts.sum()))]
                 unspelled = np.array([c is None for c in coded], dtype=bool)[at]
                 null = rows.is_null().to_numpy(zero_copy_only=False) | (np.diff(_counted(ends, unspelled), prepend=0) > 0)
-                yield _lists(_counted(ends, counts), pa.array(ids), null)
+                yield lists(_counted(ends, counts), pa.array(ids), null)
 
     return encode(words)
 
 
+def spell_words(word: Column, alphabet) -> Column:
+    """Numbers of the characters of words, by broadcast ``Characters`` of first and of further places; others are left out."""
+
+    @F.arrow_udf("array<int>")
+    def spell(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        first, further = alphabet.value
+        for batch in batches:
+            for part in slices(batch):
+                words = [w or "" for w in part.to_pylist()]
+                codes, sizes = code_points(words), word_sizes(words)
+                ends, numbers = np.cumsum(sizes), further.of(codes)
+                starts = (ends - sizes)[sizes > 0]
+                numbers[starts] = first.of(codes[starts])
+                known = numbers >= 0
+                yield lists(_counted(ends, known), pa.array(numbers[known]))
+
+    return spell(word)
+
+
 def _names(vocab: Vocabulary, first: int) -> pa.Array:
     """Tokens by id, null for ids below ``first`` and unused ones."""
     names: list[str | None] = [None] * (max(vocab.ids.values(), default=-1) + 1)
@@ -183,7 +262,7 @@ def _named(rows: pa.Array, names: pa.Array) -> pa.Array:
     used = np.append(names.is_valid().to_numpy(zero_copy_only=False), False)
     known = used[np.where((ids >= 0) & (ids < len(names)), ids, len(names))]
     null = rows.is_null().to_numpy(zero_copy_only=False)
-    return _lists(_counted(_row_ends(rows), known), names.take(pa.array(ids[known])), null)
+    return lists(_counted(_row_ends(rows), known), names.take(pa.array(ids[known])), null)
 
 
 def tokens_of(ids: Column, vocabulary) -> Column:

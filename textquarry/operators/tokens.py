@@ -16,23 +16,21 @@ on the result.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import patterns as P
 from ..functions import words as W
 from ..functions.frames import compute_once
-from ..functions.merges import Contest, Rows, merge_ranked, pair_keys
+from ..functions.merges import Contest, Merges, merge_rows, pair_keys
 from ..session import cut_lineage
 
 HEAVY_PAIRS = (4096, 65_536)  # to start with, and at most
 SEGMENT_SYMBOLS = 300_000  # of the distinct segments that a round works on, some tens of megabytes
-TASK_SEGMENTS = 200_000  # that a task counts at a time
 
 
 def words_of(df: DataFrame, text: str = "text") -> DataFrame:
@@ -84,21 +82,19 @@ def start(counts: DataFrame, kind: str) -> list[str]:
 
 def spell(counts: DataFrame, kind: str, ids: dict[str, int]) -> DataFrame:
     """``n``, ``symbols``: each word as the array of its characters' ids."""
-    alphabet = counts.sparkSession.createDataFrame(list(ids.items()), "c string, id int")
-    return (
-        counts.select("word", "n", F.posexplode(_characters(kind)).alias("at", "c"))
-        .join(alphabet, "c")
-        .groupBy("word", "n")
-        .agg(F.sort_array(F.collect_list(F.struct("at", "id"))).alias("cells"))
-        .select("n", F.col("cells.id").alias("symbols"))
-    )
+    first = {c: i for c, i in ids.items() if len(c) == 1}
+    lead = P.CONTINUATION
+    further = first if kind == "bpe" else {c[len(lead) :]: i for c, i in ids.items() if c.startswith(lead) and len(c) == len(lead) + 1}
+    handed = counts.sparkSession.sparkContext.broadcast((W.Characters(first), W.Characters(further)))
+    spelled = compute_once(counts.select("word", "n"), symbols=W.spell_words(F.col("word"), handed))
+    return spelled.filter(F.size("symbols") > 0).select("n", "symbols")
 
 
 def pair_counts(words: DataFrame) -> DataFrame:
     """Adjacent symbol pairs over all words, weighted by word count."""
     rest = F.greatest(F.size("symbols") - 1, F.lit(0))
-    pairs = F.zip_with(F.slice("symbols", F.lit(1), rest), F.slice("symbols", F.lit(2), rest), lambda a, b: F.struct(a.alias("left"), b.alias("right")))
-    return words.select("n", F.inline(pairs)).groupBy("left", "right").agg(F.sum("n").alias("n"))
+    pairs = F.arrays_zip(F.slice("symbols", F.lit(1), rest), F.slice("symbols", F.lit(2), rest))
+    return words.select("n", F.inline(pairs).alias("left", "right")).groupBy("left", "right").agg(F.sum("n").alias("n"))
 
 
 def _joined(left: str, right: str, kind: str) -> str:
@@ -109,38 +105,29 @@ def _segments(words: DataFrame, heavy: np.ndarray) -> DataFrame:
     """``segment``, ``n``: the distinct runs of heavy pairs in all words; ``heavy`` has their keys in order."""
     handed = words.sparkSession.sparkContext.broadcast(heavy)
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen: Counter[bytes] = Counter()
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            segments, at = Rows(batch["symbols"].tolist()).segments(handed.value)
-            for segment, n in zip(segments, batch["n"].to_numpy()[at].tolist()):
-                seen[segment] += n
-            if len(seen) >= TASK_SEGMENTS:
-                yield pd.DataFrame(seen.items(), columns=["segment", "n"])
-                seen.clear()
-        if seen:
-            yield pd.DataFrame(seen.items(), columns=["segment", "n"])
+            symbols, sizes, at = W.rows_of(batch.column("symbols")).segments(handed.value)
+            segments = W.lists(np.cumsum(sizes), pa.array(symbols))
+            yield pa.RecordBatch.from_arrays([batch.column("n").take(pa.array(at)), segments], ["n", "segment"])
 
-    return words.mapInPandas(cut, "segment binary, n long").groupBy("segment").agg(F.sum("n").alias("n"))
+    # Counted by Spark, which adds up what a task finds before it is exchanged.
+    return words.mapInArrow(cut, "n long, segment array<int>").groupBy("segment").agg(F.sum("n").alias("n"))
 
 
 def _apply(words: DataFrame, merges: list[tuple[int, int, int]]) -> DataFrame:
     """The words after the merges (left, right, new), in order; a word of one symbol has no pairs left and goes."""
-    ranked = {(left, right): (rank, new) for rank, (left, right, new) in enumerate(merges)}
-    keys = np.sort(pair_keys(np.array([m[0] for m in merges]), np.array([m[1] for m in merges])))
-    handed = words.sparkSession.sparkContext.broadcast((ranked, keys))
+    ranked = Merges({(left, right): (rank, new) for rank, (left, right, new) in enumerate(merges)})
+    handed = words.sparkSession.sparkContext.broadcast(ranked)
 
-    def merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ranked, keys = handed.value
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            symbols = batch["symbols"].tolist()
-            rows = Rows(symbols)
-            for i in np.unique(rows.row[:-1][rows.holding(keys)]).tolist():
-                symbols[i] = np.array(merge_ranked(symbols[i].tolist(), ranked), dtype=np.int32)
-            kept = [i for i, s in enumerate(symbols) if len(s) > 1]
-            yield pd.DataFrame({"n": batch["n"].to_numpy()[kept], "symbols": pd.Series([symbols[i] for i in kept], dtype=object)})
+            symbols, sizes = merge_rows(W.rows_of(batch.column("symbols")), handed.value)
+            kept = sizes > 1
+            rows = W.lists(np.cumsum(sizes[kept]), pa.array(symbols[np.repeat(kept, sizes)]))
+            yield pa.RecordBatch.from_arrays([batch.column("n").filter(pa.array(kept)), rows], ["n", "symbols"])
 
-    return words.mapInPandas(merge, "n long, symbols array<int>")
+    return words.mapInArrow(merge, "n long, symbols array<int>")
 
 
 class _Naming:
@@ -193,7 +180,7 @@ def _rounds(words: DataFrame, names: _Naming, vocab_size: int) -> Iterator[list[
         while True:
             heavy = np.sort(pair_keys(*(np.array([r[side] for r in top[:size]]) for side in ("left", "right"))))
             segments = cut_lineage(_segments(words, heavy))
-            symbols = segments.agg(F.sum(F.length("segment") / 4)).first()[0]
+            symbols = segments.agg(F.sum(F.size("segment"))).first()[0]
             if symbols <= SEGMENT_SYMBOLS or size == 1:
                 break
             size = max(1, min(size, len(top)) // 4)
