@@ -278,3 +278,16 @@ def test_words_are_coded_together_like_alone(bpe):
     coded = vocab.coded(words)
     assert coded == [vocab._ids(vocab.pieces(w)) for w in words] and coded[2] == b"" and len(coded[3]) == 4
     assert vocab.coded([]) == []
+
+
+def test_the_last_merges_take_few_pairs_and_no_pass(spark, sf, monkeypatch):
+    """A vocabulary that is full needs no merged words, and a few merges no segments of thousands of pairs."""
+    counts = tokens.word_counts(spark.read.parquet(f"{sf}/documents.parquet").select("text")).cache()
+    size = len(tokens.start(counts, "bpe")) + 24
+    heavy, made = [], []
+    segments, apply = tokens._segments, tokens._apply
+    monkeypatch.setattr(tokens, "_segments", lambda words, keys: heavy.append(len(keys)) or segments(words, keys))
+    monkeypatch.setattr(tokens, "_apply", lambda words, merges: made.append(len(merges)) or apply(words, merges))
+    vocab, merges = tokens.train(counts, "bpe", size)
+    assert vocab.count() == size
+    assert max(heavy) <= tokens.PAIRS_A_MERGE * 24 and sum(made) < merges.count()
